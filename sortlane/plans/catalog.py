@@ -11,8 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import codec
-from ..operators import order
-from ..sources import fixtures
+from ..operators import checks, order, runs
+from ..session import work_path
+from ..sinks import publish
+from ..sources import fixtures, generate
+from ..sources import log as logsrc
+from .pipeline import BatchRun, pipeline_batch
 
 RECORD_COLS = ["rid", "id", "name", "address", "continent"]
 
@@ -68,3 +72,175 @@ def q_int32_wrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = codec.decode(fixtures.dirty_log(spark, sf_dir), keep_id64=True)
     return decoded.where(F.col("reject_reason").isNull()).select(
         "partition", "offset", "id64", codec.int32_wrap("id64").alias("id32"))
+
+
+# ---- sources -----------------------------------------------------------------
+
+FIRST_N = 6001
+HEAD_K = 1000
+
+
+def q_generate_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One generated record per order key (rid = o_orderkey)."""
+    ids = fixtures.read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("rid"))
+    return generate.generate_for(ids, seed=42)
+
+
+def q_log_read_first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return logsrc.read_first_n(fixtures.log(spark, sf_dir), "source", FIRST_N)
+
+
+def q_log_read_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: commit what a first-N consumer read, then resume the same group."""
+    log = order.stage(fixtures.log(spark, sf_dir), "log")
+    committed = logsrc.commit_offsets(logsrc.read_first_n(log, "source", FIRST_N), "g1")
+    committed = order.stage(committed, "committed")
+    return logsrc.read_resume(log, committed, "g1")
+
+
+def q_log_read_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return logsrc.read_partition(fixtures.log(spark, sf_dir), "source", 2)
+
+
+def q_topic_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return logsrc.topic_offsets(pipeline_log(spark, sf_dir))
+
+
+def q_log_head(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return logsrc.head(fixtures.log(spark, sf_dir), "source", HEAD_K)
+
+
+def q_read_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dirty log exported as text lines, read back and decoded."""
+    path = work_path(spark, "lines")
+    publish.export_lines(fixtures.dirty_log(spark, sf_dir), path)
+    return codec.decode(logsrc.read_lines(spark, path)).select(
+        "value", "id", "name", "address", "continent", "reject_reason")
+
+
+# ---- sinks -------------------------------------------------------------------
+
+def q_publish_balanced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish.publish_balanced(fixtures.records(spark, sf_dir), "source", order=["rid"])
+
+
+def q_publish_hash_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: records keyed by name (five keys: heavy skew), in rid order per partition."""
+    return publish.publish_hash_keyed(fixtures.records(spark, sf_dir), "name", "name", ["rid"])
+
+
+def q_publish_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    srt = order.sort_records(fixtures.records(spark, sf_dir), "name", ["rid"], total_col="_total")
+    return publish.publish_sorted(srt, "name")
+
+
+def q_stage_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish.stage_snapshot(fixtures.log(spark, sf_dir), "source").select(
+        "partition", "offset", "value")
+
+
+def q_publish_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: the same run published twice (a retry) reads back exactly once."""
+    base = work_path(spark, "idempotent")
+    srt = order.sort_records(fixtures.records(spark, sf_dir), "name", ["rid"], total_col="_total")
+    msgs = order.stage(publish.publish_sorted(srt, "name"), "msgs")
+    publish.publish_idempotent(msgs, base, "run-1")
+    publish.publish_idempotent(msgs, base, "run-1")  # retry of the same run
+    return publish.read_published(spark, base)
+
+
+# ---- pipeline-derived log (memoized per session and input) -------------------
+
+_PIPELINES: dict[tuple, BatchRun] = {}
+
+
+def pipeline_run(spark: SparkSession, sf_dir: str, dirty: bool = False) -> BatchRun:
+    key = (spark.sparkContext.applicationId, sf_dir, dirty)
+    if key not in _PIPELINES:
+        src = fixtures.dirty_log(spark, sf_dir) if dirty else fixtures.log(spark, sf_dir)
+        _PIPELINES[key] = pipeline_batch(spark, src, on_error="skip" if dirty else "fail")
+    return _PIPELINES[key]
+
+
+def pipeline_log(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
+    return pipeline_run(spark, sf_dir, dirty).log(spark)
+
+
+def q_pipeline_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1 (flagship): the published log of all four topics."""
+    return pipeline_log(spark, sf_dir)
+
+
+def q_run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pipeline_run(spark, sf_dir, dirty=True).counters_frame(spark)
+
+
+def q_run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pipeline_run(spark, sf_dir, dirty=True).report_frame(spark)
+
+
+# ---- checks ------------------------------------------------------------------
+
+def q_check_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.check_schema(fixtures.dirty_log(spark, sf_dir))
+
+
+def q_schema_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.schema_violations(fixtures.dirty_log(spark, sf_dir)).select(
+        "partition", "offset", "rule")
+
+
+def q_check_charset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.check_charset(codec.decode_tolerant(fixtures.dirty_log(spark, sf_dir)))
+
+
+def q_check_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.check_topics(spark, pipeline_log(spark, sf_dir))
+
+
+def q_count_by_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.count_by_topic(pipeline_log(spark, sf_dir))
+
+
+def q_count_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.count_reconcile(pipeline_log(spark, sf_dir, dirty=True))
+
+
+def q_multiset_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.multiset_reconcile(pipeline_log(spark, sf_dir, dirty=True))
+
+
+def q_check_sorted_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.check_sorted(pipeline_log(spark, sf_dir), "id")
+
+
+def q_check_sorted_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.check_sorted(pipeline_log(spark, sf_dir), "name")
+
+
+def q_check_sorted_continent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.check_sorted(pipeline_log(spark, sf_dir), "continent")
+
+
+def q_detect_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W4 on the unsorted source topic: its maximal non-descending id stretches."""
+    return checks.detect_runs(fixtures.dirty_log(spark, sf_dir), "id")
+
+
+def q_validate_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.validate_all(spark, pipeline_log(spark, sf_dir))
+
+
+# ---- runs --------------------------------------------------------------------
+
+RUN_CHUNK = 4000
+
+
+def q_sorted_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = runs.sorted_runs(fixtures.records(spark, sf_dir), "name", RUN_CHUNK, ["rid"])
+    return out.select(*RECORD_COLS, "seq", "run_id", "pos")
+
+
+def q_merge_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = order.stage(runs.sorted_runs(fixtures.records(spark, sf_dir), "name", RUN_CHUNK, ["rid"]), "runs")
+    return runs.merge_runs(r, "name", ["rid"], "pos").select(*RECORD_COLS, "run_id", "pos")
