@@ -41,8 +41,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "count_by_topic", "count_reconcile", "multiset_reconcile", "run_counters", "run_report",
         # windows
         "check_sorted_id", "check_sorted_name", "check_sorted_continent", "detect_runs",
+        # streaming
+        "stream_runs", "stream_fanout", "stream_keyed_publish", "stream_rejects",
+        "stream_resume", "stream_tail_flush", "stream_progress",
         # pipelines
-        "pipeline_batch", "validate_all",
+        "pipeline_batch", "pipeline_stream", "validate_all",
     ]
     return {n: getattr(catalog, f"q_{n}") for n in names}
 
@@ -273,6 +276,36 @@ def _validate_all(log_expr: str) -> str:
     return "SELECT *, violations = 0 AS ok FROM (" + " UNION ALL ".join(parts) + ")"
 
 
+
+def _stream(closed_only: bool) -> str:
+    """Runs of 300 valid records per source partition of the dirty log, sorted three ways."""
+    cond = "WHERE (run_id + 1) * 300 <= n_p" if closed_only else ""
+    return f"""
+    (WITH v AS (SELECT "partition", "offset", id, name, address, continent FROM {_accepted(_DIRTY)}),
+     s AS (SELECT *, row_number() OVER (PARTITION BY "partition" ORDER BY "offset") - 1 AS seq,
+                  count(*) OVER (PARTITION BY "partition") AS n_p FROM v),
+     r AS (SELECT *, seq // 300 AS run_id FROM s),
+     t AS (SELECT unnest(['id', 'name', 'continent']) AS sort_key, * FROM r {cond}),
+     o AS (SELECT sort_key, "partition" AS src_partition, run_id,
+                  row_number() OVER (PARTITION BY sort_key, "partition", run_id
+                                     ORDER BY CASE sort_key WHEN 'name' THEN name
+                                                            WHEN 'continent' THEN continent ELSE '' END,
+                                              id, "offset") - 1 AS pos,
+                  id, name, address, continent, "offset" AS src_offset FROM t)
+     SELECT *, CAST(src_partition AS VARCHAR) || '-' || CAST(run_id AS VARCHAR) || '-' || CAST(pos AS VARCHAR) AS key
+     FROM o)
+    """
+
+
+def _keyed(src: str) -> str:
+    return f"""SELECT sort_key AS topic,
+        CAST(CAST(('0x' || substr(md5(key), 1, 8)) AS BIGINT) % 4 AS INT) AS "partition",
+        key, {_ENC} AS value FROM {src}"""
+
+
+_FANOUT = "sort_key, src_partition, run_id, pos, id, name, address, continent, src_offset"
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "sort_by_id": _sorted("id, rid"),
@@ -382,4 +415,18 @@ def oracle_sql() -> dict[str, str]:
         # pipelines
         "pipeline_batch": f"SELECT * FROM {_pipeline(_LOG)}",
         "validate_all": _validate_all(_pipeline(_LOG)),
+        # streaming
+        "stream_runs": f"""
+            WITH v AS (SELECT "partition", "offset" FROM {_accepted(_DIRTY)})
+            SELECT "partition" AS src_partition, "offset" AS src_offset,
+                   row_number() OVER (PARTITION BY "partition" ORDER BY "offset") - 1 AS seq,
+                   (row_number() OVER (PARTITION BY "partition" ORDER BY "offset") - 1) // 300 AS run_id
+            FROM v""",
+        "stream_fanout": f"SELECT {_FANOUT} FROM {_stream(True)}",
+        "stream_keyed_publish": _keyed(_stream(True)),
+        "stream_rejects": f"""SELECT "partition", "offset", value, reject_reason
+            FROM {_decoded(_DIRTY)} WHERE reject_reason IS NOT NULL""",
+        "stream_resume": f"SELECT {_FANOUT} FROM {_stream(True)}",
+        "stream_tail_flush": f"SELECT {_FANOUT} FROM {_stream(False)}",
+        "pipeline_stream": _keyed(_stream(False)),
     }

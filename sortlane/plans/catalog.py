@@ -16,6 +16,9 @@ from ..session import work_path
 from ..sinks import publish
 from ..sources import fixtures, generate
 from ..sources import log as logsrc
+from ..streaming import arrivals
+from ..streaming import runs as streaming_runs
+from ..streaming.runs import StreamRuns
 from .pipeline import BatchRun, pipeline_batch
 
 RECORD_COLS = ["rid", "id", "name", "address", "continent"]
@@ -244,3 +247,94 @@ def q_sorted_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_merge_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = order.stage(runs.sorted_runs(fixtures.records(spark, sf_dir), "name", RUN_CHUNK, ["rid"]), "runs")
     return runs.merge_runs(r, "name", ["rid"], "pos").select(*RECORD_COLS, "run_id", "pos")
+
+
+# ---- streaming ---------------------------------------------------------------
+
+STREAM_CHUNK = 300
+STREAM_ARRIVALS = 4
+STREAM_SILENT = (3, 1)  # partition 3 sends nothing in arrival 1 (it arrives with arrival 2)
+
+
+_STREAMS: dict[tuple, StreamRuns] = {}
+
+
+def stream_run(spark: SparkSession, sf_dir: str, restart_after: int | None = None,
+               flush: bool = False) -> StreamRuns:
+    """Memoized per session: the stream's output tables are the data product
+    every streaming query reads; flushing only adds the ``flush`` table."""
+    key = (spark.sparkContext.applicationId, sf_dir, restart_after)
+    if key not in _STREAMS:
+        _STREAMS[key] = _run_stream(spark, sf_dir, restart_after)
+    runner = _STREAMS[key]
+    if flush:
+        runner.flush_open_runs(spark)
+    return runner
+
+
+def _run_stream(spark: SparkSession, sf_dir: str, restart_after: int | None = None) -> StreamRuns:
+    """Feed the dirty log as arrivals and run the run producer to the end of input.
+
+    ``restart_after=k``: only the first k arrivals exist for the first run;
+    the query stops, the rest arrive, and a new query resumes from the same
+    checkpoint.
+    """
+    base = work_path(spark, "stream")
+    log = order.stage(fixtures.dirty_log(spark, sf_dir), "stream-input")
+    cuts = arrivals.quantile_cuts(log, STREAM_ARRIVALS)
+    runner = StreamRuns(f"{base}/state", STREAM_CHUNK)
+    src, ckpt = f"{base}/source", f"{base}/checkpoint"
+    if restart_after is None:
+        arrivals.write_arrivals(log, src, cuts, STREAM_SILENT)
+        streaming_runs.start_stream(spark, src, runner, ckpt).awaitTermination()
+    else:
+        arrivals.write_arrivals(log, src, cuts, STREAM_SILENT, last=restart_after - 1)
+        streaming_runs.start_stream(spark, src, runner, ckpt).awaitTermination()
+        arrivals.write_arrivals(log, src, cuts, STREAM_SILENT, first=restart_after)
+        streaming_runs.start_stream(spark, src, runner, ckpt).awaitTermination()
+    return runner
+
+
+_FANOUT_COLS = ["sort_key", "src_partition", "run_id", "pos", "id", "name", "address", "continent",
+                "src_offset"]
+
+
+def q_stream_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1: run assignment of every accepted record (seq among valid records of its partition)."""
+    return stream_run(spark, sf_dir).staged(spark).select(
+        F.col("partition").alias("src_partition"), F.col("offset").alias("src_offset"), "seq", "run_id")
+
+
+def q_stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2: every closed run sorted three ways."""
+    return stream_run(spark, sf_dir).output(spark).select(*_FANOUT_COLS)
+
+
+def q_stream_keyed_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3: keyed messages of the closed runs, hash-partitioned by key."""
+    return stream_run(spark, sf_dir).output(spark).select(
+        F.col("sort_key").alias("topic"), "partition", "key", "value")
+
+
+def q_stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stream_run(spark, sf_dir).rejects(spark).select("partition", "offset", "value", "reject_reason")
+
+
+def q_stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5: stop after two arrivals, restart on the same checkpoint: same output."""
+    return stream_run(spark, sf_dir, restart_after=2).output(spark).select(*_FANOUT_COLS)
+
+
+def q_stream_tail_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6: closed runs plus the short runs flushed at the end of input."""
+    return stream_run(spark, sf_dir, flush=True).output(spark, include_flush=True).select(*_FANOUT_COLS)
+
+
+def q_stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stream_run(spark, sf_dir).progress(spark)
+
+
+def q_pipeline_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2: stream -> tolerant decode -> runs -> three sorts -> keyed publish -> final flush."""
+    return stream_run(spark, sf_dir, flush=True).output(spark, include_flush=True).select(
+        F.col("sort_key").alias("topic"), "partition", "key", "value")
