@@ -109,12 +109,11 @@ def decode_rejects(df: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
-def decode_strict(df: DataFrame, value: str = "value") -> DataFrame:
-    """Like T3, but the job fails on the first bad line.
+def fail_on_reject(decoded: DataFrame, value: str = "value") -> DataFrame:
+    """Keep the decoded rows but fail the job at the first rejected line.
 
     The check sits in a filter so column pruning can never drop it.
     """
-    decoded = decode(df, value)
     guard = F.when(F.col("reject_reason").isNull(), F.lit(True)).otherwise(
         F.raise_error(
             F.concat(
@@ -123,4 +122,9 @@ def decode_strict(df: DataFrame, value: str = "value") -> DataFrame:
             )
         )
     )
-    return decoded.where(guard).drop("reject_reason")
+    return decoded.where(guard)
+
+
+def decode_strict(df: DataFrame, value: str = "value") -> DataFrame:
+    """Like T3, but the job fails on the first bad line."""
+    return fail_on_reject(decode(df, value), value).drop("reject_reason")

@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..schema import SORT_KEYS, sort_key_columns
@@ -39,13 +39,16 @@ def _cols(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+def stage(df: DataFrame, name: str = "stage", observation: Observation | None = None) -> DataFrame:
     """Write ``df`` once as parquet in the shared work folder and read it back.
 
     Cuts lineage (retries re-read the table instead of re-running upstream
     shuffles) and freezes nondeterministic columns such as sampled buckets.
+    ``observation`` (optional) receives ``rows``, counted during the write.
     """
     path = work_path(df.sparkSession, name)
+    if observation is not None:
+        df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
@@ -74,8 +77,13 @@ def number_staged(staged: DataFrame, pos_col: str = "pos",
 
 
 def with_position(df: DataFrame, order: Sequence[str | Column], pos_col: str = "pos",
-                  num_buckets: int | None = None, total_col: str | None = None) -> DataFrame:
-    """Add the 0-based rank of each row in ``order`` (which must be total)."""
+                  num_buckets: int | None = None, total_col: str | None = None,
+                  observation: Observation | None = None) -> DataFrame:
+    """Add the 0-based rank of each row in ``order`` (which must be total).
+
+    ``num_buckets`` defaults to ``spark.sql.shuffle.partitions``, the
+    cluster's sizing knob: each bucket is one sort task of about N/B rows.
+    """
     keys = _cols(order)
     buckets = num_buckets or shuffle_partitions(df.sparkSession)
     ordered = (
@@ -83,7 +91,7 @@ def with_position(df: DataFrame, order: Sequence[str | Column], pos_col: str = "
         .sortWithinPartitions(*keys)
         .withColumn("_mid", F.monotonically_increasing_id())
     )
-    return number_staged(stage(ordered, "pos"), pos_col, total_col)
+    return number_staged(stage(ordered, "pos", observation), pos_col, total_col)
 
 
 def with_index(df: DataFrame, pos_col: str = "idx", total_col: str | None = None) -> DataFrame:
@@ -94,10 +102,11 @@ def with_index(df: DataFrame, pos_col: str = "idx", total_col: str | None = None
 
 def sort_records(df: DataFrame, key: str, tiebreak: Sequence[str] = ("rid",),
                  pos_col: str = "pos", num_buckets: int | None = None,
-                 total_col: str | None = None) -> DataFrame:
+                 total_col: str | None = None,
+                 observation: Observation | None = None) -> DataFrame:
     """Order records by a named key plus a total tie-break, with ``pos``."""
     order = sort_key_columns(key) + [c for c in tiebreak if c not in SORT_KEYS[key]]
-    return with_position(df, order, pos_col, num_buckets, total_col)
+    return with_position(df, order, pos_col, num_buckets, total_col, observation)
 
 
 def sort_by_id(df: DataFrame, tiebreak: Sequence[str] = ("rid",)) -> DataFrame:

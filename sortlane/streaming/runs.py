@@ -18,8 +18,9 @@ cannot be sorted), with all state kept in tables under ``base``:
 Every write overwrites its own ``batch=<id>`` folder and depends only on the
 batch input plus the previous manifest, so a replayed batch id (after a crash
 between the write and Spark's commit) reproduces the same files: effectively
-once.  The in-batch index comes from a range-partitioned position (no task
-holds a whole log partition); a run's sort is a window partitioned by
+once.  The in-batch index comes from offset blocks: a per-(partition, block)
+count table is prefix-summed and a row number is taken inside each block, so
+no task holds a whole log partition; a run's sort is a window partitioned by
 ``(sort_key, partition, run_id)``, i.e. at most ``chunk`` rows per group.
 State stays bounded: a batch reads only staged batches that still hold rows
 of an open run (``open_batch`` in the manifest), fewer than ``chunk`` rows per
@@ -32,12 +33,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.codec import decode, encode_line
-from ..operators.order import with_position
 from ..schema import LOG_PARTITIONS, SORTED_TOPICS, run_length
 from ..sinks.publish import hash_partition
 
@@ -63,6 +63,7 @@ class StreamRuns:
     chunk: int
     partitions: int = LOG_PARTITIONS
     sort_keys: Sequence[str] = tuple(SORTED_TOPICS)
+    block: int = 1 << 20
 
     def __post_init__(self) -> None:
         self.chunk = run_length(self.chunk)
@@ -116,37 +117,51 @@ class StreamRuns:
         spark = batch.sparkSession
         prev = self._manifest(spark, batch_id - 1)
 
-        decoded = decode(batch.select("partition", "offset", "value"))
-        decoded.where(F.col("reject_reason").isNotNull()).select(
-            "partition", "offset", "value", "reject_reason"
-        ).write.mode("overwrite").parquet(self._batch_dir("rejects", batch_id))
-        rejects = spark.read.parquet(self._batch_dir("rejects", batch_id)).count()
-
-        valid = decoded.where(F.col("reject_reason").isNull()).drop("reject_reason", "value")
-        numbered = with_position(valid, ["partition", "offset"], "_pos")
-        per_part = {r["partition"]: (r["first"], r["n"]) for r in numbered.groupBy("partition").agg(
-            F.min("_pos").alias("first"), F.count(F.lit(1)).alias("n")).collect()}
-
-        # seq = previous next_seq of the partition + index inside this batch.
-        shift = spark.createDataFrame(
-            [(p, prev.get(p, (0, 0))[0] - first) for p, (first, _) in per_part.items()],
-            "partition int, _shift bigint")
-        staged = numbered.join(F.broadcast(shift), "partition").select(
-            "partition", "offset", (F.col("_pos") + F.col("_shift")).alias("seq"),
-            F.floor((F.col("_pos") + F.col("_shift")) / self.chunk).cast("bigint").alias("run_id"),
-            "id", "name", "address", "continent")
-        staged.write.mode("overwrite").parquet(self._batch_dir("stage", batch_id))
+        # The micro-batch is used by several jobs below: decode it once.
+        decoded = decode(batch.select("partition", "offset", "value")).withColumn(
+            "_blk", F.floor(F.col("offset") / self.block).cast("bigint")).persist()
+        try:
+            decoded.where(F.col("reject_reason").isNotNull()).select(
+                "partition", "offset", "value", "reject_reason"
+            ).write.mode("overwrite").parquet(self._batch_dir("rejects", batch_id))
+
+            # seq = previous next_seq of the partition + valid rows of earlier
+            # offset blocks in this batch + row number inside the block.  The
+            # block table has one row per (partition, block): rows / block entries.
+            is_bad = F.col("reject_reason").isNotNull()
+            blocks = sorted((r["partition"], r["_blk"], r["n"], r["bad"]) for r in decoded.groupBy(
+                "partition", "_blk").agg(
+                    F.sum(F.when(is_bad, 0).otherwise(1)).alias("n"),
+                    F.sum(F.when(is_bad, 1).otherwise(0)).alias("bad")).collect())
+            rejects = sum(b for _, _, _, b in blocks)
+            per_part: dict[int, int] = {}
+            bases = []
+            for p, blk, n, _ in blocks:
+                done = per_part.get(p, 0)
+                bases.append((p, blk, prev.get(p, (0, 0))[0] + done))
+                per_part[p] = done + n
+            valid = decoded.where(~is_bad).drop("reject_reason", "value")
+            base_df = spark.createDataFrame(bases, "partition int, _blk bigint, _base bigint")
+            w = Window.partitionBy("partition", "_blk").orderBy("offset")
+            seq = F.col("_base") + F.row_number().over(w) - 1
+            staged = valid.join(F.broadcast(base_df), ["partition", "_blk"]).select(
+                "partition", "offset", seq.alias("seq"),
+                F.floor(seq / self.chunk).cast("bigint").alias("run_id"),
+                "id", "name", "address", "continent")
+            staged.write.mode("overwrite").parquet(self._batch_dir("stage", batch_id))
+        finally:
+            decoded.unpersist()
 
         # Runs closed here: [old_next div chunk, new_next div chunk) per partition.
         manifest, closed, lows = [], [], []
         for p in sorted(set(prev) | set(per_part)):
             old_next, open_batch = prev.get(p, (0, batch_id))
-            new_next = old_next + per_part.get(p, (0, 0))[1]
+            new_next = old_next + per_part.get(p, 0)
             lo, hi = old_next // self.chunk, new_next // self.chunk
             if hi > lo:
                 closed.append((p, lo, hi - 1))
                 lows.append(open_batch)
-            if p in per_part and new_next // self.chunk > old_next // self.chunk:
+            if p in per_part and hi > lo:
                 open_batch = batch_id  # the open run (if any) started in this batch
             if new_next % self.chunk == 0:
                 open_batch = batch_id + 1  # nothing open
@@ -154,6 +169,7 @@ class StreamRuns:
 
         rows_out = 0
         out_path = self._batch_dir("out", batch_id)
+        out_obs = Observation(f"stream-out-{batch_id}")
         if closed:
             ranges = spark.createDataFrame(closed, "partition int, _lo bigint, _hi bigint")
             stage_all = spark.read.option("basePath", self._dir("stage")).parquet(self._dir("stage"))
@@ -161,12 +177,13 @@ class StreamRuns:
                     .join(F.broadcast(ranges), "partition")
                     .where(F.col("run_id").between(F.col("_lo"), F.col("_hi")))
                     .select("partition", "offset", "run_id", "id", "name", "address", "continent"))
-            self._sorted_runs(rows).write.mode("overwrite").parquet(out_path)
-            rows_out = spark.read.parquet(out_path).count()
+            self._sorted_runs(rows).observe(out_obs, F.count(F.lit(1)).alias("rows")).write.mode(
+                "overwrite").parquet(out_path)
+            rows_out = int(out_obs.get.get("rows") or 0)
         else:
             spark.createDataFrame([], self._out_schema(spark)).write.mode("overwrite").parquet(out_path)
 
-        accepted = sum(n for _, n in per_part.values())
+        accepted = sum(per_part.values())
         spark.createDataFrame(
             [(batch_id, accepted + rejects, accepted, rejects,
               sum(h - l + 1 for _, l, h in closed), rows_out)], PROGRESS_SCHEMA
