@@ -3,8 +3,8 @@
 Decode rules (each one a fixed behaviour of the original line format):
 
 1. Trim Unicode white space from both ends of the *line* only; fields keep
-   their inner spaces.  Spark's ``trim`` strips U+0020 only, so a regex is
-   used over the White_Space set (ASCII controls, NEL, and category Z).
+   their inner spaces.  Plain ``trim`` strips U+0020 only, so the
+   two-argument ``trim`` is given the whole White_Space set.
 2. Split on every comma keeping empty fields; exactly 4 fields, else the line
    is rejected with ``field_count`` (an empty line has one field).
 3. The id is an optional sign followed by the leading decimal digits; trailing
@@ -21,9 +21,14 @@ from pyspark.sql import functions as F
 
 from ..schema import RECORD_FIELDS
 
-# White_Space characters trimmed from the line ends (fixed set).
-_WS = r"[\t\n\x0B\f\r \x{85}\p{Z}]"
-TRIM_PATTERN = f"^{_WS}+|{_WS}+$"
+# The White_Space characters trimmed from the line ends
+# (U+0009-U+000D, U+0020, U+0085, U+00A0, U+1680, U+2000-U+200A, U+2028,
+# U+2029, U+202F, U+205F, U+3000), i.e. ASCII controls, NEL and category Z.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r \x85\xa0\u1680"
+    + "".join(chr(c) for c in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
 # Optional sign, then the digit run (an embedded '_' makes the cast fail).
 ID_PATTERN = r"^([+-]?[0-9_]+)"
 
@@ -36,7 +41,8 @@ def _col(c: str | Column) -> Column:
 
 
 def unicode_trim(c: str | Column) -> Column:
-    return F.regexp_replace(_col(c), TRIM_PATTERN, "")
+    """Strip White_Space from both ends; a character-set trim, no regex."""
+    return F.trim(_col(c), F.lit(WHITE_SPACE))
 
 
 def line_fields(value: str | Column) -> Column:
