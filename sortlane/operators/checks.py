@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.codec import decode
+from ..functions.tables import small_table
 from ..schema import (ADDRESS_LEN, CONTINENTS, NAME_LEN, REQUIRED_TOPICS, SORT_KEYS,
                       SOURCE_TOPIC)
 
@@ -87,7 +88,7 @@ def check_topics(spark: SparkSession, log: DataFrame,
     The distinct-topic aggregate is tiny (one row per topic) and the required
     list is a literal, so the join is broadcast.
     """
-    want = spark.createDataFrame([(t,) for t in required], "topic string")
+    want = small_table(spark, [(t,) for t in required], "topic string")
     have = log.select("topic").distinct().withColumn("present", F.lit(True))
     return want.join(F.broadcast(have), "topic", "left").select(
         "topic", F.coalesce("present", F.lit(False)).alias("present"))
@@ -217,7 +218,7 @@ def _permutation(spark: SparkSession, log: DataFrame) -> DataFrame:
     """Differences per target topic, including topics with none (at most 3 rows each side)."""
     diffs = multiset_reconcile(log).groupBy("topic").agg(
         F.sum(F.abs(F.col("n_topic") - F.col("n_source"))).cast("bigint").alias("violations"))
-    targets = spark.createDataFrame([(t,) for t in SORT_KEYS], "topic string")
+    targets = small_table(spark, [(t,) for t in SORT_KEYS], "topic string")
     return targets.join(F.broadcast(diffs), "topic", "left").select(
         F.lit("permutation").alias("check"), F.col("topic").alias("scope"),
         F.coalesce("violations", F.lit(0)).cast("bigint").alias("violations"))

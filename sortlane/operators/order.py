@@ -13,8 +13,8 @@ built from a range partitioning instead:
    are written once as a staged parquet table, which fixes the sampled cut
    points: a re-evaluation could otherwise pick other bounds.
 3. One row per bucket is counted from the staged ``_mid`` column alone; the
-   B counts are prefix-summed on the driver and broadcast back (B is the
-   bucket count chosen here, not a function of the data volume).
+   B-row count table is prefix-summed and broadcast back (B is the bucket
+   count chosen here, not a function of the data volume).
 
 The sort key always ends in a unique tie-break, so range cuts can split a hot
 key value (one continent holding a third of the rows still spreads over many
@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..schema import SORT_KEYS, sort_key_columns
@@ -59,23 +59,21 @@ def number_staged(staged: DataFrame, pos_col: str = "pos",
 
     ``_mid`` must come from ``monotonically_increasing_id()`` evaluated on the
     partitions whose concatenation is the wanted order.  The per-bucket counts
-    are read from the ``_mid`` column alone and come back as one row per
-    bucket (B rows, B = the bucket count chosen by the caller, like the
-    sample a range partitioner collects); their prefix sums are broadcast.
+    are read from the ``_mid`` column alone; their prefix sums are taken over
+    that B-row table (B = the bucket count chosen by the caller, not a
+    function of the data volume) and broadcast back.
     """
-    spark = staged.sparkSession
     tagged = staged.withColumn("_bucket", F.shiftright("_mid", _ROW_BITS))
-    counts = sorted(
-        (r[0], r[1]) for r in tagged.groupBy("_bucket").agg(F.count(F.lit(1))).collect())
-    bases, running = [], 0
-    for bucket, n in counts:
-        bases.append((bucket, running))
-        running += n
-    base_df = spark.createDataFrame(bases, "_bucket bigint, _base bigint")
-    out = tagged.join(F.broadcast(base_df), "_bucket").withColumn(
+    counts = tagged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    # Windows over the B-row count table only (one row per bucket).
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    bases = counts.select(
+        "_bucket",
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("bigint").alias("_base"),
+        *([F.sum("_n").over(Window.partitionBy()).cast("bigint").alias(total_col)] if total_col else []),
+    )
+    out = tagged.join(F.broadcast(bases), "_bucket").withColumn(
         pos_col, (F.col("_base") + F.col("_mid").bitwiseAND(F.lit(_ROW_MASK))).cast("bigint"))
-    if total_col:
-        out = out.withColumn(total_col, F.lit(running).cast("bigint"))
     return out.drop("_bucket", "_base", "_mid")
 
 

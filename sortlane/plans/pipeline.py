@@ -18,9 +18,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import codec
+from ..functions.tables import small_table
 from ..operators.order import sort_records, stage
-from ..schema import LOG_PARTITIONS, SORTED_TOPICS, SOURCE_TOPIC
-from ..sinks.publish import publish_balanced, publish_sorted, stage_snapshot, write_log
+from ..schema import LOG_COLUMNS, LOG_PARTITIONS, SORTED_TOPICS, SOURCE_TOPIC
+from ..sinks.publish import publish_balanced, publish_sorted, write_log
 from ..sources.generate import generate_for
 from ..sources.log import read_log
 from ..session import work_path
@@ -35,20 +36,26 @@ class BatchRun:
     run_id: str
     counters: dict[str, int] = field(default_factory=dict)
     stages: list[tuple[str, int, float]] = field(default_factory=list)
+    source: DataFrame | None = None  # an existing source log that was not copied
 
     def log(self, spark: SparkSession) -> DataFrame:
-        return read_log(spark, self.path)
+        """All topics: the published ones plus the source topic where it lives."""
+        published = read_log(spark, self.path)
+        if self.source is None:
+            return published
+        return published.unionByName(
+            self.source.where(F.col("topic") == SOURCE_TOPIC).select(*LOG_COLUMNS))
 
     def counters_frame(self, spark: SparkSession) -> DataFrame:
         """A4: ``(counter, value)`` for the run."""
-        return spark.createDataFrame(
-            [(k, int(self.counters.get(k, 0))) for k in COUNTER_NAMES], "counter string, value bigint")
+        return small_table(
+            spark, [(k, int(self.counters.get(k, 0))) for k in COUNTER_NAMES], "counter string, value bigint")
 
     def report_frame(self, spark: SparkSession) -> DataFrame:
         """A5: one row per stage ``(run, stage, rows, seconds, rows_per_s)``."""
         rows = [(self.run_id, s, int(n), float(sec), float(n / sec) if sec > 0 else None)
                 for s, n, sec in self.stages]
-        return spark.createDataFrame(rows, REPORT_SCHEMA)
+        return small_table(spark, rows, REPORT_SCHEMA)
 
 
 def _observed_write(df: DataFrame, path: str, name: str) -> int:
@@ -82,14 +89,14 @@ def pipeline_batch(spark: SparkSession, source_log: DataFrame | None = None, *,
         if ids is None:
             raise ValueError("either source_log or ids is required")
         records = generate_for(ids, seed)
-        published = publish_balanced(records, SOURCE_TOPIC, partitions, order=["rid"])
+        # Generation order is the ids' own partition order: no shuffle.
+        published = publish_balanced(records, SOURCE_TOPIC, partitions)
         run.counters["generated"] = timed("generate", lambda: _observed_write(published, out, "gen"))
         source_log = read_log(spark, out)
     else:
+        # Skip-generate: the source topic stays where it is (no copy).
         run.counters["generated"] = 0
-        # The source topic is part of the published log so checks can compare against it.
-        timed("copy_source", lambda: _observed_write(
-            source_log.where(F.col("topic") == SOURCE_TOPIC), out, "src"))
+        run.source = source_log
 
     # Snapshot (K4): consume the source topic once, decode once, stage the
     # decoded columns; the three sorts re-read this table.  Consumed and

@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.codec import decode, encode_line
+from ..functions.tables import small_table
 from ..schema import LOG_PARTITIONS, SORTED_TOPICS, run_length
 from ..sinks.publish import hash_partition
 
@@ -141,7 +142,7 @@ class StreamRuns:
                 bases.append((p, blk, prev.get(p, (0, 0))[0] + done))
                 per_part[p] = done + n
             valid = decoded.where(~is_bad).drop("reject_reason", "value")
-            base_df = spark.createDataFrame(bases, "partition int, _blk bigint, _base bigint")
+            base_df = small_table(spark, bases, "partition int, _blk bigint, _base bigint")
             w = Window.partitionBy("partition", "_blk").orderBy("offset")
             seq = F.col("_base") + F.row_number().over(w) - 1
             staged = valid.join(F.broadcast(base_df), ["partition", "_blk"]).select(
@@ -171,7 +172,7 @@ class StreamRuns:
         out_path = self._batch_dir("out", batch_id)
         out_obs = Observation(f"stream-out-{batch_id}")
         if closed:
-            ranges = spark.createDataFrame(closed, "partition int, _lo bigint, _hi bigint")
+            ranges = small_table(spark, closed, "partition int, _lo bigint, _hi bigint")
             stage_all = spark.read.option("basePath", self._dir("stage")).parquet(self._dir("stage"))
             rows = (stage_all.where((F.col("batch") >= min(lows)) & (F.col("batch") <= batch_id))
                     .join(F.broadcast(ranges), "partition")
@@ -184,12 +185,12 @@ class StreamRuns:
             spark.createDataFrame([], self._out_schema(spark)).write.mode("overwrite").parquet(out_path)
 
         accepted = sum(per_part.values())
-        spark.createDataFrame(
-            [(batch_id, accepted + rejects, accepted, rejects,
-              sum(h - l + 1 for _, l, h in closed), rows_out)], PROGRESS_SCHEMA
+        small_table(
+            spark, [(batch_id, accepted + rejects, accepted, rejects,
+                     sum(h - l + 1 for _, l, h in closed), rows_out)], PROGRESS_SCHEMA
         ).coalesce(1).write.mode("overwrite").parquet(self._batch_dir("progress", batch_id))
         # Commit marker of this batch: written last.
-        spark.createDataFrame(manifest, MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
+        small_table(spark, manifest, MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
             self._batch_dir("manifest", batch_id))
 
     def _out_schema(self, spark: SparkSession) -> T.StructType:
@@ -213,7 +214,7 @@ class StreamRuns:
             spark.createDataFrame([], self._out_schema(spark)).write.mode("overwrite").parquet(path)
             return 0
         low = min(state[p][1] for p, _ in open_runs)
-        runs = spark.createDataFrame(open_runs, "partition int, run_id bigint")
+        runs = small_table(spark, open_runs, "partition int, run_id bigint")
         stage_all = spark.read.option("basePath", self._dir("stage")).parquet(self._dir("stage"))
         rows = (stage_all.where((F.col("batch") >= low) & (F.col("batch") <= last))
                 .join(F.broadcast(runs), ["partition", "run_id"])

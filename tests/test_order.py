@@ -80,11 +80,36 @@ def test_unknown_sort_key_raises(spark):
         order.sort_records(fixtures.records(spark, SF_SMALL), "address")
 
 
+def _single_partition_outside_broadcast(plan: str) -> list[str]:
+    """Lines of ``Exchange SinglePartition`` that are not under a BroadcastExchange."""
+    lines = plan.splitlines()
+    bad = []
+    for i, line in enumerate(lines):
+        if "SinglePartition" not in line:
+            continue
+        depth = len(line) - len(line.lstrip(" :+-"))
+        under = False
+        for prev in reversed(lines[:i]):
+            d = len(prev) - len(prev.lstrip(" :+-"))
+            if d < depth:
+                depth = d
+                if "BroadcastExchange" in prev:
+                    under = True
+                    break
+        if not under:
+            bad.append(line)
+    return bad
+
+
 def test_plan_has_no_single_partition_over_records(spark):
     recs = fixtures.records(spark, SF_SMALL)
-    plan = order.sort_by_name(recs)._jdf.queryExecution().executedPlan().toString()
-    assert "SinglePartition" not in plan
-    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+    df = order.sort_by_name(recs)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert _single_partition_outside_broadcast(plan) == []
+    assert "BroadcastHashJoin" in plan
+    log_plan = runs.sorted_runs(recs, "name", 100, ["rid"])._jdf.queryExecution().executedPlan().toString()
+    assert _single_partition_outside_broadcast(log_plan) == []
 
 
 @pytest.mark.parametrize("chunk", [1, 7, 300, 10_000_000])
