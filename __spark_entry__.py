@@ -129,11 +129,6 @@ def _sorted(key_cols: str) -> str:
 
 _ENC = "CAST(id AS VARCHAR) || ',' || name || ',' || address || ',' || continent"
 _CONTINENT_LIST = "['North America', 'Asia', 'South America', 'Europe', 'Africa', 'Australia']"
-_ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789 "
-
-
-def _byte(h: str, i: str) -> str:
-    return f"CAST(('0x' || substr({h}, 2 * ({i}) + 1, 2)) AS INTEGER)"
 
 
 # S1 generator over the order keys.
@@ -143,17 +138,14 @@ WITH g AS (
          md5('42:' || CAST(o_orderkey AS VARCHAR) || ':a') AS ha,
          md5('42:' || CAST(o_orderkey AS VARCHAR) || ':b') AS hb,
          md5('42:' || CAST(o_orderkey AS VARCHAR) || ':c') AS hc
-  FROM orders)
+  FROM orders),
+b AS (SELECT *, CAST(('0x' || substr(hc, 9, 6)) AS INTEGER) AS c456 FROM g)
 SELECT rid,
   CAST(CAST(('0x' || substr(hc, 17, 8)) AS BIGINT) % 2147483648 AS INT) AS id,
-  substr(array_to_string(list_transform(range(0, 15),
-         lambda i: chr(97 + {_byte('ha', 'i')} % 26)), ''), 1, 10 + {_byte('hc', '4')} % 6) AS name,
-  substr(array_to_string(list_transform(range(0, 20),
-         lambda i: substr('{_ALPHABET}',
-             (CASE WHEN i < 16 THEN {_byte('hb', 'i')} ELSE {_byte('hc', 'i - 16')} END) % 63 + 1, 1)), ''),
-         1, 15 + {_byte('hc', '5')} % 6) AS address,
-  ({_CONTINENT_LIST})[{_byte('hc', '6')} % 6 + 1] AS continent
-FROM g
+  substr(translate(lower(to_base64(unhex(ha))), '0123456789+/', 'abcdefghijkl'), 1, 10 + (c456 >> 16) % 6) AS name,
+  substr(translate(to_base64(unhex(hb)), '+/', ' a'), 1, 15 + ((c456 >> 8) & 255) % 6) AS address,
+  ({_CONTINENT_LIST})[(c456 & 255) % 6 + 1] AS continent
+FROM b
 """
 
 

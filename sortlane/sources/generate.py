@@ -2,14 +2,20 @@
 
 Every field is a pure function of ``(seed, rid)`` built from ``md5`` digests,
 so the output does not depend on partitioning, task retries or executor
-count, and the same recipe runs in any SQL engine with ``md5``.
+count, and the same recipe runs in any SQL engine with ``md5``/``base64``.
 
-Per row, three digests are taken of ``"<seed>:<rid>:a|b|c"``; byte ``i`` of a
-digest is hex pair ``i``.  Digest ``a`` gives the 15 name letters, ``b`` the
-first 16 address symbols, ``c`` the last 4 address symbols (bytes 0-3), the
-name length (byte 4), the address length (byte 5), the continent (byte 6) and
-the id (bytes 8-11).  Reducing a byte modulo 26/63/6 has a small bias, which
-the contract (value ranges and alphabets) does not constrain.
+Per row, three digests are taken of ``"<seed>:<rid>:a|b|c"``:
+
+* name: base64 of digest ``a`` lower-cased, its digits and ``+/`` mapped to
+  ``a``-``l`` (letters only), first ``10 + c[4] % 6`` characters;
+* address: base64 of digest ``b`` with ``+`` -> space and ``/`` -> ``a``
+  (letters, digits, space), first ``15 + c[5] % 6`` characters;
+* continent: ``c[6] % 6``; id: bytes 8-11 of ``c`` modulo 2^31.
+
+``c[i]`` is byte ``i`` (hex pair ``i``) of digest ``c``.  The mappings leave a
+small bias among the allowed characters, which the contract (alphabets,
+lengths, ranges) does not constrain.  All of it is a handful of string
+built-ins per row, inside whole-stage code generation.
 """
 
 from __future__ import annotations
@@ -17,46 +23,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import ADDRESS_ALPHABET, ADDRESS_LEN, CONTINENTS, NAME_LEN
-
+from ..schema import ADDRESS_LEN, CONTINENTS, NAME_LEN
 
-def _byte(digest: str, i: str) -> str:
-    return f"CAST(conv(substr({digest}, 2 * ({i}) + 1, 2), 16, 10) AS INT)"
-
-
-def _record_exprs(seed: int) -> list:
-    continents = ", ".join(f"'{c}'" for c in CONTINENTS)
-    name_span = NAME_LEN[1] - NAME_LEN[0] + 1
-    addr_span = ADDRESS_LEN[1] - ADDRESS_LEN[0] + 1
-    n_sym = len(ADDRESS_ALPHABET)
-    name_chars = (
-        f"array_join(transform(sequence(0, {NAME_LEN[1] - 1}), "
-        f"i -> char(97 + {_byte('_ha', 'i')} % 26)), '')"
-    )
-    addr_chars = (
-        f"array_join(transform(sequence(0, {ADDRESS_LEN[1] - 1}), "
-        f"i -> substr('{ADDRESS_ALPHABET}', "
-        f"(CASE WHEN i < 16 THEN {_byte('_hb', 'i')} ELSE {_byte('_hc', 'i - 16')} END) % {n_sym} + 1, 1)), '')"
-    )
-    return [
-        F.col("rid"),
-        F.expr(f"CAST(CAST(conv(substr(_hc, 17, 8), 16, 10) AS BIGINT) % 2147483648 AS INT)").alias("id"),
-        F.expr(f"substr({name_chars}, 1, {NAME_LEN[0]} + {_byte('_hc', '4')} % {name_span})").alias("name"),
-        F.expr(f"substr({addr_chars}, 1, {ADDRESS_LEN[0]} + {_byte('_hc', '5')} % {addr_span})").alias("address"),
-        F.expr(f"element_at(array({continents}), {_byte('_hc', '6')} % 6 + 1)").alias("continent"),
-    ]
+# Fixed character mappings from the base64 alphabet to the record alphabets.
+NAME_FROM, NAME_TO = "0123456789+/", "abcdefghijkl"
+ADDRESS_FROM, ADDRESS_TO = "+/", " a"
 
 
 def generate_for(ids: DataFrame, seed: int = 42, rid: str = "rid") -> DataFrame:
     """Records for the row ids of ``ids`` (one output row per input row)."""
     prefix = F.concat(F.lit(f"{seed}:"), F.col(rid).cast("string"), F.lit(":"))
-    base = ids.select(F.col(rid).cast("bigint").alias("rid")).select(
+    digests = ids.select(F.col(rid).cast("bigint").alias("rid")).select(
         "rid",
         F.md5(F.concat(prefix, F.lit("a"))).alias("_ha"),
         F.md5(F.concat(prefix, F.lit("b"))).alias("_hb"),
         F.md5(F.concat(prefix, F.lit("c"))).alias("_hc"),
     )
-    return base.select(*_record_exprs(seed))
+    c456 = F.conv(F.substring("_hc", 9, 6), 16, 10).cast("int")  # bytes 4, 5, 6 of digest c
+    name_len = NAME_LEN[0] + F.shiftright(c456, 16) % (NAME_LEN[1] - NAME_LEN[0] + 1)
+    addr_len = ADDRESS_LEN[0] + F.shiftright(c456, 8).bitwiseAND(255) % (ADDRESS_LEN[1] - ADDRESS_LEN[0] + 1)
+    letters = F.translate(F.lower(F.base64(F.unhex("_ha"))), NAME_FROM, NAME_TO)
+    symbols = F.translate(F.base64(F.unhex("_hb")), ADDRESS_FROM, ADDRESS_TO)
+    continents = F.array(*[F.lit(c) for c in CONTINENTS])
+    return digests.select(
+        "rid",
+        (F.conv(F.substring("_hc", 17, 8), 16, 10).cast("bigint") % 2147483648).cast("int").alias("id"),
+        F.substr(letters, F.lit(1), name_len).alias("name"),
+        F.substr(symbols, F.lit(1), addr_len).alias("address"),
+        F.element_at(continents, (c456.bitwiseAND(255) % 6 + 1)).alias("continent"),
+    )
 
 
 def generate_records(spark: SparkSession, n: int, seed: int = 42,
