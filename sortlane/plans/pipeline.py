@@ -58,9 +58,9 @@ class BatchRun:
         return small_table(spark, rows, REPORT_SCHEMA)
 
 
-def _observed_write(df: DataFrame, path: str, name: str) -> int:
+def _observed_write(df: DataFrame, path: str, name: str, topic: str | None = None) -> int:
     obs = Observation(name)
-    write_log(df.observe(obs, F.count(F.lit(1)).alias("rows")), path)
+    write_log(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, topic=topic)
     return int(obs.get.get("rows", 0))
 
 
@@ -91,7 +91,7 @@ def pipeline_batch(spark: SparkSession, source_log: DataFrame | None = None, *,
         records = generate_for(ids, seed)
         # Generation order is the ids' own partition order: no shuffle.
         published = publish_balanced(records, SOURCE_TOPIC, partitions)
-        run.counters["generated"] = timed("generate", lambda: _observed_write(published, out, "gen"))
+        run.counters["generated"] = timed("generate", lambda: _observed_write(published, out, "gen", SOURCE_TOPIC))
         source_log = read_log(spark, out)
     else:
         # Skip-generate: the source topic stays where it is (no copy).
@@ -128,7 +128,7 @@ def pipeline_batch(spark: SparkSession, source_log: DataFrame | None = None, *,
         srt = sort_records(records, key, ["src_partition", "src_offset"], total_col="_total",
                            observation=obs)
         t1 = time.time()
-        n_out = _observed_write(publish_sorted(srt, key, partitions), out, f"pub_{key}")
+        n_out = _observed_write(publish_sorted(srt, key, partitions), out, f"pub_{key}", key)
         return key, int(obs.get.get("rows", 0)), n_out, t1 - t0, time.time() - t1
 
     # The three orderings are independent jobs over the same staged snapshot;

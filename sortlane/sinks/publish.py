@@ -18,8 +18,17 @@ from ..schema import LOG_COLUMNS, LOG_PARTITIONS
 from ..session import work_path
 
 
-def write_log(log: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write log rows; with dynamic partition overwrite only the written topics are replaced."""
+def write_log(log: DataFrame, path: str, mode: str = "overwrite", topic: str | None = None) -> None:
+    """Write log rows; only the written topics are replaced.
+
+    ``topic`` given (all rows belong to it): the rows go straight to that
+    topic's folder, so the writer needs no per-task sort by topic, which a
+    ``partitionBy`` write would add.
+    """
+    if topic is not None:
+        (log.select(*[c for c in LOG_COLUMNS if c != "topic"]).write.mode(mode)
+         .parquet(f"{path.rstrip('/')}/topic={topic}"))
+        return
     (log.select(*LOG_COLUMNS).write.mode(mode)
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy("topic").parquet(path))

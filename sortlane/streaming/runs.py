@@ -95,6 +95,12 @@ class StreamRuns:
             return []
         return sorted(r[0] for r in m.select("batch").distinct().collect())
 
+    def _stage_between(self, spark: SparkSession, first: int, last: int) -> DataFrame:
+        """Staged rows of batches ``first..last`` only: the folders are named
+        directly, so the cost does not grow with the number of old batches."""
+        paths = [self._batch_dir("stage", b) for b in range(first, last + 1)]
+        return spark.read.option("basePath", self._dir("stage")).parquet(*paths)
+
     # ---- the batch function --------------------------------------------------
 
     def _sorted_runs(self, rows: DataFrame) -> DataFrame:
@@ -173,8 +179,7 @@ class StreamRuns:
         out_obs = Observation(f"stream-out-{batch_id}")
         if closed:
             ranges = small_table(spark, closed, "partition int, _lo bigint, _hi bigint")
-            stage_all = spark.read.option("basePath", self._dir("stage")).parquet(self._dir("stage"))
-            rows = (stage_all.where((F.col("batch") >= min(lows)) & (F.col("batch") <= batch_id))
+            rows = (self._stage_between(spark, min(lows), batch_id)
                     .join(F.broadcast(ranges), "partition")
                     .where(F.col("run_id").between(F.col("_lo"), F.col("_hi")))
                     .select("partition", "offset", "run_id", "id", "name", "address", "continent"))
@@ -215,8 +220,7 @@ class StreamRuns:
             return 0
         low = min(state[p][1] for p, _ in open_runs)
         runs = small_table(spark, open_runs, "partition int, run_id bigint")
-        stage_all = spark.read.option("basePath", self._dir("stage")).parquet(self._dir("stage"))
-        rows = (stage_all.where((F.col("batch") >= low) & (F.col("batch") <= last))
+        rows = (self._stage_between(spark, low, last)
                 .join(F.broadcast(runs), ["partition", "run_id"])
                 .select("partition", "offset", "run_id", "id", "name", "address", "continent"))
         self._sorted_runs(rows).write.mode("overwrite").parquet(path)
