@@ -133,3 +133,18 @@ def read_published(spark: SparkSession, base: str) -> DataFrame:
 
 def scratch_log_path(spark: SparkSession, name: str = "log") -> str:
     return work_path(spark, name)
+
+
+def write_kafka(log: DataFrame, bootstrap_servers: str, **options: str) -> None:
+    """Produce log rows to Kafka (needs the spark-sql-kafka package).
+
+    ``topic``, ``partition``, ``key`` and ``value`` columns are honoured by
+    Spark's Kafka sink; the broker assigns offsets in write order, so a topic
+    whose order matters must be written with one task per Kafka partition in
+    ``offset`` order (``repartition(P, "partition").sortWithinPartitions("offset")``).
+    """
+    writer = (log.select("topic", "partition", "key", "value").write.format("kafka")
+              .option("kafka.bootstrap.servers", bootstrap_servers))
+    for k, v in options.items():
+        writer = writer.option(k, v)
+    writer.save()

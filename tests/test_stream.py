@@ -107,3 +107,23 @@ def test_batch_of_rejects_only_and_progress(spark, dirty):
     assert prog[1]["consumed"] == good.count()
     assert prog[1]["rows_out"] == 3 * 5 * prog[1]["runs_closed"]
     assert rows(runner.output(spark), *COLS) == rows(_truth(spark, good, 5), *COLS)
+
+
+def test_continuous_trigger_processes_arrivals(spark, dirty):
+    base = work_path(spark, "stream-continuous")
+    runner = StreamRuns(f"{base}/state", 9)
+    src = f"{base}/source"
+    arrivals.write_arrivals(dirty, src, [0, 100, 250])
+    q = start_stream(spark, src, runner, f"{base}/ckpt", available_now=False, processing_time="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert rows(runner.output(spark), *COLS) == rows(_truth(spark, dirty, 9), *COLS)
+
+
+def test_cli_batch_and_validate(spark):
+    from sortlane.__main__ import main
+    out = work_path(spark, "cli")
+    assert main(["batch", "--records", "2000", "--out", out]) == 0
+    assert main(["validate", "--log", out]) == 0
