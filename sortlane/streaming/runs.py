@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 
 from ..functions.codec import decode, encode_line
 from ..functions.tables import small_table
-from ..schema import LOG_PARTITIONS, SORTED_TOPICS, run_length
+from ..schema import LOG_PARTITIONS, SORTED_TOPICS, SOURCE_TOPIC, run_length
 from ..sinks.publish import hash_partition
 
 LOG_READ_SCHEMA = T.StructType([
@@ -65,6 +65,7 @@ class StreamRuns:
     partitions: int = LOG_PARTITIONS
     sort_keys: Sequence[str] = tuple(SORTED_TOPICS)
     block: int = 1 << 20
+    topic: str = SOURCE_TOPIC
 
     def __post_init__(self) -> None:
         self.chunk = run_length(self.chunk)
@@ -125,7 +126,8 @@ class StreamRuns:
         prev = self._manifest(spark, batch_id - 1)
 
         # The micro-batch is used by several jobs below: decode it once.
-        decoded = decode(batch.select("partition", "offset", "value")).withColumn(
+        source = batch.where(F.col("topic") == self.topic).select("partition", "offset", "value")
+        decoded = decode(source).withColumn(
             "_blk", F.floor(F.col("offset") / self.block).cast("bigint")).persist()
         try:
             decoded.where(F.col("reject_reason").isNotNull()).select(

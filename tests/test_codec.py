@@ -1,4 +1,4 @@
-"""Decode/encode corpus (FIXTURES.md \u00a73) and int32 wrap."""
+"""Decode/encode corpus (FIXTURES.md section 3) and int32 wrap."""
 
 from __future__ import annotations
 
