@@ -8,8 +8,8 @@ the final output does not depend on how arrivals are cut into micro-batches.
 Design: ``foreachBatch`` running ordinary batch jobs (a streaming DataFrame
 cannot be sorted), with all state kept in tables under ``base``:
 
-``stage/batch=<id>``     valid records of the batch with ``seq, run_id``
-``rejects/batch=<id>``   bad lines with their reason (M4)
+``stage/batch=<id>``     valid records of the batch with ``seq, run_id``, and
+                         the bad lines with their reason (M4), in one write
 ``out/batch=<id>``       runs closed by the batch, sorted three ways (M2, M3)
 ``progress/batch=<id>``  counters of the batch (M8)
 ``manifest/batch=<id>``  per partition ``next_seq`` and ``open_batch`` -- written
@@ -31,7 +31,7 @@ read again and can be removed by a retention job.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -67,6 +67,8 @@ class StreamRuns:
     block: int = 1 << 20
     topic: str = SOURCE_TOPIC
 
+    _last: tuple | None = field(default=None, init=False, repr=False, compare=False)
+
     def __post_init__(self) -> None:
         self.chunk = run_length(self.chunk)
         self.base = self.base.rstrip("/")
@@ -86,6 +88,8 @@ class StreamRuns:
         """
         if batch_id < 0:
             return {}
+        if self._last is not None and self._last[0] == batch_id:
+            return dict(self._last[1])  # written by this runner a moment ago
         rows = spark.read.schema(MANIFEST_SCHEMA).parquet(self._batch_dir("manifest", batch_id)).collect()
         return {r["partition"]: (r["next_seq"], r["open_batch"]) for r in rows}
 
@@ -100,7 +104,8 @@ class StreamRuns:
         """Staged rows of batches ``first..last`` only: the folders are named
         directly, so the cost does not grow with the number of old batches."""
         paths = [self._batch_dir("stage", b) for b in range(first, last + 1)]
-        return spark.read.option("basePath", self._dir("stage")).parquet(*paths)
+        staged = spark.read.option("basePath", self._dir("stage")).parquet(*paths)
+        return staged.where(F.col("reject_reason").isNull())
 
     # ---- the batch function --------------------------------------------------
 
@@ -130,10 +135,6 @@ class StreamRuns:
         decoded = decode(source).withColumn(
             "_blk", F.floor(F.col("offset") / self.block).cast("bigint")).persist()
         try:
-            decoded.where(F.col("reject_reason").isNotNull()).select(
-                "partition", "offset", "value", "reject_reason"
-            ).write.mode("overwrite").parquet(self._batch_dir("rejects", batch_id))
-
             # seq = previous next_seq of the partition + valid rows of earlier
             # offset blocks in this batch + row number inside the block.  The
             # block table has one row per (partition, block): rows / block entries.
@@ -156,8 +157,14 @@ class StreamRuns:
             staged = valid.join(F.broadcast(base_df), ["partition", "_blk"]).select(
                 "partition", "offset", seq.alias("seq"),
                 F.floor(seq / self.chunk).cast("bigint").alias("run_id"),
-                "id", "name", "address", "continent")
-            staged.write.mode("overwrite").parquet(self._batch_dir("stage", batch_id))
+                "id", "name", "address", "continent",
+                F.lit(None).cast("string").alias("value"), F.lit(None).cast("string").alias("reject_reason"))
+            # Accepted records and rejected lines (M4) of the batch: one write.
+            bad = decoded.where(is_bad).select(
+                "partition", "offset", F.lit(None).cast("bigint").alias("seq"),
+                F.lit(None).cast("bigint").alias("run_id"), "id", "name", "address", "continent",
+                "value", "reject_reason")
+            staged.unionByName(bad).write.mode("overwrite").parquet(self._batch_dir("stage", batch_id))
         finally:
             decoded.unpersist()
 
@@ -199,6 +206,7 @@ class StreamRuns:
         # Commit marker of this batch: written last.
         small_table(spark, manifest, MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
             self._batch_dir("manifest", batch_id))
+        self._last = (batch_id, {p: (n, o) for p, n, o in manifest})
 
     def _out_schema(self, spark: SparkSession) -> T.StructType:
         empty = spark.createDataFrame(
@@ -243,10 +251,12 @@ class StreamRuns:
         return out.select(*OUT_COLUMNS)
 
     def staged(self, spark: SparkSession) -> DataFrame:
-        return self._committed(spark, "stage").drop("batch")
+        return self._committed(spark, "stage").where(F.col("reject_reason").isNull()).select(
+            "partition", "offset", "seq", "run_id", "id", "name", "address", "continent")
 
     def rejects(self, spark: SparkSession) -> DataFrame:
-        return self._committed(spark, "rejects").drop("batch")
+        return self._committed(spark, "stage").where(F.col("reject_reason").isNotNull()).select(
+            "partition", "offset", "value", "reject_reason")
 
     def progress(self, spark: SparkSession) -> DataFrame:
         return self._committed(spark, "progress").drop("batch")
