@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..schema import SORT_KEYS, sort_key_columns
-from ..session import shuffle_partitions, work_path
+from ..session import work_path
 
 _ROW_BITS = 33
 _ROW_MASK = (1 << _ROW_BITS) - 1
@@ -82,16 +82,14 @@ def with_position(df: DataFrame, order: Sequence[str | Column], pos_col: str = "
                   observation: Observation | None = None) -> DataFrame:
     """Add the 0-based rank of each row in ``order`` (which must be total).
 
-    ``num_buckets`` defaults to ``spark.sql.shuffle.partitions``, the
-    cluster's sizing knob: each bucket is one sort task of about N/B rows.
+    Without ``num_buckets`` the range exchange uses ``spark.sql.shuffle.partitions``
+    cut points and AQE may merge *adjacent* small ranges (it never splits or
+    reorders them), so a small input does not leave thousands of near-empty
+    buckets while a large one keeps every bucket near the advisory size.
     """
     keys = _cols(order)
-    buckets = num_buckets or shuffle_partitions(df.sparkSession)
-    ordered = (
-        df.repartitionByRange(buckets, *keys)
-        .sortWithinPartitions(*keys)
-        .withColumn("_mid", F.monotonically_increasing_id())
-    )
+    ranged = df.repartitionByRange(num_buckets, *keys) if num_buckets else df.repartitionByRange(*keys)
+    ordered = ranged.sortWithinPartitions(*keys).withColumn("_mid", F.monotonically_increasing_id())
     return number_staged(stage(ordered, "pos", observation), pos_col, total_col)
 
 

@@ -128,3 +128,31 @@ def test_merge_of_runs_equals_sort(spark, chunk):
         assert all(m["seq"] // chunk == run_id for m in members)
     merged = runs.merge_runs(r, "name", ["rid"], "pos2")
     assert rows(merged, "rid", "pos2") == rows(order.sort_by_name(recs), "rid", "pos")
+
+
+def test_position_with_coalesced_ranges(spark):
+    """AQE merging adjacent range partitions keeps positions exact."""
+    conf = {
+        "spark.sql.shuffle.partitions": "50",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.range(40000).select(
+            F.col("id").alias("rid"), (F.col("id") * 7919 % 1000).cast("int").alias("id"),
+            F.concat(F.lit("n"), (F.col("id") % 97).cast("string")).alias("name"),
+            F.lit("address-xxxxxxxxxxxxxxxx").alias("address"), F.lit("Asia").alias("continent"))
+        got = order.sort_records(df, "name", ["rid"])
+        buckets = got.sparkSession.read.parquet(got.inputFiles()[0].rsplit("/", 1)[0]).inputFiles()
+        assert 1 < len(buckets) < 50  # some ranges merged, not all
+        assert rows(got, "rid", "pos") == rows(_truth(df, ["name", "id", "rid"]), "rid", "pos")
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
