@@ -298,6 +298,30 @@ def _keyed(src: str) -> str:
 _FANOUT = "sort_key, src_partition, run_id, pos, id, name, address, continent, src_offset"
 
 
+
+# M8: per-batch counters of the stream run (4 equal-width offset arrivals,
+# partition 3 held back from arrival 1 to arrival 2, runs of 300).
+_PROGRESS = f"""
+WITH d AS {_decoded(_DIRTY)},
+h AS (SELECT max("offset") + 1 AS n FROM d),
+a AS (SELECT d.*,
+        (CASE WHEN "offset" >= (SELECT n FROM h) * 1 // 4 THEN 1 ELSE 0 END)
+      + (CASE WHEN "offset" >= (SELECT n FROM h) * 2 // 4 THEN 1 ELSE 0 END)
+      + (CASE WHEN "offset" >= (SELECT n FROM h) * 3 // 4 THEN 1 ELSE 0 END) AS arr FROM d),
+b AS (SELECT *, CASE WHEN "partition" = 3 AND arr = 1 THEN 2 ELSE arr END AS batch_id FROM a),
+pb AS (SELECT batch_id, "partition", count(*) FILTER (WHERE reject_reason IS NULL) AS v FROM b GROUP BY ALL),
+pc AS (SELECT *, sum(v) OVER (PARTITION BY "partition" ORDER BY batch_id) AS cum FROM pb),
+rc AS (SELECT batch_id, sum(cum // 300 - (cum - v) // 300) AS runs_closed FROM pc GROUP BY batch_id),
+bt AS (SELECT batch_id, count(*) AS consumed,
+              count(*) FILTER (WHERE reject_reason IS NULL) AS accepted,
+              count(*) FILTER (WHERE reject_reason IS NOT NULL) AS rejected FROM b GROUP BY batch_id)
+SELECT CAST(bt.batch_id AS BIGINT) AS batch_id, CAST(consumed AS BIGINT) AS consumed,
+       CAST(accepted AS BIGINT) AS accepted, CAST(rejected AS BIGINT) AS rejected,
+       CAST(runs_closed AS BIGINT) AS runs_closed, CAST(900 * runs_closed AS BIGINT) AS rows_out
+FROM bt JOIN rc ON bt.batch_id = rc.batch_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "sort_by_id": _sorted("id, rid"),
@@ -420,5 +444,6 @@ def oracle_sql() -> dict[str, str]:
             FROM {_decoded(_DIRTY)} WHERE reject_reason IS NOT NULL""",
         "stream_resume": f"SELECT {_FANOUT} FROM {_stream(True)}",
         "stream_tail_flush": f"SELECT {_FANOUT} FROM {_stream(False)}",
+        "stream_progress": _PROGRESS,
         "pipeline_stream": _keyed(_stream(False)),
     }

@@ -14,7 +14,7 @@ NAMES = sorted(entry.queries())
 def test_registry_is_consistent():
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"run_report", "stream_progress"}  # timing / per-arrival rows
+    assert set(q) - set(o) == {"run_report"}  # wall-clock timings
 
 
 def test_entry_smoke(spark):
