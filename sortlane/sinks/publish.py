@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from ..functions.codec import encode_line
 from ..operators.order import stage, with_index, with_position
 from ..schema import LOG_COLUMNS, LOG_PARTITIONS
-from ..session import work_path
 
 
 def write_log(log: DataFrame, path: str, mode: str = "overwrite", topic: str | None = None) -> None:
@@ -131,9 +130,6 @@ def read_published(spark: SparkSession, base: str) -> DataFrame:
     ).select("topic", "partition", "offset", "_m.key", "_m.value")
 
 
-def scratch_log_path(spark: SparkSession, name: str = "log") -> str:
-    return work_path(spark, name)
-
 
 def write_kafka(log: DataFrame, bootstrap_servers: str, **options: str) -> None:
     """Produce log rows to Kafka (needs the spark-sql-kafka package).

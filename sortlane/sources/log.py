@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.tables import broadcast_if_small
 from ..schema import LOG_COLUMNS
 
 
@@ -84,12 +85,12 @@ def commit_offsets(consumed: DataFrame, group: str) -> DataFrame:
 def read_resume(log: DataFrame, committed: DataFrame, group: str) -> DataFrame:
     """S3: messages at or after the committed offset of ``group`` (from 0 if none).
 
-    The committed table has one row per (group, topic, partition): bounded by
-    the topic layout, so it is broadcast.
+    The committed table has one row per (group, topic, partition), so it is
+    normally tiny; it is broadcast only after its row count is checked.
     """
     mine = committed.where(F.col("group") == F.lit(group)).select("topic", "partition", "next_offset")
     return (
-        log.join(F.broadcast(mine), ["topic", "partition"], "left")
+        log.join(broadcast_if_small(mine), ["topic", "partition"], "left")
         .where(F.col("offset") >= F.coalesce(F.col("next_offset"), F.lit(0)))
         .select(*LOG_COLUMNS)
     )
