@@ -24,6 +24,7 @@ buckets) and the order is total.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
@@ -126,12 +127,13 @@ def sort_fanout(df: DataFrame, tiebreak: Sequence[str] = ("rid",),
     """One staged input, three orderings, tagged with ``sort_key``.
 
     The input should already be staged (``stage`` / K4) so the three sorts
-    read it instead of recomputing it.
+    read it instead of recomputing it.  The orderings are independent jobs,
+    submitted together so the scheduler can overlap their stages.
     """
-    parts = [
-        sort_records(df, k, tiebreak, total_col=total_col).withColumn("sort_key", F.lit(k))
-        for k in keys
-    ]
+    with ThreadPoolExecutor(max_workers=len(keys)) as pool:
+        parts = list(pool.map(
+            lambda k: sort_records(df, k, tiebreak, total_col=total_col).withColumn("sort_key", F.lit(k)),
+            keys))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
