@@ -81,19 +81,28 @@ def test_unknown_sort_key_raises(spark):
 
 
 def _single_partition_outside_broadcast(plan: str) -> list[str]:
-    """Lines of ``Exchange SinglePartition`` that are not under a BroadcastExchange."""
+    """``Exchange SinglePartition`` lines over record-sized data.
+
+    Allowed: under a broadcast (the small side of a join), or fed directly by
+    an aggregate (a per-bucket / per-partition summary table).
+    """
     lines = plan.splitlines()
+
+    def depth(line: str) -> int:
+        return len(line) - len(line.lstrip(" :+-|"))
+
     bad = []
     for i, line in enumerate(lines):
-        if "SinglePartition" not in line:
+        if "Exchange SinglePartition" not in line:
             continue
-        depth = len(line) - len(line.lstrip(" :+-"))
-        under = False
+        child = next((c for c in lines[i + 1:] if depth(c) > depth(line)), "")
+        if "Aggregate" in child:
+            continue
+        d, under = depth(line), False
         for prev in reversed(lines[:i]):
-            d = len(prev) - len(prev.lstrip(" :+-"))
-            if d < depth:
-                depth = d
-                if "BroadcastExchange" in prev:
+            if depth(prev) < d:
+                d = depth(prev)
+                if "BroadcastExchange" in prev or "BroadcastQueryStage" in prev:
                     under = True
                     break
         if not under:
@@ -110,6 +119,10 @@ def test_plan_has_no_single_partition_over_records(spark):
     assert "BroadcastHashJoin" in plan
     log_plan = runs.sorted_runs(recs, "name", 100, ["rid"])._jdf.queryExecution().executedPlan().toString()
     assert _single_partition_outside_broadcast(log_plan) == []
+    # the assertion does catch a single-task window over the records
+    truth = _truth(recs, ["name", "id", "rid"])
+    truth.collect()
+    assert _single_partition_outside_broadcast(truth._jdf.queryExecution().executedPlan().toString())
 
 
 @pytest.mark.parametrize("chunk", [1, 7, 300, 10_000_000])
@@ -156,3 +169,22 @@ def test_position_with_coalesced_ranges(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_position_invariant_to_input_split(spark):
+    recs = order.stage(fixtures.records(spark, SF_SMALL), "resplit")
+    one = order.sort_by_continent(recs.coalesce(1))
+    many = order.sort_by_continent(recs.repartition(11, "name"))
+    assert rows(one, "rid", "pos") == rows(many, "rid", "pos")
+
+
+def test_check_and_publish_plans_have_no_single_partition_over_records(spark):
+    from sortlane.operators import checks
+    from sortlane.sinks import publish
+    recs = fixtures.records(spark, SF_SMALL)
+    srt = order.sort_records(recs, "name", ["rid"], total_col="_total")
+    log = publish.publish_sorted(srt, "name")
+    for df in (log, checks.check_sorted(log, "name", block=64), checks.detect_runs(log, "name", block=64)):
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert _single_partition_outside_broadcast(plan) == [], plan
