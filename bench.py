@@ -36,8 +36,7 @@ def main() -> None:
 
     def gen_and_sort(spark, sf):
         n = int(os.environ.get("BENCH_GEN_ROWS", "0")) or fixtures.read_table(spark, sf, "lineitem").count()
-        ids = spark.range(0, n).withColumnRenamed("id", "rid")
-        run = pipeline_batch(spark, ids=ids)
+        run = pipeline_batch(spark, records=n)
         return run.log(spark).where(F.col("topic") != "source")
 
     plan = {

@@ -56,15 +56,15 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "batch":
         if args.skip_sort:
             recs = generate_records(spark, args.records, args.seed)
-            write_log(publish_balanced(recs, SOURCE_TOPIC), args.out, topic=SOURCE_TOPIC)
+            write_log(publish_balanced(recs, SOURCE_TOPIC, index="rid"), args.out, topic=SOURCE_TOPIC)
             print(json.dumps({"generated": args.records}))
             return 0
         if args.source or args.skip_generate:
             run = pipeline_batch(spark, read_log(spark, args.source or args.out), out=args.out,
                                  on_error=args.on_error)
         else:
-            ids = spark.range(0, args.records).withColumnRenamed("id", "rid")
-            run = pipeline_batch(spark, ids=ids, seed=args.seed, out=args.out, on_error=args.on_error)
+            run = pipeline_batch(spark, records=args.records, seed=args.seed, out=args.out,
+                                 on_error=args.on_error)
         print(json.dumps({"counters": run.counters, "stages": run.stages}))
     elif args.cmd == "stream":
         runner = StreamRuns(args.state, args.chunk)

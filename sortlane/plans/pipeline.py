@@ -65,15 +65,16 @@ def _observed_write(df: DataFrame, path: str, name: str, topic: str | None = Non
 
 
 def pipeline_batch(spark: SparkSession, source_log: DataFrame | None = None, *,
-                   ids: DataFrame | None = None, seed: int = 42,
+                   ids: DataFrame | None = None, records: int | None = None, seed: int = 42,
                    partitions: int = LOG_PARTITIONS, out: str | None = None,
                    run_id: str = "run-0", on_error: str = "fail",
                    report_path: str | None = None) -> BatchRun:
     """Run the batch pipeline and return where its log went plus its metrics.
 
     ``source_log`` given: its ``source`` topic is used as is (skip-generate).
-    Otherwise one record per row of ``ids`` (column ``rid``) is generated and
-    published.  ``on_error``: ``fail`` aborts on the first bad line (batch
+    ``records=n``: records with ``rid`` 0..n-1 are generated, and ``rid`` is
+    the publication index (no staging pass).  ``ids``: one record per row
+    (column ``rid``), published in the ids' partition order.  ``on_error``: ``fail`` aborts on the first bad line (batch
     behaviour of the original), ``skip`` drops and counts it.
     """
     out = out or work_path(spark, "pipeline")
@@ -86,11 +87,14 @@ def pipeline_batch(spark: SparkSession, source_log: DataFrame | None = None, *,
         return n
 
     if source_log is None:
-        if ids is None:
-            raise ValueError("either source_log or ids is required")
-        records = generate_for(ids, seed)
-        # Generation order is the ids' own partition order: no shuffle.
-        published = publish_balanced(records, SOURCE_TOPIC, partitions)
+        if records is not None:
+            ids = spark.range(0, records).withColumnRenamed("id", "rid")
+            published = publish_balanced(generate_for(ids, seed), SOURCE_TOPIC, partitions, index="rid")
+        elif ids is not None:
+            # Generation order is the ids' own partition order: no shuffle.
+            published = publish_balanced(generate_for(ids, seed), SOURCE_TOPIC, partitions)
+        else:
+            raise ValueError("one of source_log, records or ids is required")
         run.counters["generated"] = timed("generate", lambda: _observed_write(published, out, "gen", SOURCE_TOPIC))
         source_log = read_log(spark, out)
     else:

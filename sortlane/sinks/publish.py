@@ -45,14 +45,19 @@ def hash_partition(key: str | Column, partitions: int = LOG_PARTITIONS) -> Colum
 
 
 def publish_balanced(df: DataFrame, topic: str, partitions: int = LOG_PARTITIONS,
-                     order: Sequence[str] | None = None) -> DataFrame:
+                     order: Sequence[str] | None = None, index: str | None = None) -> DataFrame:
     """K1: near-equal partitions (sizes differ by at most one), no key.
 
     Message ``i`` of the input order goes to partition ``i mod P`` at offset
-    ``i div P``.  Without ``order`` the input's own partition order is used
+    ``i div P``.  ``index``: a column that already holds that dense 0-based
+    ``i`` (e.g. ``rid`` of ``spark.range``), used as is.  Otherwise ``order``
+    ranks the rows, or, without it, the input's own partition order is used
     and nothing is shuffled.
     """
-    idx = with_position(df, order, "_idx") if order else with_index(df, "_idx")
+    if index is not None:
+        idx = df.withColumn("_idx", F.col(index).cast("bigint"))
+    else:
+        idx = with_position(df, order, "_idx") if order else with_index(df, "_idx")
     return idx.select(
         F.lit(topic).alias("topic"),
         F.pmod(F.col("_idx"), F.lit(partitions)).cast("int").alias("partition"),

@@ -43,3 +43,10 @@ def test_rerun_into_same_folder_replaces_topics(spark):
     a = first.log(spark).where(F.col("topic") != "source").count()
     b = again.log(spark).where(F.col("topic") != "source").count()
     assert a == b == 3 * src.count()
+
+
+def test_generated_source_by_count_equals_by_ids(spark):
+    by_count = pipeline_batch(spark, records=1500, seed=5).log(spark)
+    by_ids = pipeline_batch(spark, ids=spark.range(0, 1500, 1, 3).withColumnRenamed("id", "rid"), seed=5).log(spark)
+    cols = ["topic", "partition", "offset", "value"]
+    assert sorted(map(tuple, by_count.select(*cols).collect())) == sorted(map(tuple, by_ids.select(*cols).collect()))
