@@ -34,6 +34,9 @@ def _parser() -> argparse.ArgumentParser:
     b.add_argument("--skip-generate", action="store_true")
     b.add_argument("--skip-sort", action="store_true")
     b.add_argument("--on-error", choices=["fail", "skip"], default="fail")
+    b.add_argument("--consume", type=int, help="snapshot only the first N available source messages")
+    b.add_argument("--group", help="consumer group: resume after its committed offsets")
+    b.add_argument("--offsets", help="committed-offsets table (with --group)")
     b.add_argument("--chunk", type=int, default=0,
                    help="accepted for compatibility: batch sorts are bounded by Spark's memory manager")
     s = sub.add_parser("stream", help="count-triggered sorted runs from arriving log files")
@@ -61,7 +64,8 @@ def main(argv: list[str] | None = None) -> int:
             return 0
         if args.source or args.skip_generate:
             run = pipeline_batch(spark, read_log(spark, args.source or args.out), out=args.out,
-                                 on_error=args.on_error)
+                                 on_error=args.on_error, consume=args.consume, group=args.group,
+                                 offsets_path=args.offsets)
         else:
             run = pipeline_batch(spark, records=args.records, seed=args.seed, out=args.out,
                                  on_error=args.on_error)

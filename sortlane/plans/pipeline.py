@@ -23,7 +23,7 @@ from ..operators.order import sort_records, stage
 from ..schema import LOG_COLUMNS, LOG_PARTITIONS, SORTED_TOPICS, SOURCE_TOPIC
 from ..sinks.publish import publish_balanced, publish_sorted, write_log
 from ..sources.generate import generate_for
-from ..sources.log import read_log
+from ..sources.log import commit_offsets, read_first_n, read_log, read_resume
 from ..session import work_path
 
 REPORT_SCHEMA = "run string, stage string, rows bigint, seconds double, rows_per_s double"
@@ -64,11 +64,39 @@ def _observed_write(df: DataFrame, path: str, name: str, topic: str | None = Non
     return int(obs.get.get("rows", 0))
 
 
+OFFSETS_SCHEMA = "group string, topic string, partition int, next_offset bigint"
+
+
+def _read_offsets(spark: SparkSession, path: str) -> DataFrame:
+    try:
+        return spark.read.schema(OFFSETS_SCHEMA).parquet(path)
+    except Exception:  # nothing committed yet
+        return small_table(spark, [], OFFSETS_SCHEMA)
+
+
+def _commit(spark: SparkSession, snapshot: DataFrame, committed: DataFrame, group: str,
+            path: str) -> None:
+    """New committed offsets of ``group`` = max(previous, consumed + 1) per partition.
+
+    Written to a fresh folder and then the group's folder is overwritten from
+    it, so the commit never reads the table it replaces.
+    """
+    consumed = commit_offsets(snapshot.select(
+        F.lit(SOURCE_TOPIC).alias("topic"), F.col("src_partition").alias("partition"),
+        F.col("src_offset").alias("offset")), group)
+    merged = consumed.unionByName(committed.where(F.col("group") == group)).groupBy(
+        "group", "topic", "partition").agg(F.max("next_offset").alias("next_offset"))
+    others = committed.where(F.col("group") != group)
+    fresh = stage(merged.unionByName(others), "offsets")
+    fresh.write.mode("overwrite").parquet(path)
+
+
 def pipeline_batch(spark: SparkSession, source_log: DataFrame | None = None, *,
                    ids: DataFrame | None = None, records: int | None = None, seed: int = 42,
                    partitions: int = LOG_PARTITIONS, out: str | None = None,
                    run_id: str = "run-0", on_error: str = "fail",
-                   report_path: str | None = None) -> BatchRun:
+                   report_path: str | None = None, consume: int | None = None,
+                   group: str | None = None, offsets_path: str | None = None) -> BatchRun:
     """Run the batch pipeline and return where its log went plus its metrics.
 
     ``source_log`` given: its ``source`` topic is used as is (skip-generate).
@@ -76,6 +104,11 @@ def pipeline_batch(spark: SparkSession, source_log: DataFrame | None = None, *,
     the publication index (no staging pass).  ``ids``: one record per row
     (column ``rid``), published in the ids' partition order.  ``on_error``: ``fail`` aborts on the first bad line (batch
     behaviour of the original), ``skip`` drops and counts it.
+
+    ``consume=n`` snapshots only the first ``n`` available messages (S2).
+    ``group`` + ``offsets_path``: start after the group's committed offsets
+    (S3) and commit the new ones only once the snapshot is written, so a
+    crash before that point re-reads instead of losing messages.
     """
     out = out or work_path(spark, "pipeline")
     run = BatchRun(path=out, run_id=run_id)
@@ -107,7 +140,16 @@ def pipeline_batch(spark: SparkSession, source_log: DataFrame | None = None, *,
     # rejected counts are observed on that single write.
     if on_error not in ("fail", "skip"):
         raise ValueError("on_error must be 'fail' or 'skip'")
-    raw = source_log.where(F.col("topic") == SOURCE_TOPIC).select(
+    available = source_log.where(F.col("topic") == SOURCE_TOPIC)
+    committed = None
+    if group is not None:
+        if offsets_path is None:
+            raise ValueError("group needs offsets_path")
+        committed = _read_offsets(spark, offsets_path)
+        available = read_resume(available, committed, group)
+    if consume is not None:
+        available = read_first_n(available, SOURCE_TOPIC, consume)
+    raw = available.select(
         F.col("partition").alias("src_partition"), F.col("offset").alias("src_offset"), "value")
     decoded = codec.decode(raw)
     if on_error == "fail":
@@ -122,6 +164,8 @@ def pipeline_batch(spark: SparkSession, source_log: DataFrame | None = None, *,
     run.counters["consumed"] = int(metrics.get("rows") or 0)
     run.counters["rejected"] = int(metrics.get("rejected") or 0)
     run.stages.append(("snapshot", run.counters["consumed"], time.time() - t0))
+    if group is not None:
+        _commit(spark, staged, committed, group, offsets_path)
     # Publish re-encodes the decoded record, never the raw line (which may
     # carry outer spaces or an id suffix).
     records = staged.where(F.col("reject_reason").isNull()).drop("reject_reason")

@@ -50,3 +50,17 @@ def test_generated_source_by_count_equals_by_ids(spark):
     by_ids = pipeline_batch(spark, ids=spark.range(0, 1500, 1, 3).withColumnRenamed("id", "rid"), seed=5).log(spark)
     cols = ["topic", "partition", "offset", "value"]
     assert sorted(map(tuple, by_count.select(*cols).collect())) == sorted(map(tuple, by_ids.select(*cols).collect()))
+
+
+def test_consumer_group_resumes_after_committed_snapshot(spark):
+    from sortlane.session import work_path
+    src = fixtures.log(spark, SF_SMALL)
+    offsets = work_path(spark, "offsets")
+    for _ in range(3):
+        run = pipeline_batch(spark, src, consume=300, group="g", offsets_path=offsets)
+        assert run.counters["consumed"] == 300
+        assert run.log(spark).where(F.col("topic") == "id").count() == 300
+    committed = {r["partition"]: r["next_offset"] for r in spark.read.parquet(offsets).collect()}
+    # 900 messages taken in (partition, offset) order: partition 0 (250) ... then 1, 2, 3
+    assert sum(committed.values()) == 900
+    assert committed[0] == 250 and committed[1] == 250 and committed[2] == 250 and committed[3] == 150
