@@ -8,7 +8,7 @@ the final output does not depend on how arrivals are cut into micro-batches.
 Design: ``foreachBatch`` running ordinary batch jobs (a streaming DataFrame
 cannot be sorted), with all state kept in tables under ``base``:
 
-``stage/batch=<id>``     valid records of the batch with ``seq, run_id``, and
+``stage/batch=<id>/partition=<p>``  valid records with ``seq, run_id`` and
                          the bad lines with their reason (M4), in one write
 ``out/batch=<id>``       runs closed by the batch, sorted three ways (M2, M3)
 ``progress/batch=<id>``  counters of the batch (M8)
@@ -50,6 +50,8 @@ LOG_READ_SCHEMA = T.StructType([
     T.StructField("value", T.StringType()),
 ])
 MANIFEST_SCHEMA = "partition int, next_seq bigint, open_batch bigint"
+STAGE_SCHEMA = ("offset bigint, seq bigint, run_id bigint, id int, name string, address string, "
+                "continent string, value string, reject_reason string, batch int, partition int")
 PROGRESS_SCHEMA = ("batch_id bigint, consumed bigint, accepted bigint, rejected bigint, "
                    "runs_closed bigint, rows_out bigint")
 OUT_COLUMNS = ["sort_key", "src_partition", "run_id", "pos", "id", "name", "address",
@@ -100,12 +102,17 @@ class StreamRuns:
             return []
         return sorted(r[0] for r in m.select("batch").distinct().collect())
 
-    def _stage_between(self, spark: SparkSession, first: int, last: int) -> DataFrame:
-        """Staged rows of batches ``first..last`` only: the folders are named
-        directly, so the cost does not grow with the number of old batches."""
+    def _stage_between(self, spark: SparkSession, first: int, last: int,
+                       partitions: Sequence[int]) -> DataFrame:
+        """Staged rows of ``partitions`` in batches ``first..last`` only.
+
+        Batch folders are named directly and partition folders are pruned, so
+        the read is bounded by the rows of the runs being closed, however old
+        or quiet the other partitions are.
+        """
         paths = [self._batch_dir("stage", b) for b in range(first, last + 1)]
-        staged = spark.read.option("basePath", self._dir("stage")).parquet(*paths)
-        return staged.where(F.col("reject_reason").isNull())
+        staged = spark.read.schema(STAGE_SCHEMA).option("basePath", self._dir("stage")).parquet(*paths)
+        return staged.where(F.col("partition").isin(*partitions) & F.col("reject_reason").isNull())
 
     # ---- the batch function --------------------------------------------------
 
@@ -164,7 +171,10 @@ class StreamRuns:
                 "partition", "offset", F.lit(None).cast("bigint").alias("seq"),
                 F.lit(None).cast("bigint").alias("run_id"), "id", "name", "address", "continent",
                 "value", "reject_reason")
-            staged.unionByName(bad).write.mode("overwrite").parquet(self._batch_dir("stage", batch_id))
+            # Folders per source partition: closing one partition's run reads
+            # only that partition's staged rows.
+            staged.unionByName(bad).write.mode("overwrite").partitionBy("partition").parquet(
+                self._batch_dir("stage", batch_id))
         finally:
             decoded.unpersist()
 
@@ -188,7 +198,7 @@ class StreamRuns:
         out_obs = Observation(f"stream-out-{batch_id}")
         if closed:
             ranges = small_table(spark, closed, "partition int, _lo bigint, _hi bigint")
-            rows = (self._stage_between(spark, min(lows), batch_id)
+            rows = (self._stage_between(spark, min(lows), batch_id, [p for p, _, _ in closed])
                     .join(F.broadcast(ranges), "partition")
                     .where(F.col("run_id").between(F.col("_lo"), F.col("_hi")))
                     .select("partition", "offset", "run_id", "id", "name", "address", "continent"))
@@ -230,18 +240,19 @@ class StreamRuns:
             return 0
         low = min(state[p][1] for p, _ in open_runs)
         runs = small_table(spark, open_runs, "partition int, run_id bigint")
-        rows = (self._stage_between(spark, low, last)
+        rows = (self._stage_between(spark, low, last, [p for p, _ in open_runs])
                 .join(F.broadcast(runs), ["partition", "run_id"])
                 .select("partition", "offset", "run_id", "id", "name", "address", "continent"))
         self._sorted_runs(rows).write.mode("overwrite").parquet(path)
         return spark.read.parquet(path).count()
 
-    def _committed(self, spark: SparkSession, name: str) -> DataFrame:
+    def _committed(self, spark: SparkSession, name: str, schema: str | None = None) -> DataFrame:
         """Rows of committed batches only (a batch without a manifest is ignored)."""
         batches = self.committed_batches(spark)
         if not batches:
             raise RuntimeError(f"no committed batch under {self.base}")
-        df = spark.read.option("basePath", self._dir(name)).parquet(self._dir(name))
+        reader = spark.read.schema(schema) if schema else spark.read
+        df = reader.option("basePath", self._dir(name)).parquet(self._dir(name))
         return df.where(F.col("batch").isin(batches))
 
     def output(self, spark: SparkSession, include_flush: bool = False) -> DataFrame:
@@ -251,11 +262,11 @@ class StreamRuns:
         return out.select(*OUT_COLUMNS)
 
     def staged(self, spark: SparkSession) -> DataFrame:
-        return self._committed(spark, "stage").where(F.col("reject_reason").isNull()).select(
+        return self._committed(spark, "stage", STAGE_SCHEMA).where(F.col("reject_reason").isNull()).select(
             "partition", "offset", "seq", "run_id", "id", "name", "address", "continent")
 
     def rejects(self, spark: SparkSession) -> DataFrame:
-        return self._committed(spark, "stage").where(F.col("reject_reason").isNotNull()).select(
+        return self._committed(spark, "stage", STAGE_SCHEMA).where(F.col("reject_reason").isNotNull()).select(
             "partition", "offset", "value", "reject_reason")
 
     def progress(self, spark: SparkSession) -> DataFrame:

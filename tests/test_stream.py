@@ -127,3 +127,14 @@ def test_cli_batch_and_validate(spark):
     out = work_path(spark, "cli")
     assert main(["batch", "--records", "2000", "--out", out]) == 0
     assert main(["validate", "--log", out]) == 0
+
+
+def test_stage_read_is_pruned_to_closing_partitions(spark, dirty):
+    base = work_path(spark, "stream-prune")
+    runner = StreamRuns(base, 40)
+    for i, (a, b) in enumerate([(0, 100), (100, 250)]):
+        runner.process(dirty.where((F.col("offset") >= a) & (F.col("offset") < b)), i)
+    df = runner._stage_between(spark, 0, 1, [2])
+    assert {r["partition"] for r in df.select("partition").distinct().collect()} == {2}
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(partition" in plan or "partition#" in plan.split("PartitionFilters")[1][:200]
