@@ -95,12 +95,19 @@ class StreamRuns:
         rows = spark.read.schema(MANIFEST_SCHEMA).parquet(self._batch_dir("manifest", batch_id)).collect()
         return {r["partition"]: (r["next_seq"], r["open_batch"]) for r in rows}
 
-    def committed_batches(self, spark: SparkSession) -> list[int]:
+    def last_committed(self, spark: SparkSession) -> int | None:
+        """Highest batch id with a manifest.  Batches commit in id order (each
+        manifest is written before the next batch starts), so every id up to
+        this one is committed: one aggregate value, however old the stream."""
         try:
             m = spark.read.parquet(self._dir("manifest"))
         except Exception:  # no batch committed yet
-            return []
-        return sorted(r[0] for r in m.select("batch").distinct().collect())
+            return None
+        return m.agg(F.max("batch")).first()[0]
+
+    def committed_batches(self, spark: SparkSession) -> list[int]:
+        last = self.last_committed(spark)
+        return [] if last is None else list(range(last + 1))
 
     def _stage_between(self, spark: SparkSession, first: int, last: int,
                        partitions: Sequence[int]) -> DataFrame:
@@ -227,12 +234,11 @@ class StreamRuns:
 
     def flush_open_runs(self, spark: SparkSession) -> int:
         """M6: publish the short runs still open at the end of input (``out/flush``)."""
-        batches = self.committed_batches(spark)
+        last = self.last_committed(spark)
         path = f"{self.base}/flush"
-        if not batches:
+        if last is None:
             spark.createDataFrame([], self._out_schema(spark)).write.mode("overwrite").parquet(path)
             return 0
-        last = batches[-1]
         state = self._manifest(spark, last)
         open_runs = [(p, n // self.chunk) for p, (n, _) in state.items() if n % self.chunk]
         if not open_runs:
@@ -248,12 +254,12 @@ class StreamRuns:
 
     def _committed(self, spark: SparkSession, name: str, schema: str | None = None) -> DataFrame:
         """Rows of committed batches only (a batch without a manifest is ignored)."""
-        batches = self.committed_batches(spark)
-        if not batches:
+        last = self.last_committed(spark)
+        if last is None:
             raise RuntimeError(f"no committed batch under {self.base}")
         reader = spark.read.schema(schema) if schema else spark.read
         df = reader.option("basePath", self._dir(name)).parquet(self._dir(name))
-        return df.where(F.col("batch").isin(batches))
+        return df.where(F.col("batch") <= last)
 
     def output(self, spark: SparkSession, include_flush: bool = False) -> DataFrame:
         out = self._committed(spark, "out").drop("batch")
