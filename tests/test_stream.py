@@ -138,3 +138,18 @@ def test_stage_read_is_pruned_to_closing_partitions(spark, dirty):
     assert {r["partition"] for r in df.select("partition").distinct().collect()} == {2}
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(partition" in plan or "partition#" in plan.split("PartitionFilters")[1][:200]
+
+
+def test_cli_stream_and_skip_sort(spark, dirty):
+    from sortlane.__main__ import main
+    base = work_path(spark, "cli-stream")
+    arrivals.write_arrivals(dirty, f"{base}/source", [0, 125, 250])
+    assert main(["stream", "--source", f"{base}/source", "--state", f"{base}/state",
+                 "--checkpoint", f"{base}/ckpt", "--chunk", "17", "--flush"]) == 0
+    runner = StreamRuns(f"{base}/state", 17)
+    assert rows(runner.output(spark, include_flush=True), *COLS) == \
+        rows(_truth(spark, dirty, 17, closed_only=False), *COLS)
+    out = work_path(spark, "cli-skip-sort")
+    assert main(["batch", "--records", "500", "--out", out, "--skip-sort"]) == 0
+    log = spark.read.parquet(out)
+    assert log.count() == 500 and {r[0] for r in log.select("topic").distinct().collect()} == {"source"}
