@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from sortlane.plans import catalog  # noqa: E402
-from sortlane.plans.pipeline import pipeline_batch  # noqa: E402
+from sortlane.plans.batch import run_batch  # noqa: E402
 from sortlane.session import local_session  # noqa: E402
 from sortlane.sources import fixtures  # noqa: E402
 
@@ -36,7 +36,7 @@ def main() -> None:
 
     def gen_and_sort(spark, sf):
         n = int(os.environ.get("BENCH_GEN_ROWS", "0")) or fixtures.read_table(spark, sf, "lineitem").count()
-        run = pipeline_batch(spark, records=n)
+        run = run_batch(spark, records=n)
         return run.log(spark).where(F.col("topic") != "source")
 
     plan = {
@@ -44,7 +44,7 @@ def main() -> None:
         "sort_by_name": catalog.q_sort_by_name,
         "sort_by_continent": catalog.q_sort_by_continent,
         "sort_fanout": catalog.q_sort_fanout,
-        "pipeline_batch": catalog.q_pipeline_batch,
+        "batch_job": catalog.q_batch_job,
         "generate_and_sort": gen_and_sort,
         "validate_all": catalog.q_validate_all,
         "stream_fanout": catalog.q_stream_fanout,

@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from .operators.checks import validate_all
-from .plans.pipeline import pipeline_batch
+from .plans.batch import run_batch
 from .schema import DEFAULT_RUN_LENGTH, SOURCE_TOPIC
 from .session import ensure_checkpoint_dir
 from .sinks.publish import publish_balanced, write_log
@@ -63,11 +63,11 @@ def main(argv: list[str] | None = None) -> int:
             print(json.dumps({"generated": args.records}))
             return 0
         if args.source or args.skip_generate:
-            run = pipeline_batch(spark, read_log(spark, args.source or args.out), out=args.out,
+            run = run_batch(spark, read_log(spark, args.source or args.out), out=args.out,
                                  on_error=args.on_error, consume=args.consume, group=args.group,
                                  offsets_path=args.offsets)
         else:
-            run = pipeline_batch(spark, records=args.records, seed=args.seed, out=args.out,
+            run = run_batch(spark, records=args.records, seed=args.seed, out=args.out,
                                  on_error=args.on_error)
         print(json.dumps({"counters": run.counters, "stages": run.stages}))
     elif args.cmd == "stream":

@@ -91,7 +91,7 @@ def _commit(spark: SparkSession, snapshot: DataFrame, committed: DataFrame, grou
     fresh.write.mode("overwrite").parquet(path)
 
 
-def pipeline_batch(spark: SparkSession, source_log: DataFrame | None = None, *,
+def run_batch(spark: SparkSession, source_log: DataFrame | None = None, *,
                    ids: DataFrame | None = None, records: int | None = None, seed: int = 42,
                    partitions: int = LOG_PARTITIONS, out: str | None = None,
                    run_id: str = "run-0", on_error: str = "fail",
@@ -110,7 +110,7 @@ def pipeline_batch(spark: SparkSession, source_log: DataFrame | None = None, *,
     (S3) and commit the new ones only once the snapshot is written, so a
     crash before that point re-reads instead of losing messages.
     """
-    out = out or work_path(spark, "pipeline")
+    out = out or work_path(spark, "batch")
     run = BatchRun(path=out, run_id=run_id)
 
     def timed(stage: str, fn):

@@ -19,7 +19,7 @@ from ..sources import log as logsrc
 from ..streaming import arrivals
 from ..streaming import runs as streaming_runs
 from ..streaming.runs import StreamRuns
-from .pipeline import BatchRun, pipeline_batch
+from .batch import BatchRun, run_batch
 
 RECORD_COLS = ["rid", "id", "name", "address", "continent"]
 
@@ -106,7 +106,7 @@ def q_log_read_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_topic_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return logsrc.topic_offsets(pipeline_log(spark, sf_dir))
+    return logsrc.topic_offsets(batch_log(spark, sf_dir))
 
 
 def q_log_head(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,34 +152,34 @@ def q_publish_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish.read_published(spark, base)
 
 
-# ---- pipeline-derived log (memoized per session and input) -------------------
+# ---- batch-job log (memoized per session and input) ---------------------------
 
-_PIPELINES: dict[tuple, BatchRun] = {}
+_BATCH_RUNS: dict[tuple, BatchRun] = {}
 
 
-def pipeline_run(spark: SparkSession, sf_dir: str, dirty: bool = False) -> BatchRun:
+def batch_run(spark: SparkSession, sf_dir: str, dirty: bool = False) -> BatchRun:
     key = (spark.sparkContext.applicationId, sf_dir, dirty)
-    if key not in _PIPELINES:
+    if key not in _BATCH_RUNS:
         src = fixtures.dirty_log(spark, sf_dir) if dirty else fixtures.log(spark, sf_dir)
-        _PIPELINES[key] = pipeline_batch(spark, src, on_error="skip" if dirty else "fail")
-    return _PIPELINES[key]
+        _BATCH_RUNS[key] = run_batch(spark, src, on_error="skip" if dirty else "fail")
+    return _BATCH_RUNS[key]
 
 
-def pipeline_log(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
-    return pipeline_run(spark, sf_dir, dirty).log(spark)
+def batch_log(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
+    return batch_run(spark, sf_dir, dirty).log(spark)
 
 
-def q_pipeline_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_batch_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1 (flagship): the published log of all four topics."""
-    return pipeline_log(spark, sf_dir)
+    return batch_log(spark, sf_dir)
 
 
 def q_run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pipeline_run(spark, sf_dir, dirty=True).counters_frame(spark)
+    return batch_run(spark, sf_dir, dirty=True).counters_frame(spark)
 
 
 def q_run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pipeline_run(spark, sf_dir, dirty=True).report_frame(spark)
+    return batch_run(spark, sf_dir, dirty=True).report_frame(spark)
 
 
 # ---- checks ------------------------------------------------------------------
@@ -198,31 +198,31 @@ def q_check_charset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_check_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.check_topics(spark, pipeline_log(spark, sf_dir))
+    return checks.check_topics(spark, batch_log(spark, sf_dir))
 
 
 def q_count_by_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.count_by_topic(pipeline_log(spark, sf_dir))
+    return checks.count_by_topic(batch_log(spark, sf_dir))
 
 
 def q_count_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.count_reconcile(pipeline_log(spark, sf_dir, dirty=True))
+    return checks.count_reconcile(batch_log(spark, sf_dir, dirty=True))
 
 
 def q_multiset_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.multiset_reconcile(pipeline_log(spark, sf_dir, dirty=True))
+    return checks.multiset_reconcile(batch_log(spark, sf_dir, dirty=True))
 
 
 def q_check_sorted_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.check_sorted(pipeline_log(spark, sf_dir), "id")
+    return checks.check_sorted(batch_log(spark, sf_dir), "id")
 
 
 def q_check_sorted_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.check_sorted(pipeline_log(spark, sf_dir), "name")
+    return checks.check_sorted(batch_log(spark, sf_dir), "name")
 
 
 def q_check_sorted_continent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.check_sorted(pipeline_log(spark, sf_dir), "continent")
+    return checks.check_sorted(batch_log(spark, sf_dir), "continent")
 
 
 def q_detect_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,7 +231,7 @@ def q_detect_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_validate_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.validate_all(spark, pipeline_log(spark, sf_dir))
+    return checks.validate_all(spark, batch_log(spark, sf_dir))
 
 
 # ---- runs --------------------------------------------------------------------
@@ -334,7 +334,7 @@ def q_stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_run(spark, sf_dir).progress(spark)
 
 
-def q_pipeline_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_stream_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L2: stream -> tolerant decode -> runs -> three sorts -> keyed publish -> final flush."""
     return stream_run(spark, sf_dir, flush=True).output(spark, include_flush=True).select(
         F.col("sort_key").alias("topic"), "partition", "key", "value")

@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from sortlane.functions import codec
-from sortlane.plans.pipeline import pipeline_batch
+from sortlane.plans.batch import run_batch
 from sortlane.sources import fixtures
 
 
 def test_counters_and_report_match_the_data(spark):
     dirty = fixtures.dirty_log(spark, SF_SMALL)
-    run = pipeline_batch(spark, dirty, on_error="skip")
+    run = run_batch(spark, dirty, on_error="skip")
     log = run.log(spark)
     n_src = dirty.count()
     n_ok = codec.decode_tolerant(dirty).count()
@@ -29,25 +29,25 @@ def test_counters_and_report_match_the_data(spark):
     assert counters == run.counters
 
 
-def test_strict_pipeline_fails_on_bad_line(spark):
+def test_strict_batch_fails_on_bad_line(spark):
     with pytest.raises(PySparkException):
-        pipeline_batch(spark, fixtures.dirty_log(spark, SF_SMALL), on_error="fail")
+        run_batch(spark, fixtures.dirty_log(spark, SF_SMALL), on_error="fail")
 
 
 def test_rerun_into_same_folder_replaces_topics(spark):
     from sortlane.session import work_path
     out = work_path(spark, "rerun")
     src = fixtures.log(spark, SF_SMALL)
-    first = pipeline_batch(spark, src, out=out)
-    again = pipeline_batch(spark, src, out=out)
+    first = run_batch(spark, src, out=out)
+    again = run_batch(spark, src, out=out)
     a = first.log(spark).where(F.col("topic") != "source").count()
     b = again.log(spark).where(F.col("topic") != "source").count()
     assert a == b == 3 * src.count()
 
 
 def test_generated_source_by_count_equals_by_ids(spark):
-    by_count = pipeline_batch(spark, records=1500, seed=5).log(spark)
-    by_ids = pipeline_batch(spark, ids=spark.range(0, 1500, 1, 3).withColumnRenamed("id", "rid"), seed=5).log(spark)
+    by_count = run_batch(spark, records=1500, seed=5).log(spark)
+    by_ids = run_batch(spark, ids=spark.range(0, 1500, 1, 3).withColumnRenamed("id", "rid"), seed=5).log(spark)
     cols = ["topic", "partition", "offset", "value"]
     assert sorted(map(tuple, by_count.select(*cols).collect())) == sorted(map(tuple, by_ids.select(*cols).collect()))
 
@@ -57,7 +57,7 @@ def test_consumer_group_resumes_after_committed_snapshot(spark):
     src = fixtures.log(spark, SF_SMALL)
     offsets = work_path(spark, "offsets")
     for _ in range(3):
-        run = pipeline_batch(spark, src, consume=300, group="g", offsets_path=offsets)
+        run = run_batch(spark, src, consume=300, group="g", offsets_path=offsets)
         assert run.counters["consumed"] == 300
         assert run.log(spark).where(F.col("topic") == "id").count() == 300
     committed = {r["partition"]: r["next_offset"] for r in spark.read.parquet(offsets).collect()}

@@ -6,12 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from sortlane.operators import checks, order
-from sortlane.plans.pipeline import pipeline_batch
+from sortlane.plans.batch import run_batch
 
 
 @pytest.fixture(scope="module")
 def good_log(spark):
-    run = pipeline_batch(spark, ids=spark.range(0, 3000).withColumnRenamed("id", "rid"), seed=11)
+    run = run_batch(spark, ids=spark.range(0, 3000).withColumnRenamed("id", "rid"), seed=11)
     assert run.counters["generated"] == run.counters["consumed"] == 3000
     assert run.counters["sorted"] == run.counters["produced"] == 9000
     return order.stage(run.log(spark), "good-log")
