@@ -24,27 +24,27 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     names = [
-        # sources
+        # sources: S1 S2 S3 S4 S5 S6 S7
         "generate_records", "log_read_first_n", "log_read_resume", "log_read_partition",
         "topic_offsets", "log_head", "read_lines",
-        # sinks
+        # sinks: K1 K2 K3 K4 K5
         "publish_balanced", "publish_hash_keyed", "publish_sorted", "stage_snapshot",
         "publish_idempotent",
-        # codecs
+        # codecs: T1 T2 T3 T4 T5
         "encode_line", "decode_strict", "decode_tolerant", "decode_rejects", "int32_wrap",
-        # checks
+        # checks: P1 P2 P3 P4
         "check_schema", "schema_violations", "check_charset", "check_topics",
-        # sorts
+        # sorts: E1 E2 E3 E4 E5 E6 E7 (E8, key selection, raises on an unknown key: tests)
         "sort_by_id", "sort_by_name", "sort_by_continent", "sorted_runs", "merge_runs",
         "sort_position", "sort_fanout",
-        # aggregations
+        # aggregations: A1 A2 A3 A4 A5
         "count_by_topic", "count_reconcile", "multiset_reconcile", "run_counters", "run_report",
-        # windows
+        # windows: W1 W2 W3 W4
         "check_sorted_id", "check_sorted_name", "check_sorted_continent", "detect_runs",
-        # streaming
+        # streaming: M1 M2 M3 M4 M5 M6 M8 (M7, trigger mode, is an argument: tests)
         "stream_runs", "stream_fanout", "stream_keyed_publish", "stream_rejects",
         "stream_resume", "stream_tail_flush", "stream_progress",
-        # end-to-end jobs
+        # end-to-end jobs: L1 L2 L3
         "batch_job", "stream_job", "validate_all",
     ]
     return {n: getattr(catalog, f"q_{n}") for n in names}
