@@ -14,6 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sortlane.plans import catalog
 
+try:  # the training-data operators, where they are installed
+    import corpus_pipeline
+    from sortlane.llm import registry as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "sortlane.llm"):
+        raise
+    llm = corpus_pipeline = None
+
 SF_SMOKE = "/root/testdata/sf0.001"
 
 
@@ -47,7 +55,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # end-to-end jobs: L1 L2 L3
         "batch_job", "stream_job", "validate_all",
     ]
-    return {n: getattr(catalog, f"q_{n}") for n in names}
+    out = {n: getattr(catalog, f"q_{n}") for n in names}
+    if llm is not None:
+        out |= llm.queries() | {"pipeline": corpus_pipeline.run}
+    return out
 
 
 # ---- oracle building blocks (DuckDB) ----------------------------------------
@@ -323,6 +334,15 @@ FROM bt JOIN rc ON bt.batch_id = rc.batch_id
 
 
 def oracle_sql() -> dict[str, str]:
+    out = _library_sql()
+    if llm is not None:
+        out |= llm.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            out["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return out
+
+
+def _library_sql() -> dict[str, str]:
     return {
         "sort_by_id": _sorted("id, rid"),
         "sort_by_name": _sorted("name, id, rid"),
