@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import dedup, mixing, packing, sharding
+from . import ann, dedup, mixing, packing, quality, sharding, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,22 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.exact_top_k(_table(spark, sf_dir, "embeddings"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def op9_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
@@ -28,7 +44,8 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_near_dedup, op3_mix_sources, op9_shuffle_shards, op10_pack)}
+    return {f.__name__: f for f in (
+        op1_near_dedup, op3_mix_sources, op4_quality, op6_top_k, op7_toxicity, op8_nearest, op9_shuffle_shards, op10_pack)}
 
 
 #: Words of a text, and its set of distinct five-word runs (fewer words: the whole sequence).
@@ -54,5 +71,17 @@ FROM s LEFT JOIN g ON s.sh = g.sh LEFT JOIN c ON g.node = c.node
 """
 
 
+OP6_SQL = """
+WITH v AS (SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS c FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+p AS (SELECT q.vec_id AS query_id, v.vec_id, CAST(list_dot_product(q.c, v.c) AS BIGINT) AS score
+  FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS "rank",
+  vec_id, score FROM p)
+SELECT * FROM r WHERE "rank" <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_near_dedup": OP1_SQL}
+    return {"op1_near_dedup": OP1_SQL, "op6_top_k": OP6_SQL}
