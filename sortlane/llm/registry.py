@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, dedup, mixing, packing, quality, sharding, topk, toxicity
+from . import ann, dedup, fixity, mixing, packing, quality, sharding, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,10 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op2_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixity.audit_pages(_table(spark, sf_dir, "pages"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
@@ -45,7 +49,7 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {f.__name__: f for f in (
-        op1_near_dedup, op3_mix_sources, op4_quality, op6_top_k, op7_toxicity, op8_nearest, op9_shuffle_shards, op10_pack)}
+        op1_near_dedup, op2_warc_audit, op3_mix_sources, op4_quality, op6_top_k, op7_toxicity, op8_nearest, op9_shuffle_shards, op10_pack)}
 
 
 #: Words of a text, and its set of distinct five-word runs (fewer words: the whole sequence).
@@ -71,6 +75,28 @@ FROM s LEFT JOIN g ON s.sh = g.sh LEFT JOIN c ON g.node = c.node
 """
 
 
+OP2_SQL = r"""
+WITH r AS (
+  SELECT page_id, 'WARC/1.0' || e'\r\n' || 'WARC-Type: response' || e'\r\n' || 'WARC-Record-ID: <urn:md5:'
+    || md5(coalesce(CAST(page_id AS VARCHAR), '')) || '>' || e'\r\n' || 'WARC-Target-URI: ' || coalesce(url, '')
+    || e'\r\n' || 'Content-Type: text/html' || e'\r\n' || 'Content-Length: ' || strlen(coalesce(html, ''))
+    || e'\r\n\r\n' || coalesce(html, '') || e'\r\n\r\n' AS rec,
+    CAST('0x' || substr(md5('damage:' || coalesce(CAST(page_id AS VARCHAR), '')), 1, 8) AS BIGINT) % 53 AS turn,
+    CAST('0x' || substr(md5(coalesce(CAST(page_id AS VARCHAR), '')), 1, 8) AS BIGINT)
+      % greatest(1, (SELECT CAST(ceil(count(*) / 1024.0) AS BIGINT) FROM pages)) AS archive
+  FROM pages),
+c AS (SELECT *, CASE turn WHEN 0 THEN substr(rec, 1, length(rec) // 2) || '#' || substr(rec, length(rec) // 2 + 2)
+                          WHEN 1 THEN substr(rec, 1, length(rec) - 1) ELSE rec END AS cop FROM r),
+d AS (SELECT page_id, archive, turn, CAST(strlen(rec) AS BIGINT) AS n, sha256(rec) AS x, CAST(strlen(cop) AS BIGINT) AS m,
+             sha256(cop) AS y FROM c),
+o AS (SELECT *, CAST(coalesce(sum(n) OVER (PARTITION BY archive ORDER BY page_id, x
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset" FROM d)
+SELECT archive, "offset", "offset" + CASE WHEN turn = 3 THEN m ELSE n END AS end_offset, page_id,
+  CASE WHEN turn = 2 THEN 'missing' WHEN turn = 3 THEN 'extra' WHEN n <> m THEN 'length' ELSE 'content' END AS kind,
+  CASE WHEN turn <> 3 THEN x END AS expected, CASE WHEN turn <> 2 THEN y END AS found
+FROM o WHERE turn IN (2, 3) OR x <> y OR n <> m
+"""
+
 OP6_SQL = """
 WITH v AS (SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS c FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
@@ -84,4 +110,4 @@ SELECT * FROM r WHERE "rank" <= 5
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_near_dedup": OP1_SQL, "op6_top_k": OP6_SQL}
+    return {"op1_near_dedup": OP1_SQL, "op2_warc_audit": OP2_SQL, "op6_top_k": OP6_SQL}
