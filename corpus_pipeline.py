@@ -1,31 +1,61 @@
-"""Corpus pipeline over ``documents``: each stage works on what its predecessor kept."""
+"""Corpus pipeline over ``documents``: each stage works on all that its predecessor kept.
+
+quality classifier -> toxicity -> near-duplicates -> source mix -> packing.
+Every stage but the last returns the columns of documents; ``run`` applies
+them in order, each written as Parquet and read back.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sortlane.llm import dedup, mixing, packing
+from sortlane.llm import dedup, mixing, packing, quality, toxicity
+from sortlane.llm.classify import keep_rows
 from sortlane.operators.order import stage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier predicts 1 stay."""
+    docs = docs.select(COLUMNS)
+    model = quality.train(docs, _labels(spark, sf_dir))
+    return keep_rows(docs, "text", lambda text: model.score(quality.featurise(text)) >= quality.THRESHOLD)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity classifier predicts 1 go."""
+    docs = docs.select(COLUMNS)
+    model = toxicity.train(docs, _labels(spark, sf_dir))
+    return keep_rows(docs, "text", lambda text: model.score(text) < toxicity.THRESHOLD)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: the one of smallest id.
+    """One document of each near-duplicate group stays, the one of smallest id.
 
-    Of repeated rows with that id the first in column order stays.
+    Of repeated rows with that id one stays.  Rows without an id can't be
+    named as the one that stays; they all stay.
     """
     docs = docs.select(COLUMNS)
-    groups = dedup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(groups, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    kept = dedup.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "source", "lang", "n_chars")
+    named = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").withColumn(
+        "_row", F.row_number().over(first)).where("_row = 1")
+    return named.select(COLUMNS).unionByName(docs.where("doc_id IS NULL"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it (0, 1 or 2 rows)."""
+    """Each document as often as the mix takes it: 0, 1 or 2 rows.
+
+    Rows that share an id share the largest number of copies among them.
+    """
     docs = docs.select(COLUMNS)
     taken = mixing.mix_sources(docs).where("copies > 0").groupBy(F.col("doc_id").alias("_id")).agg(
         F.max("copies").alias("_copies"))
@@ -34,17 +64,19 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of every document with its bin."""
+    """Every piece of every document with its place in a bin."""
     return packing.pack_documents(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", keep_quality),
+    ("toxicity", drop_toxic),
     ("near_dedup", near_dedup),
     ("mix", mix),
     ("pack", pack),
 ]
 
-#: The classifiers' rows are not expressible in SQL.
+#: Trained classifiers decide what stays, which SQL can't express.
 ORACLE_SQL = None
 
 

@@ -75,6 +75,17 @@ def score_all(docs: DataFrame, id_col: str, text_col: str, score: Callable[[pa.A
         "doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
+def keep_rows(docs: DataFrame, text_col: str, keep: Callable[[pa.Array], np.ndarray]) -> DataFrame:
+    """The rows whose text ``keep`` marks true, all columns as they are: one narrow pass."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(keep(batch.column(at)), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def bin_edges(x: np.ndarray, bins: int) -> list[np.ndarray]:
     """Inner edges of up to ``bins`` quantile bins per feature."""
     q = np.linspace(0, 1, bins + 1)[1:-1]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, dedup, fixity, mixing, packing, quality, sharding, topk, toxicity
+from . import ann, dedup, fixity, licenses, mixing, packing, quality, sharding, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(_table(spark, sf_dir, "embeddings"))
 
@@ -49,7 +53,7 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {f.__name__: f for f in (
-        op1_near_dedup, op2_warc_audit, op3_mix_sources, op4_quality, op6_top_k, op7_toxicity, op8_nearest, op9_shuffle_shards, op10_pack)}
+        op1_near_dedup, op2_warc_audit, op3_mix_sources, op4_quality, op5_licenses, op6_top_k, op7_toxicity, op8_nearest, op9_shuffle_shards, op10_pack)}
 
 
 #: Words of a text, and its set of distinct five-word runs (fewer words: the whole sequence).
