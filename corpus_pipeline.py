@@ -26,15 +26,13 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier predicts 1 stay."""
     docs = docs.select(COLUMNS)
-    model = quality.train(docs, _labels(spark, sf_dir))
-    return keep_rows(docs, "text", lambda text: model.score(quality.featurise(text)) >= quality.THRESHOLD)
+    return keep_rows(docs, "text", quality.keeper(quality.train(docs, _labels(spark, sf_dir))))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier predicts 1 go."""
     docs = docs.select(COLUMNS)
-    model = toxicity.train(docs, _labels(spark, sf_dir))
-    return keep_rows(docs, "text", lambda text: model.score(text) < toxicity.THRESHOLD)
+    return keep_rows(docs, "text", toxicity.keeper(toxicity.train(docs, _labels(spark, sf_dir))))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -219,6 +219,11 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
     return fit_gam(x, y) if len(y) else fit_gam(np.zeros((0, len(FEATURES))), y)
 
 
+def keeper(model: Gam, threshold: float = THRESHOLD):
+    """Function of a text column: which documents reach the threshold."""
+    return lambda text: model.score(featurise(text)) >= threshold
+
+
 def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
                   threshold: float = THRESHOLD, rows: int = TRAIN_ROWS) -> DataFrame:
     """``(doc_id, held_out, score, predicted)``, one row per input row.

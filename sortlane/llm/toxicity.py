@@ -336,6 +336,11 @@ def _parity(ids: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(63)).astype(bool)
 
 
+def keeper(model: Model, threshold: float = THRESHOLD):
+    """Function of a text column: which documents stay below the threshold."""
+    return lambda text: model.score(text) < threshold
+
+
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
                    threshold: float = THRESHOLD, rows: int = TRAIN_ROWS) -> DataFrame:
     """``(doc_id, held_out, score, predicted)``, one row per input row.
