@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sortlane.operators.order import stage
@@ -111,12 +111,11 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["tree", "sig", "node", "n", "mate", "lcp"]
     kinds = [pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.int32()]
 
-    def emit(t: pa.Table, before: np.ndarray | None, last: bool) -> tuple[list, pa.Table]:
-        # t: rows from the one held back; its last row waits for its next one.
+    def shared(t: pa.Table) -> np.ndarray:
+        """Levels that each row shares with the next."""
         sig = np.frombuffer(b"".join(t["sig"].to_pylist()), ">u2").reshape(-1, LEVELS)
         tree = t["tree"].to_numpy()
-        same = np.logical_and.accumulate((sig[1:] == sig[:-1]) & (tree[1:] == tree[:-1])[:, None], axis=1).sum(axis=1)
-        return sig, same
+        return np.logical_and.accumulate((sig[1:] == sig[:-1]) & (tree[1:] == tree[:-1])[:, None], axis=1).sum(axis=1)
 
     held: pa.Table | None = None
     left = LEVELS  # shared levels of the held row with the one before it; unknown counts as all
@@ -140,7 +139,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if t.num_rows < 2:
             held = t
             continue
-        _, same = emit(t, None, False)
+        same = shared(t)
         nodes = t["node"].to_pylist()
         m = t.num_rows - 1
         prev = np.concatenate([[left], same[:-1]])
@@ -217,54 +216,48 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = best.select(F.least("node", F.col("m.mate")).alias("a"), F.greatest("node", F.col("m.mate")).alias("b"))
     near = components(_confirmed(pairs.distinct(), sets, percent))
 
-    # Then every region that still holds several groups.
-    rows = forest.select("tree", "sig", "node", "n").join(near, "node", "left").select(
-        "tree", "sig", "node", "n", F.coalesce("root", "node").alias("root"))
-    found = []
-    seen = Observation()
-    rows = stage(rows, "grouped", seen)
+    # Then every region that still holds several groups, each at its own depth.
+    rows = stage(forest.select("tree", "sig", "node", "n").join(near, "node", "left").select(
+        "tree", "sig", "node", "n", F.coalesce("root", "node").alias("root")), "grouped")
+    region = lambda depth: F.expr(f"substring(sig, 1, {2 * depth})")
+    keyed = rows
     for depth in range(BASE_DEPTH, LEVELS + 1):
-        if not seen.get["rows"]:
-            break
-        keyed = rows.withColumn("region", F.expr(f"substring(sig, 1, {2 * depth})"))
-        per_root = keyed.groupBy("tree", "region", "root").agg(F.count(F.lit(1)).alias("k"))
-        stats = per_root.groupBy("tree", "region").agg(
+        per_root = rows.groupBy("tree", region(depth).alias(f"r{depth}"), "root").agg(F.count(F.lit(1)).alias("k"))
+        stats = per_root.groupBy("tree", f"r{depth}").agg(
             F.sum("k").alias("members"), F.max(F.struct("k", "root")).alias("top"))
+        work = (F.col("members") - F.col("top.k")) * F.col("members")
         mixed = stats.where("members > top.k").select(
-            "tree", "region", F.col("top.root").alias("top"),
-            ((F.col("members") - F.col("top.k")) * F.col("members")).alias("work"))
-        open_rows = stage(keyed.join(mixed, ["tree", "region"]), "regions")
-        now = open_rows if depth == LEVELS else open_rows.where(F.col("work") <= REGION_PAIRS)
-        left = now.where("root <> top").select("tree", "region", F.col("node").alias("x"), F.col("root").alias("rx"),
-                                               F.col("n").alias("nx"))
-        right = now.select("tree", "region", F.col("node").alias("y"), F.col("root").alias("ry"), F.col("n").alias("ny"))
-        cross = left.join(right, ["tree", "region"]).where(
-            (F.col("rx") != F.col("ry"))
-            & (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")))
-        found.append(cross.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-        if depth < LEVELS:
-            seen = Observation()
-            rows = stage(open_rows.where(F.col("work") > REGION_PAIRS).select("tree", "sig", "node", "n", "root"),
-                         "grouped", seen)
-    label = near
-    if found:
-        cross = found[0]
-        for f in found[1:]:
-            cross = cross.unionByName(f)
-        links = _confirmed(cross.distinct(), sets, percent)
-        of = lambda c: near.select(F.col("node").alias(c), F.col("root").alias(f"r{c}"))
-        links = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(
-            F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
-        links = stage(links, "late")
-        merged = components(links)
-        roots = near.unionByName(links.select(F.col("a").alias("node"), F.col("a").alias("root")).unionByName(
-            links.select(F.col("b").alias("node"), F.col("b").alias("root")))).groupBy("node").agg(
-            F.min("root").alias("root"))
-        label = roots.join(merged.select(F.col("node").alias("root"), F.col("root").alias("_r")), "root", "left").select(
-            "node", F.coalesce("_r", "root").alias("root"))
+            "tree", f"r{depth}", F.col("top.root").alias(f"top{depth}"), work.alias(f"work{depth}"))
+        # A region of one group needs nothing, nor do the regions inside it.
+        how = "inner" if depth == BASE_DEPTH else "left"
+        keyed = keyed.withColumn(f"r{depth}", region(depth)).join(mixed, ["tree", f"r{depth}"], how)
+    at = F.lit(LEVELS)
+    for depth in range(LEVELS - 1, BASE_DEPTH - 1, -1):
+        at = F.when(F.col(f"work{depth}").isNull() | (F.col(f"work{depth}") <= REGION_PAIRS), depth).otherwise(at)
+    keyed = keyed.withColumn("depth", at)
+    pick = lambda name: F.coalesce(*[
+        F.when(F.col("depth") == d, F.col(f"{name}{d}")) for d in range(BASE_DEPTH, LEVELS + 1)])
+    open_rows = stage(keyed.select("tree", "node", "n", "root", pick("r").alias("region"), pick("top").alias("top")).where(
+        "top is not null"), "regions")
+    left = open_rows.where("root <> top").select(
+        "tree", "region", F.col("node").alias("x"), F.col("root").alias("rx"), F.col("n").alias("nx"))
+    right = open_rows.select("tree", "region", F.col("node").alias("y"), F.col("root").alias("ry"), F.col("n").alias("ny"))
+    # The region's bytes tell its depth, so one join serves all depths.
+    cross = left.join(right, ["tree", "region"]).where(
+        (F.col("rx") != F.col("ry")) & (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")))
+    cross = cross.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    links = _confirmed(cross, sets, percent)
+    of = lambda c: near.select(F.col("node").alias(c), F.col("root").alias(f"r{c}"))
+    links = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(
+        F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+    links = stage(links.distinct(), "late")
+    merged = components(links)
+    ends = links.select(F.explode(F.array("a", "b")).alias("node")).select("node", F.col("node").alias("root"))
+    roots = near.unionByName(ends).groupBy("node").agg(F.min("root").alias("root"))
+    label = roots.join(merged.select(F.col("node").alias("root"), F.col("root").alias("_r")), "root", "left").select(
+        "node", F.coalesce("_r", "root").alias("root"))
     member = nodes.select("node", "rep").join(label, "node", "left").select(
         "node", "rep", F.coalesce("root", "node").alias("root"))
-    member = stage(member, "members")
     smallest = member.groupBy("root").agg(F.min("rep").alias("component_id"))
     of_node = member.join(smallest, "root").select("node", "component_id")
     out = feats.select("doc_id", "n_shingles", "node").join(of_node, "node", "left")

@@ -1,0 +1,41 @@
+"""Small frames shared by the operator tests."""
+
+from __future__ import annotations
+
+import re
+
+DOC_SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+WORD = re.compile("[^\x20\x09-\x0d]+")
+
+#: Nulls in every column, empty, blank and very long texts, ties and repeated rows.
+ODD_DOCS = [
+    (1, None, None, None, None),
+    (2, "", "en", "a", 0),
+    (3, " \t\r\n ", "en", "a", 5),
+    (None, "a text without an id but with words of its own", "en", None, 46),
+    (5, "one two three four five six seven eight", "en", "a", 40),
+    (6, "One TWO three four five six seven eight", "de", "b", 40),
+    (6, "One TWO three four five six seven eight", "de", "b", 40),
+    (7, "word " * 30000, "en", "b", 150000),
+    (8, "short", None, "b", 5),
+    (9, "short", "fr", "c", 5),
+    (10, "x" * 200000, "fr", "c", 200000),
+]
+
+
+def odd_docs(spark):
+    """The odd rows with extra columns whose names clash with working names."""
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame(ODD_DOCS, DOC_SCHEMA)
+    for name in ("score", "size", "node", "p", "root", "key", "taken", "shard", "_block", "y"):
+        df = df.withColumn(name, F.lit("clash"))
+    return df
+
+
+def no_docs(spark):
+    return spark.createDataFrame([], DOC_SCHEMA)
+
+
+def word_list(text):
+    return WORD.findall("" if text is None else text)
