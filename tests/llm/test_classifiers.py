@@ -105,7 +105,7 @@ def test_isotonic_is_increasing_and_pools():
 
 def test_features_of_one_text():
     f = dict(zip(quality.FEATURES, quality.featurise(pa.array(["THE!! THE!! the a"]))[0]))
-    assert abs(f["log_words"] - np.log(5)) < 1e-9 and f["caps_words"] == 0 and f["repeat_words"] == 0.25
+    assert abs(f["log_words"] - np.log(5)) < 1e-9 and f["caps_words"] == 0.5 and f["repeat_words"] == 0.25
     assert f["exclaim"] == 1.0 and f["title_words"] == 0.5
     assert (quality.featurise(pa.array([None, "", " \n"])) == 0).all()
 
