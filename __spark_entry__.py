@@ -98,6 +98,7 @@ SELECT 'source' AS topic, CAST(event_id % 4 AS INT) AS "partition",
          WHEN event_id % 73 = 0 THEN '  ' || CAST(user_id AS VARCHAR) || 'abc,' || event_type || ', '
                                      || props || ' ,' || {_CONT} || ' '
          WHEN event_id % 71 = 0 THEN '99999999999999999999,' || event_type || ',' || props || ',' || {_CONT}
+         WHEN event_id % 67 = 0 THEN CAST(user_id AS VARCHAR) || '_000,' || event_type || ',' || props || ',' || {_CONT}
          ELSE {_CLEAN}
        END AS value
 FROM events
@@ -113,10 +114,8 @@ def _decoded(src: str) -> str:
        SELECT *, string_split(regexp_replace(coalesce(value, ''), '^{_WS}+|{_WS}+$', '', 'g'), ',') AS _p
        FROM ({src})),
      d1 AS (
-       SELECT *, regexp_extract(_p[1], '^([+-]?[0-9_]+)', 1) AS _digits FROM d0),
-     d2 AS (
-       SELECT *, CASE WHEN strpos(_digits, '_') > 0 THEN NULL
-                      ELSE try_cast(nullif(_digits, '') AS BIGINT) END AS id64 FROM d1)
+       SELECT *, regexp_extract(_p[1], '^([+-]?[0-9]+)', 1) AS _digits FROM d0),
+     d2 AS (SELECT *, try_cast(nullif(_digits, '') AS BIGINT) AS id64 FROM d1)
      SELECT * EXCLUDE (_p, _digits, id64),
             CASE WHEN len(_p) <> 4 THEN 'field_count' WHEN id64 IS NULL THEN 'id' END AS reject_reason,
             CASE WHEN len(_p) = 4 AND id64 IS NOT NULL

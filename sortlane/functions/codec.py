@@ -8,8 +8,8 @@ Decode rules (each one a fixed behaviour of the original line format):
 2. Split on every comma keeping empty fields; exactly 4 fields, else the line
    is rejected with ``field_count`` (an empty line has one field).
 3. The id is an optional sign followed by the leading decimal digits; trailing
-   text after the digits is ignored (``12abc`` -> 12).  No digits, a digit
-   separator ``_`` inside the digits, or a value beyond 64 bits -> ``id``.
+   text after the digits is ignored (``12abc`` -> 12, ``1_000`` -> 1).  No
+   digits or a value beyond 64 bits -> ``id``.
 4. The 64-bit value narrows to 32 bits by two's-complement wrap-around
    (``2147483648`` -> ``-2147483648``); Spark's ANSI cast would raise instead.
 """
@@ -29,8 +29,8 @@ WHITE_SPACE = (
     + "".join(chr(c) for c in range(0x2000, 0x200B))
     + "\u2028\u2029\u202f\u205f\u3000"
 )
-# Optional sign, then the digit run (an embedded '_' makes the cast fail).
-ID_PATTERN = r"^([+-]?[0-9_]+)"
+# Optional sign, then the digits up to the first other character.
+ID_PATTERN = r"^([+-]?[0-9]+)"
 
 REJECT_FIELD_COUNT = "field_count"
 REJECT_ID = "id"

@@ -84,6 +84,7 @@ def dirty_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(e % 79 == 0, F.lit(""))
         .when(e % 73 == 0, F.concat(F.lit("  "), u.cast("string"), F.lit("abc,"), et, F.lit(", "), props, F.lit(" ,"), cont, F.lit(" ")))
         .when(e % 71 == 0, F.concat(F.lit("99999999999999999999,"), et, F.lit(","), props, F.lit(","), cont))
+        .when(e % 67 == 0, F.concat(u.cast("string"), F.lit("_000,"), et, F.lit(","), props, F.lit(","), cont))
         .otherwise(_clean_value())
     )
     return _log_frame(events, value)

@@ -29,7 +29,7 @@ BAD = [
     ("x,a,b,c", "id"),
     (",a,b,c", "id"),
     ("-,a,b,c", "id"),
-    ("1_000,a,b,c", "id"),
+    ("_1,a,b,c", "id"),
     ("1,2,3", "field_count"),
     ("1,a,b,c,d", "field_count"),
     ("", "field_count"),

@@ -23,8 +23,8 @@ def model(line: str | None):
     parts = s[i:j].split(",")
     if len(parts) != 4:
         return "field_count"
-    m = re.match(r"[+-]?[0-9_]+", parts[0])
-    if not m or "_" in m.group(0) or not re.search(r"[0-9]", m.group(0)):
+    m = re.match(r"[+-]?[0-9]+", parts[0])
+    if not m:
         return "id"
     v = int(m.group(0))
     if not -(2**63) <= v < 2**63:
