@@ -33,7 +33,7 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     names = [
         # sources: S1 S2 S3 S4 S5 S6 S7
-        "generate_records", "log_read_first_n", "log_read_resume", "log_read_partition",
+        "generate_records", "log_read_first_n", "log_read_gaps", "log_read_resume", "log_read_partition",
         "topic_offsets", "log_head", "read_lines",
         # sinks: K1 K2 K3 K4 K5
         "publish_balanced", "publish_hash_keyed", "publish_sorted", "stage_snapshot",
@@ -53,7 +53,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_runs", "stream_fanout", "stream_keyed_publish", "stream_rejects",
         "stream_resume", "stream_tail_flush", "stream_progress",
         # end-to-end jobs: L1 L2 L3
-        "batch_job", "stream_job", "validate_all",
+        "batch_job", "batch_resume", "stream_job", "validate_all",
     ]
     out = {n: getattr(catalog, f"q_{n}") for n in names}
     if llm is not None:
@@ -147,13 +147,14 @@ WITH g AS (
   SELECT o_orderkey AS rid,
          md5('42:' || CAST(o_orderkey AS VARCHAR) || ':a') AS ha,
          md5('42:' || CAST(o_orderkey AS VARCHAR) || ':b') AS hb,
-         md5('42:' || CAST(o_orderkey AS VARCHAR) || ':c') AS hc
+         md5('42:' || CAST(o_orderkey AS VARCHAR) || ':c') AS hc,
+         md5('42:' || CAST(o_orderkey AS VARCHAR) || ':d') AS hd
   FROM orders),
 b AS (SELECT *, CAST(('0x' || substr(hc, 9, 6)) AS INTEGER) AS c456 FROM g)
 SELECT rid,
   CAST(CAST(('0x' || substr(hc, 17, 8)) AS BIGINT) % 2147483648 AS INT) AS id,
-  substr(translate(lower(to_base64(unhex(ha))), '0123456789+/', 'abcdefghijkl'), 1, 10 + (c456 >> 16) % 6) AS name,
-  substr(translate(to_base64(unhex(hb)), '+/', ' a'), 1, 15 + ((c456 >> 8) & 255) % 6) AS address,
+  substr(rpad(translate(lower(to_base64(unhex(ha || hd))), '0123456789+/=', ''), 43, 'a'), 1, 10 + (c456 >> 16) % 6) AS name,
+  substr(translate(to_base64(unhex(hb || hd)), '+/=', ' '), 1, 15 + ((c456 >> 8) & 255) % 6) AS address,
   ({_CONTINENT_LIST})[(c456 & 255) % 6 + 1] AS continent
 FROM b
 """
@@ -198,7 +199,7 @@ def _check_sorted(key: str, log: str) -> str:
     plast = [f"lag(last_{c}) OVER (PARTITION BY topic ORDER BY \"partition\") AS pl_{c}" for c in cols]
     return f"""
     WITH d AS (SELECT topic, "partition", "offset", {', '.join(cols)}
-               FROM {_decoded(log)} WHERE reject_reason IS NULL),
+               FROM {_decoded(log)} WHERE reject_reason IS NULL AND topic = '{key}'),
     l AS (SELECT *, {', '.join(prev)} FROM d
           WINDOW w AS (PARTITION BY topic, "partition" ORDER BY "offset")),
     within AS (SELECT topic, CAST(sum(CASE WHEN {_less(cols, ['prev_' + c for c in cols])} THEN 1 ELSE 0 END)
@@ -233,9 +234,14 @@ def _check_schema(log: str) -> str:
     )
 
 
+_REQUIRED = "['source', 'id', 'name', 'continent']"
+
+
 def _count_reconcile(log: str) -> str:
     return f"""
-    WITH p AS {log}, c AS (SELECT topic, count(*) AS n FROM p GROUP BY topic),
+    WITH p AS {log},
+    c AS (SELECT t.topic, count(p.topic) AS n FROM (SELECT unnest({_REQUIRED}) AS topic) t
+          LEFT JOIN p ON p.topic = t.topic GROUP BY t.topic),
     s AS (SELECT coalesce(max(n) FILTER (WHERE topic = 'source'), 0) AS n_source FROM c)
     SELECT topic, n, n_source, n = n_source AS ok FROM c, s"""
 
@@ -253,10 +259,6 @@ def _multiset(log: str) -> str:
     WHERE coalesce(t.c, 0) <> coalesce(s.c, 0)"""
 
 
-_REQUIRED = "['source', 'id', 'name', 'continent']"
-
-
-
 def _validate_all(log_expr: str) -> str:
     """L3 over a parenthesized log expression."""
     plog = f"SELECT * FROM {log_expr}"
@@ -370,6 +372,8 @@ def _library_sql() -> dict[str, str]:
         "generate_records": _GENERATED,
         "log_read_first_n": f"""SELECT * FROM ({_LOG})
             QUALIFY row_number() OVER (ORDER BY "partition", "offset") <= 6001""",
+        "log_read_gaps": f"""SELECT * REPLACE ("offset" * 10 AS "offset") FROM ({_LOG})
+            QUALIFY row_number() OVER (ORDER BY "partition", "offset") <= 6001""",
         "log_read_resume": f"""SELECT * FROM ({_LOG})
             QUALIFY row_number() OVER (ORDER BY "partition", "offset") > 6001""",
         "log_read_partition": f"""SELECT * FROM ({_LOG}) WHERE "partition" = 2""",
@@ -400,7 +404,7 @@ def _library_sql() -> dict[str, str]:
                        FROM ({_RECORDS})),
             l AS (SELECT *, (pos * 4) // total AS p FROM r)
             SELECT 'name' AS topic, CAST(p AS INT) AS "partition", CAST(pos - (p * total + 3) // 4 AS BIGINT) AS "offset",
-                   CAST(NULL AS VARCHAR) AS key, {_ENC} AS value FROM l""",
+                   CAST(NULL AS VARCHAR) AS key, {_ENC} AS value FROM l WHERE p < 2""",
         # checks
         "check_schema": _check_schema(_DIRTY),
         "schema_violations": " UNION ALL ".join(
@@ -434,7 +438,14 @@ def _library_sql() -> dict[str, str]:
             UNION ALL SELECT 'consumed', count(*) FROM d
             UNION ALL SELECT 'rejected', count(*) FILTER (WHERE reject_reason IS NOT NULL) FROM d
             UNION ALL SELECT 'sorted', 3 * count(*) FILTER (WHERE reject_reason IS NULL) FROM d
-            UNION ALL SELECT 'produced', 3 * count(*) FILTER (WHERE reject_reason IS NULL) FROM d""",
+            UNION ALL SELECT 'produced', 3 * count(*) FILTER (WHERE reject_reason IS NULL) FROM d
+            UNION ALL SELECT unnest(['generation_errors', 'sorting_errors', 'production_errors']), 0""",
+        "run_report": f"""
+            WITH d AS (SELECT count(*) AS n, count(*) FILTER (WHERE reject_reason IS NULL) AS good FROM {_decoded(_DIRTY)})
+            SELECT 'snapshot' AS stage, n AS "rows", true AS timed FROM d
+            UNION ALL SELECT unnest(['sort_id', 'sort_name', 'sort_continent', 'publish_id', 'publish_name',
+                                     'publish_continent']), good, true FROM d
+            UNION ALL SELECT 'overall', 3 * good, true FROM d""",
         # windows
         "check_sorted_id": _check_sorted("id", f"SELECT * FROM {_published(_LOG)}"),
         "check_sorted_name": _check_sorted("name", f"SELECT * FROM {_published(_LOG)}"),
@@ -449,6 +460,20 @@ def _library_sql() -> dict[str, str]:
                    max("offset") AS last_offset, count(*) AS n FROM r GROUP BY topic, "partition", run_no""",
         # end-to-end jobs
         "batch_job": f"SELECT * FROM {_published(_LOG)}",
+        "batch_resume": f"""
+            WITH src AS (SELECT *, row_number() OVER (ORDER BY "partition", "offset") > 6001 AS late FROM ({_LOG})),
+            rec AS (SELECT "partition" AS sp, "offset" AS so, late, id, name, address, continent
+                    FROM {_accepted('SELECT * FROM src')}),
+            srt AS (
+              SELECT 'id' AS topic, *, row_number() OVER (PARTITION BY late ORDER BY id, sp, so) - 1 AS pos FROM rec
+              UNION ALL
+              SELECT 'name', *, row_number() OVER (PARTITION BY late ORDER BY name, id, sp, so) - 1 FROM rec
+              UNION ALL
+              SELECT 'continent', *, row_number() OVER (PARTITION BY late ORDER BY continent, id, sp, so) - 1 FROM rec),
+            lay AS (SELECT *, (pos * 4) // count(*) OVER (PARTITION BY topic, late) AS p FROM srt)
+            SELECT topic, CAST(p AS INT) AS "partition",
+                   row_number() OVER (PARTITION BY topic, p ORDER BY late, pos) - 1 AS "offset",
+                   CAST(NULL AS VARCHAR) AS key, {_ENC} AS value FROM lay""",
         "validate_all": _validate_all(_published(_LOG)),
         # streaming
         "stream_runs": f"""

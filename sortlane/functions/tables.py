@@ -35,12 +35,3 @@ def small_table(spark: SparkSession, rows: Iterable[Sequence], schema: str) -> D
     values = ", ".join("(" + ", ".join(_sql_literal(v) for v in r) + ")" for r in rows)
     select = ", ".join(f"CAST({c} AS {t}) AS {c}" for c, t in zip(cols, types))
     return spark.sql(f"SELECT {select} FROM VALUES {values} AS t({', '.join(cols)})")
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast hint only when ``df`` is proven small (counted); otherwise the
-    planner keeps a shuffle join.  For caller-supplied side tables whose size
-    is not bounded by construction."""
-    from pyspark.sql import functions as F
-
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

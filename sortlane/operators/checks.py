@@ -21,8 +21,10 @@ from ..functions.codec import decode
 from ..functions.tables import small_table
 from ..schema import (ADDRESS_LEN, CONTINENTS, NAME_LEN, REQUIRED_TOPICS, SORT_KEYS,
                       SOURCE_TOPIC)
+from .order import stage
 
-DEFAULT_BLOCK = 1 << 20
+#: Offsets per block: bounds the rows of one window group at any scale.
+DEFAULT_BLOCK = 1 << 16
 
 
 # ---- P1-P3: record rules ------------------------------------------------------
@@ -81,14 +83,18 @@ def check_charset(records: DataFrame) -> DataFrame:
     )).select("rule", F.coalesce("violations", F.lit(0)).cast("bigint").alias("violations"))
 
 
-def check_topics(spark: SparkSession, log: DataFrame,
-                 required: Sequence[str] = REQUIRED_TOPICS) -> DataFrame:
+def check_topics(spark: SparkSession, log: DataFrame, required: Sequence[str] = REQUIRED_TOPICS,
+                 existing: Sequence[str] | None = None) -> DataFrame:
     """``(topic, present)`` for every required topic.
 
-    The distinct-topic aggregate is tiny (one row per topic) and the required
-    list is a literal, so the join is broadcast.
+    ``existing``: the topics of the log table (``sources.log.list_topics``), so
+    that an empty topic is present.  Without it a topic exists if it has a
+    message.  Both sides have one row per topic.
     """
     want = small_table(spark, [(t,) for t in required], "topic string")
+    if existing is not None:
+        return want.select("topic", F.col("topic").isin(*existing).alias("present") if existing
+                           else F.lit(False).alias("present"))
     have = log.select("topic").distinct().withColumn("present", F.lit(True))
     return want.join(F.broadcast(have), "topic", "left").select(
         "topic", F.coalesce("present", F.lit(False)).alias("present"))
@@ -101,18 +107,18 @@ def count_by_topic(log: DataFrame) -> DataFrame:
     return log.groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("n"))
 
 
-def count_reconcile(log: DataFrame, source: str = SOURCE_TOPIC) -> DataFrame:
-    """A2: every topic's message count against the source topic's: ``(topic, n, n_source, ok)``."""
+def count_reconcile(log: DataFrame, source: str = SOURCE_TOPIC,
+                    required: Sequence[str] = REQUIRED_TOPICS) -> DataFrame:
+    """A2: every required topic's message count against the source topic's:
+    ``(topic, n, n_source, ok)``; a topic without messages has n = 0."""
     per_topic = log.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
-    src = per_topic.where(F.col("topic") == source).select(F.col("n").alias("n_source"))
-    # src has at most one row and per_topic one row per topic: a constant-key
-    # broadcast hash join, no cartesian product.
-    return (
-        per_topic.withColumn("_k", F.lit(1))
-        .join(F.broadcast(src.withColumn("_k", F.lit(1))), "_k", "left")
-        .select("topic", "n", F.coalesce("n_source", F.lit(0)).alias("n_source"),
-                (F.col("n") == F.coalesce("n_source", F.lit(0))).alias("ok"))
-    )
+    want = small_table(log.sparkSession, [(t,) for t in required], "topic string")
+    counts = want.join(F.broadcast(per_topic), "topic", "left").select(
+        "topic", F.coalesce("n", F.lit(0)).alias("n"))
+    # One row per required topic.
+    n_source = F.coalesce(F.max(F.when(F.col("topic") == source, F.col("n"))).over(Window.partitionBy()), F.lit(0))
+    return counts.withColumn("n_source", n_source).select(
+        "topic", "n", "n_source", (F.col("n") == F.col("n_source")).alias("ok"))
 
 
 def multiset_reconcile(log: DataFrame, targets: Sequence[str] = tuple(SORT_KEYS),
@@ -146,28 +152,13 @@ def _key_struct(key: str) -> Column:
     return F.struct(*[F.col(c) for c in SORT_KEYS[key]])
 
 
-def _auto_block(log: DataFrame) -> int:
-    """Offset block size giving about four window groups per shuffle partition.
-
-    Clamped to [4096, DEFAULT_BLOCK]: the upper bound caps the rows one task
-    holds in a window group at any scale; the lower bound keeps the block
-    summary small.  One aggregate over the ``offset`` column only.
-    """
-    r = log.agg((F.max("offset") - F.min("offset") + 1).alias("span"),
-                F.countDistinct("topic", "partition").alias("parts")).first()
-    span, parts = int(r["span"] or 0), int(r["parts"] or 0)
-    target = 4 * int(log.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(4096, min(DEFAULT_BLOCK, -(-span * parts // max(target, 1))))
-
-
-def _descents(log: DataFrame, key: str, block: int | None) -> tuple[DataFrame, DataFrame]:
+def _descents(log: DataFrame, key: str, block: int) -> tuple[DataFrame, DataFrame]:
     """Per-row descent flags inside offset blocks, and the per-block summary.
 
     Rejected lines keep their place with a NULL key and are skipped: each
     valid row is compared with the last valid key before it.  (Filtering them
     out first would make the optimizer evaluate the decode twice.)
     """
-    block = block or _auto_block(log)
     recs = decode(log).select(
         "topic", "partition", "offset",
         F.when(F.col("reject_reason").isNull(), _key_struct(key)).alias("_k"),
@@ -176,6 +167,11 @@ def _descents(log: DataFrame, key: str, block: int | None) -> tuple[DataFrame, D
         Window.unboundedPreceding, -1)
     rows = recs.withColumn("_desc", F.coalesce(
         (F.col("_k") < F.last("_k", ignorenulls=True).over(w)).cast("int"), F.lit(0)))
+    return rows, _block_summary(rows)
+
+
+def _block_summary(rows: DataFrame) -> DataFrame:
+    """One row per offset block: first and last valid key, descents inside and at its seam."""
     valid_at = F.when(F.col("_k").isNotNull(), F.col("offset"))
     blocks = rows.groupBy("topic", "partition", "_blk").agg(
         F.min_by("_k", valid_at).alias("_first"),
@@ -186,13 +182,14 @@ def _descents(log: DataFrame, key: str, block: int | None) -> tuple[DataFrame, D
     # (one row per block).
     wb = Window.partitionBy("topic", "partition").orderBy("_blk").rowsBetween(
         Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_seam", F.coalesce(
+    return blocks.withColumn("_seam", F.coalesce(
         (F.col("_first") < F.last("_last", ignorenulls=True).over(wb)).cast("int"), F.lit(0)))
-    return rows, blocks
 
 
-def check_sorted(log: DataFrame, key: str, block: int | None = None) -> DataFrame:
-    """Descents in ``key`` order per topic: ``(check, topic, scope, violations, ok)``.
+def check_sorted(log: DataFrame, key: str, block: int = DEFAULT_BLOCK, topic: str | None = None) -> DataFrame:
+    """Descents in ``key`` order of its topic: ``(check, topic, scope, violations, ok)``.
+
+    Only that topic (by default the one named after the key) is read.
 
     ``within``: consecutive messages of one partition.  ``across``: last
     message of partition p against the first of partition p+1 (a sorted topic
@@ -200,7 +197,7 @@ def check_sorted(log: DataFrame, key: str, block: int | None = None) -> DataFram
     checks compare ``(field, id)`` so the id tie-break is verified too.  Both
     scopes come from one per-partition summary, so the log is scanned once.
     """
-    _, blocks = _descents(log, key, block)
+    _, blocks = _descents(log.where(F.col("topic") == (topic or key)), key, block)
     parts = blocks.groupBy("topic", "partition").agg(
         (F.sum("_inner") + F.sum("_seam")).alias("_within"),
         F.min_by("_first", F.when(F.col("_first").isNotNull(), F.col("_blk"))).alias("_first"),
@@ -216,14 +213,17 @@ def check_sorted(log: DataFrame, key: str, block: int | None = None) -> DataFram
                       (F.col("violations") == 0).alias("ok"))
 
 
-def detect_runs(log: DataFrame, key: str, block: int | None = None) -> DataFrame:
+def detect_runs(log: DataFrame, key: str, block: int = DEFAULT_BLOCK) -> DataFrame:
     """Maximal non-descending stretches per partition:
     ``(topic, partition, run_no, first_offset, last_offset, n)`` (valid lines only).
 
     ``run_no`` = descents before the row = earlier blocks' descents (prefix
     sum over the block summary) + the running count inside the block.
     """
-    rows, blocks = _descents(log, key, block)
+    # Staged: the flagged rows serve the block summary and the numbering.
+    flagged, _ = _descents(log, key, block)
+    rows = stage(flagged, "flagged")
+    blocks = _block_summary(rows)
     wb = Window.partitionBy("topic", "partition").orderBy("_blk").rowsBetween(
         Window.unboundedPreceding, -1)
     bases = blocks.select(
@@ -239,65 +239,52 @@ def detect_runs(log: DataFrame, key: str, block: int | None = None) -> DataFrame
         F.count(F.lit(1)).alias("n"))
 
 
+def _print_sums() -> list[Column]:
+    """Additive fingerprint of the lines: count and two salted hash sums."""
+    v = F.coalesce(F.col("value"), F.lit(""))
+    salted = lambda salt: F.sum(F.xxhash64(F.lit(salt), v).cast("decimal(38,0)"))
+    return [F.count(F.lit(1)).alias("n"), salted("first").alias("h1"), salted("second").alias("h2")]
+
+
 def multiset_fingerprint(log: DataFrame, topics: Sequence[str]) -> DataFrame:
     """Order-free fingerprint per topic: ``(topic, n, h1, h2)``.
 
-    ``h1``/``h2`` are exact (decimal) sums of two independent 64-bit hashes
-    of each line, an additive multiset hash: equal multisets always give equal
-    fingerprints, different ones collide with probability about 2^-64.  One
-    scan with map-side partial sums; no line is shuffled.
+    ``h1``/``h2`` are exact (decimal) sums of a 64-bit hash of each line, seeded
+    by a salt that is hashed before the line.  Equal multisets always give
+    equal fingerprints; different ones collide only by chance.  One scan with
+    map-side partial sums; no line is shuffled.
     """
-    v = F.coalesce(F.col("value"), F.lit(""))
-    return log.where(F.col("topic").isin(*topics)).groupBy("topic").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.xxhash64(v).cast("decimal(38,0)")).alias("h1"),
-        F.sum(F.xxhash64(v, F.lit("multiset")).cast("decimal(38,0)")).alias("h2"),
-    )
+    return log.where(F.col("topic").isin(*topics)).groupBy("topic").agg(*_print_sums())
 
 
-def _permutation(spark: SparkSession, log: DataFrame,
-                 targets: Sequence[str] = tuple(SORT_KEYS), source: str = SOURCE_TOPIC) -> DataFrame:
-    """Line differences per target topic (a row for every target, zero when equal).
+def validate_all(spark: SparkSession, log: DataFrame, block: int = DEFAULT_BLOCK,
+                 existing: Sequence[str] | None = None) -> DataFrame:
+    """L3: every check as ``(check, scope, violations, ok)``; all are reported.
 
-    Fast path: topics whose multiset fingerprint equals the source's have no
-    difference.  Only the others (a failed check) pay for the exact
-    ``(topic, value)`` aggregation that counts the differing lines.
+    One pass per topic gives topics, counts, record rules and fingerprints; one
+    pass of each sorted topic gives its order.  ``permutation`` is decided by
+    the fingerprint (equal multisets always pass; that different ones pass is a
+    matter of chance, about 2**-64); only topics whose fingerprint differs pay for the exact count of
+    differing lines.  ``existing``: see ``check_topics``.
     """
-    prints = {r["topic"]: (r["n"], r["h1"], r["h2"])
-              for r in multiset_fingerprint(log, [source, *targets]).collect()}  # <= 4 rows
-    src = prints.get(source, (0, None, None))
-    suspect = [t for t in targets if prints.get(t, (0, None, None)) != src]
-    rows = [(t, 0) for t in targets if t not in suspect]
-    out = small_table(spark, rows, "scope string, violations bigint") if rows else None
+    rules = _schema_rules(F.col("value"))
+    got = {r["topic"]: r for r in log.groupBy("topic").agg(*_print_sums(), *[
+        F.sum(F.when(ok, 0).otherwise(1)).alias(name) for name, ok in rules]).collect()}  # one row per topic
+    of = lambda topic, col, none=0: got[topic][col] if topic in got else none
+    there = set(existing) if existing is not None else set(got)
+    rows = [("topics", t, 0 if t in there else 1) for t in REQUIRED_TOPICS]
+    rows += [("schema", name, of(SOURCE_TOPIC, name)) for name, _ in rules]
+    rows += [("counts", t, abs(of(t, "n") - of(SOURCE_TOPIC, "n"))) for t in REQUIRED_TOPICS]
+    prints = {t: (of(t, "n"), of(t, "h1", None), of(t, "h2", None)) for t in REQUIRED_TOPICS}
+    suspect = [t for t in SORT_KEYS if prints[t] != prints[SOURCE_TOPIC]]
+    rows += [("permutation", t, 0) for t in SORT_KEYS if t not in suspect]
     if suspect:
-        diffs = multiset_reconcile(log, suspect, source).groupBy("topic").agg(
-            F.sum(F.abs(F.col("n_topic") - F.col("n_source"))).cast("bigint").alias("violations"))
-        wanted = small_table(spark, [(t,) for t in suspect], "topic string")
-        exact = wanted.join(F.broadcast(diffs), "topic", "left").select(
-            F.col("topic").alias("scope"), F.coalesce("violations", F.lit(0)).cast("bigint").alias("violations"))
-        out = exact if out is None else out.unionByName(exact)
-    return out.select(F.lit("permutation").alias("check"), "scope", "violations")
-
-
-def validate_all(spark: SparkSession, log: DataFrame, block: int | None = None) -> DataFrame:
-    """L3: every check as ``(check, scope, violations, ok)``; all are reported."""
-    parts = [
-        check_topics(spark, log).select(
-            F.lit("topics").alias("check"), F.col("topic").alias("scope"),
-            F.when(F.col("present"), 0).otherwise(1).cast("bigint").alias("violations")),
-        check_schema(log).select(
-            F.lit("schema").alias("check"), F.col("rule").alias("scope"), "violations"),
-        count_reconcile(log).select(
-            F.lit("counts").alias("check"), F.col("topic").alias("scope"),
-            F.abs(F.col("n") - F.col("n_source")).cast("bigint").alias("violations")),
-        _permutation(spark, log),
-    ]
+        diffs = multiset_reconcile(log, suspect).groupBy("topic").agg(
+            F.sum(F.abs(F.col("n_topic") - F.col("n_source"))).alias("d"))
+        exact = {r["topic"]: r["d"] for r in diffs.collect()}  # one row per topic
+        rows += [("permutation", t, exact.get(t, 0)) for t in suspect]
+    out = small_table(spark, [(c, t, int(v)) for c, t, v in rows], "check string, scope string, violations bigint")
     for key in SORT_KEYS:
-        parts.append(
-            check_sorted(log.where(F.col("topic") == key), key, block).select(
-                "check", F.concat_ws(":", "topic", "scope").alias("scope"), "violations"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        out = out.unionByName(check_sorted(log, key, block).select(
+            "check", F.concat_ws(":", "topic", "scope").alias("scope"), "violations"))
     return out.withColumn("ok", F.col("violations") == 0)
-

@@ -40,14 +40,18 @@ def _cols(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
-def stage(df: DataFrame, name: str = "stage", observation: Observation | None = None) -> DataFrame:
+def stage(df: DataFrame, name: str = "stage", observation: Observation | None = None,
+          folders: list[str] | None = None) -> DataFrame:
     """Write ``df`` once as parquet in the shared work folder and read it back.
 
     Cuts lineage (retries re-read the table instead of re-running upstream
     shuffles) and freezes nondeterministic columns such as sampled buckets.
     ``observation`` (optional) receives ``rows``, counted during the write.
+    ``folders`` (optional) gets the path, for the caller to remove when done.
     """
     path = work_path(df.sparkSession, name)
+    if folders is not None:
+        folders.append(path)
     if observation is not None:
         df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
     df.write.mode("overwrite").parquet(path)
@@ -80,18 +84,19 @@ def number_staged(staged: DataFrame, pos_col: str = "pos",
 
 def with_position(df: DataFrame, order: Sequence[str | Column], pos_col: str = "pos",
                   num_buckets: int | None = None, total_col: str | None = None,
-                  observation: Observation | None = None) -> DataFrame:
+                  observation: Observation | None = None, folders: list[str] | None = None) -> DataFrame:
     """Add the 0-based rank of each row in ``order`` (which must be total).
 
     Without ``num_buckets`` the range exchange uses ``spark.sql.shuffle.partitions``
     cut points and AQE may merge *adjacent* small ranges (it never splits or
     reorders them), so a small input does not leave thousands of near-empty
-    buckets while a large one keeps every bucket near the advisory size.
+    buckets while a large one keeps every bucket near the advisory size.  At
+    scale give ``num_buckets`` so that a bucket's rows fit a task's sort memory.
     """
     keys = _cols(order)
     ranged = df.repartitionByRange(num_buckets, *keys) if num_buckets else df.repartitionByRange(*keys)
     ordered = ranged.sortWithinPartitions(*keys).withColumn("_mid", F.monotonically_increasing_id())
-    return number_staged(stage(ordered, "pos", observation), pos_col, total_col)
+    return number_staged(stage(ordered, "pos", observation, folders), pos_col, total_col)
 
 
 def with_index(df: DataFrame, pos_col: str = "idx", total_col: str | None = None) -> DataFrame:
@@ -103,10 +108,10 @@ def with_index(df: DataFrame, pos_col: str = "idx", total_col: str | None = None
 def sort_records(df: DataFrame, key: str, tiebreak: Sequence[str] = ("rid",),
                  pos_col: str = "pos", num_buckets: int | None = None,
                  total_col: str | None = None,
-                 observation: Observation | None = None) -> DataFrame:
+                 observation: Observation | None = None, folders: list[str] | None = None) -> DataFrame:
     """Order records by a named key plus a total tie-break, with ``pos``."""
     order = sort_key_columns(key) + [c for c in tiebreak if c not in SORT_KEYS[key]]
-    return with_position(df, order, pos_col, num_buckets, total_col, observation)
+    return with_position(df, order, pos_col, num_buckets, total_col, observation, folders)
 
 
 def sort_by_id(df: DataFrame, tiebreak: Sequence[str] = ("rid",)) -> DataFrame:
@@ -123,7 +128,7 @@ def sort_by_continent(df: DataFrame, tiebreak: Sequence[str] = ("rid",)) -> Data
 
 def sort_fanout(df: DataFrame, tiebreak: Sequence[str] = ("rid",),
                 keys: Sequence[str] = ("id", "name", "continent"),
-                total_col: str | None = None) -> DataFrame:
+                total_col: str | None = None, num_buckets: int | None = None) -> DataFrame:
     """One staged input, three orderings, tagged with ``sort_key``.
 
     The input should already be staged (``stage`` / K4) so the three sorts
@@ -132,7 +137,7 @@ def sort_fanout(df: DataFrame, tiebreak: Sequence[str] = ("rid",),
     """
     with ThreadPoolExecutor(max_workers=len(keys)) as pool:
         parts = list(pool.map(
-            lambda k: sort_records(df, k, tiebreak, total_col=total_col).withColumn("sort_key", F.lit(k)),
+            lambda k: sort_records(df, k, tiebreak, num_buckets=num_buckets, total_col=total_col).withColumn("sort_key", F.lit(k)),
             keys))
     out = parts[0]
     for p in parts[1:]:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import codec
 from ..operators import checks, order, runs
-from ..session import work_path
+from ..session import folder_state, work_path
 from ..sinks import publish
 from ..sources import fixtures, generate
 from ..sources import log as logsrc
@@ -93,6 +93,12 @@ def q_log_read_first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logsrc.read_first_n(fixtures.log(spark, sf_dir), "source", FIRST_N)
 
 
+def q_log_read_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 on a log with offset gaps (every tenth offset is used)."""
+    gaps = fixtures.log(spark, sf_dir).withColumn("offset", F.col("offset") * 10)
+    return logsrc.read_first_n(gaps, "source", FIRST_N)
+
+
 def q_log_read_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3: commit what a first-N consumer read, then resume the same group."""
     log = order.stage(fixtures.log(spark, sf_dir), "log")
@@ -143,22 +149,30 @@ def q_stage_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_publish_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K5: the same run published twice (a retry) reads back exactly once."""
+    """K5: run 9, its retry, then a shorter run 10 without the id topic: only run 10 is read."""
     base = work_path(spark, "idempotent")
-    srt = order.sort_records(fixtures.records(spark, sf_dir), "name", ["rid"], total_col="_total")
+    records = order.stage(fixtures.records(spark, sf_dir), "records")
+    srt = order.sort_records(records, "name", ["rid"], total_col="_total")
     msgs = order.stage(publish.publish_sorted(srt, "name"), "msgs")
-    publish.publish_idempotent(msgs, base, "run-1")
-    publish.publish_idempotent(msgs, base, "run-1")  # retry of the same run
+    both = msgs.unionByName(msgs.withColumn("topic", F.lit("id")))
+    publish.publish_idempotent(both, base, 9)
+    publish.publish_idempotent(both, base, 9)  # retry of the same run
+    publish.publish_idempotent(msgs.where("partition < 2"), base, 10)
     return publish.read_published(spark, base)
 
 
-# ---- batch-job log (memoized per session and input) ---------------------------
+# ---- batch-job log: one staged run per state of the events table -----------------
 
 _BATCH_RUNS: dict[tuple, BatchRun] = {}
 
 
+def _state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Changes with the session and with the files of the events table."""
+    return spark.sparkContext.applicationId, sf_dir, folder_state(spark, f"{sf_dir.rstrip('/')}/events.parquet")
+
+
 def batch_run(spark: SparkSession, sf_dir: str, dirty: bool = False) -> BatchRun:
-    key = (spark.sparkContext.applicationId, sf_dir, dirty)
+    key = (*_state(spark, sf_dir), dirty)
     if key not in _BATCH_RUNS:
         src = fixtures.dirty_log(spark, sf_dir) if dirty else fixtures.log(spark, sf_dir)
         _BATCH_RUNS[key] = run_batch(spark, src, on_error="skip" if dirty else "fail")
@@ -174,12 +188,23 @@ def q_batch_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch_log(spark, sf_dir)
 
 
+def q_batch_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1 with a consumer group: a bounded run, then the rest, appended to one log."""
+    src = order.stage(fixtures.log(spark, sf_dir), "log")
+    out, offsets = work_path(spark, "resume"), work_path(spark, "offsets")
+    for n in (FIRST_N, None):
+        run = run_batch(spark, src, out=out, consume=n, on_short="accept", group="g1", offsets_path=offsets)
+    return run.log(spark).where(F.col("topic") != "source")
+
+
 def q_run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch_run(spark, sf_dir, dirty=True).counters_frame(spark)
 
 
 def q_run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return batch_run(spark, sf_dir, dirty=True).report_frame(spark)
+    """A5: rows per stage and overall; times are reported as whether they were taken."""
+    return batch_run(spark, sf_dir, dirty=True).report_frame(spark).select(
+        "stage", "rows", (F.col("seconds") >= 0).alias("timed"))
 
 
 # ---- checks ------------------------------------------------------------------
@@ -261,9 +286,9 @@ _STREAMS: dict[tuple, StreamRuns] = {}
 
 def stream_run(spark: SparkSession, sf_dir: str, restart_after: int | None = None,
                flush: bool = False) -> StreamRuns:
-    """Memoized per session: the stream's output tables are the data product
-    every streaming query reads; flushing only adds the ``flush`` table."""
-    key = (spark.sparkContext.applicationId, sf_dir, restart_after)
+    """One run per state of the events table: its output tables are the data
+    product every streaming query reads; flushing only adds the ``flush`` table."""
+    key = (*_state(spark, sf_dir), restart_after)
     if key not in _STREAMS:
         _STREAMS[key] = _run_stream(spark, sf_dir, restart_after)
     runner = _STREAMS[key]

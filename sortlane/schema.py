@@ -46,7 +46,6 @@ LOG_PARTITIONS = 4
 DEFAULT_RUN_LENGTH = 1_000_000
 NAME_LEN = (10, 15)
 ADDRESS_LEN = (15, 20)
-ADDRESS_ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789 "
 
 # Sort keys: field order of each published ordering. A total tie-break
 # (row id or source position) is always appended by the caller, which is

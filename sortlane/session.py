@@ -67,5 +67,33 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{root}/work/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _folder(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any store Spark reaches; a missing folder has none.
+
+    Only a missing path counts as empty: any other storage error is raised.
+    """
+    fs, where = _folder(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(where)] if fs.exists(where) else []
+
+
+def folder_state(spark: SparkSession, path: str) -> tuple:
+    """Files of a table with sizes and times of change: differs when the table was rewritten."""
+    fs, where = _folder(spark, path)
+    files = fs.listStatus(where)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files))
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a staged folder that its owner no longer needs."""
+    fs, where = _folder(spark, path)
+    fs.delete(where, True)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

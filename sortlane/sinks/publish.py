@@ -13,20 +13,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codec import encode_line
+from ..functions.tables import small_table
 from ..operators.order import stage, with_index, with_position
-from ..schema import LOG_COLUMNS, LOG_PARTITIONS
+from ..schema import LOG_COLUMNS, LOG_PARTITIONS, LOG_SCHEMA
+from ..session import list_folder
 
 
-def write_log(log: DataFrame, path: str, mode: str = "overwrite", topic: str | None = None) -> None:
+def write_log(log: DataFrame, path: str, mode: str = "overwrite", topic: str | None = None,
+              run: int | None = None) -> None:
     """Write log rows; only the written topics are replaced.
 
     ``topic`` given (all rows belong to it): the rows go straight to that
     topic's folder, so the writer needs no per-task sort by topic, which a
-    ``partitionBy`` write would add.
+    ``partitionBy`` write would add.  ``run``: the topic is appended to, and
+    only the part that run wrote before is replaced.
     """
     if topic is not None:
-        (log.select(*[c for c in LOG_COLUMNS if c != "topic"]).write.mode(mode)
-         .parquet(f"{path.rstrip('/')}/topic={topic}"))
+        part = f"{path.rstrip('/')}/topic={topic}" + (f"/run={int(run)}" if run is not None else "")
+        log.select(*[c for c in LOG_COLUMNS if c != "topic"]).write.mode(mode).parquet(part)
         return
     (log.select(*LOG_COLUMNS).write.mode(mode)
      .option("partitionOverwriteMode", "dynamic")
@@ -45,7 +49,8 @@ def hash_partition(key: str | Column, partitions: int = LOG_PARTITIONS) -> Colum
 
 
 def publish_balanced(df: DataFrame, topic: str, partitions: int = LOG_PARTITIONS,
-                     order: Sequence[str] | None = None, index: str | None = None) -> DataFrame:
+                     order: Sequence[str] | None = None, index: str | None = None,
+                     num_buckets: int | None = None) -> DataFrame:
     """K1: near-equal partitions (sizes differ by at most one), no key.
 
     Message ``i`` of the input order goes to partition ``i mod P`` at offset
@@ -57,7 +62,7 @@ def publish_balanced(df: DataFrame, topic: str, partitions: int = LOG_PARTITIONS
     if index is not None:
         idx = df.withColumn("_idx", F.col(index).cast("bigint"))
     else:
-        idx = with_position(df, order, "_idx") if order else with_index(df, "_idx")
+        idx = with_position(df, order, "_idx", num_buckets) if order else with_index(df, "_idx")
     return idx.select(
         F.lit(topic).alias("topic"),
         F.pmod(F.col("_idx"), F.lit(partitions)).cast("int").alias("partition"),
@@ -68,7 +73,8 @@ def publish_balanced(df: DataFrame, topic: str, partitions: int = LOG_PARTITIONS
 
 
 def publish_hash_keyed(df: DataFrame, topic: str, key: str | Column,
-                       order: Sequence[str], partitions: int = LOG_PARTITIONS) -> DataFrame:
+                       order: Sequence[str], partitions: int = LOG_PARTITIONS,
+                       num_buckets: int | None = None) -> DataFrame:
     """K2: partition by key hash; offsets follow ``order`` inside each partition.
 
     The position is taken over ``(partition, order)`` with range cuts, so one
@@ -78,7 +84,7 @@ def publish_hash_keyed(df: DataFrame, topic: str, key: str | Column,
     key_col = F.col(key) if isinstance(key, str) else key
     keyed = df.withColumn("_key", key_col.cast("string")).withColumn(
         "partition", hash_partition("_key", partitions))
-    pos = with_position(keyed, ["partition", *order], "_pos")
+    pos = with_position(keyed, ["partition", *order], "_pos", num_buckets)
     firsts = pos.groupBy("partition").agg(F.min("_pos").alias("_first"))
     return pos.join(F.broadcast(firsts), "partition").select(
         F.lit(topic).alias("topic"),
@@ -119,33 +125,51 @@ def export_lines(df: DataFrame, path: str, value: str = "value") -> None:
     df.select(F.col(value)).write.mode("overwrite").text(path)
 
 
-def publish_idempotent(log: DataFrame, base: str, run_id: str) -> str:
-    """K5: write one run's output to ``base/run=<run_id>``; a retried run
-    overwrites its own folder instead of appending duplicates."""
-    path = f"{base.rstrip('/')}/run={run_id}"
-    write_log(log, path, "overwrite")
+def publish_idempotent(log: DataFrame, base: str, seq: int) -> str:
+    """K5: write run number ``seq`` to ``base/run=<seq>``, whole, then its manifest.
+
+    A retry overwrites its own folder, topics that it no longer has included.
+    A run without a manifest row (a crash between the two writes) isn't seen.
+    """
+    base = base.rstrip("/")
+    path = f"{base}/run={int(seq)}"
+    log.select(*LOG_COLUMNS).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+        "topic").parquet(path)
+    small_table(log.sparkSession, [(int(seq),)], "run bigint").coalesce(1).write.mode("overwrite").parquet(
+        f"{base}/_runs/seq={int(seq)}")
     return path
 
 
+def published_runs(spark: SparkSession, base: str) -> list[int]:
+    """Numbers of the runs whose manifest is complete."""
+    runs = f"{base.rstrip('/')}/_runs"
+    return sorted(int(f.removeprefix("seq=")) for f in list_folder(spark, runs)
+                  if f.startswith("seq=") and "_SUCCESS" in list_folder(spark, f"{runs}/{f}"))
+
+
 def read_published(spark: SparkSession, base: str) -> DataFrame:
-    """Reader side of K5: one message per (topic, partition, offset), the latest run wins."""
-    raw = spark.read.option("basePath", base).parquet(f"{base.rstrip('/')}/run=*")
-    return raw.groupBy("topic", "partition", "offset").agg(
-        F.max_by(F.struct("key", "value"), F.col("run").cast("string")).alias("_m")
-    ).select("topic", "partition", "offset", "_m.key", "_m.value")
+    """Reader side of K5: the messages of the last complete run, by number.
 
+    Only that run's folder is read; there is nothing to merge, so no shuffle.
+    """
+    runs = published_runs(spark, base)
+    if not runs:
+        raise RuntimeError(f"no published run under {base}")
+    return spark.read.schema(LOG_SCHEMA).parquet(f"{base.rstrip('/')}/run={runs[-1]}").select(*LOG_COLUMNS)
 
 
-def write_kafka(log: DataFrame, bootstrap_servers: str, **options: str) -> None:
-    """Produce log rows to Kafka (needs the spark-sql-kafka package).
+def log_to_kafka(log: DataFrame) -> DataFrame:
+    """Log rows in the columns of Spark's Kafka sink, one task per Kafka
+    partition in offset order, so that the broker keeps the topic's order."""
+    keys = ["topic", "partition"]
+    lanes = max(1, log.select(*keys).distinct().count())  # bounded by the topic layout
+    return log.repartition(lanes, *keys).sortWithinPartitions(*keys, "offset").select(
+        "topic", "partition", F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"))
 
-    ``topic``, ``partition``, ``key`` and ``value`` columns are honoured by
-    Spark's Kafka sink; the broker assigns offsets in write order, so a topic
-    whose order matters must be written with one task per Kafka partition in
-    ``offset`` order (``repartition(P, "partition").sortWithinPartitions("offset")``).
-    """
-    writer = (log.select("topic", "partition", "key", "value").write.format("kafka")
-              .option("kafka.bootstrap.servers", bootstrap_servers))
+
+def write_kafka(log: DataFrame, bootstrap_servers: str, **options: str) -> None:
+    """Produce log rows to Kafka in order (needs the spark-sql-kafka package)."""
+    writer = log_to_kafka(log).write.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
     for k, v in options.items():
         writer = writer.option(k, v)
     writer.save()

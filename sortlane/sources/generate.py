@@ -4,18 +4,18 @@ Every field is a pure function of ``(seed, rid)`` built from ``md5`` digests,
 so the output does not depend on partitioning, task retries or executor
 count, and the same recipe runs in any SQL engine with ``md5``/``base64``.
 
-Per row, three digests are taken of ``"<seed>:<rid>:a|b|c"``:
+Per row, four digests are taken of ``"<seed>:<rid>:a|b|c|d"``:
 
-* name: base64 of digest ``a`` lower-cased, its digits and ``+/`` mapped to
-  ``a``-``l`` (letters only), first ``10 + c[4] % 6`` characters;
-* address: base64 of digest ``b`` with ``+`` -> space and ``/`` -> ``a``
-  (letters, digits, space), first ``15 + c[5] % 6`` characters;
+* name: base64 of digests ``a`` and ``d`` lower-cased, everything but letters
+  removed (so all 26 are equally likely), first ``10 + c[4] % 6`` characters;
+* address: base64 of digests ``b`` and ``d`` with ``+`` -> space and ``/``
+  removed (letters, digits, space, equally likely), first ``15 + c[5] % 6``;
 * continent: ``c[6] % 6``; id: bytes 8-11 of ``c`` modulo 2^31.
 
-``c[i]`` is byte ``i`` (hex pair ``i``) of digest ``c``.  The mappings leave a
-small bias among the allowed characters, which the contract (alphabets,
-lengths, ranges) does not constrain.  All of it is a handful of string
-built-ins per row, inside whole-stage code generation.
+``c[i]`` is byte ``i`` (hex pair ``i``) of digest ``c``.  Of 43 base64
+characters fewer than 15 letters come up once in about 10^13 rows; such a
+name is filled up with ``a``.  All of it is a handful of string built-ins per
+row, inside whole-stage code generation.
 """
 
 from __future__ import annotations
@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 
 from ..schema import ADDRESS_LEN, CONTINENTS, NAME_LEN
 
-# Fixed character mappings from the base64 alphabet to the record alphabets.
-NAME_FROM, NAME_TO = "0123456789+/", "abcdefghijkl"
-ADDRESS_FROM, ADDRESS_TO = "+/", " a"
+# What is removed or replaced in base64 text: the second string is shorter, so the rest goes.
+NAME_FROM, NAME_TO = "0123456789+/=", ""
+ADDRESS_FROM, ADDRESS_TO = "+/=", " "
 
 
 def generate_for(ids: DataFrame, seed: int = 42, rid: str = "rid") -> DataFrame:
@@ -38,12 +38,14 @@ def generate_for(ids: DataFrame, seed: int = 42, rid: str = "rid") -> DataFrame:
         F.md5(F.concat(prefix, F.lit("a"))).alias("_ha"),
         F.md5(F.concat(prefix, F.lit("b"))).alias("_hb"),
         F.md5(F.concat(prefix, F.lit("c"))).alias("_hc"),
+        F.md5(F.concat(prefix, F.lit("d"))).alias("_hd"),
     )
     c456 = F.conv(F.substring("_hc", 9, 6), 16, 10).cast("int")  # bytes 4, 5, 6 of digest c
     name_len = NAME_LEN[0] + F.shiftright(c456, 16) % (NAME_LEN[1] - NAME_LEN[0] + 1)
     addr_len = ADDRESS_LEN[0] + F.shiftright(c456, 8).bitwiseAND(255) % (ADDRESS_LEN[1] - ADDRESS_LEN[0] + 1)
-    letters = F.translate(F.lower(F.base64(F.unhex("_ha"))), NAME_FROM, NAME_TO)
-    symbols = F.translate(F.base64(F.unhex("_hb")), ADDRESS_FROM, ADDRESS_TO)
+    text = lambda h: F.base64(F.unhex(F.concat(h, F.col("_hd"))))
+    letters = F.rpad(F.translate(F.lower(text(F.col("_ha"))), NAME_FROM, NAME_TO), 43, "a")
+    symbols = F.translate(text(F.col("_hb")), ADDRESS_FROM, ADDRESS_TO)
     continents = F.array(*[F.lit(c) for c in CONTINENTS])
     return digests.select(
         "rid",

@@ -12,13 +12,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.tables import broadcast_if_small
+from ..functions.tables import small_table
 from ..schema import LOG_COLUMNS
+from ..session import list_folder
 
+#: Offsets per block of the per-block counts.
+OFFSET_BLOCK = 1 << 16
 
-def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """Read a log table written by ``sinks.publish.write_log``."""
-    return spark.read.parquet(path).select(*LOG_COLUMNS)
+
+def read_log(spark: SparkSession, path: str, upto_run: int | None = None) -> DataFrame:
+    """Read a log table written by ``sinks.publish.write_log``.
+
+    Topics are read folder by folder, so a topic that is appended to run by run
+    may lie beside one that isn't, and a filter on the topic leaves only its
+    folder in the plan.  ``upto_run``: without the messages of later runs.
+    """
+    out = small_table(spark, [], "topic string, partition int, offset bigint, key string, value string")
+    for name in list_topics(spark, path):
+        part = spark.read.parquet(f"{path.rstrip('/')}/topic={name}")
+        if upto_run is not None and "run" in part.columns:
+            part = part.where(F.col("run") <= upto_run)
+        out = out.unionByName(part.withColumn("topic", F.lit(name)).select(*LOG_COLUMNS))
+    return out
+
+
+def list_topics(spark: SparkSession, path: str) -> list[str]:
+    """Topics that exist in a log table, with or without messages (its topic folders)."""
+    return sorted(f.removeprefix("topic=") for f in list_folder(spark, path) if f.startswith("topic="))
 
 
 def topic(log: DataFrame, name: str) -> DataFrame:
@@ -39,31 +59,22 @@ def topic_offsets(log: DataFrame) -> DataFrame:
     )
 
 
-def read_first_n(log: DataFrame, name: str, n: int) -> DataFrame:
+def read_first_n(log: DataFrame, name: str, n: int, block: int = OFFSET_BLOCK) -> DataFrame:
     """Exactly the first ``n`` messages of a topic in (partition, offset) order.
 
-    Partitions are taken whole in partition order until ``n`` is reached.  The
-    per-partition counts (one row per log partition) are prefix-summed and
-    broadcast back as an offset bound, so no global sort or single task is
-    involved; the data itself is only filtered.
+    Offsets may have gaps (compaction, transactions).  Messages are counted per
+    offset block; the counts (one row per ``block`` offsets) are prefix-summed
+    in order.  Blocks that fit are taken whole; the one block that holds the
+    cut ranks its own messages, at most ``block`` of them.
     """
-    t = topic(log, name)
-    counts = t.groupBy("partition").agg(
-        F.min("offset").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
-    # One row per log partition: the window below runs over a handful of rows.
-    before = Window.orderBy("partition").rowsBetween(Window.unboundedPreceding, -1)
-    bounds = counts.select(
-        "partition",
-        (F.col("_first") + F.least(
-            F.col("_cnt"),
-            F.greatest(F.lit(0), F.lit(n) - F.coalesce(F.sum("_cnt").over(before), F.lit(0))),
-        )).alias("_hi"),
-    )
-    return (
-        t.join(F.broadcast(bounds), "partition")
-        .where(F.col("offset") < F.col("_hi"))
-        .select(*LOG_COLUMNS)
-    )
+    t = topic(log, name).withColumn("_blk", F.floor(F.col("offset") / block).cast("bigint"))
+    counts = t.groupBy("partition", "_blk").agg(F.count(F.lit(1)).alias("_cnt"))
+    before = Window.orderBy("partition", "_blk").rowsBetween(Window.unboundedPreceding, -1)
+    taken = counts.withColumn("_room", F.lit(n) - F.coalesce(F.sum("_cnt").over(before), F.lit(0))).where("_room > 0")
+    rows = t.join(taken, ["partition", "_blk"])
+    rank = F.row_number().over(Window.partitionBy("partition", "_blk").orderBy("offset"))
+    cut = rows.where("_cnt > _room").withColumn("_rank", rank).where("_rank <= _room")
+    return rows.where("_cnt <= _room").select(*LOG_COLUMNS).unionByName(cut.select(*LOG_COLUMNS))
 
 
 def head(log: DataFrame, name: str, k: int) -> DataFrame:
@@ -85,12 +96,12 @@ def commit_offsets(consumed: DataFrame, group: str) -> DataFrame:
 def read_resume(log: DataFrame, committed: DataFrame, group: str) -> DataFrame:
     """S3: messages at or after the committed offset of ``group`` (from 0 if none).
 
-    The committed table has one row per (group, topic, partition), so it is
-    normally tiny; it is broadcast only after its row count is checked.
+    The committed table has one row per (group, topic, partition); the planner
+    picks the join from its size.
     """
     mine = committed.where(F.col("group") == F.lit(group)).select("topic", "partition", "next_offset")
     return (
-        log.join(broadcast_if_small(mine), ["topic", "partition"], "left")
+        log.join(mine, ["topic", "partition"], "left")
         .where(F.col("offset") >= F.coalesce(F.col("next_offset"), F.lit(0)))
         .select(*LOG_COLUMNS)
     )
@@ -102,6 +113,13 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("lineSep", "\n").text(path)
 
 
+def kafka_to_log(df: DataFrame) -> DataFrame:
+    """Rows of Spark's Kafka source (binary key and value) as log rows."""
+    return df.select(
+        "topic", F.col("partition").cast("int").alias("partition"), F.col("offset").cast("bigint").alias("offset"),
+        F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
+
+
 def read_kafka_log(spark: SparkSession, bootstrap_servers: str, topics: str,
                    starting_offsets: str = "earliest", ending_offsets: str = "latest",
                    **options: str) -> DataFrame:
@@ -118,6 +136,4 @@ def read_kafka_log(spark: SparkSession, bootstrap_servers: str, topics: str,
               .option("endingOffsets", ending_offsets))
     for k, v in options.items():
         reader = reader.option(k, v)
-    return reader.load().select(
-        "topic", "partition", "offset",
-        F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
+    return kafka_to_log(reader.load())

@@ -114,3 +114,25 @@ def test_order_check_block_size_invariant(spark, good_log):
     for block in (1, 5, 64):
         got = {(r["topic"], r["scope"], r["violations"]) for r in checks.check_sorted(shuffled, "id", block).collect()}
         assert got == want
+
+
+def test_only_the_keys_topic_is_read(spark, good_log):
+    assert {r["topic"] for r in checks.check_sorted(good_log, "id").collect()} == {"id"}
+
+
+def test_missing_and_empty_topics(spark, good_log):
+    gone = good_log.where(F.col("topic") != "name")
+    row = checks.count_reconcile(gone).where("topic = 'name'").first()
+    assert (row["n"], row["n_source"], row["ok"]) == (0, 3000, False)
+    empty = good_log.limit(0)
+    there = checks.REQUIRED_TOPICS
+    assert checks.validate_all(spark, empty, existing=there).where(~F.col("ok")).count() == 0
+    assert {r["topic"]: r["present"] for r in checks.check_topics(spark, empty, existing=["id"]).collect()} == {
+        "source": False, "id": True, "name": False, "continent": False}
+
+
+def test_fingerprint_sums_differ_independently(spark):
+    rows = [("t", 0, i, None, v) for i, v in enumerate(["a", "b"])]
+    df = spark.createDataFrame(rows, "topic string, partition int, offset bigint, key string, value string")
+    r = checks.multiset_fingerprint(df, ["t"]).first()
+    assert r["n"] == 2 and r["h1"] != r["h2"]
