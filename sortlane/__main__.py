@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 
 from .operators.checks import validate_all
 from .plans.batch import run_batch
-from .schema import DEFAULT_RUN_LENGTH, SOURCE_TOPIC
+from .schema import DEFAULT_RUN_LENGTH, SORTED_TOPICS, SOURCE_TOPIC
 from .session import ensure_checkpoint_dir
-from .sinks.publish import publish_balanced, write_log
+from .sinks.publish import publish_balanced, write_kafka, write_log
 from .sources.generate import generate_records
-from .sources.log import read_log
+from .sources.log import list_topics, read_kafka_log, read_log
 from .streaming.runs import StreamRuns, start_stream
 
 
@@ -34,13 +34,20 @@ def _parser() -> argparse.ArgumentParser:
     b.add_argument("--skip-generate", action="store_true")
     b.add_argument("--skip-sort", action="store_true")
     b.add_argument("--on-error", choices=["fail", "skip"], default="fail")
-    b.add_argument("--consume", type=int, help="snapshot only the first N available source messages")
+    b.add_argument("--consume", type=int, help="snapshot exactly the first N available source messages")
+    b.add_argument("--accept-short", action="store_true", help="go on with fewer than --consume messages")
+    b.add_argument("--source-topic", default=SOURCE_TOPIC)
+    b.add_argument("--sorted-topics", default=",".join(SORTED_TOPICS), help="names of the id, name and continent topics")
+    b.add_argument("--buckets", type=int, help="sort buckets; size them so that one fits a task's memory")
+    b.add_argument("--kafka", help="bootstrap servers: read the source topic from Kafka and publish the sorted topics there too")
     b.add_argument("--group", help="consumer group: resume after its committed offsets")
     b.add_argument("--offsets", help="committed-offsets table (with --group)")
     b.add_argument("--chunk", type=int, default=0,
                    help="accepted for compatibility: batch sorts are bounded by Spark's memory manager")
     s = sub.add_parser("stream", help="count-triggered sorted runs from arriving log files")
-    s.add_argument("--source", required=True)
+    s.add_argument("--source", required=True, help="folder of arriving log files, or a Kafka topic")
+    s.add_argument("--kafka", help="bootstrap servers: read the source from Kafka")
+    s.add_argument("--files-per-trigger", type=int, help="most files of a micro-batch (all new ones without it)")
     s.add_argument("--state", required=True)
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--chunk", type=int, default=DEFAULT_RUN_LENGTH)
@@ -59,28 +66,36 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "batch":
         if args.skip_sort:
             recs = generate_records(spark, args.records, args.seed)
-            write_log(publish_balanced(recs, SOURCE_TOPIC, index="rid"), args.out, topic=SOURCE_TOPIC)
+            write_log(publish_balanced(recs, args.source_topic, index="rid"), args.out, topic=args.source_topic)
             print(json.dumps({"generated": args.records}))
             return 0
-        if args.source or args.skip_generate:
-            run = run_batch(spark, read_log(spark, args.source or args.out), out=args.out,
-                                 on_error=args.on_error, consume=args.consume, group=args.group,
-                                 offsets_path=args.offsets)
+        names = {"source_topic": args.source_topic, "sorted_topics": args.sorted_topics.split(","),
+                 "num_buckets": args.buckets}
+        if args.kafka or args.source or args.skip_generate:
+            log = (read_kafka_log(spark, args.kafka, args.source_topic) if args.kafka
+                   else read_log(spark, args.source or args.out))
+            run = run_batch(spark, log, out=args.out, on_error=args.on_error, consume=args.consume,
+                            on_short="accept" if args.accept_short else "fail", group=args.group,
+                            offsets_path=args.offsets, **names)
         else:
-            run = run_batch(spark, records=args.records, seed=args.seed, out=args.out,
-                                 on_error=args.on_error)
+            run = run_batch(spark, records=args.records, seed=args.seed, out=args.out, on_error=args.on_error, **names)
+        if args.kafka:
+            published = read_log(spark, args.out, run.seq).where(F.col("topic").isin(*names["sorted_topics"]))
+            write_kafka(published, args.kafka)
         print(json.dumps({"counters": run.counters, "stages": run.stages}))
     elif args.cmd == "stream":
         runner = StreamRuns(args.state, args.chunk)
-        query = start_stream(spark, args.source, runner, args.checkpoint,
-                             available_now=not args.continuous, processing_time=args.trigger)
+        kafka = {"source_format": "kafka", "options": {"kafka.bootstrap.servers": args.kafka}} if args.kafka else {}
+        query = start_stream(spark, args.source, runner, args.checkpoint, files_per_trigger=args.files_per_trigger,
+                             available_now=not args.continuous, processing_time=args.trigger, **kafka)
         query.awaitTermination()
         if args.flush:
             runner.flush_open_runs(spark)
     else:
-        out = validate_all(spark, read_log(spark, args.log))
-        bad = out.where(~F.col("ok")).count()
-        out.show(100, truncate=False)
+        out = validate_all(spark, read_log(spark, args.log), existing=list_topics(spark, args.log))
+        bad = out.where(~F.col("ok")).collect()  # a few rows per topic
+        for r in bad:
+            print(json.dumps(r.asDict()))
         return 1 if bad else 0
     return 0
 

@@ -311,12 +311,12 @@ def _run_stream(spark: SparkSession, sf_dir: str, restart_after: int | None = No
     src, ckpt = f"{base}/source", f"{base}/checkpoint"
     if restart_after is None:
         arrivals.write_arrivals(log, src, cuts, STREAM_SILENT)
-        streaming_runs.start_stream(spark, src, runner, ckpt).awaitTermination()
+        streaming_runs.start_stream(spark, src, runner, ckpt, files_per_trigger=arrivals.FILES).awaitTermination()
     else:
         arrivals.write_arrivals(log, src, cuts, STREAM_SILENT, last=restart_after - 1)
-        streaming_runs.start_stream(spark, src, runner, ckpt).awaitTermination()
+        streaming_runs.start_stream(spark, src, runner, ckpt, files_per_trigger=arrivals.FILES).awaitTermination()
         arrivals.write_arrivals(log, src, cuts, STREAM_SILENT, first=restart_after)
-        streaming_runs.start_stream(spark, src, runner, ckpt).awaitTermination()
+        streaming_runs.start_stream(spark, src, runner, ckpt, files_per_trigger=arrivals.FILES).awaitTermination()
     return runner
 
 
@@ -336,9 +336,14 @@ def q_stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_keyed_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M3: keyed messages of the closed runs, hash-partitioned by key."""
-    return stream_run(spark, sf_dir).output(spark).select(
-        F.col("sort_key").alias("topic"), "partition", "key", "value")
+    """M3: the closed runs as topics, hash-partitioned by key with dense offsets."""
+    return stream_run(spark, sf_dir).log(spark)
+
+
+def q_stream_detect_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W4 on the streamed id topic: its non-descending stretches."""
+    log = stream_run(spark, sf_dir).log(spark).where(F.col("topic") == "id")
+    return checks.detect_runs(log, "id")
 
 
 def q_stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -360,6 +365,5 @@ def q_stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """L2: stream -> tolerant decode -> runs -> three sorts -> keyed publish -> final flush."""
-    return stream_run(spark, sf_dir, flush=True).output(spark, include_flush=True).select(
-        F.col("sort_key").alias("topic"), "partition", "key", "value")
+    """L2: stream -> tolerant decode -> runs -> three sorts -> topics -> final flush."""
+    return stream_run(spark, sf_dir, flush=True).log(spark, include_flush=True)

@@ -4,9 +4,9 @@ Arrival ``k`` holds the messages whose offset lies in ``[cuts[k], cuts[k+1])``
 (offsets of a partition strictly increase across arrivals).  One partition can
 be held back for one arrival (``silent=(partition, arrival)``): its messages
 move to the next arrival, so that batch sees the partition silent.  Each
-arrival is one parquet file appended to the source folder by its own write, so
-files get increasing modification times and ``maxFilesPerTrigger=1`` turns
-each arrival into one micro-batch.  With a broker this module is not needed.
+arrival is ``FILES`` parquet files appended to the source folder by its own
+write, so files get increasing modification times and ``maxFilesPerTrigger=FILES``
+turns each arrival into one micro-batch.  With a broker this module is not needed.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from ..schema import LOG_COLUMNS
 
+FILES = 2
+
 
 def arrival_of(offset: Column, cuts: Sequence[int], partition: Column | None = None,
                silent: tuple[int, int] | None = None) -> Column:
@@ -41,7 +43,7 @@ def quantile_cuts(log: DataFrame, arrivals: int) -> list[int]:
 def write_arrivals(log: DataFrame, source_dir: str, cuts: Sequence[int],
                    silent: tuple[int, int] | None = None, first: int = 0,
                    last: int | None = None) -> int:
-    """Append arrivals ``first..last`` (inclusive) as one file each; returns the count."""
+    """Append arrivals ``first..last`` (inclusive) as ``FILES`` files each; returns the count."""
     tagged = log.select(*LOG_COLUMNS).withColumn(
         "_arrival", arrival_of(F.col("offset"), cuts, F.col("partition"), silent))
     n = len(cuts) - 1
@@ -49,6 +51,6 @@ def write_arrivals(log: DataFrame, source_dir: str, cuts: Sequence[int],
     written = 0
     for k in range(first, last + 1):
         part = tagged.where(F.col("_arrival") == k).drop("_arrival")
-        part.coalesce(1).write.mode("append").parquet(source_dir)
+        part.repartition(FILES).write.mode("append").parquet(source_dir)
         written += 1
     return written

@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, rows
 from sortlane.functions import codec
-from sortlane.operators import order
-from sortlane.session import work_path
+from sortlane.operators import checks, order
+from sortlane.session import list_folder, work_path
 from sortlane.sources import fixtures
+from sortlane.sources.log import topic_offsets
 from sortlane.streaming import arrivals
-from sortlane.streaming.runs import StreamRuns, start_stream
+from sortlane.streaming import runs as streaming_runs
+from sortlane.streaming.runs import StreamRuns, StreamStateError, start_stream
 
 COLS = ["sort_key", "src_partition", "run_id", "pos", "src_offset", "id"]
 
@@ -42,12 +44,12 @@ def _run(spark, log, chunk, cuts, silent=None, restart_after=None):
     src, ckpt = f"{base}/source", f"{base}/ckpt"
     if restart_after is None:
         arrivals.write_arrivals(log, src, cuts, silent)
-        start_stream(spark, src, runner, ckpt).awaitTermination()
+        start_stream(spark, src, runner, ckpt, files_per_trigger=arrivals.FILES).awaitTermination()
     else:
         arrivals.write_arrivals(log, src, cuts, silent, last=restart_after - 1)
-        start_stream(spark, src, runner, ckpt).awaitTermination()
+        start_stream(spark, src, runner, ckpt, files_per_trigger=arrivals.FILES).awaitTermination()
         arrivals.write_arrivals(log, src, cuts, silent, first=restart_after)
-        start_stream(spark, src, runner, ckpt).awaitTermination()
+        start_stream(spark, src, runner, ckpt, files_per_trigger=arrivals.FILES).awaitTermination()
     return runner
 
 
@@ -114,7 +116,8 @@ def test_continuous_trigger_processes_arrivals(spark, dirty):
     runner = StreamRuns(f"{base}/state", 9)
     src = f"{base}/source"
     arrivals.write_arrivals(dirty, src, [0, 100, 250])
-    q = start_stream(spark, src, runner, f"{base}/ckpt", available_now=False, processing_time="1 second")
+    q = start_stream(spark, src, runner, f"{base}/ckpt", files_per_trigger=arrivals.FILES, available_now=False,
+                     processing_time="1 second")
     try:
         q.processAllAvailable()
     finally:
@@ -129,15 +132,123 @@ def test_cli_batch_and_validate(spark):
     assert main(["validate", "--log", out]) == 0
 
 
-def test_stage_read_is_pruned_to_closing_partitions(spark, dirty):
-    base = work_path(spark, "stream-prune")
+def _parts(dirty, cuts):
+    return [dirty.where((F.col("offset") >= a) & (F.col("offset") < b)) for a, b in zip(cuts, cuts[1:])]
+
+
+def test_output_is_a_log_with_dense_offsets(spark, dirty):
+    runner = StreamRuns(work_path(spark, "stream-log"), 11)
+    for i, p in enumerate(_parts(dirty, [0, 80, 170, 250])):
+        runner.process(p, i)
+    log = runner.log(spark)
+    assert log.columns == ["topic", "partition", "offset", "key", "value"]
+    for r in topic_offsets(log).collect():
+        assert r["first_offset"] == 0 and r["next_offset"] == r["n"]
+    # Every topic is a series of sorted runs: as many descents as runs meet in a partition, at most.
+    closed = runner.output(spark).where("sort_key = 'id'").select("partition", "src_partition", "run_id").distinct().count()
+    assert checks.detect_runs(log.where("topic = 'id'"), "id").count() <= closed
+
+
+def test_result_does_not_depend_on_files_per_trigger(spark, dirty):
+    got = []
+    for n in (None, 1, arrivals.FILES):
+        base = work_path(spark, "stream-files")
+        runner = StreamRuns(f"{base}/state", 13)
+        src = f"{base}/source"
+        one = [(0, 90), (90, 250)]
+        for a, b in one:  # one file per arrival
+            dirty.where((F.col("offset") >= a) & (F.col("offset") < b)).coalesce(1).write.mode("append").parquet(src)
+        start_stream(spark, src, runner, f"{base}/ckpt", files_per_trigger=n).awaitTermination()
+        got.append(rows(runner.output(spark), *COLS))
+    assert got[0] == got[1] == got[2]
+
+
+def test_flush_then_more_input_has_no_duplicate(spark, dirty):
+    runner = StreamRuns(work_path(spark, "stream-flush"), 30)
+    first, second = _parts(dirty, [0, 100, 250])
+    runner.process(first, 0)
+    assert runner.flush_open_runs(spark) > 0
+    n = codec.decode_tolerant(first).count()
+    assert runner.output(spark, include_flush=True).where("sort_key = 'id'").count() == n
+    runner.process(second, 1)
+    whole = runner.output(spark, include_flush=True)
+    assert rows(whole, *COLS) == rows(_truth(spark, dirty, 30), *COLS)  # the old flush is ignored
+    runner.flush_open_runs(spark)
+    assert rows(runner.output(spark, include_flush=True), *COLS) == rows(_truth(spark, dirty, 30, closed_only=False), *COLS)
+
+
+def test_offsets_that_go_back_are_refused(spark, dirty):
+    runner = StreamRuns(work_path(spark, "stream-back"), 30)
+    runner.process(dirty.where("offset % 2 = 0"), 0)
+    with pytest.raises(StreamStateError):
+        runner.process(dirty.where("offset % 2 = 1"), 1)
+    assert runner.last_committed(spark) == 0
+
+
+def test_foreign_state_is_refused(spark, dirty):
+    base = work_path(spark, "stream-foreign")
+    runner = StreamRuns(f"{base}/state", 30)
+    src = f"{base}/source"
+    arrivals.write_arrivals(dirty, src, [0, 100, 250])
+    start_stream(spark, src, runner, f"{base}/ckpt", files_per_trigger=arrivals.FILES).awaitTermination()
+    before = runner.output(spark).count()
+    for ckpt, files in (("new-1", arrivals.FILES), ("new-2", None)):
+        with pytest.raises(Exception) as e:
+            start_stream(spark, src, runner, f"{base}/{ckpt}", files_per_trigger=files).awaitTermination()
+        assert "StreamStateError" in str(e.value)
+    assert runner.output(spark).count() == before
+
+
+def test_storage_errors_are_raised_and_empty_folders_are_not(spark, monkeypatch):
+    runner = StreamRuns(work_path(spark, "stream-none"), 5)
+    assert runner.last_committed(spark) is None and runner.flush_open_runs(spark) == 0
+    monkeypatch.setattr(streaming_runs, "list_folder", lambda *a: (_ for _ in ()).throw(PermissionError("no access")))
+    with pytest.raises(PermissionError):
+        runner.flush_open_runs(spark)
+
+
+def test_a_batch_reads_only_the_open_records(spark, dirty):
+    """One partition goes quiet with an open run; later batches don't read back to it."""
+    base = work_path(spark, "stream-bounded")
     runner = StreamRuns(base, 40)
-    for i, (a, b) in enumerate([(0, 100), (100, 250)]):
-        runner.process(dirty.where((F.col("offset") >= a) & (F.col("offset") < b)), i)
-    df = runner._stage_between(spark, 0, 1, [2])
-    assert {r["partition"] for r in df.select("partition").distinct().collect()} == {2}
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(partition" in plan or "partition#" in plan.split("PartitionFilters")[1][:200]
+    cuts = [0, 30, 60, 90, 120, 150, 180, 210, 250]
+    for i, p in enumerate(_parts(dirty, cuts)):
+        runner.process(p if i == 0 else p.where("partition <> 2"), i)
+    assert list_folder(spark, f"{base}/open") and len(runner._complete(spark, "open")) == 2
+    assert len(runner._complete(spark, "manifest")) == 2
+    still = runner._open(spark, len(cuts) - 2)
+    assert still.groupBy("partition").count().agg(F.max("count")).first()[0] < 40
+    assert still.where("partition = 2").count() == codec.decode_tolerant(dirty.where("partition = 2 and offset < 30")).count()
+    quiet = dirty.where("partition <> 2 or offset < 30")
+    assert rows(runner.output(spark), *COLS) == rows(_truth(spark, quiet, 40), *COLS)
+
+
+class _Reader:
+    """Records what a stream reader is asked for."""
+
+    def __init__(self, asked, frame):
+        self.asked, self.frame = asked, frame
+
+    def __getattr__(self, name):
+        def call(*args):
+            self.asked.append((name, *args))
+            return self.frame if name == "load" else self
+        return call
+
+
+def test_kafka_branch_sets_no_schema_path_or_file_option(spark):
+    frame = spark.createDataFrame([("source", 0, 1, None, bytearray(b"1,a,b,c"))],
+                                  "topic string, partition int, offset long, key binary, value binary")
+    asked = []
+
+    class Session:
+        readStream = _Reader(asked, frame)
+
+    out = streaming_runs.stream_reader(Session(), "source", files_per_trigger=3, source_format="kafka",
+                                       options={"kafka.bootstrap.servers": "h:1"})
+    assert asked == [("format", "kafka"), ("option", "subscribe", "source"), ("option", "kafka.bootstrap.servers", "h:1"),
+                     ("load",)]
+    assert [tuple(r) for r in out.collect()] == [("source", 0, 1, None, "1,a,b,c")]
 
 
 def test_cli_stream_and_skip_sort(spark, dirty):
@@ -145,7 +256,7 @@ def test_cli_stream_and_skip_sort(spark, dirty):
     base = work_path(spark, "cli-stream")
     arrivals.write_arrivals(dirty, f"{base}/source", [0, 125, 250])
     assert main(["stream", "--source", f"{base}/source", "--state", f"{base}/state",
-                 "--checkpoint", f"{base}/ckpt", "--chunk", "17", "--flush"]) == 0
+                 "--checkpoint", f"{base}/ckpt", "--chunk", "17", "--files-per-trigger", "2", "--flush"]) == 0
     runner = StreamRuns(f"{base}/state", 17)
     assert rows(runner.output(spark, include_flush=True), *COLS) == \
         rows(_truth(spark, dirty, 17, closed_only=False), *COLS)
