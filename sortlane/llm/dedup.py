@@ -4,21 +4,18 @@ Documents that have the same shingle set are one node (grouped by a 128-bit
 key with map-side combine, so thousands of copies cost one row per task).
 Each node has ``TREES`` sequences of ``LEVELS`` min-hashes.  Per tree the
 nodes are sorted by their sequence with a range exchange; in that order the
-neighbour with the longest common prefix is a node's candidate.  A node's
-best candidates over all trees are confirmed first, which joins up most
-groups with one link per node.
-
-What those links leave apart is settled region by region, exactly: a region is a run of
-nodes with a common prefix of ``BASE_DEPTH`` levels.  Only regions that still
-hold several groups matter; there each node outside the region's largest
-group is paired with the nodes of the other groups.  A region whose pairs
-exceed ``REGION_PAIRS`` is cut one level deeper (adaptive depth), down to
-``LEVELS``, where all its cross-group pairs are taken.  Nodes already in one
-group are never paired again, so a group of n near copies costs O(n).
+neighbour with the longest common prefix is a node's candidate.  Runs of nodes
+with a common prefix are regions, of a depth that adapts to their size.
+
+Candidates are confirmed on the full shingle sets: a few neighbours of each
+node, and each node against its regions' pivots (the best connected member),
+a fixed number of pairs per node.  That joins up most groups.  Members of a
+pivot's group that are still apart are compared by their differences from the
+pivot, which finds every remaining link without pairing the group (see
+``_across``).
 
 Two sets at similarity 0.85 share a prefix of 5 levels in some of 32 trees
-except with probability 8e-9, and one of 8 levels except with 4e-5.  Every link is
-confirmed on the full shingle sets.
+except with probability 8e-9, and one of 8 levels except with 4e-5.
 """
 
 from __future__ import annotations
@@ -28,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sortlane.operators.order import stage
@@ -40,7 +37,10 @@ SHINGLE = 5
 TREES = 32
 LEVELS = 8
 BASE_DEPTH = 5
-REGION_PAIRS = 4096
+REGION_ROWS = 1024
+#: Neighbours of a node that are confirmed: those of longest common prefixes, and any.
+BEST_LINKS = 2
+RANDOM_LINKS = 3
 _BYTES = 2 * LEVELS  # a level is kept as 16 bits
 
 
@@ -159,6 +159,68 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * common.cast("bigint") >= percent * union.cast("bigint")).select("a", "b")
 
 
+def _regions(forest: DataFrame) -> DataFrame:
+    """``(tree, region, node, members)``: the region of each row, of adaptive depth.
+
+    A region is a common prefix of ``BASE_DEPTH`` levels; while it has more
+    than ``REGION_ROWS`` members it is cut one level deeper, down to ``LEVELS``.
+    """
+    rows, at = forest.select("tree", "sig", "node"), F.lit(LEVELS)
+    depths = range(BASE_DEPTH, LEVELS + 1)
+    prefix = lambda depth: F.expr(f"substring(sig, 1, {2 * depth})")
+    for d in depths:
+        sizes = forest.groupBy("tree", prefix(d).alias(f"r{d}")).agg(F.count(F.lit(1)).alias(f"n{d}"))
+        rows = rows.withColumn(f"r{d}", prefix(d)).join(sizes, ["tree", f"r{d}"])
+    for d in reversed(depths[:-1]):
+        at = F.when(F.col(f"n{d}") <= REGION_ROWS, d).otherwise(at)
+    pick = lambda c: F.coalesce(*[F.when(at == d, F.col(f"{c}{d}")) for d in depths])
+    return rows.select("tree", pick("r").alias("region"), "node", pick("n").alias("members"))
+
+
+def _across(stars: DataFrame, near: DataFrame, sets: DataFrame, percent: int, held: list[DataFrame]) -> DataFrame:
+    """Pairs ``(a, b)`` of different groups around one pivot that may be linked: all that are, and few others.
+
+    A member x is written as its difference D(x) from the pivot p: the shingles
+    it adds and those it lacks, those rarest in the group first.  Linked x and
+    y differ in at most K = c (|x| + |y|) shingles, c = (100 - percent) / (100 +
+    percent).  If D(x) and D(y) share nothing, both are linked to p.  Otherwise
+    the first shared element stands at places i and j with i + j <= K, since
+    all before it are differences.  So only the first K + 1 elements are
+    indexed, and one side only up to K / 2.  Members of one group don't meet,
+    and shared edits are rare, so the pairs stay few however large the group.
+    ``held`` gets the cached tables.
+    """
+    group = stars.select("pivot", "node").join(near, "node", "left").select(
+        "pivot", "node", F.coalesce("root", "node").alias("root"))
+    hub = stars.select(F.col("pivot").alias("node")).distinct().join(near, "node", "left").select(
+        F.col("node").alias("pivot"), F.coalesce("root", "node").alias("root"))
+    counts = group.select("pivot", "root").unionByName(hub).groupBy("pivot", "root").agg(F.count(F.lit(1)).alias("k"))
+    mixed = counts.groupBy("pivot").agg(F.max(F.struct("k", "root"))["root"].alias("top"), F.count(F.lit(1)).alias("c")).where(
+        "c > 1").select("pivot", "top")
+    members = group.join(mixed, "pivot")
+    own = sets.select("node", F.col("shingles").alias("sx"))
+    base = sets.select(F.col("node").alias("pivot"), F.col("shingles").alias("sp"))
+    # K for the largest y that x can be linked to.
+    most = F.floor((100 - percent) * (F.col("n") + F.col("n") * 100 / percent) / (100 + percent)).alias("most")
+    told = stage(members.join(own, "node").join(base, "pivot").select(
+        "pivot", "node", "root", (F.col("root") != F.col("top")).alias("outside"), F.size("sx").cast("bigint").alias("n"),
+        F.explode(F.concat(F.array_except("sx", "sp"), F.array_except("sp", "sx"))).alias("e")).select("*", most), "edits")
+    often = told.groupBy("pivot", "e").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    # Rare elements first.  Those of one member alone take up places but needn't be indexed.
+    index = told.join(often, ["pivot", "e"], "left").withColumn("at", F.row_number().over(
+        Window.partitionBy("pivot", "node").orderBy(F.coalesce("often", F.lit(1)), "e")) - 1).where(
+        "often is not null AND at <= most").drop("often").persist()
+    held.append(index)
+    side = lambda name: [F.col(c).alias(f"{c}_{name}") for c in ("node", "root", "n", "at")]
+    early = index.where("2 * at <= most")
+    meet = lambda x, y: x.select("pivot", "e", *side("x")).join(y.select("pivot", "e", *side("y")), ["pivot", "e"]).where(
+        f"root_x <> root_y AND 100 * least(n_x, n_y) >= {percent} * greatest(n_x, n_y) "
+        f"AND (at_x + at_y) * {100 + percent} <= {100 - percent} * (n_x + n_y)").select(
+        F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"))
+    found = meet(early.where("outside"), index).unionByName(meet(early.where("NOT outside"), index.where("outside")))
+    return found.distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, percent: int = 85,
                     shingle: int = SHINGLE, seed: int = 11) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)``, one row per input row.
@@ -210,47 +272,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = named.unionByName(without_id).mapInArrow(run, "node binary, shingles array<bigint>")
     sets = stage(sets.groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
 
-    # One link per node first: its best neighbour over all trees.
+    # Regions, and each region's pivot: its member with the most neighbours over all trees.
+    rows = stage(_regions(forest), "regions")
+    degree = rows.groupBy("node").agg(F.sum("members").alias("degree"))
+    pivots = rows.join(degree, "node").groupBy("tree", "region").agg(
+        F.max(F.struct("degree", "node"))["node"].alias("pivot"))
+    stars = rows.join(pivots, ["tree", "region"]).where("node <> pivot").select("pivot", "node").distinct().persist()
+    held = [stars]
+    # Besides, a few neighbours of each node: those of longest common prefixes, and any.
     offers = forest.where("mate is not null").groupBy("node", "mate").agg(F.sum("lcp").alias("score"))
-    best = offers.groupBy("node").agg(F.max(F.struct("score", "mate")).alias("m"))
-    pairs = best.select(F.least("node", F.col("m.mate")).alias("a"), F.greatest("node", F.col("m.mate")).alias("b"))
-    near = components(_confirmed(pairs.distinct(), sets, percent))
-
-    # Then every region that still holds several groups, each at its own depth.
-    rows = stage(forest.select("tree", "sig", "node", "n").join(near, "node", "left").select(
-        "tree", "sig", "node", "n", F.coalesce("root", "node").alias("root")), "grouped")
-    region = lambda depth: F.expr(f"substring(sig, 1, {2 * depth})")
-    keyed = rows
-    for depth in range(BASE_DEPTH, LEVELS + 1):
-        per_root = rows.groupBy("tree", region(depth).alias(f"r{depth}"), "root").agg(F.count(F.lit(1)).alias("k"))
-        stats = per_root.groupBy("tree", f"r{depth}").agg(
-            F.sum("k").alias("members"), F.max(F.struct("k", "root")).alias("top"))
-        work = (F.col("members") - F.col("top.k")) * F.col("members")
-        mixed = stats.where("members > top.k").select(
-            "tree", f"r{depth}", F.col("top.root").alias(f"top{depth}"), work.alias(f"work{depth}"))
-        # A region of one group needs nothing, nor do the regions inside it.
-        how = "inner" if depth == BASE_DEPTH else "left"
-        keyed = keyed.withColumn(f"r{depth}", region(depth)).join(mixed, ["tree", f"r{depth}"], how)
-    at = F.lit(LEVELS)
-    for depth in range(LEVELS - 1, BASE_DEPTH - 1, -1):
-        at = F.when(F.col(f"work{depth}").isNull() | (F.col(f"work{depth}") <= REGION_PAIRS), depth).otherwise(at)
-    keyed = keyed.withColumn("depth", at)
-    pick = lambda name: F.coalesce(*[
-        F.when(F.col("depth") == d, F.col(f"{name}{d}")) for d in range(BASE_DEPTH, LEVELS + 1)])
-    open_rows = stage(keyed.select("tree", "node", "n", "root", pick("r").alias("region"), pick("top").alias("top")).where(
-        "top is not null"), "regions")
-    left = open_rows.where("root <> top").select(
-        "tree", "region", F.col("node").alias("x"), F.col("root").alias("rx"), F.col("n").alias("nx"))
-    right = open_rows.select("tree", "region", F.col("node").alias("y"), F.col("root").alias("ry"), F.col("n").alias("ny"))
-    # The region's bytes tell its depth, so one join serves all depths.
-    cross = left.join(right, ["tree", "region"]).where(
-        (F.col("rx") != F.col("ry")) & (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")))
-    cross = cross.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    links = _confirmed(cross, sets, percent)
+    by_score = Window.partitionBy("node").orderBy(F.col("score").desc(), "mate")
+    at_random = Window.partitionBy("node").orderBy(F.xxhash64("node", "mate"))
+    mates = offers.withColumn("s", F.row_number().over(by_score)).withColumn("r", F.row_number().over(at_random)).where(
+        (F.col("s") <= BEST_LINKS) | (F.col("r") <= RANDOM_LINKS))
+    pairs = mates.select("node", F.col("mate").alias("other")).unionByName(stars.select("node", F.col("pivot").alias("other")))
+    pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    near = components(_confirmed(pairs, sets, percent))
+
+    # What the pivots' groups still hold apart.
+    links = _confirmed(_across(stars, near, sets, percent, held), sets, percent)
     of = lambda c: near.select(F.col("node").alias(c), F.col("root").alias(f"r{c}"))
     links = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(
         F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
-    links = stage(links.distinct(), "late")
+    links = links.distinct().persist()
+    held.append(links)
     merged = components(links)
     ends = links.select(F.explode(F.array("a", "b")).alias("node")).select("node", F.col("node").alias("root"))
     roots = near.unionByName(ends).groupBy("node").agg(F.min("root").alias("root"))
@@ -259,7 +304,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     member = nodes.select("node", "rep").join(label, "node", "left").select(
         "node", "rep", F.coalesce("root", "node").alias("root"))
     smallest = member.groupBy("root").agg(F.min("rep").alias("component_id"))
-    of_node = member.join(smallest, "root").select("node", "component_id")
+    # Staged, so that the last join is one of two plain tables and a hot node's rows can be split.
+    of_node = stage(member.join(smallest, "root").select("node", "component_id"), "component")
+    for df in held:
+        df.unpersist()
     out = feats.select("doc_id", "n_shingles", "node").join(of_node, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),

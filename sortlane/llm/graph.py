@@ -4,8 +4,8 @@ Each round every node takes the smallest label within two links of it, and
 links are rewritten to those labels; nodes with one label become one node of
 the next, smaller graph.  Both aggregations combine map-side, and the joins
 are plain equi-joins that AQE splits when a hub is hot, so no task holds a
-hub's links.  Lineage is cut by one staged table per round in the shared
-folder.
+hub's links.  Lineage is cut by a staged table of links per round, and one of
+the result, in the shared folder.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         near = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         far = both.join(near.select(F.col("a").alias("b"), "m"), "b").select("a", "m").unionByName(near)
-        label = stage(far.groupBy("a").agg(F.min("m").alias("root")).withColumnRenamed("a", "node"), "labels")
+        label = far.groupBy("a").agg(F.min("m").alias("root")).withColumnRenamed("a", "node")
         rounds.append(label)
         ends = edges.join(label.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a").select("b", "ra")
         ends = ends.join(label.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b").where("ra <> rb")
@@ -43,4 +43,4 @@ def components(links: DataFrame) -> DataFrame:
     for label in rounds[1:]:
         nxt = label.select(F.col("node").alias("root"), F.col("root").alias("_next"))
         out = out.join(nxt, "root", "left").select("node", F.coalesce("_next", "root").alias("root"))
-    return out
+    return stage(out, "components")

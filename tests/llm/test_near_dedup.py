@@ -58,7 +58,7 @@ def test_equals_comparing_all_pairs(spark, seed):
 
 
 def test_regions_with_many_groups_are_cut_deeper(spark, monkeypatch):
-    monkeypatch.setattr(dedup, "REGION_PAIRS", 4)
+    monkeypatch.setattr(dedup, "REGION_ROWS", 4)
     rng = random.Random(5)
     base = [f"b{i}" for i in range(300)]
     rows = []
@@ -72,6 +72,32 @@ def test_regions_with_many_groups_are_cut_deeper(spark, monkeypatch):
     assert got == brute(rows)
 
 
+def test_edits_of_one_text_and_edits_of_those(spark):
+    """Copies near a hub, others too far from it that are near one another."""
+    rng = random.Random(9)
+    base = [f"b{i}" for i in range(150)]
+
+    def edit(words, k):
+        words = list(words)
+        for _ in range(k):
+            i = rng.randrange(len(words))
+            what = rng.random()
+            if what < 0.2:
+                words.insert(i, f"i{rng.randrange(10**6)}")
+            elif what < 0.4:
+                del words[i]
+            else:
+                words[i] = f"n{rng.randrange(10**6)}"
+        return words
+
+    texts = [base] + [edit(base, rng.choice([1, 2, 3, 4, 6])) for _ in range(150)]
+    texts += [edit(rng.choice(texts), rng.choice([1, 2])) for _ in range(150)]
+    rows = [(i, " ".join(w)) for i, w in enumerate(texts)]
+    rng.shuffle(rows)
+    out = dedup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in out.collect()) == brute(rows)
+
+
 def test_odd_rows(spark):
     got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in dedup.near_duplicates(odd_docs(spark)).collect()),
                  key=lambda r: (r[0] is None, r))
