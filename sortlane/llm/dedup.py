@@ -108,8 +108,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     go.  The neighbours of a partition's first and last row may lie in other
     partitions; those two rows always stay.
     """
-    names = ["tree", "sig", "node", "n", "mate", "lcp"]
-    kinds = [pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.int32()]
+    names, kinds = ["tree", "sig", "node", "n"], [pa.int32(), pa.binary(), pa.binary(), pa.int64()]
 
     def shared(t: pa.Table) -> np.ndarray:
         """Levels that each row shares with the next."""
@@ -122,14 +121,18 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     before: bytes | None = None
 
     def out(rows: pa.Table, prev: np.ndarray, nxt: np.ndarray, mates_prev: list, mates_next: list):
-        best = np.maximum(prev, nxt)
-        keep = np.flatnonzero(best >= BASE_DEPTH)
-        nodes_prev = [mates_prev[i] if prev[i] >= nxt[i] and mates_prev[i] is not None else mates_next[i] for i in keep]
-        got = [rows[c].combine_chunks().take(pa.array(keep)) for c in ("tree", "sig", "node", "n")]
-        lcp = np.array([0 if m is None else best[i] for m, i in zip(nodes_prev, keep)], np.int32)
+        keep = np.flatnonzero(np.maximum(prev, nxt) >= BASE_DEPTH)
+        mates, lcps = [], []
+        for i in keep:
+            # A neighbour in another partition isn't known.
+            p = prev[i] if mates_prev[i] is not None else 0
+            q = nxt[i] if mates_next[i] is not None else 0
+            best = max(p, q)
+            mates.append(None if best < BASE_DEPTH else mates_prev[i] if p >= q else mates_next[i])
+            lcps.append(best)
+        got = [rows[c].combine_chunks().take(pa.array(keep)).cast(k) for c, k in zip(names, kinds)]
         return pa.RecordBatch.from_arrays(
-            [a.cast(k) for a, k in zip(got, kinds)] + [pa.array(nodes_prev, pa.binary()), pa.array(lcp, pa.int32())],
-            names)
+            [*got, pa.array(mates, pa.binary()), pa.array(lcps, pa.int32())], [*names, "mate", "lcp"])
 
     for batch in batches:
         if not batch.num_rows:
@@ -250,8 +253,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # Full sets of the nodes that have a neighbour, from one document of each.
     involved = forest.select("node").distinct()
-    chosen = feats.where("node is not null").join(involved, "node", "left_semi").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id")).where("doc_id is not null").select("doc_id").distinct()
+    chosen = nodes.where("rep is not null").join(involved, "node", "left_semi").select(F.col("rep").alias("doc_id")).distinct()
     size = shingle
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -264,7 +264,8 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         "paragraph", "family", F.round("probability", 6).alias("probability"), F.round("similarity", 6).alias("similarity")))
     ).alias("_found")).withColumnRenamed("key", "_key")
     per_text = stage(per_text, "license-found")
-    rows = keyed.select("doc_id", "key", F.coalesce(F.size(F.split("text", "\\R")), F.lit(0)).alias("n"), F.col("text").isNull().alias("none"))
+    rows = keyed.select("doc_id", "key", F.coalesce(F.size(F.split("text", "\\R")), F.lit(0)).alias("n"),
+                        F.col("text").isNull().alias("none"))
     out = rows.join(per_text, (F.col("key") == F.col("_key")) & ~F.col("none"), "left")
     empty = F.array().cast("array<struct<paragraph:int,family:string,probability:double,similarity:double>>")
     found = F.coalesce("_found", empty)

@@ -53,11 +53,13 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {f.__name__: f for f in (
-        op1_near_dedup, op2_warc_audit, op3_mix_sources, op4_quality, op5_licenses, op6_top_k, op7_toxicity, op8_nearest, op9_shuffle_shards, op10_pack)}
+        op1_near_dedup, op2_warc_audit, op3_mix_sources, op4_quality, op5_licenses, op6_top_k, op7_toxicity,
+        op8_nearest, op9_shuffle_shards, op10_pack)}
 
 
 #: Words of a text, and its set of distinct five-word runs (fewer words: the whole sequence).
-_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
 
 OP1_SQL = rf"""
 WITH RECURSIVE w AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS ws FROM documents),

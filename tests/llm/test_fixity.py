@@ -1,4 +1,3 @@
-from helpers import no_docs  # noqa: F401
 from pyspark.sql import functions as F
 
 from sortlane.llm import fixity
