@@ -199,7 +199,8 @@ def _across(stars: DataFrame, near: DataFrame, sets: DataFrame, percent: int, he
         F.col("node").alias("pivot"), F.coalesce("root", "node").alias("root"))
     counts = group.select("pivot", "root").unionByName(hub).groupBy("pivot", "root").agg(F.count(F.lit(1)).alias("k"))
     mixed = counts.groupBy("pivot").agg(F.max(F.struct("k", "root"))["root"].alias("top"), F.count(F.lit(1)).alias("c")).where(
-        "c > 1").select("pivot", "top")
+        "c > 1").select("pivot", "top").persist()
+    held.append(mixed)  # cached, so that the join below is of plain tables and a hot pivot's rows can be split
     members = group.join(mixed, "pivot")
     own = sets.select("node", F.col("shingles").alias("sx"))
     base = sets.select(F.col("node").alias("pivot"), F.col("shingles").alias("sp"))
