@@ -133,10 +133,11 @@ class StreamRuns:
             raise StreamStateError(f"batch {batch_id} has no state to follow under {self.base}")
         if done and done[-1] > batch_id:
             raise StreamStateError(f"{self.base} already holds batch {done[-1]}; batch {batch_id} starts over on old state")
-        for b in done:
-            if b in (batch_id - 1, batch_id) and self._manifest(spark, b).query != query:
+        prev = self._manifest(spark, batch_id - 1)
+        for b, state in [(batch_id - 1, prev)] + ([(batch_id, self._manifest(spark, batch_id))] if batch_id in done else []):
+            if b >= 0 and state.query != query:
                 raise StreamStateError(f"the state under {self.base} belongs to another streaming query")
-        return self._manifest(spark, batch_id - 1)
+        return prev
 
     # ---- the batch function --------------------------------------------------
 
