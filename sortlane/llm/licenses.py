@@ -34,6 +34,9 @@ SAMPLE_DOCS = 400
 #: Between words: anything but letters, digits and dots, plus or hyphens inside a word.
 BREAK = r"(?:[^a-z0-9.+\-]|[.+\-](?![a-z0-9]))+"
 
+#: One word instead of three: each alone is common, and "all" is a stop word.
+PHRASE, PHRASE_WORD = r"\ball([\s*#/;%-]+)rights([\s*#/;%-]+)reserved\b", "all-rights-reserved"
+
 # Notices of public licenses, by family.
 TEMPLATES = (
     ("MIT", "Released under the MIT License."),
@@ -79,6 +82,30 @@ TEMPLATES = (
                 "under CC0 1.0 Universal Public Domain Dedication."),
     ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
                   "publish, use, compile, sell, or distribute this software. See unlicense.org"),
+    ("MIT", "Licensed under the MIT License."),
+    ("Apache-2.0", "Released under the Apache License 2.0."),
+    ("GPL-3.0", "Released under the GNU GPL version 3."),
+    ("GPL-3.0", "Licensed under the GNU GPLv3."),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", "Released under the GNU GPL version 2."),
+    ("GPL-2.0", "Licensed under the GNU GPLv2."),
+    ("LGPL", "Licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL", "SPDX-License-Identifier: LGPL-3.0-only"),
+    ("LGPL", "SPDX-License-Identifier: LGPL-2.1-only"),
+    ("AGPL-3.0", "SPDX-License-Identifier: AGPL-3.0-only"),
+    ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
+    ("BSD-2-Clause", "SPDX-License-Identifier: BSD-2-Clause"),
+    ("MPL-2.0", "SPDX-License-Identifier: MPL-2.0"),
+    ("ISC", "SPDX-License-Identifier: ISC"),
+    ("ISC", "Licensed under the ISC License."),
+    ("CC-BY-4.0", "SPDX-License-Identifier: CC-BY-4.0"),
+    ("CC-BY-SA-4.0", "SPDX-License-Identifier: CC-BY-SA-4.0"),
+    ("CC-BY-NC-4.0", "SPDX-License-Identifier: CC-BY-NC-4.0"),
+    ("CC0-1.0", "Released under CC0 1.0 Universal."),
+    ("CC0-1.0", "SPDX-License-Identifier: CC0-1.0"),
+    ("Unlicense", "SPDX-License-Identifier: Unlicense"),
+    ("Proprietary", "All rights reserved."),
+    ("Proprietary", "Copyright by the author. All rights reserved."),
     ("Proprietary", "All rights reserved. No part of this publication may be reproduced, distributed, or transmitted in any "
                     "form without the prior written permission of the publisher."),
 )
@@ -106,7 +133,13 @@ STOP_WORDS = ("a", "an", "and", "any", "are", "as", "at", "be", "for", "have", "
 
 
 def tokens(text: Column) -> Column:
-    return F.split(F.lower(text), BREAK)
+    """Words of a text in lower case."""
+    return F.split(text, BREAK)
+
+
+def _joined(text: Column) -> Column:
+    """Lower case, with the fixed phrase as one word; line breaks stay."""
+    return F.regexp_replace(F.lower(text), PHRASE, PHRASE_WORD + "$1$2")
 
 
 def _grams(words: Column) -> Column:
@@ -124,8 +157,8 @@ def _rows(spark: SparkSession, rows: list, schema: str) -> DataFrame:
 
 
 def _vocabulary() -> list[str]:
-    brk = re.compile(BREAK)
-    return sorted({w for _, t in TEMPLATES for w in brk.split(t.lower()) if w} - set(STOP_WORDS))
+    brk, phrase = re.compile(BREAK), re.compile(PHRASE)
+    return sorted({w for _, t in TEMPLATES for w in brk.split(phrase.sub(PHRASE_WORD + " ", t.lower())) if w} - set(STOP_WORDS))
 
 
 @dataclass
@@ -157,19 +190,20 @@ def train(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
     rows = [{"id": i, "family": f, "text": t} for i, (f, t) in enumerate(TEMPLATES)]
     rows += [{"id": 1000 + i, "family": UNKNOWN, "text": t} for i, t in enumerate(NEAR_MISSES)]
     base = _rows(spark, rows, "id int, family string, text string").select(
-        "id", "family", F.filter(tokens(F.col("text")), lambda w: F.array_contains(known, w)).alias("all"))
+        "id", "family", F.filter(tokens(_joined(F.col("text"))), lambda w: F.array_contains(known, w)).alias("all"))
     # Copy 0 is whole; later ones drop up to a third of the words, and every third is cut in half.
     copies = base.select("id", "family", "all", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("copy"))
     dropped = F.filter("all", lambda w, i: F.pmod(F.xxhash64("id", "copy", i, F.lit(seed)), F.lit(24)) >= F.col("copy") / 3)
     half = F.ceil(F.size("all") / 2).cast("int")
     cut = F.when((F.col("copy") % 6 == 2) & (F.size("all") > 8), F.slice(dropped, F.lit(1), half)).when(
         (F.col("copy") % 6 == 5) & (F.size("all") > 8), F.slice(dropped, half, F.size("all"))).otherwise(dropped)
-    varied = copies.select("id", "copy", "family", cut.alias("words"))
+    # A copy that lost all its words is no notice.
+    varied = copies.select("id", "copy", "family", cut.alias("words")).where((F.size("words") > 0) | (F.col("family") == UNKNOWN))
     ids = docs.select(F.col(id_col).cast("bigint").alias("_id")).where("_id is not null").distinct().orderBy(
         F.xxhash64("_id", F.lit(seed)), "_id").limit(sample_docs)
     # Bounded by sample_docs.
     lines = docs.join(F.broadcast(ids), F.col(id_col) == F.col("_id")).select(
-        "_id", F.posexplode(F.split(F.coalesce(text_col, F.lit("")), "\\R")).alias("at", "line"))
+        "_id", F.posexplode(F.split(_joined(F.coalesce(text_col, F.lit(""))), "\\R")).alias("at", "line"))
     found = lines.select("_id", "at", F.filter(tokens(F.col("line")), lambda w: F.array_contains(known, w)).alias("words"))
     plain = found.where(F.size("words") < 2).select(
         F.lit(2000).alias("id"), F.pmod(F.xxhash64("_id", "at"), F.lit(24)).cast("int").alias("copy"),
@@ -215,12 +249,12 @@ def scan_paragraphs(docs: DataFrame, model: LicenseModel, keys: list[str], text_
     ``keys`` must have equal texts."""
     spark = docs.sparkSession
     vocabulary = _rows(spark, [{"v": w} for w in model.vocabulary], "v string")
-    lines = docs.select(*keys, F.posexplode(F.split(F.col(text_col), "\\R")).alias("paragraph", "line"))
+    lines = docs.select(*keys, F.posexplode(F.split(_joined(F.col(text_col)), "\\R")).alias("paragraph", "line"))
     words = lines.select(*keys, "paragraph", F.posexplode(tokens(F.col("line"))).alias("at", "word"))
     known = words.join(F.broadcast(vocabulary), F.col("word") == F.col("v")).select(*keys, "paragraph", "at", "word")
     # A paragraph's vocabulary words in order: bounded by one paragraph.
     kept = known.groupBy(*keys, "paragraph").agg(F.sort_array(F.collect_set(F.struct("at", "word"))).alias("w")).where(
-        F.size("w") > 1)
+        (F.size("w") > 1) | (F.col("w")[0]["word"] == PHRASE_WORD))
     grams = stage(kept.select(*keys, "paragraph", F.explode(_grams(F.col("w.word"))).alias("gram")), "license-grams")
     place = [*keys, "paragraph"]
     margins = _margins(spark, model, grams, place)
@@ -232,7 +266,7 @@ def scan_paragraphs(docs: DataFrame, model: LicenseModel, keys: list[str], text_
     # Confirm with the templates of that family: the share of a template's n-grams that the paragraph holds.
     known_words = F.array(*[F.lit(w) for w in model.vocabulary])
     templates = _rows(spark, [{"t": i, "f": f, "x": t} for i, (f, t) in enumerate(TEMPLATES)], "t int, f string, x string")
-    templates = templates.select("t", "f", _grams(F.filter(tokens(F.col("x")), lambda w: F.array_contains(known_words, w))).alias("tg"))
+    templates = templates.select("t", "f", _grams(F.filter(tokens(_joined(F.col("x"))), lambda w: F.array_contains(known_words, w))).alias("tg"))
     templates = templates.select("t", "f", F.size("tg").alias("tn"), F.explode("tg").alias("tgram"))
     shared = grams.join(named, place).join(F.broadcast(templates), (F.col("gram") == F.col("tgram")) & (F.col("family") == F.col("f")))
     like = shared.groupBy(*place, "family", "probability", "t").agg(
