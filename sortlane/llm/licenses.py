@@ -1,8 +1,8 @@
 """License scan: a trained paragraph classifier, all in DataFrame operations.
 
-A paragraph (line) is reduced to the words it shares with the vocabulary of
-the license templates; its features are those words and their neighbouring
-pairs.  A multinomial logistic regression over these sparse n-grams gives the
+A unit (a line, or a window over following lines, for notices that are wrapped)
+is reduced to the words it shares with the vocabulary of the license templates;
+its features are those words and their neighbouring pairs.  A multinomial logistic regression over these sparse n-grams gives the
 probability of each license family and of ``unknown``.  It is trained on the
 templates with words dropped and ends cut, and on paragraphs that are no
 license; a temperature fitted on a held-out part calibrates it.  A family is
@@ -22,7 +22,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sortlane.operators.order import stage
@@ -31,8 +31,13 @@ UNKNOWN = "unknown"
 MIN_PROBABILITY = 0.5
 MIN_SIMILARITY = 0.6
 SAMPLE_DOCS = 400
+#: Lines with vocabulary words that a wrapped notice's window spans at most.
+MAX_LINES = 16
+#: From one of them to the next: between them may be one blank line or one without such words.
+MAX_STEP = 2
 #: Between words: anything but letters, digits and dots, plus or hyphens inside a word.
-BREAK = r"(?:[^a-z0-9.+\-]|[.+\-](?![a-z0-9]))+"
+#: Possessive: a greedy group recurses once per character, and a long run of them overflows the stack.
+BREAK = r"(?:[^a-z0-9.+\-]++|[.+\-](?![a-z0-9]))++"
 
 #: One word instead of three: each alone is common, and "all" is a stop word.
 PHRASE, PHRASE_WORD = r"\ball([\s*#/;%-]+)rights([\s*#/;%-]+)reserved\b", "all-rights-reserved"
@@ -245,34 +250,92 @@ def _margins(spark: SparkSession, model: LicenseModel, grams: DataFrame, keys: l
 def scan_paragraphs(docs: DataFrame, model: LicenseModel, keys: list[str], text_col: str = "text",
                     min_probability: float = MIN_PROBABILITY, min_similarity: float = MIN_SIMILARITY) -> DataFrame:
     """``(keys, paragraph, family, probability, similarity)`` of the paragraphs that
-    hold a license; paragraphs count from 0, blank ones included.  Rows equal in
-    ``keys`` must have equal texts."""
+    hold a license; paragraphs are lines and count from 0, blank ones included.
+    A notice wrapped over several lines is reported once, at its first line.
+    Rows equal in ``keys`` must have equal texts."""
     spark = docs.sparkSession
     vocabulary = _rows(spark, [{"v": w} for w in model.vocabulary], "v string")
     lines = docs.select(*keys, F.posexplode(F.split(_joined(F.col(text_col)), "\\R")).alias("paragraph", "line"))
     words = lines.select(*keys, "paragraph", F.posexplode(tokens(F.col("line"))).alias("at", "word"))
     known = words.join(F.broadcast(vocabulary), F.col("word") == F.col("v")).select(*keys, "paragraph", "at", "word")
-    # A paragraph's vocabulary words in order: bounded by one paragraph.
-    kept = known.groupBy(*keys, "paragraph").agg(F.sort_array(F.collect_set(F.struct("at", "word"))).alias("w")).where(
-        (F.size("w") > 1) | (F.col("w")[0]["word"] == PHRASE_WORD))
-    grams = stage(kept.select(*keys, "paragraph", F.explode(_grams(F.col("w.word"))).alias("gram")), "license-grams")
-    place = [*keys, "paragraph"]
+    # A line's vocabulary words in order: bounded by one line.
+    held = known.groupBy(*keys, "paragraph").agg(F.sort_array(F.collect_set(F.struct("at", "word")))["word"].alias("words"))
+    held = stage(held, "license-lines")
+    single = held.where((F.size("words") > 1) | (F.col("words")[0] == PHRASE_WORD)).withColumn("lines", F.lit(1))
+    units = single.unionByName(_windows(spark, model, held, keys, min_similarity))
+    grams = stage(units.select(*keys, "paragraph", "lines", F.explode(_grams(F.col("words"))).alias("gram")), "license-grams")
+    place = [*keys, "paragraph", "lines"]
     margins = _margins(spark, model, grams, place)
     best = F.array_position("z", F.array_max("z")).cast("int")
     named = margins.select(*place, "z", best.alias("best")).select(
         *place, F.element_at(F.array(*[F.lit(f) for f in model.families]), F.col("best")).alias("family"),
         F.exp(_log_probability(F.col("z"), F.col("best"), model.temperature)).alias("probability"))
     named = named.where((F.col("family") != UNKNOWN) & (F.col("probability") >= min_probability))
-    # Confirm with the templates of that family: the share of a template's n-grams that the paragraph holds.
-    known_words = F.array(*[F.lit(w) for w in model.vocabulary])
-    templates = _rows(spark, [{"t": i, "f": f, "x": t} for i, (f, t) in enumerate(TEMPLATES)], "t int, f string, x string")
-    templates = templates.select("t", "f", _grams(F.filter(tokens(_joined(F.col("x"))), lambda w: F.array_contains(known_words, w))).alias("tg"))
-    templates = templates.select("t", "f", F.size("tg").alias("tn"), F.explode("tg").alias("tgram"))
-    shared = grams.join(named, place).join(F.broadcast(templates), (F.col("gram") == F.col("tgram")) & (F.col("family") == F.col("f")))
+    # Confirm with the templates of that family: the share of a template's n-grams that the unit holds.
+    shared = grams.join(named, place).join(F.broadcast(_template_grams(spark, model)),
+                                           (F.col("gram") == F.col("tgram")) & (F.col("family") == F.col("f")))
     like = shared.groupBy(*place, "family", "probability", "t").agg(
         (F.count(F.lit(1)) / F.first("tn")).alias("s")).groupBy(*place, "family", "probability").agg(
         F.max("s").alias("similarity"))
-    return like.where(F.col("similarity") >= min_similarity)
+    return _once(like.where(F.col("similarity") >= min_similarity), keys)
+
+
+def _template_grams(spark: SparkSession, model: LicenseModel) -> DataFrame:
+    """``(t, f, tn, tgram)``: each template's family, number of n-grams and n-grams."""
+    known_words = F.array(*[F.lit(w) for w in model.vocabulary])
+    templates = _rows(spark, [{"t": i, "f": f, "x": t} for i, (f, t) in enumerate(TEMPLATES)], "t int, f string, x string")
+    templates = templates.select("t", "f", _grams(F.filter(tokens(_joined(F.col("x"))), lambda w: F.array_contains(known_words, w))).alias("tg"))
+    return templates.select("t", "f", F.size("tg").alias("tn"), F.explode("tg").alias("tgram"))
+
+
+def _windows(spark: SparkSession, model: LicenseModel, held: DataFrame, keys: list[str], min_similarity: float) -> DataFrame:
+    """``(keys, paragraph, lines, words)``: windows of 2 to ``MAX_LINES`` lines, where a template may be found.
+
+    A run of lines holds all n-grams of its windows, so runs that no template
+    reaches ``min_similarity`` in have no windows to look at.
+    """
+    order = Window.partitionBy(*keys).orderBy("paragraph")  # one text's lines
+    new = F.coalesce(F.col("paragraph") - F.lag("paragraph").over(order) > MAX_STEP, F.lit(True)).cast("int")
+    runs = held.withColumn("_new", new).withColumn("_run", F.sum("_new").over(order)).groupBy(*keys, "_run").agg(
+        F.sort_array(F.collect_list(F.struct("paragraph", "words"))).alias("run")).where(F.size("run") > 1)
+    runs = stage(runs, "license-runs")
+    near = runs.select(*keys, "_run", F.explode(_grams(F.flatten("run.words"))).alias("gram")).join(
+        F.broadcast(_template_grams(spark, model)), F.col("gram") == F.col("tgram")).groupBy(*keys, "_run", "t").agg(
+        (F.count(F.lit(1)) / F.first("tn")).alias("s")).where(F.col("s") >= min_similarity).select(*keys, "_run").distinct()
+    n = F.size("run")
+    at = lambda i: F.col("run")[i]["paragraph"]
+    spans = F.flatten(F.transform(F.sequence(F.lit(0), n - 2), lambda i: F.transform(
+        F.sequence(i + 1, F.least(i + MAX_LINES - 1, n - 1)), lambda j: F.struct(
+            at(i).alias("paragraph"), (at(j) - at(i) + 1).alias("lines"),
+            F.flatten(F.slice("run.words", i + 1, j - i + 1)).alias("words")))))
+    return runs.join(near, [*keys, "_run"], "left_semi").select(*keys, F.explode(spans).alias("s")).select(*keys, "s.*")
+
+
+def _once(hits: DataFrame, keys: list[str]) -> DataFrame:
+    """Each notice once: ``(keys, paragraph, family, probability, similarity)``.
+
+    Of windows the most similar come first, then the shortest; one goes that
+    covers a line of its family, or of at least its similarity, or that
+    overlaps an earlier window (one of another family may begin on the line
+    where that ends).  Lines that hold a notice by themselves stay, but for
+    those that a remaining window covers: they are a part of its notice.
+    """
+    cols = ["paragraph", "lines", "family", "probability", "similarity"]
+    # Bounded by one text's hits.
+    found = hits.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(
+        (-F.col("similarity")).alias("_s"), "lines", (-F.col("probability")).alias("_p"), "paragraph", "family",
+        "probability", "similarity"))).alias("_all"))
+    last = lambda x: x["paragraph"] + x["lines"] - 1
+    single = F.filter("_all", lambda x: x["lines"] == 1)
+    free = F.filter("_all", lambda x: (x["lines"] > 1) & ~F.exists("_one", lambda o: (
+        o["paragraph"].between(x["paragraph"], last(x)) & ((o["family"] == x["family"]) | (o["similarity"] >= x["similarity"])))))
+    meets = lambda x, c: F.when(x["family"] == c["family"], (x["paragraph"] <= last(c)) & (c["paragraph"] <= last(x))).otherwise(
+        (x["paragraph"] < last(c)) & (c["paragraph"] < last(x)))
+    kept = F.aggregate("_many", F.filter("_many", lambda x: F.lit(False)), lambda acc, x: F.when(
+        F.exists(acc, lambda c: meets(x, c)), acc).otherwise(F.concat(acc, F.array(x))))
+    alone = F.filter("_one", lambda o: ~F.exists("_kept", lambda x: o["paragraph"].between(x["paragraph"], last(x))))
+    return found.withColumn("_one", single).withColumn("_many", free).withColumn("_kept", kept).select(
+        *keys, F.explode(F.concat(alone, "_kept")).alias("h")).select(*keys, *[f"h.{c}" for c in cols if c != "lines"])
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
