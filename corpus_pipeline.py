@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sortlane.llm import dedup, mixing, packing, quality, toxicity
@@ -17,6 +17,7 @@ from sortlane.llm.classify import keep_rows
 from sortlane.operators.order import stage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+KEY = "_row_key"
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,18 +36,28 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_rows(docs, "text", toxicity.keeper(toxicity.train(docs, _labels(spark, sf_dir))))
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The documents with a unique key of each row, staged so that it stays."""
+    return stage(docs.select(COLUMNS).withColumn(KEY, F.monotonically_increasing_id()), "keyed")
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays, the one of smallest id.
+    """One row of each near-duplicate group stays, the one of smallest id.
 
-    Of repeated rows with that id one stays.  Rows without an id can't be
-    named as the one that stays; they all stay.
+    Rows without an id take part and come last, so they stay only in groups
+    without any id.  Rows that share an id are separate documents; of equal
+    ids in a group one stays, by a digest of the row.  Texts without words are
+    linked with nothing; such rows are copies if both id and text are equal.
     """
-    docs = docs.select(COLUMNS)
-    kept = dedup.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "source", "lang", "n_chars")
-    named = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").withColumn(
-        "_row", F.row_number().over(first)).where("_row = 1")
-    return named.select(COLUMNS).unionByName(docs.where("doc_id IS NULL"))
+    rows = _keyed(docs)
+    groups = dedup.near_duplicates(rows, KEY).select(F.col("doc_id").alias(KEY), "n_shingles", "component_id")
+    bare = F.col("n_shingles") == 0
+    named = rows.select(KEY, "doc_id", F.md5("text").alias("_text"), F.xxhash64("text", "source", "lang", "n_chars").alias("_tie"))
+    # The smallest id of a group, nulls last; combined map-side.
+    first = groups.join(named, KEY).groupBy(
+        F.when(~bare, F.col("component_id")), F.when(bare, F.col("doc_id")), F.when(bare, F.col("_text"))).agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_tie", KEY))[KEY].alias(KEY))
+    return rows.join(first.select(KEY), KEY, "left_semi").select(COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
