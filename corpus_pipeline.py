@@ -61,15 +61,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: 0, 1 or 2 rows.
-
-    Rows that share an id share the largest number of copies among them.
-    """
-    docs = docs.select(COLUMNS)
-    taken = mixing.mix_sources(docs).where("copies > 0").groupBy(F.col("doc_id").alias("_id")).agg(
-        F.max("copies").alias("_copies"))
-    kept = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")))
-    return kept.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(COLUMNS)
+    """Each row as often as the mix takes it: 0, 1 or 2 times, whatever rows share its id."""
+    rows = _keyed(docs)
+    taken = mixing.mix_sources(rows, row_col=KEY).where("copies > 0").select(KEY, F.col("copies").alias("_copies"))
+    return rows.join(taken, KEY).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -173,13 +173,18 @@ def mix_plan(spark, totals: list[tuple], weights: Sequence[int] = WEIGHTS, perce
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *,
                 weights: Sequence[int] = WEIGHTS, percent: int = SHARE_PERCENT, most: int = MOST,
-                seed: int = 3) -> DataFrame:
+                seed: int = 3, row_col: str | None = None) -> DataFrame:
     """``(doc_id, size, source_size, target, taken, copies, source)``, one row per input row.
 
     ``copies`` is how often the mix takes the document, ``taken = copies * size``.
     Each source's taken words differ from its target by at most about two
     documents' words; no document is taken more than ``most`` times.
 
+    ``row_col`` names a unique key of each row, which is returned as the last
+    column, so that the decision can be joined back to its row.  Rows are then
+    told apart by a digest of all their other columns too, never by the key,
+    so the rows taken don't depend on it.
+
     Defined results: a null, empty or blank text has size 0 and takes 0 words;
     a null source is a source of its own, last in order; a source without
     words has target 0; repeated rows are separate units and equal ones are
@@ -187,10 +192,12 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ignored.
     """
     spark = docs.sparkSession
+    row = [F.col(row_col), F.xxhash64(*[c for c in docs.columns if c != row_col]).alias("_tie")] if row_col else []
+    carried, told = ([row_col, "_tie"], ["doc_id", "_tie"]) if row_col else ([], ["doc_id"])
     sized = stage(docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-        F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("bigint").alias("size")),
-        "sizes")
+        F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
+        *row), "sizes")
     # One row per source goes to the driver.
     totals = [(r[0], r[1]) for r in sized.groupBy("source").agg(F.sum("size")).collect()]
     plan = mix_plan(spark, totals, weights, percent, most)
@@ -199,8 +206,8 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     whole = F.floor(rate + F.lit(1e-12)).cast("int")
     units = sized.join(F.broadcast(plan), on).select(
         "doc_id", sized["source"], "size", "source_size", "target", whole.alias("whole"),
-        F.greatest(F.lit(0.0), rate - whole).alias("p"))
-    out = cube_sample(units, ["source"], ["doc_id"], "size", "p", seed)
+        F.greatest(F.lit(0.0), rate - whole).alias("p"), *carried)
+    out = cube_sample(units, ["source"], told, "size", "p", seed)
     copies = F.col("whole") + F.col("chosen")
     return out.select("doc_id", "size", "source_size", "target", (copies * F.col("size")).cast("bigint").alias("taken"),
-                      copies.alias("copies"), "source")
+                      copies.alias("copies"), "source", *carried[:1])

@@ -30,3 +30,25 @@ def test_copies_without_an_id_go(spark):
     got = kept(spark, [(None, A), (None, A), (None, near), (5, B), (None, B), (None, C), (9, ""), (9, ""), (8, "")])
     assert got[:2] == [(5, B), (8, "")] and (9, "") in got and (None, C) in got
     assert len(got) == 5 and sum(t in (A, near) for _, t in got) == 1
+
+
+def mixable(spark, ids):
+    """Two sources: all of the first is taken twice, the second about 4/3 times."""
+    rows = [(ids(i), f"{i} " + "word " * (i % 7), "en", s, i) for s, n in (("a", 300), ("b", 900)) for i in range(n)]
+    return spark.createDataFrame(rows, DOC_SCHEMA).repartition(3)
+
+
+def test_mix_decides_row_by_row(spark):
+    for ids in (lambda i: None, lambda i: i % 2):
+        docs = mixable(spark, ids)
+        out = cp.mix(spark, docs, SF_SMALL).collect()
+        sizes = {s: sum(len(r.text.split()) for r in docs.collect() if r.source == s) for s in "ab"}
+        taken = {s: sum(len(r.text.split()) for r in out if r.source == s) for s in "ab"}
+        total = 1.5 * sum(sizes.values())
+        want = dict(a=min(2 * sizes["a"], total * 5 / 7))
+        want["b"] = min(2 * sizes["b"], total - want["a"])
+        assert all(abs(taken[s] - want[s]) <= 14 for s in "ab"), (taken, want)
+        copies = {}
+        for r in out:
+            copies[r.source, r.text] = copies.get((r.source, r.text), 0) + 1
+        assert max(copies.values()) <= 2
