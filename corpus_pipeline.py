@@ -18,6 +18,8 @@ from sortlane.operators.order import stage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 KEY = "_row_key"
+#: Near-duplicates of the stage: similarity of 0.8 or more (op1's query has 0.85).
+NEAR_PERCENT = 80
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +52,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     linked with nothing; such rows are copies if both id and text are equal.
     """
     rows = _keyed(docs)
-    groups = dedup.near_duplicates(rows, KEY).select(F.col("doc_id").alias(KEY), "n_shingles", "component_id")
+    groups = dedup.near_duplicates(rows, KEY, percent=NEAR_PERCENT).select(F.col("doc_id").alias(KEY), "n_shingles", "component_id")
     bare = F.col("n_shingles") == 0
     named = rows.select(KEY, "doc_id", F.md5("text").alias("_text"), F.xxhash64("text", "source", "lang", "n_chars").alias("_tie"))
     # The smallest id of a group, nulls last; combined map-side.

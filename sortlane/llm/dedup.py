@@ -15,7 +15,9 @@ pivot, which finds every remaining link without pairing the group (see
 ``_across``).
 
 Two sets at similarity 0.85 share a prefix of 5 levels in some of 32 trees
-except with probability 8e-9, and one of 8 levels except with 4e-5.
+except with probability 8e-9, and one of 8 levels except with 4e-5.  At 0.8 it
+is 3e-6 for 5 levels, 6e-5 for 6 and 3e-3 for 8, so the deepest regions have
+the most levels, up to 8, that keep it at or below ``MISS``.
 """
 
 from __future__ import annotations
@@ -38,6 +40,8 @@ TREES = 32
 LEVELS = 8
 BASE_DEPTH = 5
 REGION_ROWS = 1024
+#: The deepest regions may part two sets at the threshold, in all trees, with this probability.
+MISS = 1e-4
 #: Neighbours of a node that are confirmed: those of longest common prefixes, and any.
 BEST_LINKS = 2
 RANDOM_LINKS = 3
@@ -162,14 +166,19 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * common.cast("bigint") >= percent * union.cast("bigint")).select("a", "b")
 
 
-def _regions(forest: DataFrame) -> DataFrame:
+def deepest(percent: int) -> int:
+    """Levels of the deepest regions."""
+    return max((d for d in range(BASE_DEPTH, LEVELS + 1) if (1 - (percent / 100) ** d) ** TREES <= MISS), default=BASE_DEPTH)
+
+
+def _regions(forest: DataFrame, most: int) -> DataFrame:
     """``(tree, region, node, members)``: the region of each row, of adaptive depth.
 
     A region is a common prefix of ``BASE_DEPTH`` levels; while it has more
-    than ``REGION_ROWS`` members it is cut one level deeper, down to ``LEVELS``.
+    than ``REGION_ROWS`` members it is cut one level deeper, down to ``most``.
     """
-    rows, at = forest.select("tree", "sig", "node"), F.lit(LEVELS)
-    depths = range(BASE_DEPTH, LEVELS + 1)
+    rows, at = forest.select("tree", "sig", "node"), F.lit(most)
+    depths = range(BASE_DEPTH, most + 1)
     prefix = lambda depth: F.expr(f"substring(sig, 1, {2 * depth})")
     for d in depths:
         sizes = forest.groupBy("tree", prefix(d).alias(f"r{d}")).agg(F.count(F.lit(1)).alias(f"n{d}"))
@@ -276,7 +285,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = stage(sets.groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
 
     # Regions, and each region's pivot: its member with the most neighbours over all trees.
-    rows = stage(_regions(forest), "regions")
+    rows = stage(_regions(forest, deepest(percent)), "regions")
     degree = rows.groupBy("node").agg(F.sum("members").alias("degree"))
     pivots = rows.join(degree, "node").groupBy("tree", "region").agg(
         F.max(F.struct("degree", "node"))["node"].alias("pivot"))
