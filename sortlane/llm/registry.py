@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, dedup, fixity, licenses, mixing, packing, quality, sharding, topk, toxicity
+from . import ann, dedup, divergence, fixity, licenses, mixing, packing, quality, sharding, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,10 +51,14 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_near_dedup, op2_warc_audit, op3_mix_sources, op4_quality, op5_licenses, op6_top_k, op7_toxicity,
-        op8_nearest, op9_shuffle_shards, op10_pack)}
+        op8_nearest, op9_shuffle_shards, op10_pack, op12_divergence)}
 
 
 #: Words of a text, and its set of distinct five-word runs (fewer words: the whole sequence).
@@ -114,6 +118,33 @@ r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY sc
 SELECT * FROM r WHERE "rank" <= 5
 """
 
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+w AS (SELECT rid, lang, source, unnest(ws) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS ln FROM w GROUP BY ALL HAVING count(DISTINCT rid) >= 3),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM w GROUP BY ALL),
+lt AS (SELECT lang, count(*) AS v, sum(ln) AS ltotal FROM k GROUP BY lang),
+gt AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.ln, lt.v, lt.ltotal,
+         sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, g.source) AS total
+       FROM g JOIN k ON g.lang = k.lang JOIN lt ON g.lang = lt.lang
+       LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+p AS (SELECT lang, source, term, n, CAST(1 + 1000000000 * CAST(n + 1 AS HUGEINT) // (total + v) AS BIGINT) AS p,
+         CAST(1 + 1000000000 * CAST(ln + 1 AS HUGEINT) // (ltotal + v) AS BIGINT) AS q FROM gt),
+x AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pr AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(x.value, 0) AS BIGINT) AS value
+       FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+       LEFT JOIN x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+tm AS (SELECT lang, source, 'term' AS part, term AS item, CAST((p - q) * (p - q) // q AS BIGINT) AS value
+       FROM p WHERE n > 0 AND p > q),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INT) AS "rank"
+      FROM (SELECT * FROM pr UNION ALL SELECT * FROM tm))
+SELECT lang, source, part, item, value, "rank" FROM r WHERE part = 'pair' OR "rank" <= 200
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_near_dedup": OP1_SQL, "op2_warc_audit": OP2_SQL, "op6_top_k": OP6_SQL}
+    return {"op1_near_dedup": OP1_SQL, "op2_warc_audit": OP2_SQL, "op6_top_k": OP6_SQL, "op12_divergence": OP12_SQL}

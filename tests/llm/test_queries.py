@@ -13,12 +13,15 @@ COLUMNS = {
     "op6": ["query_id", "rank", "vec_id", "score"],
     "op7": ["doc_id", "held_out", "score", "predicted"],
     "op8": ["query_id", "rank", "vec_id", "score"],
+    "op11": ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"],
+    "op12": ["lang", "source", "part", "item", "value", "rank"],
+    "op13": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
     "op9": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
 }
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n.split("_")[0][2:]) for n in registry.queries()) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in registry.queries()) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(registry.queries()))
