@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, dedup, divergence, fixity, licenses, mixing, packing, quality, sharding, topk, toxicity
+from . import ann, bpe, conversations, dedup, divergence, fixity, licenses, mixing, packing, quality, sharding, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,14 +51,24 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_damaged(_table(spark, sf_dir, "conversations"))
+
+
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(_table(spark, sf_dir, "documents"))
 
 
+def op13_bpe(spark: SparkSession, sf_dir: str, ranks: str = "byte_bpe_50k.tiktoken") -> DataFrame:
+    import public_tokenizers  # vocabularies of this machine; their files are a parameter
+
+    return bpe.round_trip_digests(_table(spark, sf_dir, "documents"), bpe.read_ranks(spark, public_tokenizers.path(ranks)))
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_near_dedup, op2_warc_audit, op3_mix_sources, op4_quality, op5_licenses, op6_top_k, op7_toxicity,
-        op8_nearest, op9_shuffle_shards, op10_pack, op12_divergence)}
+        op8_nearest, op9_shuffle_shards, op10_pack, op11_repair, op12_divergence, op13_bpe)}
 
 
 #: Words of a text, and its set of distinct five-word runs (fewer words: the whole sequence).
@@ -118,6 +128,58 @@ r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY sc
 SELECT * FROM r WHERE "rank" <= 5
 """
 
+#: CRC-32 of ASCII text, byte by byte.
+_CRC = """xor(4294967295, list_reduce([CAST(4294967295 AS UBIGINT)] || list_transform(string_split({0}, ''), lambda x: CAST(ascii(x) AS UBIGINT)),
+  lambda c, x: list_reduce([xor(c, x), 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda a, b: xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384 ELSE 0 END))))"""
+
+OP11_SQL = rf"""
+WITH RECURSIVE src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_CRC.format("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS f
+  FROM conversations),
+dam AS (
+  SELECT conv_id, turn, CASE f WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE f WHEN 3 THEN [0, 1] ELSE [0] END) AS copy FROM src WHERE f <> 0),
+o AS (SELECT conv_id, turn, role, text, substr(role, 1, 1) AS init, rtrim(text, e' \t\n\x0B\f\r') AS bare,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM dam),
+q AS (SELECT *, bare = '' AS blank, bare <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+    lag(init) OVER (PARTITION BY conv_id ORDER BY i) || init AS pair FROM o),
+t AS (SELECT *, NOT blank AND NOT again AND right(bare, 1) NOT IN ('.', '!', '?') AS cut FROM q),
+ins(st, k, st2, more) AS (VALUES (0, 0, 0, []), (0, 1, 2, ['user:']), (0, 2, 3, ['user:', 'assistant:']),
+  (1, 0, 1, []), (1, 1, 2, ['user:']), (1, 2, 3, ['user:', 'assistant:']),
+  (2, 0, 2, []), (2, 1, 3, ['assistant:']), (2, 2, 2, ['assistant:', 'user:']),
+  (3, 0, 3, []), (3, 1, 2, ['user:']), (3, 2, 3, ['user:', 'assistant:'])),
+mv(f, op, init, goes, price) AS (VALUES (0, 'D', NULL, 0, 2), (1, 'D', NULL, 1, 2), (2, 'D', NULL, 2, 2), (3, 'D', NULL, 3, 2),
+  (0, 'K', 's', 1, 0), (0, 'K', 'u', 2, 0), (1, 'K', 'u', 2, 0), (3, 'K', 'u', 2, 0), (2, 'K', 'a', 3, 0),
+  (0, 'R', NULL, 2, 1), (1, 'R', NULL, 2, 1), (3, 'R', NULL, 2, 1), (2, 'R', NULL, 3, 1)),
+p(conv_id, i, st, cost, audit, lines) AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT), 0, 0, '', CAST([] AS VARCHAR[]) FROM src
+  UNION ALL
+  SELECT conv_id, i, goes, price, script, lined FROM (
+    SELECT p.conv_id, t.i, goes, p.cost + 5 * k + mv.price + CASE WHEN op <> 'D' AND cut THEN 5 ELSE 0 END AS price,
+      audit || repeat('I', k) || op AS script,
+      lines || more || CASE op WHEN 'D' THEN [] WHEN 'K' THEN [role || ':' || text]
+        ELSE [CASE goes WHEN 2 THEN 'user:' ELSE 'assistant:' END || text] END AS lined
+    FROM p JOIN t ON t.conv_id IS NOT DISTINCT FROM p.conv_id AND t.i = p.i + 1 JOIN ins ON ins.st = p.st
+    JOIN mv ON mv.f = ins.st2 AND (op = 'D' OR (NOT blank AND NOT again AND (op = 'R' OR mv.init = t.init)))) w
+  QUALIFY row_number() OVER (PARTITION BY conv_id, goes ORDER BY price, script) = 1),
+n AS (SELECT src.conv_id, count(t.i) AS n FROM (SELECT DISTINCT conv_id FROM src) src
+      LEFT JOIN t ON t.conv_id IS NOT DISTINCT FROM src.conv_id GROUP BY 1),
+e AS (SELECT * FROM (SELECT p.conv_id, cost + 5 * k AS price, audit || repeat('I', k) AS script, lines || more AS lined
+  FROM p JOIN n ON n.conv_id IS NOT DISTINCT FROM p.conv_id AND n.n = p.i JOIN ins ON ins.st = p.st
+  WHERE st2 = 3 OR (st2 = 0 AND k = 0)) w
+  QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY price, script) = 1),
+c AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank,
+  count(*) FILTER (WHERE again) AS duplicate, count(*) FILTER (WHERE cut) AS truncated,
+  count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal FROM t GROUP BY conv_id)
+SELECT e.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(price AS BIGINT) AS cost, script AS audit,
+  sha256(array_to_string(lined, chr(10))) AS repaired_sha256
+FROM e LEFT JOIN c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
 OP12_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
     regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -147,4 +209,5 @@ SELECT lang, source, part, item, value, "rank" FROM r WHERE part = 'pair' OR "ra
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_near_dedup": OP1_SQL, "op2_warc_audit": OP2_SQL, "op6_top_k": OP6_SQL, "op12_divergence": OP12_SQL}
+    return {"op1_near_dedup": OP1_SQL, "op2_warc_audit": OP2_SQL, "op6_top_k": OP6_SQL,
+            "op11_repair": OP11_SQL, "op12_divergence": OP12_SQL}
