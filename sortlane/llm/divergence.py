@@ -2,8 +2,8 @@
 
 Which words set a source apart from its language, and which sources differ
 most, from exact term counts.  The scan writes one row per (language, source,
-term) of a chunk of documents: counts, a 64-bit digest of the term and, in a
-column of its own, the term.  All counting shuffles the fixed-width columns
+term) of a chunk of documents: counts, a 64-bit digest of the term and, once
+per language and chunk, the term in a column of its own.  All counting shuffles the fixed-width columns
 alone.  Strings come back twice: as the smallest and the largest string of a
 kept digest, which differ exactly if two terms share the digest (such digests
 are then split and counted by string), and as the names of the terms that are
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from sortlane.operators.order import stage
 
-from .text import ascii_lower, chunks, words
+from .text import Hasher, ascii_lower, chunks, string_bytes, words
 
 MIN_DOCS = 3
 TOP_TERMS = 200
@@ -33,10 +33,12 @@ BROADCAST_GROUPS = 100_000
 _PAIR_ROWS = 1 << 20  # pairs of one term's sources held at a time
 
 
-def _scanner(limit: int):
-    """Arrow batches of ``(text, lang, source)`` to term counts per chunk and group."""
+def _scanner(limit: int, bits: int, every: bool):
+    """Arrow batches of ``(text, lang, source)`` to term counts per chunk and group;
+    the chunk's first row of a language's term holds the string, or every row."""
 
     def scan(batches):
+        hasher, mask = Hasher(), np.uint64((1 << bits) - 1)
         is_term = np.zeros(256, bool)
         is_term[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
         low = ascii_lower()
@@ -61,14 +63,21 @@ def _scanner(limit: int):
                 order = np.argsort(key, kind="stable")
                 key = key[order]
                 first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-                kind = kinds[key[first] // n_codes]
+                kind, code = kinds[key[first] // n_codes], key[first] % n_codes
+                lang = kind // max(1, len(sources.dictionary))
+                raw, ends = string_bytes(terms.dictionary)
+                hasher.load(raw[:ends[-1]])
+                digest = (hasher.ranges(ends[:-1], ends[1:]) & mask).view(np.int64)
+                named = np.full(len(first), every)
+                named[np.unique(lang * n_codes + code, return_index=True)[1]] = True
                 yield pa.record_batch([
-                    langs.dictionary.take(pa.array(kind // max(1, len(sources.dictionary)))),
+                    langs.dictionary.take(pa.array(lang)),
                     sources.dictionary.take(pa.array(kind % max(1, len(sources.dictionary)))),
-                    terms.dictionary.take(pa.array(key[first] % n_codes)),
+                    pa.array(digest[code]),
+                    terms.dictionary.take(pa.array(code, mask=~named)),
                     pa.array(np.add.reduceat(times[order], first).astype(np.int64)),
                     pa.array(np.diff(np.r_[first, len(key)]).astype(np.int64))],
-                    ["lang", "source", "term", "n", "df"])
+                    ["lang", "source", "digest", "term", "n", "df"])
 
     return scan
 
@@ -95,16 +104,15 @@ def _gap(p: str, q: str) -> Column:
     return F.expr(f"(({p} - {q}) * ({p} - {q})) div {q}")
 
 
-def count_terms(docs: DataFrame, seed: int, digest_bits: int = 64, scan_bytes: int = SCAN_BYTES) -> DataFrame:
-    """Staged ``(lid, gid, digest, n, df, term)``: occurrences and documents of
-    each term per chunk of documents and (language, source)."""
-    raw = docs.mapInArrow(_scanner(scan_bytes), "lang string, source string, term string, n bigint, df bigint")
-    digest = F.xxhash64("term", F.lit(seed))
-    if digest_bits < 64:  # few bits force collisions, for tests
-        digest = digest.bitwiseAND(F.lit((1 << digest_bits) - 1))
-    return stage(raw.select(F.xxhash64("lang", F.lit(seed)).alias("lid"),
-                            F.xxhash64("lang", "source", F.lit(seed)).alias("gid"),
-                            digest.alias("digest"), "n", "df", "term"), "terms")
+def count_terms(docs: DataFrame, seed: int, digest_bits: int = 64, scan_bytes: int = SCAN_BYTES,
+                every: bool = False) -> DataFrame:
+    """``(lid, gid, digest, n, df, term)``: occurrences and documents of each
+    term per chunk of documents and (language, source).  Fewer bits of the
+    digest make terms collide, for tests."""
+    raw = docs.mapInArrow(_scanner(scan_bytes, digest_bits, every),
+                          "lang string, source string, digest bigint, term string, n bigint, df bigint")
+    return raw.select(F.xxhash64("lang", F.lit(seed)).alias("lid"), F.xxhash64("lang", "source", F.lit(seed)).alias("gid"),
+                      "digest", "n", "df", "term")
 
 
 def _kept(scan: DataFrame, keys: list[str], min_docs: int) -> DataFrame:
@@ -118,20 +126,20 @@ def _kept(scan: DataFrame, keys: list[str], min_docs: int) -> DataFrame:
         F.col("lang_df") >= min_docs).drop("df", "lang_df")
 
 
-def vocabulary(scan: DataFrame, min_docs: int) -> tuple[DataFrame, DataFrame]:
+def vocabulary(scan: DataFrame, again: DataFrame, min_docs: int) -> tuple[DataFrame, DataFrame]:
     """``(counts, names)`` of the kept terms, both keyed by ``(lid, digest, sub)``.
 
     Counts come from digests alone.  A kept digest whose smallest and largest
-    string differ is split: its rows are counted again by string, and ``sub``
-    numbers its terms.  A digest below the bound holds no term above it.
+    string differ is split: its rows of the scan ``again``, with all strings,
+    are counted by string, and ``sub`` numbers its terms.  A digest below the bound holds no term above it.
     """
     kept = stage(_kept(scan, ["digest"], min_docs), "kept").withColumn("sub", F.lit(0))
-    ends = scan.groupBy("lid", "digest").agg(F.min("term").alias("term"), F.max("term").alias("last"))
+    ends = scan.where("term IS NOT NULL").groupBy("lid", "digest").agg(F.min("term").alias("term"), F.max("term").alias("last"))  # nulls don't count
     names = stage(ends.join(kept.select("lid", "digest").distinct(), ["lid", "digest"], "left_semi"), "names")
     clash = names.where("term <> last").select("lid", "digest")
     if not clash.head(1):
         return kept, names.select("lid", "digest", F.lit(0).alias("sub"), "term")
-    split = _kept(scan.join(clash, ["lid", "digest"], "left_semi"), ["digest", "term"], min_docs)
+    split = _kept(again.join(clash, ["lid", "digest"], "left_semi"), ["digest", "term"], min_docs)
     number = F.dense_rank().over(Window.partitionBy("lid", "digest").orderBy("term"))
     split = stage(split.withColumn("sub", number), "split")
     columns = ["gid", "lid", "digest", "n", "lang_n", "sub"]
@@ -222,8 +230,8 @@ def divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     groups = stage(docs.select("lang", "source").distinct(), "groups")
     seed, n_groups = _seed(groups), groups.count()
     small = F.broadcast if n_groups <= BROADCAST_GROUPS else (lambda df: df)
-    scan = count_terms(docs, seed, digest_bits, scan_bytes)
-    counts, names = vocabulary(scan, min_docs)
+    scan = stage(count_terms(docs, seed, digest_bits, scan_bytes), "terms")
+    counts, names = vocabulary(scan, count_terms(docs, seed, digest_bits, scan_bytes, every=True), min_docs)
 
     # One row per group: its number in the language, N, V, and the share of a term it doesn't hold.
     sizes = counts.groupBy("gid").agg(F.sum("n").alias("total"))
