@@ -34,10 +34,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     names = [
         # sources: S1 S2 S3 S4 S5 S6 S7
         "generate_records", "log_read_first_n", "log_read_gaps", "log_read_resume", "log_read_partition",
-        "topic_offsets", "log_head", "read_lines",
+        "topic_offsets", "log_head", "read_lines", "group_read", "stream_first_n",
         # sinks: K1 K2 K3 K4 K5
         "publish_balanced", "publish_hash_keyed", "publish_sorted", "stage_snapshot",
-        "publish_idempotent",
+        "publish_idempotent", "publish_atomic",
         # codecs: T1 T2 T3 T4 T5
         "encode_line", "decode_strict", "decode_tolerant", "decode_rejects", "int32_wrap",
         # checks: P1 P2 P3 P4
@@ -51,9 +51,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "check_sorted_id", "check_sorted_name", "check_sorted_continent", "detect_runs",
         # streaming: M1 M2 M3 M4 M5 M6 M8 (M7, trigger mode, is an argument: tests)
         "stream_runs", "stream_fanout", "stream_keyed_publish", "stream_rejects",
-        "stream_resume", "stream_tail_flush", "stream_progress", "stream_detect_runs",
+        "stream_resume", "stream_tail_flush", "stream_progress", "stream_detect_runs", "stream_compact",
         # end-to-end jobs: L1 L2 L3
-        "batch_job", "batch_resume", "stream_job", "validate_all",
+        "batch_job", "batch_resume", "stream_job", "validate_all", "validate_incremental",
     ]
     out = {n: getattr(catalog, f"q_{n}") for n in names}
     if llm is not None:
@@ -359,6 +359,23 @@ FROM bt JOIN rc ON bt.batch_id = rc.batch_id
 """
 
 
+# Two runs of a consumer group, appended to the sorted topics.
+_RESUMED = f"""
+            WITH src AS (SELECT *, row_number() OVER (ORDER BY "partition", "offset") > 6001 AS late FROM ({_LOG})),
+            rec AS (SELECT "partition" AS sp, "offset" AS so, late, id, name, address, continent
+                    FROM {_accepted('SELECT * FROM src')}),
+            srt AS (
+              SELECT 'id' AS topic, *, row_number() OVER (PARTITION BY late ORDER BY id, sp, so) - 1 AS pos FROM rec
+              UNION ALL
+              SELECT 'name', *, row_number() OVER (PARTITION BY late ORDER BY name, id, sp, so) - 1 FROM rec
+              UNION ALL
+              SELECT 'continent', *, row_number() OVER (PARTITION BY late ORDER BY continent, id, sp, so) - 1 FROM rec),
+            lay AS (SELECT *, (pos * 4) // count(*) OVER (PARTITION BY topic, late) AS p FROM srt)
+            SELECT topic, CAST(p AS INT) AS "partition",
+                   row_number() OVER (PARTITION BY topic, p ORDER BY late, pos) - 1 AS "offset",
+                   CAST(NULL AS VARCHAR) AS key, {_ENC} AS value FROM lay"""
+
+
 def oracle_sql() -> dict[str, str]:
     out = _library_sql()
     if llm is not None:
@@ -479,20 +496,20 @@ def _library_sql() -> dict[str, str]:
         "stream_detect_runs": _detect(f"SELECT * FROM {_topics(True)} WHERE topic = 'id'"),
         # end-to-end jobs
         "batch_job": f"SELECT * FROM {_published(_LOG)}",
-        "batch_resume": f"""
-            WITH src AS (SELECT *, row_number() OVER (ORDER BY "partition", "offset") > 6001 AS late FROM ({_LOG})),
-            rec AS (SELECT "partition" AS sp, "offset" AS so, late, id, name, address, continent
-                    FROM {_accepted('SELECT * FROM src')}),
-            srt AS (
-              SELECT 'id' AS topic, *, row_number() OVER (PARTITION BY late ORDER BY id, sp, so) - 1 AS pos FROM rec
-              UNION ALL
-              SELECT 'name', *, row_number() OVER (PARTITION BY late ORDER BY name, id, sp, so) - 1 FROM rec
-              UNION ALL
-              SELECT 'continent', *, row_number() OVER (PARTITION BY late ORDER BY continent, id, sp, so) - 1 FROM rec),
-            lay AS (SELECT *, (pos * 4) // count(*) OVER (PARTITION BY topic, late) AS p FROM srt)
-            SELECT topic, CAST(p AS INT) AS "partition",
-                   row_number() OVER (PARTITION BY topic, p ORDER BY late, pos) - 1 AS "offset",
-                   CAST(NULL AS VARCHAR) AS key, {_ENC} AS value FROM lay""",
+        "batch_resume": _RESUMED,
+        "publish_atomic": f"SELECT * FROM ({_RESUMED}) UNION ALL SELECT * FROM ({_LOG})",
+        "group_read": f"""
+            WITH l AS ({_LOG}), e AS (SELECT max("offset") + 1 AS n FROM l)
+            SELECT CASE WHEN "offset" < e.n // 2 OR "partition" < 2 THEN 'a' ELSE 'b' END AS member,
+                   CASE WHEN "offset" < e.n // 2 THEN 1 ELSE 2 END AS generation, "partition", "offset", value FROM l, e""",
+        "stream_first_n": f"""
+            WITH l AS ({_LOG}), h AS (SELECT max("offset") + 1 AS n, count(*) AS c FROM l),
+            a AS (SELECT l.*, c, row_number() OVER (ORDER BY
+                    CASE WHEN "offset" >= n * 1 // 4 THEN 1 ELSE 0 END + CASE WHEN "offset" >= n * 2 // 4 THEN 1 ELSE 0 END
+                    + CASE WHEN "offset" >= n * 3 // 4 THEN 1 ELSE 0 END, "partition", "offset") AS i FROM l, h)
+            SELECT CAST(CASE WHEN i <= c * 6 // 10 + 1 THEN 0 ELSE 1 END AS INT) AS read, "partition", "offset", value
+            FROM a WHERE i <= c * 6 // 10 + 1 + c * 2 // 10""",
+        "validate_incremental": _validate_all(_published(_LOG)),
         "validate_all": _validate_all(_published(_LOG)),
         # streaming
         "stream_runs": f"""
@@ -508,5 +525,13 @@ def _library_sql() -> dict[str, str]:
         "stream_resume": f"SELECT {_FANOUT} FROM {_stream(True)}",
         "stream_tail_flush": f"SELECT {_FANOUT} FROM {_stream(False)}",
         "stream_progress": _PROGRESS,
+        "stream_compact": f"""
+            WITH o AS (SELECT *, row_number() OVER (PARTITION BY sort_key ORDER BY
+                         CASE sort_key WHEN 'name' THEN name WHEN 'continent' THEN continent ELSE '' END,
+                         id, src_partition, src_offset) - 1 AS place, count(*) OVER (PARTITION BY sort_key) AS total
+                       FROM {_stream(True)}),
+            l AS (SELECT *, (place * 4) // total AS p FROM o)
+            SELECT sort_key AS topic, CAST(p AS INT) AS "partition", CAST(place - (p * total + 3) // 4 AS BIGINT) AS "offset",
+                   key, {_ENC} AS value FROM l""",
         "stream_job": f"SELECT * FROM {_topics(False)}",
     }

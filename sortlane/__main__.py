@@ -17,7 +17,8 @@ from .operators.checks import validate_all
 from .plans.batch import run_batch
 from .schema import DEFAULT_RUN_LENGTH, SORTED_TOPICS, SOURCE_TOPIC
 from .session import ensure_checkpoint_dir
-from .sinks.publish import publish_balanced, write_kafka, write_log
+from .sinks.publish import publish_balanced, write_kafka
+from .sinks.versions import publish_atomic
 from .sources.generate import generate_records
 from .sources.log import list_topics, read_kafka_log, read_log
 from .streaming.runs import StreamRuns, start_stream
@@ -41,7 +42,7 @@ def _parser() -> argparse.ArgumentParser:
     b.add_argument("--buckets", type=int, help="sort buckets; size them so that one fits a task's memory")
     b.add_argument("--kafka", help="bootstrap servers: read the source topic from Kafka and publish the sorted topics there too")
     b.add_argument("--group", help="consumer group: resume after its committed offsets")
-    b.add_argument("--offsets", help="committed-offsets table (with --group)")
+    b.add_argument("--offsets", help="table that gets a copy of the group's offsets")
     b.add_argument("--chunk", type=int, default=0,
                    help="accepted for compatibility: batch sorts are bounded by Spark's memory manager")
     s = sub.add_parser("stream", help="count-triggered sorted runs from arriving log files")
@@ -66,7 +67,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "batch":
         if args.skip_sort:
             recs = generate_records(spark, args.records, args.seed)
-            write_log(publish_balanced(recs, args.source_topic, index="rid"), args.out, topic=args.source_topic)
+            publish_atomic(spark, args.out, {args.source_topic: publish_balanced(recs, args.source_topic, index="rid")})
             print(json.dumps({"generated": args.records}))
             return 0
         names = {"source_topic": args.source_topic, "sorted_topics": args.sorted_topics.split(","),
@@ -80,7 +81,7 @@ def main(argv: list[str] | None = None) -> int:
         else:
             run = run_batch(spark, records=args.records, seed=args.seed, out=args.out, on_error=args.on_error, **names)
         if args.kafka:
-            published = read_log(spark, args.out, run.seq).where(F.col("topic").isin(*names["sorted_topics"]))
+            published = read_log(spark, args.out, version=run.version).where(F.col("topic").isin(*names["sorted_topics"]))
             write_kafka(published, args.kafka)
         print(json.dumps({"counters": run.counters, "stages": run.stages}))
     elif args.cmd == "stream":

@@ -4,12 +4,13 @@ generate -> publish ``source`` -> snapshot once -> decode -> three sorts with
 ``pos`` -> publish ``id``/``name``/``continent`` with contiguous partition
 ranges -> commit -> report.  Every stage is an ordinary DataFrame job.
 
-With a consumer group the sorted topics are append-only: run number k goes to
-``topic=<t>/run=<k>`` with offsets that continue those of the runs before it,
-and the group's offsets are committed, as a folder ``seq=<k>`` of its own
-written whole, after the last publish.  A crash anywhere before that leaves
-the group where it was: the next attempt is run k again, reads the same
-messages and overwrites what run k left behind, so nothing is lost or doubled.
+All topics of a run become visible together, as one version of the log table
+(``sinks.versions``); readers see the last version or the one they ask for.
+With a consumer group the sorted topics are append-only, with offsets that
+continue those of the runs before, and the same version holds the group's
+offsets.  A crash anywhere before it leaves the table and the group where they
+were.  Of two jobs of one group at a time, the second to finish is refused and
+takes its folders away, so nothing is lost or doubled.
 """
 
 from __future__ import annotations
@@ -27,7 +28,8 @@ from ..functions.tables import small_table
 from ..operators.order import sort_records, stage
 from ..schema import LOG_COLUMNS, LOG_PARTITIONS, SORTED_TOPICS, SOURCE_TOPIC
 from ..session import list_folder, remove_folder, work_path
-from ..sinks.publish import publish_balanced, publish_sorted, write_log
+from ..sinks.publish import publish_balanced, publish_sorted
+from ..sinks.versions import Publication
 from ..sources.generate import generate_for
 from ..sources.log import commit_offsets, list_topics, read_first_n, read_log, read_resume, topic_offsets
 
@@ -49,12 +51,13 @@ class BatchRun:
     stages: list[tuple[str, int, float]] = field(default_factory=list)
     source: DataFrame | None = None  # an existing source log that was not copied
     seq: int | None = None  # number of the group's run
+    version: int | None = None  # of the log table that the run made
     source_topic: str = SOURCE_TOPIC
 
     def log(self, spark: SparkSession) -> DataFrame:
         """All topics: the published ones (up to this run) plus the source topic where it lives."""
-        published = read_log(spark, self.path, self.seq)
-        if self.source is None or self.source_topic in list_topics(spark, self.path):
+        published = read_log(spark, self.path, version=self.version)
+        if self.source is None or self.source_topic in list_topics(spark, self.path, self.version):
             return published
         return published.unionByName(
             self.source.where(F.col("topic") == self.source_topic).select(*LOG_COLUMNS))
@@ -74,10 +77,8 @@ class BatchRun:
         return small_table(spark, rows, REPORT_SCHEMA)
 
 
-def _observed_write(df: DataFrame, path: str, name: str, topic: str | None = None, run: int | None = None) -> int:
-    obs = Observation(name)
-    write_log(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, topic=topic, run=run)
-    return int(obs.get.get("rows", 0))
+def _observed_write(made: Publication, df: DataFrame, topic: str, append: bool = False) -> int:
+    return made.write(df, topic, append)
 
 
 def committed_offsets(spark: SparkSession, path: str, group: str) -> tuple[int, DataFrame]:
@@ -96,23 +97,39 @@ def committed_offsets(spark: SparkSession, path: str, group: str) -> tuple[int,
     return max(done) + 1, rows.select(F.lit(group).alias("group"), "topic", "partition", "next_offset")
 
 
-def _commit(snapshot: DataFrame, committed: DataFrame, topic: str, group: str, path: str, seq: int) -> None:
-    """Commit ``max(previous, consumed + 1)`` per partition as the group's run ``seq``."""
+def _group_state(spark: SparkSession, made: Publication, group: str, offsets_path: str | None) -> tuple[int, DataFrame]:
+    """``(next run number, offsets)`` of a group: those of the log table's version,
+    or of ``offsets_path`` for a group that has none there yet."""
+    state = made.before["groups"].get(group)
+    if state is None:
+        if offsets_path is not None:
+            return committed_offsets(spark, offsets_path, group)
+        state = {"runs": 0, "offsets": []}
+    rows = small_table(spark, [(group, *r) for r in state["offsets"]], f"group string, {OFFSETS_SCHEMA}")
+    return state["runs"], rows
+
+
+def _commit(made: Publication, snapshot: DataFrame, committed: DataFrame, topic: str, group: str,
+            offsets_path: str | None, seq: int) -> int:
+    """Publish the run with ``max(previous, consumed + 1)`` per partition as the group's offsets.
+
+    ``offsets_path`` gets a copy afterwards, for readers of offset tables.
+    """
     consumed = commit_offsets(snapshot.select(
         F.lit(topic).alias("topic"), F.col("src_partition").alias("partition"),
         F.col("src_offset").alias("offset")), group)
     merged = consumed.unionByName(committed).groupBy("topic", "partition").agg(
         F.max("next_offset").alias("next_offset"))
-    merged.coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/group={group}/seq={seq}")
+    offsets = sorted([r["topic"], r["partition"], r["next_offset"]] for r in merged.collect())  # one row per log partition
+    version = made.commit({group: {"runs": seq + 1, "offsets": offsets}})
+    if offsets_path is not None:
+        small_table(snapshot.sparkSession, offsets, OFFSETS_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
+            f"{offsets_path.rstrip('/')}/group={group}/seq={seq}")
+    return version
 
 
-def _continued(messages: DataFrame, out: str, topic: str, seq: int) -> DataFrame:
+def _continued(messages: DataFrame, before: DataFrame) -> DataFrame:
     """Move a run's offsets behind those of the runs before it."""
-    spark = messages.sparkSession
-    folder = f"{out.rstrip('/')}/topic={topic}"
-    if not any(f"run={k}" in list_folder(spark, folder) for k in range(seq)):
-        return messages
-    before = spark.read.parquet(folder).where(F.col("run") < seq).withColumn("topic", F.lit(topic))
     # One row per log partition.
     base = topic_offsets(before).select(F.col("partition").alias("_p"), F.col("next_offset").alias("_base"))
     return messages.join(F.broadcast(base), F.col("partition") == F.col("_p"), "left").withColumn(
@@ -138,9 +155,9 @@ def run_batch(spark: SparkSession, source_log: DataFrame | None = None, *,
 
     ``consume=n`` snapshots exactly the first ``n`` available messages (S2);
     with fewer available the run fails before anything is published, or goes
-    on with what there is (``on_short="accept"``).  ``group`` + ``offsets_path``:
-    start after the group's committed offsets (S3), append to the topics, and
-    commit after the last publish.  Staged copies are removed at the end,
+    on with what there is (``on_short="accept"``).  ``group``: start after the
+    group's offsets (S3), append to the topics, and commit both in one version;
+    ``offsets_path`` gets a copy of the offsets.  Staged copies are removed at the end,
     whether the run succeeds or not.  ``num_buckets``: sort buckets.
     ``source_topic`` and ``sorted_topics`` (in order of the sort keys id, name,
     continent) rename the topics.
@@ -149,16 +166,18 @@ def run_batch(spark: SparkSession, source_log: DataFrame | None = None, *,
         raise ValueError("on_error must be 'fail' or 'skip'")
     if on_short not in ("fail", "accept"):
         raise ValueError("on_short must be 'fail' or 'accept'")
-    if group is not None and (offsets_path is None or source_log is None):
-        raise ValueError("group needs offsets_path and an existing source log")
+    if group is not None and source_log is None:
+        raise ValueError("group needs an existing source log")
     out = out or work_path(spark, "batch")
     run = BatchRun(path=out, run_id=run_id, source_topic=source_topic)
     folders: list[str] = []
+    made = Publication(spark, out)
     began = time.time()
     try:
-        _run(spark, run, source_log, ids, records, seed, partitions, on_error, consume, on_short, group, offsets_path,
+        _run(spark, run, made, source_log, ids, records, seed, partitions, on_error, consume, on_short, group, offsets_path,
              source_topic, sorted_topics, num_buckets, folders)
     finally:
+        made.abandon()  # nothing, once the version is made
         run.stages.append(("overall", run.counters["produced"], time.time() - began))
         for folder in folders:
             remove_folder(spark, folder)
@@ -169,10 +188,8 @@ def run_batch(spark: SparkSession, source_log: DataFrame | None = None, *,
     return run
 
 
-def _run(spark, run, source_log, ids, records, seed, partitions, on_error, consume, on_short, group, offsets_path,
+def _run(spark, run, made, source_log, ids, records, seed, partitions, on_error, consume, on_short, group, offsets_path,
          source_topic, sorted_topics, num_buckets, folders) -> None:
-    out = run.path
-
     def counted(error: str, fn):
         try:
             return fn()
@@ -190,10 +207,9 @@ def _run(spark, run, source_log, ids, records, seed, partitions, on_error, consu
         else:
             raise ValueError("one of source_log, records or ids is required")
         t0 = time.time()
-        run.counters["generated"] = counted("generation_errors", lambda: _observed_write(
-            published, out, "gen", source_topic))
+        run.counters["generated"] = counted("generation_errors", lambda: _observed_write(made, published, source_topic))
         run.stages.append(("generate", run.counters["generated"], time.time() - t0))
-        source_log = read_log(spark, out)
+        source_log = made.read(source_topic)
     else:
         # Skip-generate: the source topic stays where it is (no copy).
         run.source = source_log
@@ -203,7 +219,7 @@ def _run(spark, run, source_log, ids, records, seed, partitions, on_error, consu
     # rejected counts are observed on that single write.
     available = source_log.where(F.col("topic") == source_topic)
     if group is not None:
-        run.seq, committed = committed_offsets(spark, offsets_path, group)
+        run.seq, committed = _group_state(spark, made, group, offsets_path)
         available = read_resume(available, committed, group)
     if consume is not None:
         available = read_first_n(available, source_topic, consume)
@@ -238,9 +254,9 @@ def _run(spark, run, source_log, ids, records, seed, partitions, on_error, consu
 
         def publish() -> int:
             messages = publish_sorted(srt, topic, partitions)
-            if run.seq is not None:
-                messages = _continued(messages, out, topic, run.seq)
-            return _observed_write(messages, out, f"pub_{key}", topic, run.seq)
+            if run.seq:
+                messages = _continued(messages, made.read(topic, published=True))
+            return _observed_write(made, messages, topic, append=run.seq is not None)
 
         n_out = counted("production_errors", publish)
         return key, int(obs.get.get("rows", 0)), n_out, t1 - t0, time.time() - t1
@@ -255,4 +271,6 @@ def _run(spark, run, source_log, ids, records, seed, partitions, on_error, consu
         run.counters["sorted"] += n_sorted
         run.counters["produced"] += n_out
     if group is not None:
-        _commit(staged, committed, source_topic, group, offsets_path, run.seq)
+        run.version = _commit(made, staged, committed, source_topic, group, offsets_path, run.seq)
+    else:
+        run.version = made.commit()

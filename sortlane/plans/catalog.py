@@ -7,17 +7,23 @@ folder and return what a reader of their output sees.
 
 from __future__ import annotations
 
+import time
+
+from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import codec
-from ..operators import checks, order, runs
+from ..operators import checks, incremental, order, runs
 from ..session import folder_state, work_path
-from ..sinks import publish
+from ..sinks import publish, versions
 from ..sources import fixtures, generate
 from ..sources import log as logsrc
+from ..sources.group import ConsumerGroup, Fenced
 from ..streaming import arrivals
 from ..streaming import runs as streaming_runs
+from ..streaming.bounded import BoundedReader
+from ..streaming.compact import Compactor
 from ..streaming.runs import StreamRuns
 from .batch import BatchRun, run_batch
 
@@ -197,6 +203,48 @@ def q_batch_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run.log(spark).where(F.col("topic") != "source")
 
 
+def q_publish_atomic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5/L1: source and sorted topics of two runs, each one version with the group's
+    offsets; a second writer on the first version is refused and leaves nothing."""
+    src, out = order.stage(fixtures.log(spark, sf_dir), "log"), work_path(spark, "atomic")
+    versions.publish_atomic(spark, out, {"source": src})
+    run_batch(spark, logsrc.read_log(spark, out), out=out, consume=FIRST_N, on_short="accept", group="g1")
+    late = versions.Publication(spark, out)
+    late.write(src.limit(10), "id")
+    run_batch(spark, logsrc.read_log(spark, out), out=out, group="g1")
+    try:
+        late.commit()
+    except versions.VersionConflict:
+        return logsrc.read_log(spark, out)
+    raise RuntimeError("a writer on an old version was not refused")
+
+
+def q_group_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 by two members: ``a`` reads half of every partition alone, then ``b`` joins;
+    what ``a`` read for its old generation after that is refused and read again."""
+    log = order.stage(fixtures.log(spark, sf_dir), "log")
+    ends = {r["partition"]: r["next_offset"] for r in logsrc.topic_offsets(log).collect()}  # one row per partition
+    group = ConsumerGroup(spark, work_path(spark, "groups"), "g1")
+    had = lambda poll, place: order.stage(poll.rows, "poll").select(
+        F.lit(place.member).alias("member"), F.lit(place.generation).alias("generation"), "partition", "offset", "value")
+    alone = group.join("a", ends)
+    first = group.poll(log, alone, max(ends.values()) // 2)
+    out = had(first, alone)
+    group.commit(alone, first.offsets)
+    late = group.poll(log, alone)
+    b = group.join("b", ends)
+    try:
+        group.commit(alone, late.offsets)
+        raise RuntimeError("a commit of an old generation was not refused")
+    except Fenced:
+        pass
+    for place in (group.renew("a"), b):
+        poll = group.poll(log, place)
+        out = out.unionByName(had(poll, place))
+        group.commit(place, poll.offsets)
+    return out
+
+
 def q_run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch_run(spark, sf_dir, dirty=True).counters_frame(spark)
 
@@ -255,6 +303,16 @@ def q_detect_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.detect_runs(fixtures.dirty_log(spark, sf_dir), "id")
 
 
+def q_validate_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L3 after an append: half of every partition is validated first, then only the other half is read."""
+    log = batch_log(spark, sf_dir)
+    ends = logsrc.topic_offsets(log).select("topic", "partition", "next_offset")  # one row per log partition
+    early = log.join(F.broadcast(ends), ["topic", "partition"]).where(F.col("offset") * 2 < F.col("next_offset")).drop("next_offset")
+    validator = incremental.Validator(work_path(spark, "validator"))
+    validator.advance(spark, early)
+    return validator.validate(spark, log)
+
+
 def q_validate_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.validate_all(spark, batch_log(spark, sf_dir))
 
@@ -360,6 +418,47 @@ def q_stream_tail_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_run(spark, sf_dir, flush=True).output(spark, include_flush=True).select(*_FANOUT_COLS)
 
 
+def q_stream_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E5/M2: the streamed runs as one total order per topic, compacted after two
+    arrivals and again after the others."""
+    base = work_path(spark, "stream")
+    log = order.stage(fixtures.dirty_log(spark, sf_dir), "stream-input")
+    cuts = arrivals.quantile_cuts(log, STREAM_ARRIVALS)
+    runner = StreamRuns(f"{base}/state", STREAM_CHUNK)
+    compactor = Compactor(runner, segment_rows=1000)
+    for first, last in ((0, 1), (2, STREAM_ARRIVALS - 1)):
+        arrivals.write_arrivals(log, f"{base}/source", cuts, STREAM_SILENT, first=first, last=last)
+        streaming_runs.start_stream(spark, f"{base}/source", runner, f"{base}/checkpoint",
+                                    files_per_trigger=arrivals.FILES).awaitTermination()
+        compactor.compact(spark)
+    return compactor.log(spark)
+
+
+def q_stream_first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A read of 60 % of the messages that waits for late arrivals, then one of
+    20 % that starts with what the first read's last batch left over."""
+    base = work_path(spark, "bounded")
+    log = order.stage(fixtures.log(spark, sf_dir), "bounded-input")
+    cuts, n = arrivals.quantile_cuts(log, STREAM_ARRIVALS), log.count()
+    reader, source = BoundedReader(f"{base}/state"), f"{base}/source"
+    arrivals.write_arrivals(log, source, cuts, last=0, files=1)
+    stream = streaming_runs.stream_reader(spark, source, files_per_trigger=1)
+
+    def come_late() -> None:
+        while reader.state(spark)[1]["taken"] == 0:
+            time.sleep(0.1)
+        arrivals.write_arrivals(log, source, cuts, first=1, files=1)
+
+    late = InheritableThread(target=come_late, daemon=True)
+    late.start()
+    parts = []
+    for k, size in enumerate((n * 6 // 10 + 1, n * 2 // 10)):
+        rows = reader.read(stream, size, f"{base}/checkpoint", timeout=600)
+        parts.append(rows.select(F.lit(k).alias("read"), "partition", "offset", "value"))
+    late.join()
+    return parts[0].unionByName(parts[1])
+
+
 def q_stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_run(spark, sf_dir).progress(spark)
 

@@ -96,17 +96,17 @@ def publish_hash_keyed(df: DataFrame, topic: str, key: str | Column,
 
 
 def publish_sorted(sorted_df: DataFrame, topic: str, partitions: int = LOG_PARTITIONS,
-                   pos: str = "pos", total: str = "_total") -> DataFrame:
+                   pos: str = "pos", total: str = "_total", key: str | None = None) -> DataFrame:
     """K3: contiguous position ranges per partition, so the order holds within
     each partition and across partition seams (partition p holds positions
-    ``[ceil(p*N/P), ceil((p+1)*N/P))``)."""
+    ``[ceil(p*N/P), ceil((p+1)*N/P))``).  ``key``: column of the message keys."""
     part = F.expr(f"({pos} * {partitions}) div {total}").cast("int")
     first = F.expr(f"((({pos} * {partitions}) div {total}) * {total} + {partitions - 1}) div {partitions}")
     return sorted_df.select(
         F.lit(topic).alias("topic"),
         part.alias("partition"),
         (F.col(pos) - first).cast("bigint").alias("offset"),
-        F.lit(None).cast("string").alias("key"),
+        (F.col(key) if key else F.lit(None)).cast("string").alias("key"),
         _value(sorted_df).alias("value"),
     )
 

@@ -15,18 +15,24 @@ from pyspark.sql import functions as F
 from ..functions.tables import small_table
 from ..schema import LOG_COLUMNS
 from ..session import list_folder
+from ..sinks.versions import VERSIONS, list_versions, read_state, read_version
 
 #: Offsets per block of the per-block counts.
 OFFSET_BLOCK = 1 << 16
 
 
-def read_log(spark: SparkSession, path: str, upto_run: int | None = None) -> DataFrame:
-    """Read a log table written by ``sinks.publish.write_log``.
+def read_log(spark: SparkSession, path: str, upto_run: int | None = None, version: int | None = None) -> DataFrame:
+    """Read a log table.
 
-    Topics are read folder by folder, so a topic that is appended to run by run
-    may lie beside one that isn't, and a filter on the topic leaves only its
-    folder in the plan.  ``upto_run``: without the messages of later runs.
+    A table published in versions (``sinks.versions``) is read as of its last
+    version, or of ``version``: all topics of a publication or none of them.
+    Without versions, topics are read folder by folder, so a topic that is
+    appended to run by run may lie beside one that isn't, and a filter on the
+    topic leaves only its folder in the plan.  ``upto_run``: without the
+    messages of later runs.
     """
+    if version is not None or list_versions(spark, f"{path.rstrip('/')}/{VERSIONS}"):
+        return read_version(spark, path, version)
     out = small_table(spark, [], "topic string, partition int, offset bigint, key string, value string")
     for name in list_topics(spark, path):
         part = spark.read.parquet(f"{path.rstrip('/')}/topic={name}")
@@ -36,8 +42,12 @@ def read_log(spark: SparkSession, path: str, upto_run: int | None = None) -> Dat
     return out
 
 
-def list_topics(spark: SparkSession, path: str) -> list[str]:
-    """Topics that exist in a log table, with or without messages (its topic folders)."""
+def list_topics(spark: SparkSession, path: str, version: int | None = None) -> list[str]:
+    """Topics that exist in a log table, with or without messages: those of its
+    version, or its topic folders where it has none."""
+    number, state = read_state(spark, f"{path.rstrip('/')}/{VERSIONS}", version)
+    if number >= 0:
+        return sorted(state["topics"])
     return sorted(f.removeprefix("topic=") for f in list_folder(spark, path) if f.startswith("topic="))
 
 
@@ -63,14 +73,19 @@ def read_first_n(log: DataFrame, name: str, n: int, block: int = OFFSET_BLOCK) -
     """Exactly the first ``n`` messages of a topic in (partition, offset) order.
 
     Offsets may have gaps (compaction, transactions).  Messages are counted per
-    offset block; the counts (one row per ``block`` offsets) are prefix-summed
-    in order.  Blocks that fit are taken whole; the one block that holds the
-    cut ranks its own messages, at most ``block`` of them.
+    offset block (one row per ``block`` offsets); a block's place is the count
+    of the partitions before it (one row per partition) plus that of the blocks
+    before it in its own.  Blocks that fit are taken whole; the one block that
+    holds the cut ranks its own messages, at most ``block`` of them.
     """
     t = topic(log, name).withColumn("_blk", F.floor(F.col("offset") / block).cast("bigint"))
     counts = t.groupBy("partition", "_blk").agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.orderBy("partition", "_blk").rowsBetween(Window.unboundedPreceding, -1)
-    taken = counts.withColumn("_room", F.lit(n) - F.coalesce(F.sum("_cnt").over(before), F.lit(0))).where("_room > 0")
+    before = lambda w: F.coalesce(F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = counts.groupBy("partition").agg(F.sum("_cnt").alias("_cnt")).select(
+        F.col("partition").alias("_p"), before(Window.orderBy("partition")).alias("_base"))
+    taken = counts.withColumn("_in", before(Window.partitionBy("partition").orderBy("_blk"))).join(
+        F.broadcast(parts), F.col("partition") == F.col("_p")).withColumn(
+        "_room", F.lit(n) - F.col("_base") - F.col("_in")).where("_room > 0").select("partition", "_blk", "_cnt", "_room")
     rows = t.join(taken, ["partition", "_blk"])
     rank = F.row_number().over(Window.partitionBy("partition", "_blk").orderBy("offset"))
     cut = rows.where("_cnt > _room").withColumn("_rank", rank).where("_rank <= _room")

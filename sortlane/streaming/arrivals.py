@@ -42,8 +42,8 @@ def quantile_cuts(log: DataFrame, arrivals: int) -> list[int]:
 
 def write_arrivals(log: DataFrame, source_dir: str, cuts: Sequence[int],
                    silent: tuple[int, int] | None = None, first: int = 0,
-                   last: int | None = None) -> int:
-    """Append arrivals ``first..last`` (inclusive) as ``FILES`` files each; returns the count."""
+                   last: int | None = None, files: int = FILES) -> int:
+    """Append arrivals ``first..last`` (inclusive) as ``files`` files each; returns the count."""
     tagged = log.select(*LOG_COLUMNS).withColumn(
         "_arrival", arrival_of(F.col("offset"), cuts, F.col("partition"), silent))
     n = len(cuts) - 1
@@ -51,6 +51,6 @@ def write_arrivals(log: DataFrame, source_dir: str, cuts: Sequence[int],
     written = 0
     for k in range(first, last + 1):
         part = tagged.where(F.col("_arrival") == k).drop("_arrival")
-        part.repartition(FILES).write.mode("append").parquet(source_dir)
+        part.repartition(files).write.mode("append").parquet(source_dir)
         written += 1
     return written

@@ -308,7 +308,8 @@ class StreamRuns:
         last = self.last_committed(spark)
         if last is None:
             raise RuntimeError(f"no committed batch under {self.base}")
-        if not self._complete(spark, name):
+        # A batch's manifest comes after its tables, so folders up to the last one are whole.
+        if not list_folder(spark, f"{self.base}/{name}"):
             return small_table(spark, [], f"{schema}, batch int" if "batch int" not in schema else schema)
         schema = schema if "batch int" in schema else f"{schema}, batch int"
         return spark.read.schema(schema).option("basePath", f"{self.base}/{name}").parquet(
@@ -318,7 +319,7 @@ class StreamRuns:
         """Closed runs, and on request the flushed ones if no batch came after the flush."""
         out = self._committed(spark, "out", OUT_SCHEMA).select(*OUT_COLUMNS)
         last = self.last_committed(spark)
-        if include_flush and last in self._complete(spark, "flush"):
+        if include_flush and "_SUCCESS" in list_folder(spark, self._batch_dir("flush", last)):
             out = out.unionByName(spark.read.schema(OUT_SCHEMA).parquet(self._batch_dir("flush", last)).select(*OUT_COLUMNS))
         return out
 

@@ -1,0 +1,110 @@
+"""Consumer groups: sticky shares, generations, refused commits."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from sortlane.session import work_path
+from sortlane.sinks import versions
+from sortlane.sources import fixtures, group
+from sortlane.sources.group import ConsumerGroup, Fenced, assign
+
+
+def test_shares_are_even_and_move_as_little_as_possible():
+    rng = random.Random(1)
+    had = {}
+    for _ in range(300):
+        members = [f"m{i}" for i in range(6) if rng.random() < 0.6] or ["m0"]
+        partitions = range(rng.randrange(1, 14))
+        got = assign(members, partitions, had)
+        sizes = [len(p) for p in got.values()]
+        assert sorted(p for ps in got.values() for p in ps) == list(partitions) and max(sizes) - min(sizes) <= 1
+        # No fewer partitions stay than any even sharing could keep.
+        stay = sum(len(set(got[m]) & set(had.get(m, ()))) for m in got)
+        low, more = divmod(len(partitions), len(members))
+        kept = sorted((len(set(had.get(m, ())) & set(partitions)) for m in members), reverse=True)
+        assert stay == sum(min(k, low + (i < more)) for i, k in enumerate(kept))
+        had = got
+    assert assign([], [0, 1], {}) == {}
+
+
+def test_members_cover_each_message_once_whatever_joins_and_leaves(spark):
+    log = fixtures.log(spark, SF_SMALL).cache()
+    g = ConsumerGroup(spark, work_path(spark, "g"), "g")
+    rng, seen, members = random.Random(4), [], []
+    for step in range(8):
+        name = f"m{step % 3}"
+        if name in members and step > 4:
+            g.leave(name)
+            members.remove(name)
+        elif name not in members:
+            g.join(name, range(4))
+            members.append(name)
+        for m in members:
+            place = g.renew(m)
+            poll = g.poll(log, place, rng.randrange(1, 40))
+            if rng.random() < 0.7:  # otherwise the member dies before it commits
+                seen += [(r["partition"], r["offset"]) for r in poll.rows.collect()]
+                g.commit(place, poll.offsets)
+    g.join("last", range(4))
+    for m in [*members, "last"]:
+        place = g.renew(m)
+        poll = g.poll(log, place)
+        seen += [(r["partition"], r["offset"]) for r in poll.rows.collect()]
+        g.commit(place, poll.offsets)
+    assert sorted(seen) == sorted((r["partition"], r["offset"]) for r in log.collect())
+
+
+def test_commits_of_an_old_generation_or_for_others_are_refused(spark):
+    log = fixtures.log(spark, SF_SMALL)
+    g = ConsumerGroup(spark, work_path(spark, "g"), "g")
+    a = g.join("a", range(4))
+    poll = g.poll(log, a, 10)
+    b = g.join("b", range(4))
+    with pytest.raises(Fenced):
+        g.commit(a, poll.offsets)
+    assert g.state()["offsets"] == {}
+    a = g.renew("a")
+    assert set(a.partitions) == {0, 1} and set(b.partitions) == {2, 3} and a.generation == b.generation == 2
+    with pytest.raises(Fenced):
+        g.commit(a, {2: 5})
+    g.commit(b, {2: 5})
+    g.commit(b, {2: 3})  # never back
+    assert g.state()["offsets"] == {"2": 5}
+    g.leave("a")
+    with pytest.raises(Fenced):
+        g.renew("a")
+    assert set(g.renew("b").partitions) == {0, 1, 2, 3}
+    assert g.poll(log, g.renew("b"), 1).offsets == {0: 1, 1: 1, 2: 6, 3: 1}
+
+
+def test_a_change_made_at_the_same_time_is_made_again(spark, monkeypatch):
+    g = ConsumerGroup(spark, work_path(spark, "g"), "g")
+    a = g.join("a", range(4))
+    create, raced = versions.create_state, []
+
+    def slow(spark_, folder, number, content):
+        if not raced:
+            raced.append(1)
+            g.commit(a, {0: 7})  # another commit takes the version
+        return create(spark_, folder, number, content)
+
+    monkeypatch.setattr(group, "create_state", slow)
+    g.commit(a, {1: 9})
+    assert g.state()["offsets"] == {"0": 7, "1": 9}
+
+
+def test_poll_bounds_reach_the_scan(spark):
+    path = work_path(spark, "log")
+    fixtures.log(spark, SF_SMALL).write.parquet(path)
+    g = ConsumerGroup(spark, work_path(spark, "g"), "g")
+    a = g.join("a", range(4))
+    g.commit(a, {0: 100})
+    plan = g.poll(spark.read.parquet(path), a, 5).rows._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters"):]
+    assert "offset" in pushed and "partition" in pushed
+    assert g.poll(spark.read.parquet(path).where(F.lit(False)), a).rows.count() == 0
