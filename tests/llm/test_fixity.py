@@ -1,3 +1,5 @@
+import hashlib
+
 from pyspark.sql import functions as F
 
 from sortlane.llm import fixity
@@ -49,8 +51,13 @@ def test_odd_pages(spark):
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
     for name in ("archive", "offset", "digest", "turn", "copy", "hash"):
         pages = pages.withColumn(name, F.lit("clash"))
-    kinds = {r.kind for r in fixity.audit_pages(pages).collect()}
-    assert kinds <= {"content", "length", "missing", "extra"}
+    # More ids, so that each planted fault occurs.
+    more = pages.unionByName(pages.where("page_id = 4").select(
+        F.explode(F.sequence(F.lit(5).cast("bigint"), F.lit(400).cast("bigint"))).alias("page_id"), *pages.columns[1:]))
+    out = fixity.audit_pages(more).collect()
+    assert {r.kind for r in out} == {"content", "length", "missing", "extra"}
+    faulty = {i for i in [None, *range(1, 401)] if int(hashlib.md5(f"damage:{'' if i is None else i}".encode()).hexdigest()[:8], 16) % 53 < 4}
+    assert {r.page_id for r in out} == faulty
     assert fixity.audit_pages(pages.limit(0)).count() == 0
 
 

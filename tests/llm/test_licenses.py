@@ -6,7 +6,7 @@ from sortlane.llm import licenses
 
 # The license lines of the given documents and their families.
 PLANTED = (("CC BY-NC 4.0", "CC-BY-NC-4.0"), ("GNU General Public License, version 3", "GPL-3.0"),
-           ("Apache License, Version 2.0", "Apache-2.0"), ("MIT License", "MIT"))
+           ("Apache License, Version 2.0", "Apache-2.0"), ("MIT License", "MIT"), ("All rights reserved.", "Proprietary"))
 
 
 def test_planted_lines_are_found_and_nothing_else(spark):

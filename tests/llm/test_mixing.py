@@ -6,10 +6,21 @@ from helpers import no_docs, odd_docs, word_list
 from sortlane.llm import mixing
 
 
+def shares(sizes, weights):
+    """Targets by bisection: a source gets ``level * weight`` words, twice its size at most."""
+    lo, hi = 0.0, 4.0 * sum(sizes) + 1
+    for _ in range(200):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if sum(min(mid * w, 2 * s) for s, w in zip(sizes, weights)) < 1.5 * sum(sizes) else (lo, mid)
+    return [min(hi * w, 2 * s) for s, w in zip(sizes, weights)]
+
+
 def test_targets_share_the_excess_again():
     assert mixing.targets([100, 100, 100], [1, 1, 1]) == [150.0, 150.0, 150.0]
     t = mixing.targets([10, 100, 100], [5, 2, 1])
-    assert t[0] == 20.0 and abs(sum(t) - 315) < 1e-9 and abs(t[1] / t[2] - 2) > -1
+    assert t[0] == 20.0 and abs(sum(t) - 315) < 1e-9 and abs(t[1] / t[2] - 2) < 1e-9
+    for sizes, weights in (([7, 90, 3, 400], [5, 2, 1, 5]), ([50, 50], [5, 2]), ([1, 1, 1, 1000], [5, 2, 1, 5])):
+        assert max(abs(a - b) for a, b in zip(mixing.targets(sizes, weights), shares(sizes, weights))) < 1e-6
     assert mixing.targets([0, 10], [5, 2]) == [0.0, 15.0]
     assert mixing.targets([], []) == []
 
@@ -49,7 +60,7 @@ def test_mix_meets_targets_and_agrees_with_itself(spark):
         by.setdefault(r.source, []).append(r)
     names = sorted(by)
     sizes = [sum(r.size for r in by[n]) for n in names]
-    want = mixing.targets(sizes, [5, 2, 1, 5])
+    want = shares(sizes, [5, 2, 1, 5])
     for n, size, t in zip(names, sizes, want):
         assert {r.source_size for r in by[n]} == {size} and abs(by[n][0].target - t) < 1e-6
         assert abs(sum(r.taken for r in by[n]) - t) <= 120

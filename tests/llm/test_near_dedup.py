@@ -10,7 +10,7 @@ from sortlane.llm.graph import components
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def brute(rows):
+def brute(rows, percent=85):
     """(doc_id, n_shingles, component_id) per row by comparing all sets."""
     sets = []
     for _, text in rows:
@@ -25,7 +25,7 @@ def brute(rows):
 
     for i in range(len(rows)):
         for j in range(i):
-            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
                 a, b = find(i), find(j)
                 up[max(a, b)] = min(a, b)
     low = {}
