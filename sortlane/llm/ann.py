@@ -93,10 +93,9 @@ def nearest(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding"
 
     Defined results: vectors that are null, zero or hold null or non-finite
     components, and rows without an id, take no part; shorter vectors count as
-    filled up with zeros; of rows with one id the smallest vector counts; equal
-    vectors are separate candidates; an empty table gives an empty result;
+    filled up with zeros; rows that share an id are queries and candidates of
+    their own, and so are equal rows (a query's own row alone is left out); an empty table gives an empty result;
     other columns are ignored.
     """
     vectors = clean_vectors(table, id_col, vec_col, lambda x: x).where(F.exists("v", lambda x: x != 0))
-    queries = vectors.where(F.col("vec_id") % query_every == 0)
-    return top_k(vectors, queries, k, _searcher(k, projections, confidence, seed), largest=False)
+    return top_k(vectors, F.col("vec_id") % query_every == 0, k, _searcher(k, projections, confidence, seed), largest=False)

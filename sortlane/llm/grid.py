@@ -1,8 +1,9 @@
 """Search of a query set against all vectors, in blocks of both.
 
-Vectors are dealt into shards and queries into blocks by hash; every (block,
-shard) cell is one Arrow group, so a task holds at most one shard and one
-block whatever the table's size.  Before the whole grid runs, each query is
+Every row has a key of its own, so rows that share an id are different vectors
+and different queries.  Vectors are dealt into shards and queries into blocks
+by a hash of that key; every (block, shard) cell is one Arrow group, so a task
+holds about one shard and one block whatever the table's size and its ids.  Before the whole grid runs, each query is
 searched in one shard only; its k-th value there is a bound that every cell
 shares, and cells prune against it from the start.
 """
@@ -20,19 +21,18 @@ from sortlane.operators.order import stage
 
 SHARD_ROWS = 4096
 BLOCK_QUERIES = 4096
-#: ``search(ids, vectors, query ids, queries, bounds) -> (query index, vector index, value)``
+#: ``search(row keys, vectors, query row keys, queries, bounds) -> (query index, vector index, value)``
 Search = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray], tuple]
 
 
 def clean_vectors(table: DataFrame, id_col: str, vec_col: str, value: Callable[[Column], Column]) -> DataFrame:
-    """``(vec_id, v)``: one row per non-null id (of repeated ids the smallest
-    vector), without null vectors and those holding null or non-finite
-    components; ``value`` maps a component."""
+    """``(vec_id, v)``: rows with an id, without null vectors and those holding
+    null or non-finite components; ``value`` maps a component."""
     number = lambda x: x.cast("double")
     rows = table.select(F.col(id_col).cast("bigint").alias("vec_id"), F.transform(vec_col, number).alias("v"))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & ~F.coalesce(bad, F.lit(True)))
-    return rows.select("vec_id", F.transform("v", value).alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
+    return rows.select("vec_id", F.transform("v", value).alias("v"))
 
 
 def _matrix(t: pa.Table, col: str, dim: int) -> np.ndarray:
@@ -47,47 +47,48 @@ def _matrix(t: pa.Table, col: str, dim: int) -> np.ndarray:
     return out
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int, search: Search, largest: bool) -> DataFrame:
-    """``(query_id, rank, vec_id, score)``: per query its best ``k`` by value,
-    ties to the smaller id, from cells searched with ``search``."""
-    vectors = stage(vectors, "vectors")
-    size = vectors.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
-    n, dim = int(size[0]), int(size[1] or 0)
-    queries = stage(queries.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")), "queries")
-    n_q = queries.count()
+def top_k(vectors: DataFrame, is_query: Column, k: int, search: Search, largest: bool) -> DataFrame:
+    """``(query_id, rank, vec_id, score)``: per query row its best ``k`` of the
+    other rows by value, ties to the smaller id, from cells searched with ``search``."""
+    # The key is fixed by writing it.
+    vectors = stage(vectors.withColumn("row", F.monotonically_increasing_id()), "vectors")
+    size = vectors.agg(F.count(F.lit(1)), F.max(F.size("v")), F.count_if(is_query)).first()
+    n, dim, n_q = int(size[0]), int(size[1] or 0), int(size[2])
+    queries = vectors.where(is_query).select(F.col("row").alias("query"), F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
     shards, blocks = max(1, -(-n // SHARD_ROWS)), max(1, -(-n_q // BLOCK_QUERIES))
-    schema = "query_id bigint, vec_id bigint, value double"
+    schema = "query bigint, query_id bigint, vec_id bigint, value double"
 
     def cell(left, right):
-        names = ["query_id", "vec_id", "value"]
+        names = ["query", "query_id", "vec_id", "value"]
         if not left.num_rows or not right.num_rows:
-            return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())], names)
+            return pa.table([*[pa.array([], pa.int64())] * 3, pa.array([], pa.float64())], names)
         # Rows in order of id, so a cell's result doesn't depend on the exchange.
-        left, right = left.sort_by("vec_id"), right.sort_by("query_id")
-        ids, q_ids = left["vec_id"].to_numpy(), right["query_id"].to_numpy()
-        bounds = right["bound"].to_numpy()
-        qi, vi, value = search(ids, _matrix(left, "v", dim), q_ids, _matrix(right, "q", dim), bounds)
-        return pa.table([pa.array(q_ids[qi]), pa.array(ids[vi]), pa.array(value.astype(float))], names)
+        left = left.sort_by([("vec_id", "ascending"), ("row", "ascending")])
+        right = right.sort_by("query")
+        ids, rows = left["vec_id"].to_numpy(), left["row"].to_numpy()
+        q_ids, q_rows, bounds = right["query_id"].to_numpy(), right["query"].to_numpy(), right["bound"].to_numpy()
+        qi, vi, value = search(rows, _matrix(left, "v", dim), q_rows, _matrix(right, "q", dim), bounds)
+        return pa.table([pa.array(q_rows[qi]), pa.array(q_ids[qi]), pa.array(ids[vi]), pa.array(value.astype(float))], names)
 
     none = float("-inf") if largest else float("inf")
-    shard = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(shards)).alias("shard")
+    shard = F.pmod(F.xxhash64("row", F.lit(1)), F.lit(shards)).alias("shard")
     # One shard per query first.
-    home = F.pmod(F.xxhash64("query_id", F.lit(2)), F.lit(shards)).alias("shard")
-    dealt = vectors.select("vec_id", "v", shard)
+    home = F.pmod(F.xxhash64("query", F.lit(2)), F.lit(shards)).alias("shard")
+    dealt = vectors.select("vec_id", "row", "v", shard)
     first = dealt.groupBy("shard").cogroup(
-        queries.select("query_id", "q", home, F.lit(none).alias("bound")).groupBy("shard")).applyInArrow(cell, schema)
+        queries.select("query", "query_id", "q", home, F.lit(none).alias("bound")).groupBy("shard")).applyInArrow(cell, schema)
     worst = F.min("value") if largest else F.max("value")
-    bounds = first.groupBy("query_id").agg(F.count(F.lit(1)).alias("c"), worst.alias("b")).select(
-        F.col("query_id").alias("_q"), F.when(F.col("c") >= k, F.col("b")).otherwise(F.lit(none)).alias("bound"))
-    bounded = queries.join(stage(bounds, "bounds"), F.col("query_id") == F.col("_q"), "left").select(
-        "query_id", "q", F.coalesce("bound", F.lit(none)).alias("bound"))
+    bounds = first.groupBy("query").agg(F.count(F.lit(1)).alias("c"), worst.alias("b")).select(
+        F.col("query").alias("_q"), F.when(F.col("c") >= k, F.col("b")).otherwise(F.lit(none)).alias("bound"))
+    bounded = queries.join(stage(bounds, "bounds"), F.col("query") == F.col("_q"), "left").select(
+        "query", "query_id", "q", F.coalesce("bound", F.lit(none)).alias("bound"))
     # Then every (block, shard) cell.
     left = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    right = bounded.withColumn("block", F.pmod(F.xxhash64("query_id", F.lit(3)), F.lit(blocks)).cast("int")).withColumn(
+    right = bounded.withColumn("block", F.pmod(F.xxhash64("query", F.lit(3)), F.lit(blocks)).cast("int")).withColumn(
         "shard", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint"))))
     cells = left.groupBy("block", "shard").cogroup(right.groupBy("block", "shard")).applyInArrow(cell, schema)
     value = F.col("value").desc() if largest else F.col("value").asc()
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(value, "vec_id"))
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(value, "vec_id"))
     return cells.withColumn("rank", rank).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", F.col("value").alias("score"))
 

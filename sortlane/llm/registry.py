@@ -118,12 +118,12 @@ FROM o WHERE turn IN (2, 3) OR x <> y OR n <> m
 """
 
 OP6_SQL = """
-WITH v AS (SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS c FROM embeddings
+WITH v AS (SELECT row_number() OVER () AS rid, vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS c FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
-p AS (SELECT q.vec_id AS query_id, v.vec_id, CAST(list_dot_product(q.c, v.c) AS BIGINT) AS score
-  FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0),
-r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS "rank",
+p AS (SELECT q.rid, q.vec_id AS query_id, v.vec_id, CAST(list_dot_product(q.c, v.c) AS BIGINT) AS score
+  FROM v q JOIN v ON q.rid <> v.rid WHERE q.vec_id % 50 = 0),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id) AS INT) AS "rank",
   vec_id, score FROM p)
 SELECT * FROM r WHERE "rank" <= 5
 """

@@ -1,9 +1,10 @@
+import duckdb
 import numpy as np
 import pytest
 from conftest import SF_MID
 from pyspark.sql import functions as F
 
-from sortlane.llm import ann, grid, topk
+from sortlane.llm import ann, grid, registry, topk
 
 SCHEMA = "vec_id bigint, embedding array<float>"
 
@@ -14,14 +15,19 @@ def frame(spark, x, ids=None):
 
 
 def brute_dots(x, ids, k=5, every=50):
+    """(query id, rank, id, score) of every query row against all other rows."""
     y = np.floor(256 * x.astype(np.float32).astype(float)).astype(np.int64)
-    out = set()
+    out = []
     for q in np.flatnonzero(ids % every == 0):
         s = y @ y[q]
-        keep = np.flatnonzero(ids != ids[q])
+        keep = [i for i in range(len(ids)) if i != q]
         for rank, i in enumerate(sorted(keep, key=lambda i: (-s[i], ids[i]))[:k]):
-            out.add((int(ids[q]), rank + 1, int(ids[i]), int(s[i])))
-    return out
+            out.append((int(ids[q]), rank + 1, int(ids[i]), int(s[i])))
+    return sorted(out)
+
+
+def results(out):
+    return sorted(tuple(r) for r in out.select("query_id", "rank", "vec_id", "score").collect())
 
 
 @pytest.mark.parametrize("shard, leaf", [(4096, 64), (60, 8)])
@@ -33,7 +39,57 @@ def test_top_k_equals_all_products(spark, monkeypatch, shard, leaf):
     x[100:160] = x[100]  # many ties
     ids = rng.permutation(400)
     out = topk.exact_top_k(frame(spark, x, ids))
-    assert {tuple(r) for r in out.select("query_id", "rank", "vec_id", "score").collect()} == brute_dots(x, ids)
+    assert results(out) == brute_dots(x, ids)
+
+
+def repeated(seed, n=300):
+    """A third of the rows have one id, a divisible one; others come twice with unlike or equal vectors."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(0, 0.15, (n, 8))
+    ids = rng.integers(0, 120, n)
+    ids[::3] = 50
+    x[3:30:3] = x[0]
+    return x, ids
+
+
+def test_rows_that_share_an_id_are_rows_of_their_own(spark, monkeypatch, tmp_path):
+    small = frame(spark, np.array([(1.0, 0), (0.5, 0), (0.9, 0), (0.1, 0)]), [0, 1, 1, 2])
+    assert results(topk.exact_top_k(small)) == [(0, 1, 1, 58880), (0, 2, 1, 32768), (0, 3, 2, 6400)]
+    monkeypatch.setattr(grid, "SHARD_ROWS", 50)
+    monkeypatch.setattr(grid, "BLOCK_QUERIES", 30)
+    x, ids = repeated(3)
+    table = frame(spark, x, ids)
+    want = brute_dots(x, ids)
+    assert results(topk.exact_top_k(table)) == want
+    table.write.parquet(str(tmp_path / "embeddings.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    assert sorted(con.sql(registry.OP6_SQL).fetchall()) == want
+    got = ann.nearest(table).collect()
+    z = x.astype(np.float32).astype(float)
+    hit = total = 0
+    for q in sorted(set(ids[ids % 100 == 0])):
+        mine = sorted((r.rank, r.vec_id, r.score) for r in got if r.query_id == q)
+        for row in np.flatnonzero(ids == q):
+            d = np.delete(np.sqrt(((z - z[row]) ** 2).sum(axis=1)), row)
+            best = sorted(zip(d, np.delete(ids, row)))[:10]
+            hit += sum(any(abs(s - b) < 1e-12 and v == i for _, v, s in mine) for b, i in best)
+            total += 10
+        assert len(mine) == 10 * (ids == q).sum()
+    assert hit >= 0.9 * total
+
+
+def test_a_repeated_id_does_not_fill_one_shard(spark, monkeypatch):
+    monkeypatch.setattr(grid, "SHARD_ROWS", 50)
+    x, ids = repeated(5, 1500)
+
+    def search(rows, vectors, q_rows, queries, bounds):
+        # A cell's size as its only result.
+        return np.zeros(1, int), np.zeros(1, int), np.array([float(len(rows))])
+
+    out = grid.top_k(grid.clean_vectors(frame(spark, x, ids), "vec_id", "embedding", lambda v: v), F.col("vec_id") % 50 == 0, 5,
+                     search, True)
+    assert 0 < out.agg(F.max("score")).first()[0] < 120
 
 
 def test_few_candidates_and_odd_vectors(spark):
@@ -41,10 +97,11 @@ def test_few_candidates_and_odd_vectors(spark):
             (None, [1.0, 1.0]), (11, []), (12, [0.0, 0.0]), (0, [1.0, 2.0])]
     df = spark.createDataFrame(rows, SCHEMA).withColumn("v", F.lit("clash")).withColumn("shard", F.lit(1))
     got = {(r.query_id, r.rank, r.vec_id, r.score) for r in topk.exact_top_k(df).collect()}
-    assert got == {(0, 1, 11, 0), (0, 2, 12, 0), (0, 3, 50, 256 * 128 + 512 * -256),
-                   (50, 1, 11, 0), (50, 2, 12, 0), (50, 3, 0, 256 * 128 + 512 * -256)}
+    low = 256 * 128 + 512 * -256
+    assert got == {(0, 1, 0, 256 ** 2 + 512 ** 2), (0, 2, 11, 0), (0, 3, 12, 0), (0, 4, 50, low),
+                   (50, 1, 11, 0), (50, 2, 12, 0), (50, 3, 0, low), (50, 4, 0, low)}
     near = {(r.query_id, r.rank, r.vec_id, round(r.score, 9)) for r in ann.nearest(df).collect()}
-    assert near == {(0, 1, 50, round((0.25 + 9) ** 0.5, 9))}
+    assert near == {(0, 1, 0, 0.0), (0, 2, 50, round((0.25 + 9) ** 0.5, 9))}
     for fn in (topk.exact_top_k, ann.nearest):
         assert fn(df.limit(0)).count() == 0
 
