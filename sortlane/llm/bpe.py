@@ -3,15 +3,18 @@
 A text is cut into pre-tokens, and BPE of a pre-token depends on nothing else,
 so each distinct word of the whole corpus is encoded once:
 
-1. ``scan``: runs of whole documents (blocks) are cut; a block's words are
-   numbered, its documents become lists of those numbers in order (the
-   positions), and its words are listed once.  The table is staged.
-2. the words of all blocks are exploded and shuffled by word; every distinct
-   word is encoded by the merge ranks in one place.
-3. the ids are joined back to (block, number) and shuffled by block, where the
-   lists of numbers are replaced by ids, position by position.
-
-A word as frequent as one in three is listed once per block, so no word is hot.
+1. runs of whole documents (blocks) are cut; a block's words are numbered, most
+   frequent first, and its documents become those numbers in order (the
+   positions).  The words go into buckets by hash; a block's words of one bucket
+   are one packed row, its documents another.  The table is staged.
+2. the word rows are shuffled by bucket and sorted, so that a pass over a
+   partition meets all words of a bucket, encodes each distinct one once by the
+   merge ranks, and gives the ids back to every block that has it.
+3. the ids are shuffled by block, where the numbers are replaced by ids,
+   position by position.
+
+A word as frequent as one in three is listed once per block, so no word is hot;
+a bucket's words are held once each, so give more buckets for more words.
 Decoding joins ids with the token-byte table, one row per vocabulary entry; a
 table of that proven size is shipped to the tasks and looked up by Arrow batch.
 
@@ -36,9 +39,13 @@ from pyspark.sql import functions as F
 
 from sortlane.operators.order import stage
 
-from .text import chunks
+from .text import Hasher, chunks, string_bytes
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
+BUCKETS = 256
+#: Text bytes cut, and numbers replaced, at a time.
+_STEP = 1 << 20
+_WORDS = "block bigint, bucket int, sizes binary, numbers binary, data binary, n int, n_bytes bigint"
 #: Longer words are merged with a heap, whose time grows with n log n.
 LONG_WORD = 1 << 10
 _OTHER, _LETTER, _DIGIT, _SPACE = range(4)
@@ -141,60 +148,159 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-def _scanner(classes, limit: int):
+def pack_numbers(numbers: np.ndarray) -> bytes:
+    """Small numbers in few bytes: byte planes, compressed."""
+    return pa.compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpack_numbers(packed: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(packed, decompressed_size=4 * n, codec="zstd", asbytes=True) if n else b"", np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").ravel()
+
+
+class Block:
+    """Documents cut so far: their ids, pre-token counts, and pieces of numbered words."""
+
+    def __init__(self):
+        self.ids, self.counts, self.pieces, self.size = [], [], [], 0
+
+    def add(self, doc_ids: pa.Array, data: np.ndarray, offs: np.ndarray, kinds: np.ndarray) -> None:
+        starts, per_doc = cut_words(data, offs, kinds)
+        self.ids.append(doc_ids)
+        self.counts.append(per_doc)
+        self.pieces.append(pa.StringArray.from_buffers(
+            len(starts) - 1, pa.py_buffer(starts.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))).dictionary_encode())
+        self.size += len(data)
+
+    def rows(self, block: int, buckets: int) -> pa.RecordBatch:
+        """The block's documents as one row, and its words as one row per bucket."""
+        one = pa.chunked_array(self.pieces).unify_dictionaries()
+        numbers = np.concatenate([c.indices.to_numpy(zero_copy_only=False) for c in one.chunks])
+        listed = one.chunk(0).dictionary
+        by_use = np.argsort(-np.bincount(numbers, minlength=len(listed)), kind="stable")
+        rank = np.empty(len(by_use), np.int64)
+        rank[by_use] = np.arange(len(by_use))
+        raw, ends = string_bytes(listed.take(pa.array(by_use)))
+        hasher = Hasher()
+        hasher.load(raw[:ends[-1]])
+        bucket = (hasher.ranges(ends[:-1], ends[1:]) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        used = np.flatnonzero(cuts[1:] > cuts[:-1])
+        words = [_packed_words(raw, ends, order[cuts[k]:cuts[k + 1]]) for k in used]
+        k, counts = len(used), np.concatenate(self.counts).astype(np.int32)
+        docs = lambda v: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v)
+        none = pa.nulls(k, pa.list_(pa.int64()))
+        return pa.record_batch([
+            pa.array(np.full(k + 1, block)), pa.array([-1, *used.tolist()], pa.int32()),
+            pa.array([None, *[w[0] for w in words]], pa.binary()), pa.array([pack_numbers(rank[numbers]), *[w[1] for w in words]], pa.binary()),
+            pa.array([None, *[w[2] for w in words]], pa.binary()), pa.array([len(numbers), *[w[3] for w in words]], pa.int32()),
+            pa.array([None, *[w[4] for w in words]], pa.int64()),
+            pa.concat_arrays([docs(pa.concat_arrays(self.ids)), none]),
+            pa.concat_arrays([docs(pa.array(counts)), none.cast(pa.list_(pa.int32()))])],
+            [*(c.split()[0] for c in _WORDS.split(", ")), "doc_ids", "counts"])
+
+
+def _gather(ends: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(places, ends)`` of the stretches ``at`` of a flat array, laid end to end."""
+    size = ends[at + 1] - ends[at]
+    to = np.r_[0, np.cumsum(size)]
+    return np.arange(to[-1]) - np.repeat(to[:-1], size) + np.repeat(ends[at], size), to
+
+
+def _packed_words(raw: np.ndarray, ends: np.ndarray, at: np.ndarray) -> tuple[bytes, bytes, bytes, int, int]:
+    """Words ``at`` of a block: their lengths, numbers and bytes."""
+    place, to = _gather(ends, at)
+    return (pack_numbers(np.diff(to)), pack_numbers(at), pa.compress(raw[place].tobytes(), codec="zstd", asbytes=True),
+            len(at), int(to[-1]))
+
+
+def _scanner(classes, limit: int, buckets: int):
+    """Arrow batches of ``(doc_id, text)`` to the rows of blocks."""
+
     def scan(batches):
-        block = TaskContext.get().partitionId() << 33
-        names = ["block", "row", "doc_id", "codes", "words"]
-        types = [pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.string())]
-        kinds = np.frombuffer(classes.value, np.uint8)
+        kinds, number = np.frombuffer(classes.value, np.uint8), TaskContext.get().partitionId() << 32
+        block = Block()
         for batch in batches:
-            for lo, hi, data, offs in chunks(batch["text"], limit):
-                starts, per_doc = cut_words(data, offs, kinds)
-                n = hi - lo
-                found = pa.StringArray.from_buffers(
-                    len(starts) - 1, pa.py_buffer(starts.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data)))
-                found = found.dictionary_encode()
-                ends = pa.array(np.r_[0, np.cumsum(per_doc)].astype(np.int32))
-                codes = pa.ListArray.from_arrays(ends, found.indices.cast(pa.int32()))
-                here = pa.array(np.full(n, block))
-                yield pa.record_batch([here, pa.array(np.arange(n, dtype=np.int32)), batch["doc_id"].slice(lo, n), codes,
-                                       pa.nulls(n, types[4])], names)
-                # One more row lists the block's words by number.
-                listed = pa.ListArray.from_arrays(pa.array([0, len(found.dictionary)], pa.int32()), found.dictionary)
-                yield pa.record_batch([here[:1], pa.nulls(1, types[1]), pa.nulls(1, types[2]), pa.nulls(1, types[3]), listed], names)
-                block += 1
+            for lo, hi, data, offs in chunks(batch["text"], min(limit, _STEP)):
+                block.add(batch["doc_id"].slice(lo, hi - lo), data, offs, kinds)
+                if block.size >= limit:
+                    yield block.rows(number, buckets)
+                    block, number = Block(), number + 1
+        if block.ids:
+            yield block.rows(number, buckets)
 
     return scan
 
 
 def _encoder(ranks):
+    """Word rows sorted by bucket to the same rows with ids for bytes."""
+
     def encode(batches):
         table = ranks.value
         whole = tiktoken.Encoding("whole", pat_str=r"[\s\S]+", mergeable_ranks=table, special_tokens={})
+        bucket, known = None, {}
+
+        def ids_of(word: bytes) -> list[int]:
+            ids = known.get(word)
+            if ids is None:
+                ids = known[word] = whole.encode_ordinary(word.decode()) if len(word) < LONG_WORD else merge_long(word, table)
+            return ids
+
         for batch in batches:
-            ids = [whole.encode_ordinary(w) if len(w) < LONG_WORD else merge_long(w.encode(), table)
-                   for w in batch["word"].to_pylist()]
-            yield pa.record_batch([batch["word"], pa.array(ids, pa.list_(pa.int32()))], ["word", "ids"])
+            for i in range(batch.num_rows):
+                row = {c: batch[c][i].as_py() for c in batch.schema.names}
+                if row["bucket"] != bucket:
+                    bucket, known = row["bucket"], {}
+                data = pa.decompress(row["data"], decompressed_size=row["n_bytes"], codec="zstd", asbytes=True) if row["n_bytes"] else b""
+                ends = np.cumsum(unpack_numbers(row["sizes"], row["n"])).tolist()
+                lists = [ids_of(data[a:b]) for a, b in zip([0, *ends], ends)]
+                ids = np.fromiter((t for ts in lists for t in ts), np.int64)
+                yield pa.record_batch([
+                    pa.array([row["block"]]), pa.array([bucket], pa.int32()),
+                    pa.array([pack_numbers(np.fromiter(map(len, lists), np.int64, len(lists)))], pa.binary()),
+                    pa.array([row["numbers"]], pa.binary()), pa.array([pack_numbers(ids)], pa.binary()),
+                    pa.array([row["n"]], pa.int32()), pa.array([len(ids)], pa.int64())], [c.split()[0] for c in _WORDS.split(", ")])
 
     return encode
 
 
-def _fill(left: pa.Table, right: pa.Table) -> pa.Table:
-    """A block's documents with the ids of its numbered words in place of the numbers."""
-    left, right = left.sort_by("row"), right.sort_by("code")
-    codes, ids = left["codes"].combine_chunks(), right["ids"].combine_chunks()
-    code = codes.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-    word_ends, flat = ids.offsets.to_numpy().astype(np.int64), ids.values.to_numpy(zero_copy_only=False)
-    size = np.diff(word_ends)[code] if len(code) else np.zeros(0, np.int64)
+def _fill(left: pa.Table, right: pa.Table):
+    """A block's documents with the ids of its words in place of their numbers, some documents at a time."""
+    rows = right.to_pylist()
+    at = np.concatenate([np.zeros(0, np.int64), *(unpack_numbers(r["numbers"], r["n"]).astype(np.int64) for r in rows)])
+    size = np.concatenate([np.zeros(0, np.int64), *(unpack_numbers(r["sizes"], r["n"]).astype(np.int64) for r in rows)])
+    flat = np.concatenate([np.zeros(0, "<u4"), *(unpack_numbers(r["data"], r["n_bytes"]) for r in rows)])
     ends = np.r_[0, np.cumsum(size)]
-    place = np.arange(ends[-1]) - np.repeat(ends[:-1], size) + np.repeat(word_ends[code], size)
-    doc_ends = np.r_[0, np.cumsum(np.diff(codes.offsets.to_numpy()))]
-    out = pa.ListArray.from_arrays(pa.array(ends[doc_ends].astype(np.int32)), pa.array(flat[place].astype(np.int32)))
-    return pa.table([left["doc_id"], out], ["doc_id", "ids"])
+    place = np.empty(len(at), np.int64)
+    place[at] = np.arange(len(at))  # where each number's ids lie
+    for row in left.to_pylist():
+        doc_ids, counts = pa.array(row["doc_ids"], pa.int64()), np.array(row["counts"], np.int64)
+        doc_ends = np.r_[0, np.cumsum(counts)]
+        numbers = unpack_numbers(row["numbers"], row["n"])
+        lo = 0
+        while lo < len(counts):
+            hi = min(len(counts), max(lo + 1, int(np.searchsorted(doc_ends, doc_ends[lo] + _STEP, side="right")) - 1))
+            found, to = _gather(ends, place[numbers[doc_ends[lo]:doc_ends[hi]]])
+            yield pa.record_batch([doc_ids.slice(lo, hi - lo), pa.ListArray.from_arrays(
+                pa.array(to[doc_ends[lo:hi + 1] - doc_ends[lo]].astype(np.int32)), pa.array(flat[found].astype(np.int32)))],
+                ["doc_id", "ids"])
+            lo = hi
+
+
+def _per_block(then, schema: str):
+    """Group function of a block: its encoded documents, passed through ``then`` batch by batch."""
+    names = [c.strip().split()[0] for c in schema.split(",")]
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = list(then(_fill(left, right)))
+        return pa.Table.from_batches(out).select(names)
+
+    return run
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", text_col: str = "text",
-           block_bytes: int = BLOCK_BYTES) -> DataFrame:
+           block_bytes: int = BLOCK_BYTES, buckets: int = BUCKETS) -> DataFrame:
     """``(doc_id, ids)``: the token ids of each document, special tokens never.
 
     Defined results: a null or empty text has no ids; rows are encoded one by
@@ -203,18 +309,19 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", tex
     word is merged in n log n steps); a table without rows gives none; other
     columns are ignored.
     """
+    return _encoded(docs, ranks, id_col, text_col, block_bytes, buckets, lambda batches: batches, _TOKENS)
+
+
+def _encoded(docs, ranks, id_col, text_col, block_bytes, buckets, then, schema: str) -> DataFrame:
     sc = docs.sparkSession.sparkContext
     # Both are of the size of Unicode and of the vocabulary, whatever the data.
     classes, shipped = sc.broadcast(character_classes().tobytes()), sc.broadcast(ranks)
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    blocks = stage(rows.mapInArrow(_scanner(classes, block_bytes),
-                                   "block bigint, row int, doc_id bigint, codes array<int>, words array<string>"), "blocks")
-    words = blocks.where(F.col("words").isNotNull()).select("block", F.posexplode("words").alias("code", "word"))
-    distinct = words.select("word").distinct().mapInArrow(_encoder(shipped), "word string, ids array<int>")
-    # A word has one row per block at most, so neither side has a hot key.
-    back = words.join(distinct, "word").select(F.col("block").alias("of"), "code", "ids")
-    lists = blocks.where(F.col("codes").isNotNull()).select("block", "row", "doc_id", "codes")
-    return lists.groupBy("block").cogroup(back.groupBy("of")).applyInArrow(_fill, _TOKENS)
+    blocks = stage(rows.mapInArrow(_scanner(classes, block_bytes, buckets), f"{_WORDS}, doc_ids array<bigint>, counts array<int>"), "blocks")
+    words = blocks.where("bucket >= 0").select(*[c.split()[0] for c in _WORDS.split(", ")])
+    back = words.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_encoder(shipped), _WORDS)
+    lists = blocks.where("bucket < 0").select(F.col("block").alias("of"), "doc_ids", "counts", "numbers", "n")
+    return lists.groupBy("of").cogroup(back.groupBy("block")).applyInArrow(_per_block(then, schema), schema)
 
 
 def _decoder(table):
@@ -235,14 +342,19 @@ def _decoder(table):
     return decode
 
 
-def decode(tokens: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """``(doc_id, ids, decoded)``: the bytes that the ids stand for, joined
-    from the token-byte table (one entry per id of the vocabulary)."""
+def token_bytes(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """The token-byte table: length of each id's bytes, and all bytes in order of id."""
     by_id = sorted((i, t) for t, i in ranks.items())
     sizes = np.zeros((by_id[-1][0] if by_id else 0) + 1, np.int64)
     for i, t in by_id:
         sizes[i] = len(t)
-    table = tokens.sparkSession.sparkContext.broadcast((sizes, np.frombuffer(b"".join(t for _, t in by_id), np.uint8)))
+    return sizes, np.frombuffer(b"".join(t for _, t in by_id), np.uint8)
+
+
+def decode(tokens: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
+    """``(doc_id, ids, decoded)``: the bytes that the ids stand for, joined
+    from the token-byte table (one entry per id of the vocabulary)."""
+    table = tokens.sparkSession.sparkContext.broadcast(token_bytes(ranks))
     return tokens.select("doc_id", "ids").mapInArrow(_decoder(table), f"{_TOKENS}, decoded binary")
 
 
@@ -259,9 +371,11 @@ def _digests(batches):
 
 
 def round_trip_digests(docs: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", text_col: str = "text",
-                       block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                       block_bytes: int = BLOCK_BYTES, buckets: int = BUCKETS) -> DataFrame:
     """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` of each document
     encoded and decoded again: digests of the ids as little-endian unsigned
     32-bit integers and of the decoded bytes.  Defined results as in ``encode``."""
-    return decode(encode(docs, ranks, id_col, text_col, block_bytes), ranks).mapInArrow(
-        _digests, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    table = docs.sparkSession.sparkContext.broadcast(token_bytes(ranks))
+    decoder = _decoder(table)
+    return _encoded(docs, ranks, id_col, text_col, block_bytes, buckets, lambda batches: _digests(decoder(batches)),
+                    "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

@@ -42,10 +42,11 @@ def result(df, ranks, **how):
     return sorted(tuple(r) for r in bpe.round_trip_digests(df, ranks, **how).collect())
 
 
-@pytest.mark.parametrize("block", [bpe.BLOCK_BYTES, 64])
-def test_equals_the_library(spark, ranks, library, block):
+@pytest.mark.parametrize("block, buckets", [(bpe.BLOCK_BYTES, bpe.BUCKETS), (64, 3), (700, 1)])
+def test_equals_the_library(spark, ranks, library, block, buckets):
     rows = list(enumerate(texts(block)))
-    got = result(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), ranks, block_bytes=block)
+    got = result(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), ranks, block_bytes=block,
+                 buckets=buckets)
     assert got == sorted(wanted(library, i, t) for i, t in rows)
 
 
