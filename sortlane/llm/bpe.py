@@ -6,7 +6,9 @@ so each distinct word of the whole corpus is encoded once:
 1. runs of whole documents (blocks) are cut; a block's words are numbered, most
    frequent first, and its documents become those numbers in order (the
    positions).  The words go into buckets by hash; a block's words of one bucket
-   are one packed row, its documents another.  The table is staged.
+   are one packed row, its documents another.  The two kinds of rows are made by
+   a scan each, since cutting again costs less than keeping them; a check sum of
+   a block's words in both tells if the scans ever saw different rows.
 2. the word rows are shuffled by bucket and sorted, so that a pass over a
    partition meets all words of a bucket, encodes each distinct one once by the
    merge ranks, and gives the ids back to every block that has it.
@@ -45,7 +47,8 @@ BLOCK_BYTES = 16 << 20
 BUCKETS = 256
 #: Text bytes cut, and numbers replaced, at a time.
 _STEP = 1 << 20
-_WORDS = "block bigint, bucket int, sizes binary, numbers binary, data binary, n int, n_bytes bigint"
+_WORDS = "block bigint, sum binary, bucket int, sizes binary, numbers binary, data binary, n int, n_bytes bigint"
+_DOCS = "block bigint, sum binary, numbers binary, n int, doc_ids array<bigint>, counts array<int>"
 #: Longer words are merged with a heap, whose time grows with n log n.
 LONG_WORD = 1 << 10
 _OTHER, _LETTER, _DIGIT, _SPACE = range(4)
@@ -172,33 +175,34 @@ class Block:
             len(starts) - 1, pa.py_buffer(starts.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))).dictionary_encode())
         self.size += len(data)
 
-    def rows(self, block: int, buckets: int) -> pa.RecordBatch:
-        """The block's documents as one row, and its words as one row per bucket."""
+    def rows(self, block: int, buckets: int | None) -> pa.RecordBatch:
+        """The block's words, one row per bucket, or its documents as one row (without ``buckets``)."""
         one = pa.chunked_array(self.pieces).unify_dictionaries()
         numbers = np.concatenate([c.indices.to_numpy(zero_copy_only=False) for c in one.chunks])
         listed = one.chunk(0).dictionary
         by_use = np.argsort(-np.bincount(numbers, minlength=len(listed)), kind="stable")
-        rank = np.empty(len(by_use), np.int64)
-        rank[by_use] = np.arange(len(by_use))
         raw, ends = string_bytes(listed.take(pa.array(by_use)))
+        raw = raw[:ends[-1]]
+        check = hashlib.blake2b(ends.tobytes() + raw.tobytes(), digest_size=16).digest()
+        if buckets is None:
+            rank = np.empty(len(by_use), np.int64)
+            rank[by_use] = np.arange(len(by_use))
+            whole = lambda v: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v)
+            return pa.record_batch([
+                pa.array([block]), pa.array([check], pa.binary()), pa.array([pack_numbers(rank[numbers])], pa.binary()),
+                pa.array([len(numbers)], pa.int32()), whole(pa.concat_arrays(self.ids)),
+                whole(pa.array(np.concatenate(self.counts).astype(np.int32)))], [c.split()[0] for c in _DOCS.split(", ")])
         hasher = Hasher()
-        hasher.load(raw[:ends[-1]])
+        hasher.load(raw)
         bucket = (hasher.ranges(ends[:-1], ends[1:]) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
         used = np.flatnonzero(cuts[1:] > cuts[:-1])
         words = [_packed_words(raw, ends, order[cuts[k]:cuts[k + 1]]) for k in used]
-        k, counts = len(used), np.concatenate(self.counts).astype(np.int32)
-        docs = lambda v: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v)
-        none = pa.nulls(k, pa.list_(pa.int64()))
+        types = [pa.binary()] * 3 + [pa.int32(), pa.int64()]
         return pa.record_batch([
-            pa.array(np.full(k + 1, block)), pa.array([-1, *used.tolist()], pa.int32()),
-            pa.array([None, *[w[0] for w in words]], pa.binary()), pa.array([pack_numbers(rank[numbers]), *[w[1] for w in words]], pa.binary()),
-            pa.array([None, *[w[2] for w in words]], pa.binary()), pa.array([len(numbers), *[w[3] for w in words]], pa.int32()),
-            pa.array([None, *[w[4] for w in words]], pa.int64()),
-            pa.concat_arrays([docs(pa.concat_arrays(self.ids)), none]),
-            pa.concat_arrays([docs(pa.array(counts)), none.cast(pa.list_(pa.int32()))])],
-            [*(c.split()[0] for c in _WORDS.split(", ")), "doc_ids", "counts"])
+            pa.array(np.full(len(used), block)), pa.array([check] * len(used), pa.binary()), pa.array(used.astype(np.int32)),
+            *[pa.array([w[i] for w in words], t) for i, t in enumerate(types)]], [c.split()[0] for c in _WORDS.split(", ")])
 
 
 def _gather(ends: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -209,14 +213,14 @@ def _gather(ends: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _packed_words(raw: np.ndarray, ends: np.ndarray, at: np.ndarray) -> tuple[bytes, bytes, bytes, int, int]:
-    """Words ``at`` of a block: their lengths, numbers and bytes."""
+    """Words ``at`` (ascending) of a block: their lengths, steps between their numbers, and bytes."""
     place, to = _gather(ends, at)
-    return (pack_numbers(np.diff(to)), pack_numbers(at), pa.compress(raw[place].tobytes(), codec="zstd", asbytes=True),
+    return (pack_numbers(np.diff(to)), pack_numbers(np.diff(at, prepend=0)), pa.compress(raw[place].tobytes(), codec="zstd", asbytes=True),
             len(at), int(to[-1]))
 
 
-def _scanner(classes, limit: int, buckets: int):
-    """Arrow batches of ``(doc_id, text)`` to the rows of blocks."""
+def _scanner(classes, limit: int, buckets: int | None):
+    """Arrow batches of ``(doc_id, text)`` to the rows of blocks, of words or of documents."""
 
     def scan(batches):
         kinds, number = np.frombuffer(classes.value, np.uint8), TaskContext.get().partitionId() << 32
@@ -257,7 +261,7 @@ def _encoder(ranks):
                 lists = [ids_of(data[a:b]) for a, b in zip([0, *ends], ends)]
                 ids = np.fromiter((t for ts in lists for t in ts), np.int64)
                 yield pa.record_batch([
-                    pa.array([row["block"]]), pa.array([bucket], pa.int32()),
+                    pa.array([row["block"]]), pa.array([row["sum"]], pa.binary()), pa.array([bucket], pa.int32()),
                     pa.array([pack_numbers(np.fromiter(map(len, lists), np.int64, len(lists)))], pa.binary()),
                     pa.array([row["numbers"]], pa.binary()), pa.array([pack_numbers(ids)], pa.binary()),
                     pa.array([row["n"]], pa.int32()), pa.array([len(ids)], pa.int64())], [c.split()[0] for c in _WORDS.split(", ")])
@@ -268,7 +272,9 @@ def _encoder(ranks):
 def _fill(left: pa.Table, right: pa.Table):
     """A block's documents with the ids of its words in place of their numbers, some documents at a time."""
     rows = right.to_pylist()
-    at = np.concatenate([np.zeros(0, np.int64), *(unpack_numbers(r["numbers"], r["n"]).astype(np.int64) for r in rows)])
+    if any(r["sum"] != d["sum"] for r in rows for d in left.to_pylist()):
+        raise RuntimeError("the scans saw different rows; stage the documents first (fixed_rows=False)")
+    at = np.concatenate([np.zeros(0, np.int64), *(np.cumsum(unpack_numbers(r["numbers"], r["n"]).astype(np.int64)) for r in rows)])
     size = np.concatenate([np.zeros(0, np.int64), *(unpack_numbers(r["sizes"], r["n"]).astype(np.int64) for r in rows)])
     flat = np.concatenate([np.zeros(0, "<u4"), *(unpack_numbers(r["data"], r["n_bytes"]) for r in rows)])
     ends = np.r_[0, np.cumsum(size)]
@@ -300,27 +306,31 @@ def _per_block(then, schema: str):
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", text_col: str = "text",
-           block_bytes: int = BLOCK_BYTES, buckets: int = BUCKETS) -> DataFrame:
+           block_bytes: int = BLOCK_BYTES, buckets: int = BUCKETS, fixed_rows: bool = False) -> DataFrame:
     """``(doc_id, ids)``: the token ids of each document, special tokens never.
 
+    ``fixed_rows``: the documents are read straight from files, so that two scans
+    give the same rows in the same partitions; otherwise they are staged first.
+
     Defined results: a null or empty text has no ids; rows are encoded one by
     one, so null and repeated ids and repeated rows stay as they are; very long
     texts are encoded whole (a task holds the longest document, and a very long
     word is merged in n log n steps); a table without rows gives none; other
     columns are ignored.
     """
-    return _encoded(docs, ranks, id_col, text_col, block_bytes, buckets, lambda batches: batches, _TOKENS)
+    return _encoded(docs, ranks, id_col, text_col, block_bytes, buckets, fixed_rows, lambda batches: batches, _TOKENS)
 
 
-def _encoded(docs, ranks, id_col, text_col, block_bytes, buckets, then, schema: str) -> DataFrame:
+def _encoded(docs, ranks, id_col, text_col, block_bytes, buckets, fixed_rows, then, schema: str) -> DataFrame:
     sc = docs.sparkSession.sparkContext
     # Both are of the size of Unicode and of the vocabulary, whatever the data.
     classes, shipped = sc.broadcast(character_classes().tobytes()), sc.broadcast(ranks)
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    blocks = stage(rows.mapInArrow(_scanner(classes, block_bytes, buckets), f"{_WORDS}, doc_ids array<bigint>, counts array<int>"), "blocks")
-    words = blocks.where("bucket >= 0").select(*[c.split()[0] for c in _WORDS.split(", ")])
+    if not fixed_rows:
+        rows = stage(rows, "documents")
+    words = rows.mapInArrow(_scanner(classes, block_bytes, buckets), _WORDS)
     back = words.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_encoder(shipped), _WORDS)
-    lists = blocks.where("bucket < 0").select(F.col("block").alias("of"), "doc_ids", "counts", "numbers", "n")
+    lists = rows.mapInArrow(_scanner(classes, block_bytes, None), _DOCS).withColumnRenamed("block", "of")
     return lists.groupBy("of").cogroup(back.groupBy("block")).applyInArrow(_per_block(then, schema), schema)
 
 
@@ -371,11 +381,11 @@ def _digests(batches):
 
 
 def round_trip_digests(docs: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", text_col: str = "text",
-                       block_bytes: int = BLOCK_BYTES, buckets: int = BUCKETS) -> DataFrame:
+                       block_bytes: int = BLOCK_BYTES, buckets: int = BUCKETS, fixed_rows: bool = False) -> DataFrame:
     """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` of each document
     encoded and decoded again: digests of the ids as little-endian unsigned
     32-bit integers and of the decoded bytes.  Defined results as in ``encode``."""
     table = docs.sparkSession.sparkContext.broadcast(token_bytes(ranks))
     decoder = _decoder(table)
-    return _encoded(docs, ranks, id_col, text_col, block_bytes, buckets, lambda batches: _digests(decoder(batches)),
+    return _encoded(docs, ranks, id_col, text_col, block_bytes, buckets, fixed_rows, lambda batches: _digests(decoder(batches)),
                     "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

@@ -62,7 +62,8 @@ def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_bpe(spark: SparkSession, sf_dir: str, ranks: str = "byte_bpe_50k.tiktoken") -> DataFrame:
     import public_tokenizers  # vocabularies of this machine; their files are a parameter
 
-    return bpe.round_trip_digests(_table(spark, sf_dir, "documents"), bpe.read_ranks(spark, public_tokenizers.path(ranks)))
+    return bpe.round_trip_digests(_table(spark, sf_dir, "documents"), bpe.read_ranks(spark, public_tokenizers.path(ranks)),
+                                  fixed_rows=True)
 
 
 def queries() -> dict:
