@@ -224,14 +224,28 @@ def _across(stars: DataFrame, near: DataFrame, sets: DataFrame, percent: int, he
         Window.partitionBy("pivot", "node").orderBy(F.coalesce("often", F.lit(1)), "e")) - 1).where(
         "often is not null AND at <= most").drop("often").persist()
     held.append(index)
-    side = lambda name: [F.col(c).alias(f"{c}_{name}") for c in ("node", "root", "n", "at")]
+    return _meetings(index, percent)
+
+
+def _meetings(index: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` that an index of differences ``(pivot, e, node, root, outside, n, at, most)`` lets meet.
+
+    Whether two rows may meet depends on their sizes and places alone, so it is
+    decided between cells of equal size and place, of which an element has few
+    however many members hold it; only cells that pass are joined by their rows.
+    """
+    cell = ["outside", "n", "at"]
+    side = lambda name, cols: [F.col(c).alias(f"{c}_{name}") for c in cols]
     early = index.where("2 * at <= most")
-    meet = lambda x, y: x.select("pivot", "e", *side("x")).join(y.select("pivot", "e", *side("y")), ["pivot", "e"]).where(
-        f"root_x <> root_y AND 100 * least(n_x, n_y) >= {percent} * greatest(n_x, n_y) "
-        f"AND (at_x + at_y) * {100 + percent} <= {100 - percent} * (n_x + n_y)").select(
-        F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"))
-    found = meet(early.where("outside"), index).unionByName(meet(early.where("NOT outside"), index.where("outside")))
-    return found.distinct()
+    cells = lambda rows, name: rows.select("pivot", "e", *side(name, cell)).distinct()
+    # One side of a pair lies outside the pivot's largest group.
+    fit = cells(early, "x").join(cells(index, "y"), ["pivot", "e"]).where(
+        f"(outside_x OR outside_y) AND 100 * least(n_x, n_y) >= {percent} * greatest(n_x, n_y) "
+        f"AND (at_x + at_y) * {100 + percent} <= {100 - percent} * (n_x + n_y)")
+    rows = lambda of, name: of.select("pivot", "e", *side(name, ["node", "root", *cell]))
+    on = lambda name: ["pivot", "e", *[f"{c}_{name}" for c in cell]]
+    met = fit.join(rows(early, "x"), on("x")).join(rows(index, "y"), on("y")).where("root_x <> root_y")
+    return met.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, percent: int = 85,

@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -131,3 +132,28 @@ def test_signatures_agree_as_often_as_the_sets():
     a = np.frombuffer(sign(np.concatenate([common, rest[:100]])), ">u2")
     b = np.frombuffer(sign(np.concatenate([common, rest[100:]])), ">u2")
     assert abs((a == b).mean() - 0.8) < 0.1
+
+
+def template_copies(n, own):
+    """One template of 60 words, each document with some words of its own in its middle."""
+    base = [f"t{i}" for i in range(60)]
+    return [(i, " ".join(base[:30] + [f"d{i}o{k}" for k in range(own)] + base[30:])) for i in range(n)]
+
+
+@pytest.mark.parametrize("own", [2, 3, 9, 12])
+def test_documents_of_one_template_around_the_threshold(spark, own):
+    rows = template_copies(60, own)
+    out = dedup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in out.collect()) == brute(rows)
+
+
+def test_members_at_places_that_cannot_meet_are_not_paired(spark):
+    """30,000 members hold one element too late to meet: 900 million pairs if they were joined by it."""
+    late = spark.range(30000).selectExpr(
+        "1L AS pivot", "7L AS e", "id AS node", "id AS root", "true AS outside", "cast(70 + id % 3 as bigint) AS n",
+        "6 AS at", "12L AS most")
+    near = spark.range(4).selectExpr(
+        "1L AS pivot", "8L AS e", "id AS node", "id AS root", "id > 0 AS outside", "70L AS n", "cast(id as int) AS at", "10L AS most")
+    began = time.time()
+    got = sorted(tuple(r) for r in dedup._meetings(late.unionByName(near), 85).collect())
+    assert got == [(a, b) for a in range(4) for b in range(a + 1, 4)] and time.time() - began < 60
