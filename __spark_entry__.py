@@ -46,12 +46,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sort_by_id", "sort_by_name", "sort_by_continent", "sorted_runs", "merge_runs",
         "sort_position", "sort_fanout",
         # aggregations: A1 A2 A3 A4 A5
-        "count_by_topic", "count_reconcile", "multiset_reconcile", "run_counters", "run_report",
+        "count_by_topic", "count_reconcile", "multiset_reconcile", "multiset_diff_sketch", "run_counters", "run_report",
         # windows: W1 W2 W3 W4
         "check_sorted_id", "check_sorted_name", "check_sorted_continent", "detect_runs",
-        # streaming: M1 M2 M3 M4 M5 M6 M8 (M7, trigger mode, is an argument: tests)
+        # streaming: M1 M2 M3 M4 M5 M6 M7 M8
         "stream_runs", "stream_fanout", "stream_keyed_publish", "stream_rejects",
         "stream_resume", "stream_tail_flush", "stream_progress", "stream_detect_runs", "stream_compact",
+        "stream_metrics", "stream_continuous",
         # end-to-end jobs: L1 L2 L3
         "batch_job", "batch_resume", "stream_job", "validate_all", "validate_incremental",
     ]
@@ -474,6 +475,7 @@ def _library_sql() -> dict[str, str]:
         "count_by_topic": f"""SELECT topic, "partition", count(*) AS n FROM {_published(_LOG)} GROUP BY topic, "partition" """,
         "count_reconcile": _count_reconcile(_published(_DIRTY)),
         "multiset_reconcile": _multiset(_published(_DIRTY)),
+        "multiset_diff_sketch": _multiset(_published(_DIRTY)),
         "run_counters": f"""
             WITH d AS {_decoded(_DIRTY)}
             SELECT 'generated' AS counter, CAST(0 AS BIGINT) AS value
@@ -525,6 +527,9 @@ def _library_sql() -> dict[str, str]:
         "stream_resume": f"SELECT {_FANOUT} FROM {_stream(True)}",
         "stream_tail_flush": f"SELECT {_FANOUT} FROM {_stream(False)}",
         "stream_progress": _PROGRESS,
+        "stream_metrics": f"""SELECT *, CAST(CASE batch_id WHEN 2 THEN 1 ELSE 0 END AS BIGINT) AS failures, true AS timed,
+            true AS rated FROM ({_PROGRESS})""",
+        "stream_continuous": f"SELECT * FROM {_topics(False)}",
         "stream_compact": f"""
             WITH o AS (SELECT *, row_number() OVER (PARTITION BY sort_key ORDER BY
                          CASE sort_key WHEN 'name' THEN name WHEN 'continent' THEN continent ELSE '' END,

@@ -10,11 +10,12 @@ from __future__ import annotations
 import time
 
 from pyspark import InheritableThread
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import codec
-from ..operators import checks, incremental, order, runs
+from ..operators import checks, incremental, order, runs, sketch
 from ..session import folder_state, work_path
 from ..sinks import publish, versions
 from ..sources import fixtures, generate
@@ -24,6 +25,7 @@ from ..streaming import arrivals
 from ..streaming import runs as streaming_runs
 from ..streaming.bounded import BoundedReader
 from ..streaming.compact import Compactor
+from ..streaming.monitor import StreamMetrics, run_until
 from ..streaming.runs import StreamRuns
 from .batch import BatchRun, run_batch
 
@@ -286,6 +288,11 @@ def q_multiset_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.multiset_reconcile(batch_log(spark, sf_dir, dirty=True))
 
 
+def q_multiset_diff_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3 from additive cells: only the lines that differ are looked up."""
+    return sketch.multiset_difference(batch_log(spark, sf_dir, dirty=True)).rows
+
+
 def q_check_sorted_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.check_sorted(batch_log(spark, sf_dir), "id")
 
@@ -459,6 +466,60 @@ def q_stream_first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def q_stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8 by listener: counters, whether times were taken, and failed attempts per batch;
+    batch 2 fails once (planted) and is done by the restarted query."""
+    base = work_path(spark, "stream")
+    log = order.stage(fixtures.dirty_log(spark, sf_dir), "stream-input")
+    cuts = arrivals.quantile_cuts(log, STREAM_ARRIVALS)
+    arrivals.write_arrivals(log, f"{base}/source", cuts, STREAM_SILENT)
+
+    class FailsOnce(StreamRuns):
+        failed = False
+
+        def process(self, batch: DataFrame, batch_id: int) -> None:
+            if batch_id == 2 and not FailsOnce.failed:
+                FailsOnce.failed = True
+                raise RuntimeError("planted")
+            super().process(batch, batch_id)
+
+    runner = FailsOnce(f"{base}/state", STREAM_CHUNK)
+    with StreamMetrics(spark) as metrics:
+        for _ in range(2):
+            query = streaming_runs.start_stream(spark, f"{base}/source", runner, f"{base}/checkpoint", files_per_trigger=arrivals.FILES)
+            try:
+                query.awaitTermination()
+            except StreamingQueryException:
+                pass
+            metrics.wait_for_end(query.runId)
+    return metrics.per_batch(runner).select(
+        "batch_id", "consumed", "accepted", "rejected", "runs_closed", "rows_out", "failures",
+        (F.col("seconds") > 0).alias("timed"), (F.col("rows_per_s") > 0).alias("rated"))
+
+
+def q_stream_continuous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7: a continuous run that meets arrivals as they come; stopping it works off what
+    has arrived and flushes the open runs."""
+    base = work_path(spark, "stream")
+    log = order.stage(fixtures.dirty_log(spark, sf_dir), "stream-input")
+    cuts, runner = arrivals.quantile_cuts(log, STREAM_ARRIVALS), StreamRuns(f"{base}/state", STREAM_CHUNK)
+    arrivals.write_arrivals(log, f"{base}/source", cuts, STREAM_SILENT, last=0, files=1)
+    sent = [1]
+
+    def send_next() -> bool:
+        """The next arrival once the one before is committed; true when there is none."""
+        if runner.last_committed(spark) != sent[0] - 1:
+            return False
+        if sent[0] < STREAM_ARRIVALS:
+            arrivals.write_arrivals(log, f"{base}/source", cuts, STREAM_SILENT, first=sent[0], last=sent[0], files=1)
+            sent[0] += 1
+            return False
+        return True
+
+    run_until(spark, f"{base}/source", runner, f"{base}/checkpoint", send_next, files_per_trigger=1)
+    return runner.log(spark, include_flush=True)
+
+
 def q_stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_run(spark, sf_dir).progress(spark)
 
