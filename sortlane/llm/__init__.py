@@ -1,4 +1,4 @@
-"""Training-data operators: ten corpus operators over the public tables.
+"""Training-data operators: thirteen corpus operators over the public tables.
 
 Nothing else in the library imports this subpackage.  Functions that run in
 Python workers are shipped by value, so executors need numpy and pyarrow but
