@@ -100,13 +100,14 @@ def test_few_rows_wait_beside_their_segment(spark):
     c = Compactor(runner, 50, 0.2)
     runner.put(spark, some(rng, 500))
     c.compact(spark)
-    before = {s.folder for s in c.state(spark)[2]["id"]}
-    for n in (14, 14, 30):
-        runner.put(spark, some(rng, n))
-        done = c.compact(spark)
-        assert done.rows_read["id"] < 500 and stored(spark, c, "id") == truth(runner, "id")
+    before = c.state(spark)[2]["id"]
+    runner.put(spark, some(rng, 8))
+    assert c.compact(spark).rows_read["id"] == 0 and stored(spark, c, "id") == truth(runner, "id")
+    runner.put(spark, some(rng, 12, before[4].low[0] + 1, before[5].low[0]))  # ids inside one segment
+    assert c.compact(spark).rows_read["id"] < 100 and stored(spark, c, "id") == truth(runner, "id")
     segments = c.state(spark)[2]["id"]
-    assert 0 < sum(s.waiting() for s in segments) < 58 and 0 < len(before & {s.folder for s in segments}) < 10
+    assert 0 < sum(s.waiting() for s in segments) <= 8
+    assert {s.folder for s in before} - {s.folder for s in segments} == {before[4].folder}
     assert stored(spark, c, "continent") == truth(runner, "continent")
 
 
