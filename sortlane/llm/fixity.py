@@ -7,21 +7,36 @@ up to one root per archive, and on over the archives up to one root per
 replica.  Ranges are cut by the offset written in the index, so a missing or
 extra record changes its own branch only.
 
-The audit compares roots and descends: a level's nodes are read only below
-parents that differ, and records only in ranges that differ.  Every group has
-at most 16 children, or the records of one range.
+The audit compares roots and descends: only nodes below parents that differ
+are compared, and only records in ranges that differ.  A level's table is
+scanned for them by a semi-join; the levels above the records hold a small
+share of the rows.  Every group has at most 16 children, or the records of one
+range.
 """
 
 from __future__ import annotations
 
+import hashlib
+import itertools
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sortlane.operators.order import stage
+from sortlane.operators.order import stage, with_position
+
+from .places import placed
 
 ARCHIVE_RECORDS = 1024
 RANGE_BITS = 16
 FAN_BITS = 4
+#: Records whose offsets one task sums.
+BLOCK_BITS = 16
+VERSION = b"WARC/1.0\r\n"
+READ_BYTES = 1 << 20
+#: A header of more lines is no header.
+HEADER_LINES = 10_000
 DAMAGE_EVERY = 53
 
 
@@ -48,25 +63,141 @@ def pages_to_records(pages: DataFrame) -> DataFrame:
         "page_id", F.octet_length("record").cast("bigint").alias("length"), F.sha2("record", 256).alias("digest"))
 
 
+def scan_warc(stream) -> Iterator[tuple[int, int, str]]:
+    """``(offset, length, digest)`` of each record of a binary stream of uncompressed WARC.
+
+    A record ends where its Content-Length says, so a version line inside a
+    payload is no boundary.  Payloads are digested in pieces of ``READ_BYTES``.
+    Bytes that are no record (a damaged header, a payload cut short) run up to
+    the next version line at a line start and are one entry: damage shows there
+    and the records after it keep their places.
+    """
+    source = _Pushback(stream)
+    at, held = 0, None  # held: hash and length of bytes that are no record
+    while True:
+        head = source.read(len(VERSION))
+        if not head:
+            break
+        if head == VERSION:
+            if held:
+                yield at - held[1], held[1], held[0].hexdigest()
+                held = None
+            lines, size = [head], None
+            while (line := source.line()) and line != b"\r\n" and len(lines) < HEADER_LINES:
+                lines.append(line)
+                name, _, value = line.partition(b":")
+                if name.strip().lower() == b"content-length" and value.strip().isdigit():
+                    size = int(value)
+            lines.append(line)
+            digest, n = hashlib.sha256(b"".join(lines)), sum(map(len, lines))
+            left = size + 4 if size is not None and line == b"\r\n" else 0
+            while left and (piece := source.read(min(left, READ_BYTES))):
+                digest.update(piece)
+                n, left = n + len(piece), left - len(piece)
+            if size is not None and not left:
+                yield at, n, digest.hexdigest()
+            else:
+                held = (digest, n)
+            at += n
+        else:
+            source.back(head)
+            line = source.line()
+            held = held or (hashlib.sha256(), 0)
+            held[0].update(line)
+            held, at = (held[0], held[1] + len(line)), at + len(line)
+    if held:
+        yield at - held[1], held[1], held[0].hexdigest()
+
+
+class _Pushback:
+    """Exact reads and bounded lines of a stream, with bytes given back."""
+
+    def __init__(self, stream):
+        self.stream, self.left = stream, b""
+
+    def back(self, data: bytes) -> None:
+        self.left = data + self.left
+
+    def read(self, n: int) -> bytes:
+        while len(self.left) < n and (more := self.stream.read(max(n - len(self.left), 1 << 16))):
+            self.left += more
+        out, self.left = self.left[:n], self.left[n:]
+        return out
+
+    def line(self) -> bytes:
+        """Up to a line feed, or ``READ_BYTES`` of a longer line."""
+        while (end := self.left.find(b"\n", 0, READ_BYTES)) < 0 and len(self.left) < READ_BYTES:
+            if not (more := self.stream.read(1 << 16)):
+                break
+            self.left += more
+        return self.read(end + 1 if end >= 0 else min(len(self.left), READ_BYTES))
+
+
 def read_warc(spark, path: str) -> DataFrame:
-    """``(page_id, length, digest)`` of the records of uncompressed WARC files,
-    split at their version line; files name records by identifier, so page_id is null."""
-    parts = spark.read.option("lineSep", "WARC/1.0\r\n").text(path).where("value <> ''")
-    return parts.select(F.lit(None).cast("bigint").alias("page_id"),
-                        F.concat(F.lit("WARC/1.0\r\n"), "value").alias("record")).select(
-        "page_id", F.octet_length("record").cast("bigint").alias("length"), F.sha2("record", 256).alias("digest"))
+    """``(file, offset, length, digest, page_id)`` of the records of uncompressed
+    WARC files under ``path``: file name, true byte offset and length by
+    Content-Length.  Records are named by their identifier, so page_id is null.
+
+    Spark lists the files and deals them to tasks; a task streams each of its
+    files through ``pyarrow.fs``, one piece in memory at a time.  A folder
+    without files gives an empty result.
+    """
+    names = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
+
+    def scan(batches):
+        from pyarrow import fs
+
+        for batch in batches:
+            for uri in batch.column(0).to_pylist():
+                system, place = fs.FileSystem.from_uri(_plain_uri(uri))
+                with system.open_input_stream(place) as stream:
+                    records = scan_warc(stream)
+                    while part := list(itertools.islice(records, 4096)):
+                        offset, length, digest = (list(x) for x in zip(*part))
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([uri.rsplit("/", 1)[-1]] * len(part)), pa.array(offset, pa.int64()),
+                             pa.array(length, pa.int64()), pa.array(digest), pa.nulls(len(part), pa.int64())],
+                            ["file", "offset", "length", "digest", "page_id"])
+
+    # Large files first, one range each as far as there are tasks.
+    dealt = names.repartitionByRange(F.desc("length"), "path").select("path")
+    return dealt.mapInArrow(scan, "file string, offset bigint, length bigint, digest string, page_id bigint")
+
+
+def _plain_uri(uri: str) -> str:
+    """Spark writes ``file:/a``, the file system library reads ``file:///a``."""
+    return "file://" + uri[5:] if uri.startswith("file:/") and not uri.startswith("file://") else uri
+
+
+def audit_files(spark, first: str, second: str) -> DataFrame:
+    """Audit of two folders of WARC files against each other: the rows of
+    :func:`audit` and the ``file`` they are in.  Files are matched by name (names
+    are told apart within a folder); one that a side lacks shows all its records."""
+    sides = [stage(read_warc(spark, p), "warc") for p in (first, second)]
+    names = sides[0].select("file").union(sides[1].select("file")).distinct()
+    archives = stage(with_position(names, ["file"], "archive"), "archives")
+    numbered = [s.join(archives, "file").select("archive", "offset", "length", "digest", "page_id") for s in sides]
+    return audit(*numbered).join(archives, "archive")
 
 
 def layout(sizes: DataFrame, archives: int) -> DataFrame:
     """Add ``archive, offset``: records of an archive in order of id, end to end.
 
     ``sizes`` has ``page_id, length, digest``; about ``ARCHIVE_RECORDS`` records
-    share an archive, chosen by a digest of the id.
+    share an archive, chosen by a digest of the id.  Records of a null or
+    repeated id make one archive larger, but no task: offsets are sums within
+    blocks of ``2**BLOCK_BITS`` neighbouring records plus those of the blocks before.
     """
     spread = _digits(F.coalesce(F.col("page_id").cast("string"), F.lit("")))
-    ordered = Window.partitionBy("archive").orderBy("page_id", "digest").rowsBetween(Window.unboundedPreceding, -1)
-    return sizes.withColumn("archive", F.pmod(spread, F.lit(archives))).withColumn(
-        "offset", F.coalesce(F.sum("length").over(ordered), F.lit(0)).cast("bigint"))
+    order = ["archive", "page_id", "digest"]
+    cut = stage(placed(sizes.withColumn("archive", F.pmod(spread, F.lit(archives))), order, "_n").withColumn(
+        "_block", F.shiftright("_n", BLOCK_BITS)), "ordered")
+    before = lambda *cols: Window.partitionBy(*cols[:-1]).orderBy(cols[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    starts = cut.groupBy(F.col("archive").alias("_a"), F.col("_block").alias("_b")).agg(F.sum("length").alias("_l")).select(
+        "_a", "_b", F.coalesce(F.sum("_l").over(before("_a", "_b")), F.lit(0)).alias("_start"))
+    inside = cut.withColumn("_before", F.coalesce(F.sum("length").over(before("_block", "archive", "_n")), F.lit(0)))
+    return inside.join(starts, (F.col("archive") == F.col("_a")) & (F.col("_block") == F.col("_b"))).withColumn(
+        "offset", (F.col("_start") + F.col("_before")).cast("bigint")).drop("_a", "_b", "_start", "_before", "_block", "_n")
 
 
 def build_tree(index: DataFrame) -> list[tuple[DataFrame, str | None]]:
@@ -111,7 +242,7 @@ def audit(first: DataFrame, second: DataFrame) -> DataFrame:
     ``(archive, offset, end_offset, page_id, kind, expected, found)`` with kind
     ``missing`` (only in the first), ``extra`` (only in the second), ``length``
     or ``content``; end_offset is that of the first where it has the record.
-    Below equal nodes nothing is read.  Rows repeated at one place count by
+    Nodes below equal ones are not compared.  Rows repeated at one place count by
     their smallest digest.
     """
     cols = ["archive", "offset", "length", "digest", "page_id"]
@@ -149,8 +280,9 @@ def audit_pages(pages: DataFrame, archive_records: int = ARCHIVE_RECORDS) -> Dat
     the second replica only.
 
     Defined results: a null url or html counts as empty, a null page id as an
-    empty one (such records share an archive and sort first); equal records
-    are separate records; an empty table gives an empty result; other columns
+    empty one (such records share an archive and sort first, be they a third of all);
+    equal records and ties are separate records; a very long html is digested
+    where it is read; an empty table gives an empty result; other columns
     are ignored.
     """
     records = pages.select(F.col("page_id").cast("bigint").alias("page_id"),

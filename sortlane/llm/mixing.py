@@ -7,7 +7,7 @@ constraints (document count and word count) until each entry is 0 or 1, so
 the sample's totals equal the targets up to a small landing problem.
 
 It runs as a tree: the undecided documents of a source are dealt into
-blocks of about ``BLOCK`` by hash; one task solves a block exactly and leaves
+blocks of about ``BLOCK`` by a hash of their place in key order; one task solves a block exactly and leaves
 at most two undecided; the leavings of all blocks are dealt again, until one
 block per source is left, whose last entries are landed.  Each level shrinks
 the undecided rows about a thousandfold, so a hot source is just more blocks.
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from sortlane.functions.tables import small_table
 from sortlane.operators.order import stage
 
+from .places import placed
 from .text import WORD
 
 WEIGHTS = (5, 2, 1)
@@ -101,11 +102,11 @@ def land(p: list[float], x: list[float]) -> None:
         p[i] = c
 
 
-def _solver(key_cols, size_col, prob_col, names, seed, level, last):
+def _solver(size_col, prob_col, names, seed, level, last):
     """Arrow function of one block: flight, and landing at the last level."""
 
     def solve(t):
-        t = t.sort_by([(c, "ascending") for c in [*key_cols, size_col]])
+        t = t.sort_by("_n")
         rng = np.random.Generator(np.random.PCG64([seed, level, t.num_rows, t["_block"][0].as_py()]))
         # Random order, then large documents first: the few left for the landing are small.
         order = rng.permutation(t.num_rows)
@@ -125,16 +126,16 @@ def cube_sample(units: DataFrame, group_cols: Sequence[str], key_cols: Sequence[
 
     Balanced per group on the number of units and on ``size_col``.  Units equal
     in all key columns are interchangeable; they must tell all others apart.
-    The result depends only on the rows and the seed.
+    Units are dealt by their place in the order of these columns, so equal ones
+    spread over the blocks.  The result depends only on the rows and the seed.
     """
-    spark = units.sparkSession
     groups = list(group_cols)
+    units = placed(units, [*groups, *key_cols, size_col, prob_col], "_n")
     kinds = dict(units.dtypes)
     names = list(units.columns)
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in names)
     done: DataFrame | None = None
     level = 0
-    units = stage(units, "units")
     while True:
         counts = units.groupBy(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(groups)]).agg(
             F.ceil(F.count(F.lit(1)) / BLOCK).cast("bigint").alias("_blocks"))
@@ -145,17 +146,17 @@ def cube_sample(units: DataFrame, group_cols: Sequence[str], key_cols: Sequence[
             same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
         # One row per group: bounded by the number of sources, not of documents.
         dealt = units.join(counts, same).drop(*[f"_g{i}" for i in range(len(groups))])
-        dealt = dealt.withColumn("_block", F.pmod(F.xxhash64(*key_cols, F.lit(seed + level)), F.col("_blocks")))
+        dealt = dealt.withColumn("_block", F.pmod(F.xxhash64("_n", F.lit(seed + level)), F.col("_blocks")))
 
         solved = stage(dealt.groupBy(*groups, "_block").applyInArrow(
-            _solver(key_cols, size_col, prob_col, names, seed, level, last), schema), "solved")
+            _solver(size_col, prob_col, names, seed, level, last), schema), "solved")
         sure = (F.col(prob_col) <= 0) | (F.col(prob_col) >= 1)
         part = solved.where(sure)
         done = part if done is None else done.unionByName(part)
         if last:
             break
         units, level = solved.where(~sure), level + 1
-    return done.withColumn("chosen", F.col(prob_col).cast("int")).drop(prob_col)
+    return done.withColumn("chosen", F.col(prob_col).cast("int")).drop(prob_col, "_n")
 
 
 def mix_plan(spark, totals: list[tuple], weights: Sequence[int] = WEIGHTS, percent: int = SHARE_PERCENT,
@@ -187,9 +188,10 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Defined results: a null, empty or blank text has size 0 and takes 0 words;
     a null source is a source of its own, last in order; a source without
-    words has target 0; repeated rows are separate units and equal ones are
-    interchangeable; an empty table gives an empty result; other columns are
-    ignored.
+    words has target 0; repeated rows are separate units, equal ones and ties
+    are interchangeable, and a third of all rows may be equal; a very long text
+    is one unit of its size, and the largest are decided first; an empty table
+    gives an empty result; other columns are ignored.
     """
     spark = docs.sparkSession
     row = [F.col(row_col), F.xxhash64(*[c for c in docs.columns if c != row_col]).alias("_tie")] if row_col else []

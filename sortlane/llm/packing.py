@@ -11,25 +11,22 @@ contents.
 
 The plan is a table of ranges: pieces ``[from, to)`` of a length go to a run
 of consecutive bins, ``per_bin`` at a time.  A piece finds its range by its
-rank among pieces of its length; ranks come from per-block counts, so a hot
-length (a long document's full-length pieces, a third of all rows) is spread
-over many tasks.
+rank among pieces of its length, which is its place in one range-cut order, so
+a hot length or a repeated piece (a third of all rows) is spread over many tasks.
 """
 
 from __future__ import annotations
 
 import bisect
-import math
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sortlane.operators.order import stage
-
+from .places import placed
 from .text import WORD
 
 LENGTHS = (512, 1024, 2048, 4096)
@@ -138,35 +135,30 @@ def pack(items: DataFrame, key_cols: Sequence[str], length_col: str = "length",
          overhead: int = OVERHEAD, seed: int = 5) -> DataFrame:
     """Add ``bin_id, bin_offset, capacity, used`` to items of 1 to ``max(lengths)``."""
     spark = items.sparkSession
-    items = stage(items, "items")
+    # In order of length, and of a hash inside a length: an item's rank there is its place less the shorter
+    # items.  Range cuts bound a task's items, though a third of them be equal.
+    keys = [F.col(c) for c in key_cols]
+    ranked = placed(items, [length_col, F.xxhash64(*keys, F.lit(seed)), *keys], "_place").select(*items.columns, "_place")
     # At most max(lengths) rows go to the driver.
-    counts = {int(r[0]): int(r[1]) for r in items.groupBy(length_col).count().collect()}
+    counts = {int(r[0]): int(r[1]) for r in ranked.groupBy(length_col).count().collect()}
     ranges, bins = plan_bins(counts, lengths, overhead)
-    # Ranks inside a length: blocks of about sqrt(items) rows, so neither a
-    # block nor a length's list of blocks grows with the table.
-    blocks = max(1, math.isqrt(sum(counts.values())))
-    keys = [F.col(c) for c in key_cols]
-    tagged = items.withColumn("_block", F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(blocks)))
-    sizes = tagged.groupBy(F.col(length_col).alias("_len"), F.col("_block").alias("_b")).agg(F.count(F.lit(1)).alias("_c"))
-    before = Window.partitionBy("_len").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_len", "_b", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_start"))
-    ranked = tagged.withColumn("_r", F.row_number().over(
-        Window.partitionBy(length_col, "_block").orderBy(F.xxhash64(*keys, F.lit(seed + 1)), *keys)) - 1)
-    ranked = ranked.join(starts, (F.col(length_col) == F.col("_len")) & (F.col("_block") == F.col("_b"))).select(
-        *items.columns, (F.col("_start") + F.col("_r")).cast("bigint").alias("_rank"))
+    shorter = np.zeros(max(lengths) + 2, np.int64)
+    for size, n in counts.items():
+        shorter[size + 1] = n
+    shorter = np.cumsum(shorter)
 
     # The plan is bounded by the permitted lengths, not by the documents.
     shift = 44
     r = np.array(sorted(ranges) or [(0, 0, 0, 0, 1, 0)], np.int64)
     b = np.array(bins or [(0, 0, 0, 0)], np.int64)
-    shared = spark.sparkContext.broadcast((r, (r[:, 0] << shift) + r[:, 1], b))
+    shared = spark.sparkContext.broadcast((r, (r[:, 0] << shift) + r[:, 1], b, shorter))
     columns = list(items.columns)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plan, starts_at, runs = shared.value
+        plan, starts_at, runs, before = shared.value
         for batch in batches:
             length = batch.column(columns.index(length_col)).to_numpy(zero_copy_only=False).astype(np.int64)
-            rank = batch.column(len(columns)).to_numpy(zero_copy_only=False)
+            rank = batch.column(len(columns)).to_numpy(zero_copy_only=False) - before[length]
             p = plan[np.searchsorted(starts_at, (length << shift) + rank, side="right") - 1]
             i = rank - p[:, 1]
             bin_id = p[:, 3] + i // p[:, 4]
@@ -189,8 +181,9 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     length of the bin, ``used`` the words in it.
 
     Defined results: a null, empty or blank text is its end mark alone (length
-    1); repeated rows and null ids are packed one by one; an empty table gives
-    an empty result; other columns are ignored.
+    1); a very long one gives many pieces; repeated rows, ties and null ids are
+    packed one by one, be they a third of the table; an empty table gives an
+    empty result; other columns are ignored.
     """
     items = pieces(docs, id_col, text_col, max(lengths))
     out = pack(items, ["doc_id", "piece"], "length", lengths, overhead, seed)

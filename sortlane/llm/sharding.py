@@ -9,8 +9,8 @@ again: a second random key orders its rows, cut into pieces by that key so
 that no task holds a whole shard, and a row's slot is its piece's start plus
 its rank there.
 
-Both keys are hashes of the row and the seed: reruns and recomputed tasks
-agree.  The driver holds one row of counts per block, about the square root of
+Both keys are hashes of the row's place in key order and the seed: reruns and
+recomputed tasks agree, and equal rows spread like any others.  The driver holds one row of counts per block, about the square root of
 the number of rows, never one per document.
 """
 
@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 
 from sortlane.operators.order import stage
 
+from .places import placed
+
 SHARDS = 24
 
 
@@ -49,17 +51,17 @@ def uniform_shards(rows: DataFrame, key_cols: Sequence[str], shards: int = SHARD
     """Add ``shard`` (0 to shards - 1) and ``slot`` (gapless from 0 per shard).
 
     All columns are carried along.  ``key_cols`` should tell rows apart: rows
-    equal in all of them are interchangeable.  Shard sizes are at most one
-    apart.  An empty table gives an empty result; null keys are allowed.
+    equal in all of them are interchangeable, and are dealt one by one, by
+    their place in key order.  Shard sizes are at most one apart.  An empty
+    table gives an empty result; null keys are allowed.
     """
     spark = rows.sparkSession
-    rows = stage(rows, "rows")
+    rows = placed(rows, key_cols, "_n")
     total = rows.count()
     # About sqrt(total) blocks of sqrt(total) rows: both the matrix on the
     # driver and a task's block stay small at any size.
     n_blocks = max(1, math.isqrt(total))
-    keys = [F.col(c) for c in key_cols]
-    keyed = rows.withColumn("_h", F.xxhash64(*keys, F.lit(seed))).withColumn(
+    keyed = rows.withColumn("_h", F.xxhash64("_n", F.lit(seed))).withColumn(
         "_block", F.pmod("_h", F.lit(n_blocks)))
     counts = {r[0]: r[1] for r in keyed.groupBy("_block").count().collect()}  # one row per block
     matrix = communication_matrix([counts.get(b, 0) for b in range(n_blocks)], shard_sizes(total, shards), seed)
@@ -67,21 +69,21 @@ def uniform_shards(rows: DataFrame, key_cols: Sequence[str], shards: int = SHARD
         "_block": pa.array(range(n_blocks), pa.int64()),
         "_ends": pa.array(list(np.cumsum(matrix, axis=1)), pa.list_(pa.int64()))}))
     # Local permutation, then the block's row of the matrix.
-    local = keyed.withColumn("_r", F.row_number().over(Window.partitionBy("_block").orderBy("_h", *keys)) - 1)
+    local = keyed.withColumn("_r", F.row_number().over(Window.partitionBy("_block").orderBy("_h", "_n")) - 1)
     # First shard whose cumulative count exceeds the rank.
     sent = local.join(deal, "_block").withColumn(
         "shard", F.expr("size(filter(_ends, e -> e <= _r))")).drop("_ends", "_r", "_h", "_block")
     # Exchange and permute again: a fresh key orders a shard's rows, and equal slices of its range bound a task's rows.
     pieces = max(1, math.isqrt(total // shards))
-    sent = stage(sent.withColumn("_k", F.xxhash64(*keys, F.lit(seed + 1))).withColumn(
+    sent = stage(sent.withColumn("_k", F.xxhash64("_n", F.lit(seed + 1))).withColumn(
         "_piece", F.pmod(F.xxhash64("_k"), F.lit(pieces))), "exchange")
     before = Window.partitionBy("_s").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     starts = sent.groupBy(F.col("shard").alias("_s"), F.col("_piece").alias("_p")).count().select(
         "_s", "_p", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
     ranked = sent.withColumn("_r", F.row_number().over(
-        Window.partitionBy("shard", "_piece").orderBy("_k", *keys)) - 1)
+        Window.partitionBy("shard", "_piece").orderBy("_k", "_n")) - 1)
     return ranked.join(starts, (F.col("shard") == F.col("_s")) & (F.col("_piece") == F.col("_p"))).withColumn(
-        "slot", (F.col("_start") + F.col("_r")).cast("bigint")).drop("_start", "_r", "_k", "_piece", "_s", "_p")
+        "slot", (F.col("_start") + F.col("_r")).cast("bigint")).drop("_start", "_r", "_k", "_n", "_piece", "_s", "_p")
 
 
 def digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -100,8 +102,9 @@ def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     equally likely, so copies are not kept together.
 
     Defined results: a null text counts as empty, a null id is a key like any
-    other; repeated rows get slots of their own; an empty table gives an empty
-    result; other columns are ignored.
+    other; repeated rows, be they a third of the table, and rows whose keys tie
+    get slots of their own; of a very long text only its size and CRC move; an
+    empty table gives an empty result; other columns are ignored.
     """
     out = uniform_shards(digest(docs, id_col, text_col), ["doc_id", "size", "text_crc32"], shards, seed)
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int"),

@@ -69,3 +69,47 @@ def test_records_survive_a_file_round_trip(spark, tmp_path):
     path.write_bytes("".join(r.v for r in text.collect()).encode())
     got = sorted(r.digest for r in fixity.read_warc(spark, str(path)).collect())
     assert got == sorted(r.digest for r in fixity.pages_to_records(pages).collect())
+
+
+def warc(i, body):
+    head = f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:md5:{i}>\r\ncontent-length:  {len(body)}\r\n\r\n"
+    return head.encode() + body + b"\r\n\r\n"
+
+
+def bodies(n):
+    # Payloads that hold the version line, none, or several pieces of a read.
+    return [b"", b"WARC/1.0\r\nno record\r\n", b"x" * 2_500_000, *(f"<p>{i}</p>\r\n".encode() * (i % 5) for i in range(n))]
+
+
+def test_offsets_of_records_in_files(spark, tmp_path):
+    want = []
+    for name in ("a.warc", "b.warc"):
+        records = [warc(i, b) for i, b in enumerate(bodies(40))]
+        (tmp_path / name).write_bytes(b"".join(records))
+        at = 0
+        for r in records:
+            want.append((name, at, len(r), hashlib.sha256(r).hexdigest(), None))
+            at += len(r)
+    assert sorted(map(tuple, fixity.read_warc(spark, str(tmp_path)).collect())) == sorted(want)
+
+
+def test_damaged_copy_of_files(spark, tmp_path):
+    first, second = tmp_path / "first", tmp_path / "second"
+    first.mkdir(), second.mkdir()
+    records = [warc(i, b) for i, b in enumerate(bodies(60))]
+    starts = [sum(map(len, records[:i])) for i in range(len(records))]
+    for name in ("a.warc", "b.warc", "c.warc"):
+        (first / name).write_bytes(b"".join(records))
+    (second / "a.warc").write_bytes(b"".join(records))
+    # b: a byte inside a payload, and a header that no longer gives its length.
+    raw = bytearray(b"".join(records))
+    raw[starts[2] + 2_000_000] ^= 1
+    raw[starts[20]:starts[20] + len(records[20])] = records[20].replace(b"content-length", b"content_length")
+    (second / "b.warc").write_bytes(bytes(raw))
+    # c: cut short inside its last payload.
+    (second / "c.warc").write_bytes(b"".join(records)[:-6])
+    got = {(r.file, r.offset, r.kind) for r in fixity.audit_files(spark, str(first), str(second)).collect()}
+    assert got == {("b.warc", starts[2], "content"), ("b.warc", starts[20], "content"), ("c.warc", starts[-1], "length")}
+    (second / "c.warc").unlink()
+    lost = fixity.audit_files(spark, str(first), str(second)).where("file = 'c.warc'").collect()
+    assert len(lost) == len(records) and {r.kind for r in lost} == {"missing"}

@@ -1,0 +1,102 @@
+"""Tables in which a third of the rows share a null id and are equal."""
+
+import hashlib
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from sortlane.llm import fixity, mixing, packing, places, sharding
+
+HOT = 4000
+TEXT = "the same words in every one of these rows"
+
+
+@pytest.fixture(scope="module")
+def hot(spark):
+    rows = spark.range(3 * HOT).select(
+        F.when(F.col("id") >= HOT, F.col("id")).alias("doc_id"),
+        F.when(F.col("id") < HOT, F.lit(TEXT)).otherwise(F.concat(F.lit("text "), F.expr("repeat('w ', id % 90)"))).alias("text"),
+        F.lit("en").alias("lang"), F.when(F.col("id") % 4 > 0, F.lit("s")).alias("source"))
+    return rows.repartition(6)
+
+
+def test_places_are_dense_and_agree(spark, hot):
+    a = places.placed(hot, ["doc_id", "text"]).collect()
+    b = places.placed(hot.repartition(3), ["doc_id", "text"]).collect()
+    assert sorted(r._place for r in a) == list(range(3 * HOT))
+    assert sorted((r._place, r.text) for r in a) == sorted((r._place, r.text) for r in b)
+
+
+def test_shards(hot):
+    rows = sharding.shard_documents(hot).collect()
+    count = Counter(r.shard for r in rows)
+    assert set(count.values()) == {HOT // 8}
+    for s in range(24):
+        assert sorted(r.slot for r in rows if r.shard == s) == list(range(HOT // 8))
+    # Copies spread over the shards, and over a shard's slots, like other rows.
+    copies = [r for r in rows if r.doc_id is None]
+    spread = Counter(r.shard for r in copies)
+    assert len(spread) == 24 and max(spread.values()) < 1.5 * HOT / 24
+    halves = sum(r.slot < HOT // 16 for r in copies)
+    assert abs(halves - HOT / 2) < HOT / 10
+
+
+def test_mix(hot, monkeypatch):
+    largest = []
+    real = mixing._solver
+
+    def solver(*args):
+        solve = real(*args)
+
+        def bounded(t):
+            if t.num_rows > 1.5 * 200:
+                raise AssertionError(f"a block of {t.num_rows}")
+            return solve(t)
+
+        largest.append(1)
+        return bounded
+
+    monkeypatch.setattr(mixing, "BLOCK", 200)
+    monkeypatch.setattr(mixing, "_solver", solver)
+    got = mixing.mix_sources(hot).collect()
+    assert largest and len(got) == 3 * HOT
+    for name in {r.source for r in got}:
+        mine = [r for r in got if r.source == name]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 200
+    again = mixing.mix_sources(hot.repartition(4)).collect()
+    assert Counter(map(tuple, got)) == Counter(map(tuple, again))
+
+
+def test_packing(hot):
+    rows = packing.pack_documents(hot).collect()
+    assert len(rows) == 3 * HOT
+    assert Counter(r.length for r in rows if r.doc_id is None) == {len(TEXT.split()) + 1: HOT}
+    bins = {}
+    for r in rows:
+        bins.setdefault(r.bin_id, []).append(r)
+    for items in bins.values():
+        at = 0
+        for r in sorted(items, key=lambda r: r.bin_offset):
+            assert r.bin_offset == at
+            at += r.length
+        assert {r.used for r in items} == {at} and at <= items[0].capacity
+
+
+def test_archive_offsets(spark, hot, monkeypatch):
+    monkeypatch.setattr(fixity, "BLOCK_BITS", 5)
+    records = hot.select(F.col("doc_id").alias("page_id"), F.length("text").cast("bigint").alias("length"), F.sha2("text", 256).alias("digest"))
+    got = fixity.layout(records, 12).collect()
+    assert len(got) == 3 * HOT
+    by = {}
+    for r in got:
+        name = "" if r.page_id is None else str(r.page_id)
+        assert r.archive == int(hashlib.md5(name.encode()).hexdigest()[:8], 16) % 12
+        by.setdefault(r.archive, []).append(r)
+    for items in by.values():
+        at = 0
+        for r in sorted(items, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        order = [(r.page_id is not None, r.page_id or 0, r.digest) for r in sorted(items, key=lambda r: r.offset)]
+        assert order == sorted(order)
