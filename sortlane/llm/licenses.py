@@ -31,9 +31,13 @@ UNKNOWN = "unknown"
 MIN_PROBABILITY = 0.5
 MIN_SIMILARITY = 0.6
 SAMPLE_DOCS = 400
-#: Lines with vocabulary words that a wrapped notice's window spans at most.
-MAX_LINES = 16
-#: From one of them to the next: between them may be one blank line or one without such words.
+#: Different lines of these documents, and held-out quarter included, that train and calibrate ``unknown``.
+PLAIN_LINES = 2000
+#: A line resembles a template from this share of the template's n-grams on, or if half of its pairs are in one.
+RESEMBLES = 0.3
+#: A window's vocabulary words, in those of the longest template: lines between a notice's own may hold some too.
+WINDOW = 2
+#: From one line of a window to the next, among lines with other words than stop words: one may lie between.
 MAX_STEP = 2
 #: Between words: anything but letters, digits and dots, plus or hyphens inside a word.
 #: Possessive: a greedy group recurses once per character, and a long run of them overflows the stack.
@@ -135,6 +139,8 @@ NEAR_MISSES = (
 STOP_WORDS = ("a", "an", "and", "any", "are", "as", "at", "be", "for", "have", "has", "if", "in", "into", "is", "it", "its",
               "may", "of", "on", "or", "the", "that", "this", "to", "was", "with", "you", "not", "no", "one", "all", "can",
               "from", "see", "were", "which")
+#: A word of a line, in letters of any language, that is no stop word.
+SOLID = (r"(?<![a-z0-9.+\-])(?!(?:" + "|".join(STOP_WORDS) + r")(?![a-z0-9.+\-]))[a-z0-9\x{80}-\x{10FFFF}]")
 
 
 def tokens(text: Column) -> Column:
@@ -161,9 +167,12 @@ def _rows(spark: SparkSession, rows: list, schema: str) -> DataFrame:
     return spark.range(1).select(F.explode(text).alias("r")).select("r.*")
 
 
+def _words(template: str) -> list[str]:
+    return [w for w in re.split(BREAK, re.sub(PHRASE, PHRASE_WORD + " ", template.lower())) if w]
+
+
 def _vocabulary() -> list[str]:
-    brk, phrase = re.compile(BREAK), re.compile(PHRASE)
-    return sorted({w for _, t in TEMPLATES for w in brk.split(phrase.sub(PHRASE_WORD + " ", t.lower())) if w} - set(STOP_WORDS))
+    return sorted({w for _, t in TEMPLATES for w in _words(t)} - set(STOP_WORDS))
 
 
 @dataclass
@@ -176,6 +185,9 @@ class LicenseModel:
     weights: list[list[float]]  # per n-gram, one number per class; class 0 is unknown
     intercept: list[float]
     temperature: float
+    #: Lines held out of the fit that are no license, and how many of them were taken for one.
+    held_plain: int = 0
+    held_alarms: int = 0
 
 
 def _log_probability(z: Column, at: Column, temperature) -> Column:
@@ -186,9 +198,16 @@ def _log_probability(z: Column, at: Column, temperature) -> Column:
 
 
 def train(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          sample_docs: int = SAMPLE_DOCS, seed: int = 4) -> LicenseModel:
-    """Fit on varied templates, near misses and the paragraphs of at most
-    ``sample_docs`` documents (smallest by hash of the id) that no template resembles."""
+          sample_docs: int = SAMPLE_DOCS, plain_lines: int = PLAIN_LINES, seed: int = 4) -> LicenseModel:
+    """Fit on varied templates, near misses and plain lines.
+
+    Plain lines are such as are scored, with two words of the vocabulary or
+    more, that no template resembles.  They come from the documents of at most
+    ``sample_docs`` ids (smallest by hash); equal ones count once, and the
+    ``plain_lines`` smallest by hash are taken, so reruns take the same.  A
+    quarter of them is held out, with a quarter of the varied templates: the
+    temperature is fitted there, and false alarms are counted.
+    """
     vocabulary = _vocabulary()
     families = [UNKNOWN, *sorted({f for f, _ in TEMPLATES})]
     known = F.array(*[F.lit(w) for w in vocabulary])
@@ -210,11 +229,19 @@ def train(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
     lines = docs.join(F.broadcast(ids), F.col(id_col) == F.col("_id")).select(
         "_id", F.posexplode(F.split(_joined(F.coalesce(text_col, F.lit(""))), "\\R")).alias("at", "line"))
     found = lines.select("_id", "at", F.filter(tokens(F.col("line")), lambda w: F.array_contains(known, w)).alias("words"))
-    plain = found.where(F.size("words") < 2).select(
-        F.lit(2000).alias("id"), F.pmod(F.xxhash64("_id", "at"), F.lit(24)).cast("int").alias("copy"),
-        F.lit(UNKNOWN).alias("family"), "words").limit(40 * sample_docs)
+    several = found.where(F.size("words") > 1).select("words").distinct().withColumn("_h", F.xxhash64("words", F.lit(seed)))
+    several = stage(several, "license-several")
+    shared = several.select("_h", F.explode(_grams(F.col("words"))).alias("gram")).join(
+        F.broadcast(_template_grams(spark, vocabulary)), F.col("gram") == F.col("tgram")).groupBy("_h", "t").agg(
+        (F.count(F.lit(1)) / F.first("tn")).alias("s"), F.count_if(F.contains("gram", F.lit(" "))).alias("pairs"))
+    most = shared.groupBy("_h").agg(F.max("s").alias("s"), F.max("pairs").alias("pairs"))
+    n_pairs = F.size(F.filter(_grams(F.col("words")), lambda g: F.contains(g, F.lit(" "))))
+    plain = several.join(most, "_h", "left").where(
+        (F.coalesce("s", F.lit(0.0)) < RESEMBLES) & (2 * F.coalesce("pairs", F.lit(0)) < n_pairs)).orderBy("_h", "words").limit(
+        plain_lines).select(F.lit(2000).alias("id"), F.pmod("_h", F.lit(24)).cast("int").alias("copy"),
+                            F.lit(UNKNOWN).alias("family"), "words")
     labels = F.create_map(*[x for i, f in enumerate(families) for x in (F.lit(f), F.lit(float(i)))])
-    data = varied.unionByName(plain).select("copy", labels[F.col("family")].alias("label"), _grams(F.col("words")).alias("grams"))
+    data = varied.unionByName(plain).select("id", "copy", labels[F.col("family")].alias("label"), _grams(F.col("words")).alias("grams"))
     data = stage(data.repartition(4, "copy"), "license-train")
     counter = CountVectorizer(inputCol="grams", outputCol="features", binary=True, minDF=2.0).fit(data)
     rows = counter.transform(data)
@@ -224,15 +251,19 @@ def train(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
     intercept = [float(v) for v in fit.interceptVector]
     model = LicenseModel(vocabulary, families, list(counter.vocabulary), weights, intercept, 1.0)
     # Temperature: least log loss on the fourth of the copies left out.
-    held = data.where("copy % 4 = 3").select(F.monotonically_increasing_id().alias("row"), "label", "grams")
+    held = data.where("copy % 4 = 3").select(F.monotonically_increasing_id().alias("row"), "id", "label", "grams")
     held = stage(held, "license-held")
     z = _margins(spark, model, held.select("row", F.explode_outer("grams").alias("gram")), ["row"]).join(
-        held.select("row", "label"), "row")
+        held.select("row", "id", "label"), "row")
     grid = [0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0]
     loss = [F.avg(-_log_probability(F.col("z"), F.col("label").cast("int") + 1, t)).alias(f"t{i}")
             for i, t in enumerate(grid)]
     got = z.agg(*loss).first()
     model.temperature = min(zip(got, grid))[1] if got[0] is not None else 1.0
+    best = F.array_position("z", F.array_max("z")).cast("int")
+    alarm = (best > 1) & (F.exp(_log_probability(F.col("z"), best, model.temperature)) >= MIN_PROBABILITY)
+    seen = z.where("id = 2000").agg(F.count(F.lit(1)), F.count_if(alarm)).first()
+    model.held_plain, model.held_alarms = int(seen[0]), int(seen[1])
     return model
 
 
@@ -251,17 +282,23 @@ def scan_paragraphs(docs: DataFrame, model: LicenseModel, keys: list[str], text_
                     min_probability: float = MIN_PROBABILITY, min_similarity: float = MIN_SIMILARITY) -> DataFrame:
     """``(keys, paragraph, family, probability, similarity)`` of the paragraphs that
     hold a license; paragraphs are lines and count from 0, blank ones included.
-    A notice wrapped over several lines is reported once, at its first line.
+    A notice wrapped over several lines is reported once, at its first line;
+    any number of blank lines and of lines with stop words alone may lie
+    between its lines, and one line of other words at a time.
     Rows equal in ``keys`` must have equal texts."""
     spark = docs.sparkSession
     vocabulary = _rows(spark, [{"v": w} for w in model.vocabulary], "v string")
-    lines = docs.select(*keys, F.posexplode(F.split(_joined(F.col(text_col)), "\\R")).alias("paragraph", "line"))
-    words = lines.select(*keys, "paragraph", F.posexplode(tokens(F.col("line"))).alias("at", "word"))
-    known = words.join(F.broadcast(vocabulary), F.col("word") == F.col("v")).select(*keys, "paragraph", "at", "word")
+    # ``solid`` numbers the lines that hold other words than stop words.
+    numbered = F.transform(F.split(_joined(F.col(text_col)), "\\R"), lambda x, i: F.struct(i.alias("paragraph"), x.alias("line")))
+    lines = docs.select(*keys, F.posexplode(F.filter(numbered, lambda s: F.rlike(s["line"], F.lit(SOLID)))).alias("solid", "s")).select(
+        *keys, "solid", "s.*")
+    words = lines.select(*keys, "paragraph", "solid", F.posexplode(tokens(F.col("line"))).alias("at", "word"))
+    known = words.join(F.broadcast(vocabulary), F.col("word") == F.col("v")).select(*keys, "paragraph", "solid", "at", "word")
     # A line's vocabulary words in order: bounded by one line.
-    held = known.groupBy(*keys, "paragraph").agg(F.sort_array(F.collect_set(F.struct("at", "word")))["word"].alias("words"))
+    held = known.groupBy(*keys, "paragraph", "solid").agg(F.sort_array(F.collect_set(F.struct("at", "word")))["word"].alias("words"))
     held = stage(held, "license-lines")
-    single = held.where((F.size("words") > 1) | (F.col("words")[0] == PHRASE_WORD)).withColumn("lines", F.lit(1))
+    single = held.where((F.size("words") > 1) | (F.col("words")[0] == PHRASE_WORD)).select(
+        *keys, "paragraph", F.lit(1).alias("lines"), "words")
     units = single.unionByName(_windows(spark, model, held, keys, min_similarity))
     grams = stage(units.select(*keys, "paragraph", "lines", F.explode(_grams(F.col("words"))).alias("gram")), "license-grams")
     place = [*keys, "paragraph", "lines"]
@@ -272,7 +309,7 @@ def scan_paragraphs(docs: DataFrame, model: LicenseModel, keys: list[str], text_
         F.exp(_log_probability(F.col("z"), F.col("best"), model.temperature)).alias("probability"))
     named = named.where((F.col("family") != UNKNOWN) & (F.col("probability") >= min_probability))
     # Confirm with the templates of that family: the share of a template's n-grams that the unit holds.
-    shared = grams.join(named, place).join(F.broadcast(_template_grams(spark, model)),
+    shared = grams.join(named, place).join(F.broadcast(_template_grams(spark, model.vocabulary)),
                                            (F.col("gram") == F.col("tgram")) & (F.col("family") == F.col("f")))
     like = shared.groupBy(*place, "family", "probability", "t").agg(
         (F.count(F.lit(1)) / F.first("tn")).alias("s")).groupBy(*place, "family", "probability").agg(
@@ -280,35 +317,48 @@ def scan_paragraphs(docs: DataFrame, model: LicenseModel, keys: list[str], text_
     return _once(like.where(F.col("similarity") >= min_similarity), keys)
 
 
-def _template_grams(spark: SparkSession, model: LicenseModel) -> DataFrame:
+def _template_grams(spark: SparkSession, vocabulary: list[str]) -> DataFrame:
     """``(t, f, tn, tgram)``: each template's family, number of n-grams and n-grams."""
-    known_words = F.array(*[F.lit(w) for w in model.vocabulary])
+    known_words = F.array(*[F.lit(w) for w in vocabulary])
     templates = _rows(spark, [{"t": i, "f": f, "x": t} for i, (f, t) in enumerate(TEMPLATES)], "t int, f string, x string")
     templates = templates.select("t", "f", _grams(F.filter(tokens(_joined(F.col("x"))), lambda w: F.array_contains(known_words, w))).alias("tg"))
     return templates.select("t", "f", F.size("tg").alias("tn"), F.explode("tg").alias("tgram"))
 
 
 def _windows(spark: SparkSession, model: LicenseModel, held: DataFrame, keys: list[str], min_similarity: float) -> DataFrame:
-    """``(keys, paragraph, lines, words)``: windows of 2 to ``MAX_LINES`` lines, where a template may be found.
+    """``(keys, paragraph, lines, words)``: windows of two lines and more, where a template may be found.
 
-    A run of lines holds all n-grams of its windows, so runs that no template
+    A window is as long as the longest template's words need, however few of
+    them a line holds: ``WINDOW`` times that number, of which one line counts
+    for half at most.  A run of lines is cut into blocks of that weight, so
+    that a window lies in the block it starts in and the next one; such a pair
+    of blocks holds all n-grams of its windows, and pairs that no template
     reaches ``min_similarity`` in have no windows to look at.
     """
+    known = set(model.vocabulary)
+    weight = WINDOW * max(sum(w in known for w in _words(t)) for _, t in TEMPLATES)
     order = Window.partitionBy(*keys).orderBy("paragraph")  # one text's lines
-    new = F.coalesce(F.col("paragraph") - F.lag("paragraph").over(order) > MAX_STEP, F.lit(True)).cast("int")
-    runs = held.withColumn("_new", new).withColumn("_run", F.sum("_new").over(order)).groupBy(*keys, "_run").agg(
-        F.sort_array(F.collect_list(F.struct("paragraph", "words"))).alias("run")).where(F.size("run") > 1)
-    runs = stage(runs, "license-runs")
-    near = runs.select(*keys, "_run", F.explode(_grams(F.flatten("run.words"))).alias("gram")).join(
-        F.broadcast(_template_grams(spark, model)), F.col("gram") == F.col("tgram")).groupBy(*keys, "_run", "t").agg(
-        (F.count(F.lit(1)) / F.first("tn")).alias("s")).where(F.col("s") >= min_similarity).select(*keys, "_run").distinct()
+    new = F.coalesce(F.col("solid") - F.lag("solid").over(order) > MAX_STEP, F.lit(True)).cast("int")
+    cut = held.withColumn("_new", new).withColumn("_run", F.sum("_new").over(order)).withColumn(
+        "_w", F.least(F.size("words"), F.lit(weight // 2))).withColumn("_to", F.sum("_w").over(
+            Window.partitionBy(*keys, "_run").orderBy("paragraph"))).withColumn("_from", F.col("_to") - F.col("_w")).withColumn(
+        "_block", F.floor(F.col("_from") / weight))
+    place = [*keys, "_run", "_pair"]
+    pairs = cut.select("*", F.explode(F.array("_block", F.col("_block") - 1)).alias("_pair")).where("_pair >= 0").groupBy(*place).agg(
+        F.sort_array(F.collect_list(F.struct("paragraph", "words", "_from", "_to", (F.col("_block") == F.col("_pair")).alias(
+            "_first")))).alias("run")).where(F.size("run") > 1)
+    pairs = stage(pairs, "license-runs")
+    near = pairs.select(*place, F.explode(_grams(F.flatten("run.words"))).alias("gram")).join(
+        F.broadcast(_template_grams(spark, model.vocabulary)), F.col("gram") == F.col("tgram")).groupBy(*place, "t").agg(
+        (F.count(F.lit(1)) / F.first("tn")).alias("s")).where(F.col("s") >= min_similarity).select(*place).distinct()
     n = F.size("run")
-    at = lambda i: F.col("run")[i]["paragraph"]
-    spans = F.flatten(F.transform(F.sequence(F.lit(0), n - 2), lambda i: F.transform(
-        F.sequence(i + 1, F.least(i + MAX_LINES - 1, n - 1)), lambda j: F.struct(
-            at(i).alias("paragraph"), (at(j) - at(i) + 1).alias("lines"),
-            F.flatten(F.slice("run.words", i + 1, j - i + 1)).alias("words")))))
-    return runs.join(near, [*keys, "_run"], "left_semi").select(*keys, F.explode(spans).alias("s")).select(*keys, "s.*")
+    line = lambda i, c: F.col("run")[i][c]
+    starts = F.filter(F.sequence(F.lit(0), n - 2), lambda i: line(i, "_first"))
+    ends = lambda i: F.filter(F.sequence(i + 1, n - 1), lambda j: line(j, "_to") - line(i, "_from") <= weight)
+    spans = F.flatten(F.transform(starts, lambda i: F.transform(ends(i), lambda j: F.struct(
+        line(i, "paragraph").alias("paragraph"), (line(j, "paragraph") - line(i, "paragraph") + 1).alias("lines"),
+        F.flatten(F.slice("run.words", i + 1, j - i + 1)).alias("words")))))
+    return pairs.join(near, place, "left_semi").select(*keys, F.explode(spans).alias("s")).select(*keys, "s.*")
 
 
 def _once(hits: DataFrame, keys: list[str]) -> DataFrame:
@@ -347,8 +397,9 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ``found`` the licensed paragraphs with family, probability and similarity.
 
     Defined results: a null text has 0 paragraphs, an empty or blank one is
-    one blank paragraph, none has a license; repeated rows and equal texts get
-    equal results; null ids are scanned like others; an empty table gives an
+    one blank paragraph, none has a license; a very long text is scanned line
+    by line, whole; of windows that tie the shortest, then the likelier, is the
+    notice; repeated rows and equal texts get equal results; null ids are scanned like others; an empty table gives an
     empty result; other columns are ignored.
     """
     spark = docs.sparkSession

@@ -1,3 +1,5 @@
+import random
+
 from conftest import SF_MID
 from helpers import no_docs, odd_docs
 from pyspark.sql import functions as F
@@ -50,3 +52,18 @@ def test_no_python_in_the_plan(spark):
     docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
     plan = licenses.scan_licenses(docs)._jdf.queryExecution().executedPlan().toString()
     assert not any(w in plan for w in ("Python", "Pandas", "Arrow"))
+
+
+def test_unknown_is_calibrated_on_lines_like_those_scored(spark):
+    words = ["software", "public", "library", "source", "copy", "version", "license", "terms", "notice", "copies"]
+    rng = random.Random(8)
+    rows = [(i, "\n".join("a {} came to some {} near the {} river".format(*rng.sample(words, 3)) for _ in range(5)))
+            for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    model = licenses.train(spark, docs)
+    assert model.held_plain >= 20 and model.held_alarms <= 0.02 * model.held_plain
+    again = licenses.train(spark, docs.repartition(2))
+    assert (again.held_plain, again.grams) == (model.held_plain, model.grams)
+    few = licenses.train(spark, docs, plain_lines=40)
+    assert 0 < few.held_plain < 40
+    assert all(r.n_licensed == 0 for r in licenses.scan_licenses(docs).collect())

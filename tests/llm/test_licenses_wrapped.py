@@ -43,3 +43,27 @@ def test_long_runs_between_words(spark):
     texts = ["Released under the " + gap + " MIT License." for gap in ("\u3042" * 200000, ". " * 100000, "\u00e9-" * 100000)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
     assert [r.families for r in licenses.scan_licenses(docs).collect()] == [["MIT"]] * 3
+
+
+def test_any_number_of_lines_and_blank_lines(spark):
+    long = [(f, t) for f, t in licenses.TEMPLATES if t.startswith(("Permission ", "Redistribution "))]
+    assert sorted(f for f, _ in long) == ["BSD-3-Clause", "ISC", "MIT"]
+    cases = [(f, textwrap.wrap(t, width), gap) for f, t in long for width, gap in ((14, 0), (10, 0), (72, 2), (72, 3), (60, 9), (24, 2))]
+    assert max(len(lines) for _, lines, _ in cases) > 31
+    texts = ["A river.\n\n" + ("\n" * (gap + 1)).join(lines) + "\n\nA person came." for _, lines, gap in cases]
+    # Stop words between, comment marks instead of blank lines.
+    texts += ["\n//\n# \n".join(textwrap.wrap(t, 40)) for _, t in long]
+    want = [f for f, *_ in cases] + [f for f, _ in long]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    got = {r.doc_id: r.families for r in licenses.scan_licenses(docs).collect()}
+    assert [(i, got[i], f) for i, f in enumerate(want) if got[i] != [f]] == []
+
+
+def test_a_notice_far_down_a_run_of_vocabulary_lines(spark):
+    mit = next(t for f, t in licenses.TEMPLATES if t.startswith("Permission is"))
+    prose = ["the public museum had copies of a source", "software from the city was used"] * 300
+    text = "\n".join([*prose, *textwrap.wrap(mit, 50), *prose])
+    docs = spark.createDataFrame([(1, text), (2, "\n".join(prose))], "doc_id bigint, text string")
+    got = {r.doc_id: r for r in licenses.scan_licenses(docs).collect()}
+    assert got[1].families == ["MIT"] and got[2].families == []
+    assert 598 <= got[1].found[0].paragraph < 602 + len(textwrap.wrap(mit, 50)) and got[1].n_licensed == 1
