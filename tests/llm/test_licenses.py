@@ -63,7 +63,8 @@ def test_unknown_is_calibrated_on_lines_like_those_scored(spark):
     model = licenses.train(spark, docs)
     assert model.held_plain >= 20 and model.held_alarms <= 0.02 * model.held_plain
     again = licenses.train(spark, docs.repartition(2))
-    assert (again.held_plain, again.grams) == (model.held_plain, model.grams)
+    # The same lines; the order of equally frequent n-grams is free.
+    assert (again.held_plain, sorted(again.grams)) == (model.held_plain, sorted(model.grams))
     few = licenses.train(spark, docs, plain_lines=40)
     assert 0 < few.held_plain < 40
     assert all(r.n_licensed == 0 for r in licenses.scan_licenses(docs).collect())
