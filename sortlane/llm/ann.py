@@ -2,12 +2,13 @@
 
 Vectors are projected to ``PROJECTIONS`` dimensions with a 2-stable (normal)
 matrix: the squared projected distance over the squared true distance has a
-chi-square law with that many degrees.  Each shard keeps a kd-tree of the
-projections.  A query takes projected neighbours leaf by leaf, nearest box
-first, and verifies each on the original vectors.  It stops when the
-chi-square test says that a vector within the current k-th distance would,
-with probability ``CONFIDENCE``, have been met by now.  There is no cap on
-how many are verified.  Every vector is indexed.
+chi-square law with that many degrees.  A kd-tree of the projections indexes
+every vector: its upper levels are boxes of whole shards and of groups of them,
+kept as tables (see ``grid``), its lower levels are built inside a shard.  A
+query takes projected neighbours leaf by leaf, nearest box first, and verifies
+each on the original vectors.  It passes over a box when the chi-square test
+says that a vector within the current k-th distance would, with probability
+``CONFIDENCE``, have been met by now.  There is no cap on how many are verified.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .grid import Best, best_first, clean_vectors, halves, top_k
+from .grid import clean_vectors, project, top_k
 
 K = 10
 QUERY_EVERY = 100
@@ -47,38 +48,37 @@ def stop_ratio(degrees: int, confidence: float) -> float:
     return hi
 
 
-def _searcher(k: int, projections: int, confidence: float, seed: int):
-    ratio = stop_ratio(projections, confidence)
-
-    def search(ids, x, q_ids, q, bounds):
-        g = np.random.Generator(np.random.PCG64(seed)).standard_normal((x.shape[1], projections))
-        px, pq = x @ g, q @ g
-        leaves = [np.sort(rows) for rows in halves(px, LEAF)]
-        box_low = np.stack([px[rows].min(axis=0) for rows in leaves])
-        box_high = np.stack([px[rows].max(axis=0) for rows in leaves])
-        out = ([], [], [])
-        for lo in range(0, len(q), _SUB):
-            part, part_ids, at_p = q[lo:lo + _SUB], q_ids[lo:lo + _SUB], pq[lo:lo + _SUB]
-            first = bounds[lo:lo + _SUB]
-            best = Best(len(part), k, first)
-            gap = np.maximum(np.maximum(box_low[None] - at_p[:, None], at_p[:, None] - box_high[None]), 0)
-            low = (gap ** 2).sum(axis=2)
-
-            def visit(rows, leaf, best=best, part=part, part_ids=part_ids):
-                at = leaves[leaf]
-                diff = part[rows][:, None, :] - x[at][None, :, :]
-                key = np.sqrt((diff * diff).sum(axis=2))
-                key[part_ids[rows][:, None] == ids[at][None, :]] = np.inf
-                best.add(rows, at, key)
-
-            # Chi-square stopping test of the next box against the k-th distance so far.
-            best_first(leaves, low, best, lambda rows, b, best=best: b <= ratio * best.bound[rows] ** 2, visit)
-            qi, vi, key = best.result(first)
-            for a, b in zip(out, (qi + lo, vi, key)):
-                a.append(b)
-        return tuple(np.concatenate(a) for a in out)
-
-    return search
+class Boxes:
+    """Nodes are ``low corner, high corner`` of the projections; the key is the distance."""
+
+    sub = _SUB
+
+    def __init__(self, leaf: int, projections: int, confidence: float, seed: int):
+        self.leaf, self.projections, self.seed = leaf, projections, seed
+        self.ratio = stop_ratio(projections, confidence)
+
+    def points(self, x):
+        return project(x, self.projections, self.seed)
+
+    def summary(self, points):
+        return np.concatenate([points.min(axis=0), points.max(axis=0)])
+
+    def merge(self, nodes):
+        p = self.projections
+        return np.concatenate([nodes[:, :p].min(axis=0), nodes[:, p:].max(axis=0)])
+
+    def aim(self, q):
+        return project(q, self.projections, self.seed)
+
+    def low(self, aim, nodes):
+        """The k-th distance at which the chi-square stopping test holds for the box."""
+        p = self.projections
+        gap = np.maximum(np.maximum(nodes[None, :, :p] - aim[:, None], aim[:, None] - nodes[None, :, p:]), 0)
+        return np.sqrt((gap ** 2).sum(axis=2) / self.ratio)
+
+    def key(self, q, x):
+        diff = q[:, None, :] - x[None, :, :]
+        return np.sqrt((diff * diff).sum(axis=2))
 
 
 def nearest(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", *, k: int = K,
@@ -98,4 +98,4 @@ def nearest(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding"
     other columns are ignored.
     """
     vectors = clean_vectors(table, id_col, vec_col, lambda x: x).where(F.exists("v", lambda x: x != 0))
-    return top_k(vectors, F.col("vec_id") % query_every == 0, k, _searcher(k, projections, confidence, seed), largest=False)
+    return top_k(vectors, F.col("vec_id") % query_every == 0, k, Boxes(LEAF, projections, confidence, seed), largest=False)

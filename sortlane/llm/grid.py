@@ -1,28 +1,66 @@
-"""Search of a query set against all vectors, in blocks of both.
+"""Search of a query set against all vectors: near vectors share a shard, and a
+query meets only the shards whose bound reaches its k-th value.
 
 Every row has a key of its own, so rows that share an id are different vectors
-and different queries.  Vectors are dealt into shards and queries into blocks
-by a hash of that key; every (block, shard) cell is one Arrow group, so a task
-holds about one shard and one block whatever the table's size and its ids.  Before the whole grid runs, each query is
-searched in one shard only; its k-th value there is a bound that every cell
-shares, and cells prune against it from the start.
+and different queries.  Of equal vectors only the ``k + 1`` of smallest id can
+be among any query's best, so only they are candidates; equal queries are
+searched once and each takes its own row out afterwards.  Both are exact.
+
+Vectors are placed along a Z-order of stable projections, cut at quantiles of
+all rows, and dealt into shards of ``SHARD_ROWS`` places: equal in size whatever
+the ids, and near vectors together.  A query is searched in its own shard
+first; its k-th value there is the bound that the others prune against.  Shards
+are the leaves of a tree of summaries (balls or boxes, ``FAN_OUT`` children a
+node), kept as tables: queries go down it level by level, only into nodes whose
+bound reaches their k-th value.  So a shard's vectors are sent only to blocks
+of queries that need them.  Every step is one Arrow group of at most one
+node's children or one shard, and one block of ``BLOCK_QUERIES`` neighbouring queries.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sortlane.operators.order import stage
+from sortlane.operators.order import stage, with_position
 
 SHARD_ROWS = 4096
 BLOCK_QUERIES = 4096
-#: ``search(row keys, vectors, query row keys, queries, bounds) -> (query index, vector index, value)``
-Search = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray], tuple]
+FAN_OUT = 64  # shards or nodes below a node
+AXES = 8  # projections that the places follow
+_CUTS = 15  # quantiles of each, so four bits
+_LEAVES = 8  # leaves below an inner node of a shard's tree
+_INF = float("inf")
+
+
+class Index(Protocol):
+    """What a search knows of distances.  Keys are numbers, smaller is better."""
+
+    leaf: int  # rows of a leaf
+    sub: int  # queries searched at a time
+
+    def points(self, x: np.ndarray) -> np.ndarray:
+        """Coordinates that trees are built on."""
+
+    def summary(self, points: np.ndarray) -> np.ndarray:
+        """A node that holds the points, as one row of numbers."""
+
+    def merge(self, nodes: np.ndarray) -> np.ndarray:
+        """A node that holds these nodes."""
+
+    def aim(self, q: np.ndarray) -> np.ndarray:
+        """What ``low`` needs of the queries, a row each."""
+
+    def low(self, aim: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+        """``[queries, nodes]``: no vector in the node need be looked at for a smaller key."""
+
+    def key(self, q: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """``[queries, vectors]``."""
 
 
 def clean_vectors(table: DataFrame, id_col: str, vec_col: str, value: Callable[[Column], Column]) -> DataFrame:
@@ -35,9 +73,18 @@ def clean_vectors(table: DataFrame, id_col: str, vec_col: str, value: Callable[[
     return rows.select("vec_id", F.transform("v", value).alias("v"))
 
 
-def _matrix(t: pa.Table, col: str, dim: int) -> np.ndarray:
+def project(x: np.ndarray, dims: int, seed: int) -> np.ndarray:
+    """Normal projections, summed in one order so that equal rows have equal ones."""
+    g = np.random.Generator(np.random.PCG64(seed)).standard_normal((x.shape[1], dims))
+    out = np.zeros((len(x), dims))
+    for j in range(x.shape[1]):
+        out += x[:, j:j + 1] * g[j]
+    return out
+
+
+def _matrix(t: pa.Table | pa.RecordBatch, col: str, dim: int) -> np.ndarray:
     """Rows as a matrix; shorter vectors are filled up with zeros."""
-    lists = t[col].combine_chunks()
+    lists = t[col].combine_chunks() if isinstance(t, pa.Table) else t[col]
     flat = lists.flatten().to_numpy(zero_copy_only=False).astype(float)
     sizes = np.diff(lists.offsets.to_numpy())
     if (sizes == dim).all():
@@ -47,50 +94,172 @@ def _matrix(t: pa.Table, col: str, dim: int) -> np.ndarray:
     return out
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int, search: Search, largest: bool) -> DataFrame:
+def _lists(rows: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1], rows.ravel())
+
+
+def _z_order(p: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """The bits of each coordinate's quantile, interleaved, highest first."""
+    z = np.zeros(len(p), np.int64)
+    cells = [np.searchsorted(cuts[i], p[:, i]) for i in range(p.shape[1])]
+    for bit in reversed(range(_CUTS.bit_length())):
+        for c in cells:
+            z = z << 1 | (c >> bit & 1)
+    return z
+
+
+def deal(rows: DataFrame, k: int, dim: int) -> tuple[DataFrame, int]:
+    """``(vec_id, row, v, copy, shard)`` and the number of shards: of equal
+    vectors the ``k + 1`` of smallest id, near ones in the same shard."""
+    # Spark limits the groups before the exchange too, so copies don't meet in one task.
+    copy = F.row_number().over(Window.partitionBy("v").orderBy("vec_id", "row"))
+    kept = stage(rows.withColumn("copy", copy).where(F.col("copy") <= k + 1), "kept")
+
+    def projected(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([_lists(project(_matrix(b, "v", dim), AXES, 1))], ["p"])
+
+    wanted = [(i + 1) / (_CUTS + 1) for i in range(_CUTS)]
+    found = kept.select("v").mapInArrow(projected, "p array<double>").agg(
+        F.count(F.lit(1)), *[F.percentile_approx(F.col("p")[i], wanted) for i in range(AXES)]).first()
+    cuts = np.array(found[1:], float)
+
+    def ordered(batches):
+        for b in batches:
+            z = _z_order(project(_matrix(b, "v", dim), AXES, 1), cuts)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(z)], [*b.schema.names, "z"])
+
+    z = kept.select("vec_id", "row", "v", "copy").mapInArrow(ordered, "vec_id bigint, row bigint, v array<double>, copy int, z bigint")
+    dealt = with_position(z, ["z", "vec_id", "row"], "place")
+    shard = F.floor(F.col("place") / SHARD_ROWS).alias("shard")
+    return dealt.select("vec_id", "row", "v", "copy", shard), -(-int(found[0]) // SHARD_ROWS)
+
+
+def _levels(dealt: DataFrame, shards: int, dim: int, index: Index) -> list[DataFrame]:
+    """Tables ``(node, parent, s)`` from the shards up to at most ``FAN_OUT`` nodes."""
+    def shard(t):
+        s = index.summary(index.points(_matrix(t, "v", dim)))
+        return pa.table([t["node"].slice(0, 1), _lists(s[None])], ["node", "s"])
+
+    def inner(t):
+        s = index.merge(np.stack([np.array(v) for v in t["s"].to_pylist()]))
+        return pa.table([t["parent"].slice(0, 1), _lists(s[None])], ["node", "s"])
+
+    parent = F.floor(F.col("node") / FAN_OUT).alias("parent")
+    schema = "node bigint, s array<double>"
+    nodes = dealt.select(F.col("shard").alias("node"), "v").groupBy("node").applyInArrow(shard, schema)
+    levels = [stage(nodes.select("node", parent, "s"), "nodes")]
+    while shards > FAN_OUT:
+        nodes = levels[-1].select("parent", "s").groupBy("parent").applyInArrow(inner, schema)
+        levels.append(stage(nodes.select("node", parent, "s"), "nodes"))
+        shards = -(-shards // FAN_OUT)
+    return levels
+
+
+def _meet(alive: DataFrame, queries: DataFrame, items: DataFrame, fn, schema: str) -> DataFrame:
+    """Run ``fn(items of a node, a block's queries that reach the node)``; ``items``
+    go only to blocks with such a query."""
+    cells = alive.select(F.col("node").alias("at_node"), F.col("block").alias("at_block")).distinct()
+    return items.join(cells, F.col("node") == F.col("at_node")).groupBy("at_node", "at_block").cogroup(
+        alive.join(queries.drop("block"), "query").groupBy("node", "block")).applyInArrow(fn, schema)
+
+
+def route(dealt: DataFrame, shards: int, queries: DataFrame, dim: int, index: Index) -> DataFrame:
+    """``(query, block, node)``: the shards, other than its own, whose bound
+    reaches the query's ``bound``."""
+    def reach(left, right):
+        names = ["query", "block", "node", "shard"]
+        if not left.num_rows or not right.num_rows:
+            return pa.table([pa.array([], pa.int64())] * 4, names)
+        aim = index.aim(_matrix(right, "q", dim))
+        low = index.low(aim, np.stack([np.array(v) for v in left["s"].to_pylist()]))
+        qi, ni = np.nonzero(low <= right["bound"].to_numpy()[:, None])
+        return pa.table([right["query"].take(qi), right["block"].take(qi), left["child"].take(ni), right["shard"].take(qi)], names)
+
+    alive = queries.select("query", "block", F.lit(0).cast("bigint").alias("node"))
+    levels = _levels(dealt, shards, dim, index)
+    for i, level in reversed(list(enumerate(levels))):
+        children = level.select(F.col("parent").alias("node"), F.col("node").alias("child"), "s")
+        alive = _meet(alive, queries, children, reach, "query bigint, block bigint, node bigint, shard bigint")
+        if not i:
+            alive = alive.where(F.col("node") != F.col("shard"))
+        alive = stage(alive.select("query", "block", "node"), "routes")
+    return alive
+
+
+def top_k(vectors: DataFrame, is_query: Column, k: int, index: Index, largest: bool) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: per query row its best ``k`` of the
-    other rows by value, ties to the smaller id, from cells searched with ``search``."""
+    other rows by key (``score`` is its negative if ``largest``), ties to the smaller id."""
     # The key is fixed by writing it.
-    vectors = stage(vectors.withColumn("row", F.monotonically_increasing_id()), "vectors")
-    size = vectors.agg(F.count(F.lit(1)), F.max(F.size("v")), F.count_if(is_query)).first()
-    n, dim, n_q = int(size[0]), int(size[1] or 0), int(size[2])
-    queries = vectors.where(is_query).select(F.col("row").alias("query"), F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
-    shards, blocks = max(1, -(-n // SHARD_ROWS)), max(1, -(-n_q // BLOCK_QUERIES))
-    schema = "query bigint, query_id bigint, vec_id bigint, value double"
+    rows = stage(vectors.withColumn("row", F.monotonically_increasing_id()), "vectors")
+    dim, n_q = rows.agg(F.max(F.size("v")), F.count_if(is_query)).first()
+    if not n_q:
+        return rows.limit(0).select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id",
+                                    F.lit(0.0).alias("score"))
+    dealt, shards = deal(rows, k, dim)
+    distinct = rows.where(is_query).groupBy("v").agg(F.min("row").alias("query"))
+    queries = dealt.where(F.col("copy") == 1).join(distinct, "v").select("query", F.col("v").alias("q"), "shard")
+    queries = with_position(queries, ["shard", "query"], "place").select(
+        "query", "q", "shard", F.floor(F.col("place") / BLOCK_QUERIES).alias("block"))
+    schema = "query bigint, vec_id bigint, row bigint, key double"
 
     def cell(left, right):
-        names = ["query", "query_id", "vec_id", "value"]
+        names = ["query", "vec_id", "row", "key"]
         if not left.num_rows or not right.num_rows:
             return pa.table([*[pa.array([], pa.int64())] * 3, pa.array([], pa.float64())], names)
         # Rows in order of id, so a cell's result doesn't depend on the exchange.
-        left = left.sort_by([("vec_id", "ascending"), ("row", "ascending")])
-        right = right.sort_by("query")
-        ids, rows = left["vec_id"].to_numpy(), left["row"].to_numpy()
-        q_ids, q_rows, bounds = right["query_id"].to_numpy(), right["query"].to_numpy(), right["bound"].to_numpy()
-        qi, vi, value = search(rows, _matrix(left, "v", dim), q_rows, _matrix(right, "q", dim), bounds)
-        return pa.table([pa.array(q_rows[qi]), pa.array(q_ids[qi]), pa.array(ids[vi]), pa.array(value.astype(float))], names)
-
-    none = float("-inf") if largest else float("inf")
-    shard = F.pmod(F.xxhash64("row", F.lit(1)), F.lit(shards)).alias("shard")
-    # One shard per query first.
-    home = F.pmod(F.xxhash64("query", F.lit(2)), F.lit(shards)).alias("shard")
-    dealt = vectors.select("vec_id", "row", "v", shard)
-    first = dealt.groupBy("shard").cogroup(
-        queries.select("query", "query_id", "q", home, F.lit(none).alias("bound")).groupBy("shard")).applyInArrow(cell, schema)
-    worst = F.min("value") if largest else F.max("value")
-    bounds = first.groupBy("query").agg(F.count(F.lit(1)).alias("c"), worst.alias("b")).select(
-        F.col("query").alias("_q"), F.when(F.col("c") >= k, F.col("b")).otherwise(F.lit(none)).alias("bound"))
-    bounded = queries.join(stage(bounds, "bounds"), F.col("query") == F.col("_q"), "left").select(
-        "query", "query_id", "q", F.coalesce("bound", F.lit(none)).alias("bound"))
-    # Then every (block, shard) cell.
-    left = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    right = bounded.withColumn("block", F.pmod(F.xxhash64("query", F.lit(3)), F.lit(blocks)).cast("int")).withColumn(
-        "shard", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint"))))
-    cells = left.groupBy("block", "shard").cogroup(right.groupBy("block", "shard")).applyInArrow(cell, schema)
-    value = F.col("value").desc() if largest else F.col("value").asc()
-    rank = F.row_number().over(Window.partitionBy("query").orderBy(value, "vec_id"))
-    return cells.withColumn("rank", rank).where(F.col("rank") <= k).select(
-        "query_id", "rank", "vec_id", F.col("value").alias("score"))
+        left, right = left.sort_by([("vec_id", "ascending"), ("row", "ascending")]), right.sort_by("query")
+        bound = right["bound"].to_numpy()
+        qi, vi, key = tree_search(index, k + 1, _matrix(left, "v", dim), _matrix(right, "q", dim), bound)
+        return pa.table([right["query"].take(qi), left["vec_id"].take(vi), left["row"].take(vi), pa.array(key)], names)
+
+    items = dealt.select(F.col("shard").alias("node"), "vec_id", "row", "v")
+    found = stage(items.groupBy("node").cogroup(
+        queries.withColumn("bound", F.lit(_INF)).groupBy("shard")).applyInArrow(cell, schema), "found")
+    if shards > 1:
+        kth = found.groupBy("query").agg(F.when(F.count(F.lit(1)) > k, F.max("key")).otherwise(F.lit(_INF)).alias("bound"))
+        bounded = stage(queries.join(kth, "query"), "queries")
+        alive = route(dealt, shards, bounded, dim, index)
+        found = found.unionByName(_meet(alive, bounded.drop("shard"), items, cell, schema))
+    place = F.row_number().over(Window.partitionBy("query").orderBy("key", "vec_id", "row"))
+    best = found.withColumn("place", place).where(F.col("place") <= k + 1)
+    # Every row that asked takes the result of its vector, without its own row.
+    asked = rows.where(is_query).select(F.col("row").alias("own"), F.col("vec_id").alias("query_id"), "v").join(distinct, "v")
+    each = asked.drop("v").join(best, "query").where(F.col("row") != F.col("own"))
+    rank = F.row_number().over(Window.partitionBy("own").orderBy("place"))
+    score = -F.col("key") if largest else F.col("key")
+    return each.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", score.alias("score"))
+
+
+def tree_search(index: Index, k: int, x: np.ndarray, q: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(query, vector, key)``: each query's best ``k`` vectors with a key within its bound.
+
+    Inner nodes are tested first; only below those that reach the bound are leaves.
+    """
+    points = index.points(x)
+    leaves = [np.sort(rows) for rows in halves(points, index.leaf)]
+    small = np.stack([index.summary(points[rows]) for rows in leaves])
+    # Neighbouring leaves of the tree share an inner node.
+    groups = [np.arange(i, min(i + _LEAVES, len(leaves))) for i in range(0, len(leaves), _LEAVES)]
+    big = np.stack([index.merge(small[g]) for g in groups])
+    out = ([], [], [])
+    for lo in range(0, len(q), index.sub):
+        part, first = q[lo:lo + index.sub], bounds[lo:lo + index.sub]
+        aim, best = index.aim(part), Best(len(part), k, first)
+        low = np.full((len(part), len(leaves)), _INF)
+        for g, reached in zip(groups, (index.low(aim, big) <= first[:, None]).T):
+            rows = np.flatnonzero(reached)
+            if len(rows):
+                low[np.ix_(rows, g)] = index.low(aim[rows], small[g])
+
+        def visit(rows, leaf, best=best, part=part):
+            best.add(rows, leaves[leaf], index.key(part[rows], x[leaves[leaf]]))
+
+        best_first(leaves, low, best, lambda rows, b, best=best: (b <= best.bound[rows]) & np.isfinite(b), visit)
+        qi, vi, key = best.result(first)
+        for a, b in zip(out, (qi + lo, vi, key)):
+            a.append(b)
+    return tuple(np.concatenate(a) for a in out)
 
 
 def halves(points: np.ndarray, leaf: int) -> list[np.ndarray]:

@@ -1,11 +1,11 @@
-"""Exact top-k by inner product: a ball tree per shard, branch and bound.
+"""Exact top-k by inner product: ball trees, branch and bound.
 
 A node's ball (centre c, radius r) bounds the inner product of any vector in
-it by ``q.c + |q| r``.  Per query the inner nodes that can't reach its k-th
-score are cut with all they hold, the leaves left are visited in order of
+it by ``q.c + |q| r``.  Balls of whole shards lead a query to the shards that
+can reach its k-th score (see ``grid``).  Inside a shard, inner balls that can't
+reach it are cut with all they hold, the leaves left are visited in order of
 their bound, and the walk ends at the first leaf below the k-th score.  That
-score starts from the one found in another shard (see ``grid``), so all
-shards prune against a shared bound.
+score starts from the query's own shard, and all others prune against it.
 """
 
 from __future__ import annotations
@@ -14,59 +14,45 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .grid import Best, best_first, clean_vectors, halves, top_k
+from .grid import clean_vectors, top_k
 
 K = 5
 QUERY_EVERY = 50
 SCALE = 256
 LEAF = 64
 _SUB = 512  # queries searched at a time in a task
-_FAN = 8  # leaves per inner ball
-
-
-def _ball(points: np.ndarray) -> tuple[np.ndarray, float]:
-    centre = (points.max(axis=0) + points.min(axis=0)) / 2
-    return centre, float(np.sqrt(((points - centre) ** 2).sum(axis=1).max()))
-
-
-def _searcher(k: int):
-    def search(ids, x, q_ids, q, bounds):
-        leaves = halves(x, LEAF)
-        small = [_ball(x[rows]) for rows in leaves]
-        # Neighbouring leaves of the tree share an inner ball.
-        groups = [range(i, min(i + _FAN, len(leaves))) for i in range(0, len(leaves), _FAN)]
-        big = [_ball(x[np.concatenate([leaves[i] for i in g])]) for g in groups]
-        out = ([], [], [])
-        for lo in range(0, len(q), _SUB):
-            part, part_ids = q[lo:lo + _SUB], q_ids[lo:lo + _SUB]
-            norm = np.sqrt((part ** 2).sum(axis=1))
-            first = -bounds[lo:lo + _SUB]
-            best = Best(len(part), k, first)
-
-            def upper(balls, part=part, norm=norm):
-                c, r = np.stack([b[0] for b in balls]), np.array([b[1] for b in balls])
-                ub = part @ c.T + norm[:, None] * r
-                return ub + 1e-6 * (1 + np.abs(ub))  # covers rounding
-
-            low = -upper(small)
-            for g, ub in zip(groups, upper(big).T):
-                cut = -ub > best.bound
-                low[np.ix_(cut, list(g))] = np.inf
-
-            def visit(rows, leaf, best=best, part=part, part_ids=part_ids):
-                at = leaves[leaf]
-                at = np.sort(at)
-                key = -(part[rows] @ x[at].T)  # integers: exact in double
-                key[part_ids[rows][:, None] == ids[at][None, :]] = np.inf
-                best.add(rows, at, key)
-
-            best_first(leaves, low, best, lambda rows, b, best=best: (b <= best.bound[rows]) & np.isfinite(b), visit)
-            qi, vi, key = best.result(first)
-            for a, b in zip(out, (qi + lo, vi, -key)):
-                a.append(b)
-        return tuple(np.concatenate(a) for a in out)
-
-    return search
+
+
+class Balls:
+    """Nodes are ``centre, radius``; the key is the negative inner product."""
+
+    sub = _SUB
+
+    def __init__(self, leaf: int):
+        self.leaf = leaf
+
+    def points(self, x):
+        return x
+
+    def summary(self, points):
+        return self.merge(np.column_stack([points, np.zeros(len(points))]))
+
+    def merge(self, nodes):
+        centres, radii = nodes[:, :-1], nodes[:, -1]
+        centre = (centres.max(axis=0) + centres.min(axis=0)) / 2
+        return np.append(centre, (np.sqrt(((centres - centre) ** 2).sum(axis=1)) + radii).max())
+
+    def aim(self, q):
+        return np.column_stack([q, np.sqrt((q ** 2).sum(axis=1))])
+
+    def low(self, aim, nodes):
+        upper = aim[:, :-1] @ nodes[:, :-1].T + aim[:, -1:] * nodes[:, -1]
+        # Covers rounding, also where the products cancel each other.
+        size = np.abs(nodes[:, :-1]).sum(axis=1) + nodes[:, -1]
+        return -(upper + 1e-9 * (1 + aim[:, -1:] * size))
+
+    def key(self, q, x):
+        return -(q @ x.T)  # integers: exact in double below 2^53
 
 
 def exact_top_k(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", *, k: int = K,
@@ -84,5 +70,5 @@ def exact_top_k(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedd
     other columns are ignored.
     """
     vectors = clean_vectors(table, id_col, vec_col, lambda x: F.floor(x * scale).cast("double"))
-    out = top_k(vectors, F.col("vec_id") % query_every == 0, k, _searcher(k), largest=True)
+    out = top_k(vectors, F.col("vec_id") % query_every == 0, k, Balls(LEAF), largest=True)
     return out.withColumn("score", F.col("score").cast("bigint"))

@@ -79,17 +79,59 @@ def test_rows_that_share_an_id_are_rows_of_their_own(spark, monkeypatch, tmp_pat
     assert hit >= 0.9 * total
 
 
+def dealt(spark, x, ids, k=5):
+    rows = grid.clean_vectors(frame(spark, x, ids), "vec_id", "embedding", lambda v: v).withColumn(
+        "row", F.monotonically_increasing_id()).cache()
+    return grid.deal(rows, k, x.shape[1])
+
+
 def test_a_repeated_id_does_not_fill_one_shard(spark, monkeypatch):
     monkeypatch.setattr(grid, "SHARD_ROWS", 50)
     x, ids = repeated(5, 1500)
-
-    def search(rows, vectors, q_rows, queries, bounds):
-        # A cell's size as its only result.
-        return np.zeros(1, int), np.zeros(1, int), np.array([float(len(rows))])
-
-    out = grid.top_k(grid.clean_vectors(frame(spark, x, ids), "vec_id", "embedding", lambda v: v), F.col("vec_id") % 50 == 0, 5,
-                     search, True)
-    assert 0 < out.agg(F.max("score")).first()[0] < 120
+    x[300:800] = x[0]  # and a third are one vector: six of them can be among any query's best
+    table, shards = dealt(spark, x, ids)
+    sizes = [r["count"] for r in table.groupBy("shard").count().collect()]
+    others = np.delete(np.arange(1500), np.r_[0:30:3, 300:800])
+    assert max(sizes) == 50 and sum(sizes) == len(others) + 6 and len(sizes) == shards == -(-sum(sizes) // 50)
+    copies = sorted((i, r) for r, i in enumerate(ids) if r in range(0, 30, 3) or 300 <= r < 800)
+    kept = sorted(r.vec_id for r in table.where(F.col("v") == F.array(*map(F.lit, map(float, x[0].astype(np.float32))))).collect())
+    assert kept == [i for i, _ in copies[:6]]
+
+
+@pytest.mark.parametrize("fan", [64, 4])
+def test_queries_go_only_to_shards_that_reach_them(spark, monkeypatch, fan):
+    monkeypatch.setattr(grid, "SHARD_ROWS", 100)
+    monkeypatch.setattr(grid, "BLOCK_QUERIES", 16)
+    monkeypatch.setattr(grid, "FAN_OUT", fan)
+    sent, route = [], grid.route
+    monkeypatch.setattr(grid, "route", lambda *a: (sent.append((a[1], route(*a))), sent[-1][1])[1])
+    rng = np.random.default_rng(12)
+    centres = rng.normal(0, 1, (30, 12))
+    x = centres[rng.integers(0, 30, 4000)] + rng.normal(0, 0.01, (4000, 12))
+    ids = rng.permutation(4000)
+    assert results(topk.exact_top_k(frame(spark, x, ids))) == brute_dots(x, ids)
+    assert ann.nearest(frame(spark, x, ids)).count() == 400
+    (shards, dots), (_, near) = sent
+    assert shards == 40
+    # Each query to every shard would be 80 x 39 and 40 x 39.
+    assert dots.count() < 80 * 39 / 4 and near.count() < 40 * 39 / 4
+    cells = dots.select("node", "block").distinct().count()
+    assert cells <= dots.count()
+
+
+def test_equal_vectors_ask_once_and_leave_their_own_row_out(spark, monkeypatch):
+    monkeypatch.setattr(grid, "SHARD_ROWS", 20)
+    rng = np.random.default_rng(2)
+    x = np.repeat(rng.normal(0, 0.2, (4, 6)), 75, axis=0)
+    ids = rng.permutation(300)
+    assert results(topk.exact_top_k(frame(spark, x, ids))) == brute_dots(x, ids)
+    got = {}
+    for r in ann.nearest(frame(spark, x, ids)).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    for q in (0, 100, 200):
+        row = int(np.flatnonzero(ids == q)[0])
+        group = sorted(int(i) for i in ids[row // 75 * 75:row // 75 * 75 + 75] if i != q)
+        assert sorted(got[q]) == [(n + 1, i, 0.0) for n, i in enumerate(group[:10])]
 
 
 def test_few_candidates_and_odd_vectors(spark):
@@ -144,14 +186,11 @@ def test_stopping_test_skips_far_leaves():
     rng = np.random.default_rng(1)
     x = np.concatenate([rng.normal(0, 0.05, (200, 16)), rng.normal(30, 0.05, (2000, 16))])
     seen = []
-    search = ann._searcher(5, ann.PROJECTIONS, ann.CONFIDENCE, 9)
-    best_add = grid.Best.add
-    try:
-        grid.Best.add = lambda self, rows, at, key: (seen.append(len(at)), best_add(self, rows, at, key))[1]
-        search(np.arange(2200), x, np.array([0]), x[:1], np.array([np.inf]))
-    finally:
-        grid.Best.add = best_add
-    assert sum(seen) <= 400
+    index = ann.Boxes(ann.LEAF, ann.PROJECTIONS, ann.CONFIDENCE, 9)
+    key = index.key
+    index.key = lambda q, rows: (seen.append(len(rows)), key(q, rows))[1]
+    grid.tree_search(index, 5, x, x[:1], np.array([np.inf]))
+    assert 5 <= sum(seen) <= 400
 
 
 def test_chi_square_matches_known_values():
