@@ -10,17 +10,22 @@ cells from the source's leaves the lines that differ, and equal lines cancel.
 The difference is read back by peeling: a cell whose sums are a multiple of one
 line's hashes gives that line's hash and its surplus, which are taken from its
 other cells, until all cells are empty.  That works while the lines that differ
-are fewer than about 0.8 of the cells; otherwise the table is grown.  A second
-scan looks up the lines by hash (a set bounded by the cells) and counts them
-exactly.  Beyond the largest table, or if those counts disagree with the
+are fewer than about 0.8 of the cells.  If the first table, which the driver
+reads, can't hold them, strata (tables of ever smaller samples of the hashes)
+say about how many lines differ, and the lines are dealt by their hash over as
+many slices as that takes, each with a table of ``SLICE_CELLS``; a task peels a
+slice, so neither the driver nor a task holds more than small tables.  A further
+scan looks up the lines by hash and counts them exactly.  Where the table would
+have more cells than the log has lines, or if those counts disagree with the
 surpluses, the exact aggregation of all lines is used instead.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,9 +35,10 @@ from .checks import multiset_reconcile
 from .order import stage
 
 FIRST_CELLS = 512
-MOST_CELLS = 1 << 18
-GROWTH = 8
+SLICE_CELLS = 2048
+STRATA, STRATUM_CELLS = 32, 120
 _HASHES = 3
+_SLICED = 32  # the bits of a hash from here on choose its slice and its stratum
 _A, _B = 2147483647, 2147483629  # primes below 2**31, so that a product of remainders is a long
 Cells = dict[tuple[int, int], tuple[int, int, int]]
 
@@ -73,16 +79,21 @@ def _check(h: int) -> int:
     return (h % _A) * (h % _B)
 
 
-def fold(log: DataFrame, topics: Sequence[str], cells: int) -> dict[str, Cells]:
-    """Cells ``{(which prime, place): (count, sum of hashes, sum of check numbers)}`` per topic."""
+def _sums(log: DataFrame, topics: Sequence[str], cells: int, group: Column | None = None) -> DataFrame:
+    """``(group, topic, j, at, n, h, g)``: cells of a table of every group of hashes (``h``)."""
     big = lambda c: c.cast("decimal(38,0)")
     rows = log.where(F.col("topic").isin(*topics)).select("topic", _hash().alias("h")).withColumn(
-        "g", F.pmod("h", F.lit(_A).cast("bigint")) * F.pmod("h", F.lit(_B).cast("bigint")))
+        "g", F.pmod("h", F.lit(_A).cast("bigint")) * F.pmod("h", F.lit(_B).cast("bigint"))).withColumn(
+        "group", F.lit(0) if group is None else group)
     places = F.array(*[F.struct(F.lit(j).alias("j"), F.pmod("h", F.lit(p)).alias("at")) for j, p in enumerate(moduli(cells))])
-    sums = rows.withColumn("_c", F.explode(places)).groupBy("topic", "_c.j", "_c.at").agg(
+    return rows.withColumn("_c", F.explode(places)).groupBy("group", "topic", "_c.j", "_c.at").agg(
         F.count(F.lit(1)).alias("n"), F.sum(big(F.col("h"))).alias("h"), F.sum(big(F.col("g"))).alias("g"))
+
+
+def fold(log: DataFrame, topics: Sequence[str], cells: int) -> dict[str, Cells]:
+    """Cells ``{(which prime, place): (count, sum of hashes, sum of check numbers)}`` per topic."""
     out: dict[str, Cells] = {t: {} for t in topics}
-    for r in sums.collect():  # at most ``cells`` rows per topic
+    for r in _sums(log, topics, cells).collect():  # at most ``cells`` rows per topic
         out[r["topic"]][r["j"], r["at"]] = (r["n"], int(r["h"]), int(r["g"]))
     return out
 
@@ -120,45 +131,104 @@ def peel(cells: Cells, primes: Sequence[int]) -> dict[int, int] | None:
     return None if cells else {h: n for h, n in found.items() if n}
 
 
+def differing(log: DataFrame, targets: Sequence[str], source: str) -> int:
+    """About how many lines differ in the target that differs most.
+
+    Stratum k holds one of 2**(k + 1) hashes, the last one what is left.  The
+    strata are peeled from the sparsest on; the first that can't be read ends it,
+    and the lines found stand for all.
+    """
+    bits = F.shiftright("h", _SLICED)
+    # Trailing zeros: the lowest bit set is a power of two.
+    stratum = F.least(F.when(bits == 0, STRATA - 1).otherwise(
+        F.log2(bits.bitwiseAND(-bits).cast("double"))).cast("int"), F.lit(STRATA - 1))
+    tables: dict[tuple[int, str], Cells] = {}
+    for r in _sums(log, [source, *targets], STRATUM_CELLS, stratum).collect():  # at most STRATA small tables per topic
+        tables.setdefault((r["group"], r["topic"]), {})[r["j"], r["at"]] = (r["n"], int(r["h"]), int(r["g"]))
+    primes, most = moduli(STRATUM_CELLS), 0
+    for t in targets:
+        found = 0
+        for k in reversed(range(STRATA)):
+            lines = peel(minus(tables.get((k, source), {}), tables.get((k, t), {})), primes)
+            if lines is None:
+                found = max(found, STRATUM_CELLS // 4) << (k + 1)
+                break
+            found += len(lines)
+        most = max(most, found)
+    return most
+
+
+def _peeled(sums: DataFrame, targets: Sequence[str], source: str, slices: int) -> DataFrame:
+    """``(_topic, _h, _n)``: surpluses of the lines of every slice, each peeled by itself;
+    a slice that can't be read for a target gives one row without ``_h``."""
+    primes = moduli(SLICE_CELLS)
+
+    def peel_slice(cells: pd.DataFrame) -> pd.DataFrame:  # at most SLICE_CELLS rows per topic
+        number, tables = int(cells["group"].iloc[0]), {t: {} for t in (source, *targets)}
+        for t, j, at, n, h, g in zip(*(cells[c].tolist() for c in ("topic", "j", "at", "n", "h", "g"))):
+            tables[t][j, at] = (n, int(h), int(g))
+        out = []
+        for t in targets:
+            lines = peel(minus(tables[source], tables[t]), primes)
+            if lines is None or any((h >> _SLICED) % slices != number for h in lines):
+                out.append((t, None, None))
+            else:
+                out += [(t, h, n) for h, n in lines.items()]
+        return pd.DataFrame(out, columns=["_topic", "_h", "_n"]).astype({"_h": "Int64", "_n": "Int64"})
+
+    return sums.groupBy("group").applyInPandas(peel_slice, "_topic string, _h bigint, _n bigint")
+
+
+def _sliced(log: DataFrame, targets: Sequence[str], source: str, slices: int) -> DataFrame | None:
+    """The surpluses by slices, staged; None if a slice can't be read."""
+    group = F.pmod(F.shiftright("h", _SLICED), F.lit(slices).cast("bigint"))
+    wanted = stage(_peeled(_sums(log, [source, *targets], SLICE_CELLS, group), targets, source, slices), "surplus")
+    return None if wanted.where("_h IS NULL").limit(1).count() else wanted
+
+
 def multiset_difference(log: DataFrame, targets: Sequence[str] = tuple(SORT_KEYS), source: str = SOURCE_TOPIC, *,
-                        first_cells: int = FIRST_CELLS, most_cells: int = MOST_CELLS) -> Difference:
+                        first_cells: int = FIRST_CELLS, most_cells: int | None = None) -> Difference:
     """Lines whose multiplicity differs between a target topic and the source, as
-    ``checks.multiset_reconcile`` gives them, without a shuffle of the lines.
+    ``checks.multiset_reconcile`` gives them, without a shuffle of the lines while few differ.
 
-    Lines that differ but leave all cells of a topic empty are missed; that
-    takes equal sums of 64-bit hashes and of their check numbers.
+    ``most_cells``: of all slices; without it, the lines of the log.  Lines that
+    differ but leave all cells of a topic empty are missed; that takes equal sums
+    of 64-bit hashes and of their check numbers.
     """
-    cells = first_cells
-    while cells <= most_cells:
-        tables, primes = fold(log, [source, *targets], cells), moduli(cells)
-        surplus = {t: peel(minus(tables[source], tables[t]), primes) for t in targets}
-        if None not in surplus.values():
-            rows = _lookup(log, surplus, source)
+    tables, primes = fold(log, [source, *targets], first_cells), moduli(first_cells)
+    surplus = {t: peel(minus(tables[source], tables[t]), primes) for t in targets}
+    if None not in surplus.values():
+        # Fewer rows than the first table's cells, by the peeling.
+        hashes = [(t, h, n) for t, hs in surplus.items() for h, n in hs.items()]
+        rows = _lookup(log, F.broadcast(small_table(log.sparkSession, hashes, "_topic string, _h bigint, _n bigint")),
+                       targets, source)
+        return Difference(rows, first_cells) if rows is not None else Difference(multiset_reconcile(log, targets, source), None)
+    if most_cells is None:
+        most_cells = sum(c[0] for cells in tables.values() for (j, _), c in cells.items() if j == 0)
+    slices = max(1, -(-2 * differing(log, targets, source) // SLICE_CELLS))
+    while slices * SLICE_CELLS <= most_cells:
+        wanted = _sliced(log, targets, source, slices)
+        if wanted is not None:
+            rows = _lookup(log, wanted, targets, source)
             if rows is not None:
-                return Difference(rows, cells)
+                return Difference(rows, slices * SLICE_CELLS)
             break
-        cells *= GROWTH
+        slices *= 2
     return Difference(multiset_reconcile(log, targets, source), None)
 
 
-def _lookup(log: DataFrame, surplus: Mapping[str, Mapping[int, int]], source: str) -> DataFrame | None:
+def _lookup(log: DataFrame, wanted: DataFrame, targets: Sequence[str], source: str) -> DataFrame | None:
     """The lines behind the hashes with their counts; None if these aren't the surpluses."""
-    spark = log.sparkSession
-    wanted = [(t, h) for t, hs in surplus.items() for h in hs]
-    if not wanted:
-        return small_table(spark, [], "topic string, value string, n_topic bigint, n_source bigint")
-    # Fewer rows than cells, by the peeling.
-    hashes = F.broadcast(small_table(spark, wanted, "_topic string, _h bigint"))
-    lines = log.where(F.col("topic").isin(source, *surplus)).select("topic", _line().alias("value"), _hash().alias("h"))
+    lines = log.where(F.col("topic").isin(source, *targets)).select("topic", _line().alias("value"), _hash().alias("h"))
     is_source = F.col("topic") == F.lit(source)
-    hit = lines.join(hashes, (F.col("h") == F.col("_h")) & (is_source | (F.col("topic") == F.col("_topic"))))
+    hit = lines.join(wanted, (F.col("h") == F.col("_h")) & (is_source | (F.col("topic") == F.col("_topic"))))
     counts = hit.groupBy(F.col("_topic").alias("topic"), "value", "h").agg(
         F.sum(F.when(is_source, 0).otherwise(1)).cast("bigint").alias("n_topic"),
         F.sum(F.when(is_source, 1).otherwise(0)).cast("bigint").alias("n_source"))
     counts = stage(counts, "difference")
-    got: dict[tuple[str, int], int] = {}
-    for r in counts.groupBy("topic", "h").agg(F.sum(F.col("n_source") - F.col("n_topic")).alias("d")).collect():  # one per hash
-        got[r["topic"], r["h"]] = r["d"]
-    if got != {(t, h): n for t, hs in surplus.items() for h, n in hs.items()}:
+    # Every hash wanted must have lines whose counts add up to its surplus.
+    found = counts.select(F.col("topic").alias("_topic"), F.col("h").alias("_h"), (F.col("n_source") - F.col("n_topic")).alias("_d"))
+    sums = found.unionByName(wanted.select("_topic", "_h", (-F.col("_n")).alias("_d"))).groupBy("_topic", "_h").agg(F.sum("_d").alias("_d"))
+    if sums.where("_d <> 0").limit(1).count():
         return None
     return counts.where("n_topic <> n_source").select("topic", "value", "n_topic", "n_source")

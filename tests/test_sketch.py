@@ -93,3 +93,30 @@ def test_peeling_reads_sets_below_the_threshold():
     a, b, c = 5 * 43 + 1, 9 * 43 + 1, 2 * 43 + 1
     mixed = {(0, 1): (1, a + b - c, sum(map(sketch._check, (a, b))) - sketch._check(c))}
     assert peel(mixed, [43, 47, 53]) is None
+
+
+def test_a_large_difference_is_peeled_by_slices_outside_the_driver(spark, monkeypatch):
+    rng = random.Random(11)
+    source = [*[f"{i},a,b" for i in range(30000)], *["", None] * 300]
+    mine = [v for i, v in enumerate(source) if i % 5] + [f"new{i}" for i in range(500)]
+    rng.shuffle(mine)
+    log = log_of(spark, {"source": source, "id": mine, "name": source, "continent": mine[:-1]}).cache()
+    held = []
+    collect = type(log).collect
+    monkeypatch.setattr(type(log), "collect", lambda self: held.append(collect(self)) or held[-1])
+    got = multiset_difference(log)
+    monkeypatch.undo()
+    assert got.cells > 4 * sketch.SLICE_CELLS and rows(got.rows) == rows(multiset_reconcile(log))
+    # The driver holds the first table and the strata only.
+    assert max(map(len, held)) <= 4 * sketch.STRATA * (sketch.STRATUM_CELLS + 30)
+    # An estimate that is too small only costs another scan.
+    monkeypatch.setattr(sketch, "differing", lambda *a: 1)
+    again = multiset_difference(log)
+    assert again.cells > sketch.SLICE_CELLS and rows(again.rows) == rows(got.rows)
+
+
+@pytest.mark.parametrize("n", [300, 5000, 40000])
+def test_strata_tell_how_many_lines_differ(spark, n):
+    source = [f"{i},a,b" for i in range(60000)]
+    log = log_of(spark, {"source": source, "id": source[n:]})
+    assert n / 2 < sketch.differing(log, ["id"], "source") < 2 * n
