@@ -1,15 +1,18 @@
 """Incremental compaction of streamed runs into one total order per topic (E5, M2).
 
-A topic's store is a list of segments: disjoint key ranges, each a folder whose
-rows carry their rank inside the segment.  A chain of versions
-(``sinks.versions``) holds the list with each segment's lower fence, row count
-and folders, so one small file says what the store is.  A call
+A topic's store is a list of segments: disjoint key ranges, whose rows carry
+their rank inside the segment.  Neighbouring segments share a pack, a folder of
+about ``PACK_ROWS`` rows in the order of the segments, so that files grow with
+the rows and not with the segments; a segment that is larger has its own.  A
+chain of versions (``sinks.versions``) holds the list with each segment's lower
+fence, row count and places, so one small file says what the store is.  A call
 
 1. reads the streamed batches that came since the last one, and nothing older;
 2. finds each row's segment by binary search over the fences;
-3. leaves the rows of a segment that got few as *pending* folders beside it, and
-4. merges the others with their segments: only those folders are read, and the
-   result is cut into segments of exact size, whose first keys are the new fences.
+3. leaves the rows of a segment that got few as *pending* rows beside it, and
+4. merges the others with their segments: only those are read (from their packs,
+   by slot), and the result is cut into segments of exact size, whose first keys
+   are the new fences.
 
 A segment is rewritten when its pending rows reach ``ratio`` of it, so a row is
 rewritten a bounded number of times however large the store grows, and ranges
@@ -22,6 +25,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 from itertools import accumulate
@@ -38,6 +42,7 @@ from ..sinks.versions import create_state, read_state
 from .runs import OUT_SCHEMA, StreamRuns
 
 SEGMENT_ROWS = 1 << 20
+PACK_ROWS = 1 << 18
 _TYPES = {c.split()[0]: c.split()[1] for c in OUT_SCHEMA.split(", ")}
 _PLACE = ["src_partition", "src_offset"]
 
@@ -54,27 +59,36 @@ def _schema(topic: str) -> str:
 def slot_of(key: Sequence[str], fences: Sequence[Sequence]) -> Column:
     """How many of the ascending ``fences`` are at most the row's key: log2 steps a row.
 
-    The fences are one literal; there is one per segment.
+    The fences are one literal; there is one per segment.  A step of the search
+    jumps over as many fences as a power of two if the last of them allows it.
     """
     if not fences:
         return F.lit(0)
     types = ", ".join(f"{c}: {_TYPES[c]}" for c in key)
     listed = F.from_json(F.lit(json.dumps([dict(zip(key, f)) for f in fences])), f"array<struct<{types}>>")
     mine = F.struct(*key)
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(fences).bit_length()))])
+    # Beyond the last fence there is null, which is no jump.
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(listed, at + step - 1) <= mine, at + step).otherwise(at))
 
-    def halve(at: Column, _: Column) -> Column:
-        mid = F.floor((at["lo"] + at["hi"]) / 2).cast("int")
-        below = F.get(listed, mid) <= mine
-        return F.when(at["lo"] >= at["hi"], at).otherwise(F.struct(
-            F.when(below, mid + 1).otherwise(at["lo"]).alias("lo"), F.when(below, at["hi"]).otherwise(mid).alias("hi")))
 
-    steps = F.sequence(F.lit(0), F.lit(len(fences).bit_length()))
-    return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.lit(len(fences)).alias("hi")), halve)["lo"]
+def _cut(size: int, pieces: int, piece: int) -> int:
+    """Rank at which a piece of a segment begins; pieces differ by at most one row."""
+    return -(-piece * size // pieces)
+
+
+def _firsts(sizes: Mapping[int, int]) -> dict[int, int]:
+    """Rows before each segment, in the order of their numbers."""
+    slots = sorted(sizes)
+    return dict(zip(slots, accumulate([0, *(sizes[i] for i in slots)])))
 
 
 @dataclass
 class Segment:
-    """One key range: from ``low`` (None: from the start) to the next segment's."""
+    """One key range: from ``low`` (None: from the start) to the next segment's.
+
+    ``folder`` and the pending ones name the pack, then the segment's rows in it.
+    """
 
     low: list | None
     rows: int
@@ -134,19 +148,26 @@ class Compactor:
         """Rows of some segments, base and pending, with the number of their segment
         (``_slot``) and, if merged, their ``rank`` in it.  Their folders alone are read."""
         out = small_table(spark, [], f"{_schema(topic)}, rank bigint, _slot int")
-        for kind, levels in (("merged", 4), ("pending", 3)):
+        for kind in ("merged", "pending"):
             owner = {f: i for i, s in segments.items() for f in s.folders() if f.startswith(kind + "/")}
             if owner:
-                # Folder names are partition columns; one row per folder says whose they are.
-                names = [[part.split("=")[1] for part in f.split("/")[1:]] for f in owner]
-                rows = spark.read.schema(f"{_schema(topic)}, rank bigint").option("basePath", f"{self.base}/{kind}").parquet(
-                    *[f"{self.base}/{f}" for f in owner])
-                of = small_table(spark, [(int(n[0]), int(n[2]), int(n[3]) if levels == 4 else 0, i) for n, i in zip(names, owner.values())],
-                                 "gen int, slot int, piece int, _slot int")
-                on = ["gen", "slot", "piece"][:levels - 1]
-                out = out.unionByName(rows.join(of, on).select(*out.columns))
+                # gen, topic and pack are folders, slot and piece columns; one row per segment says whose rows they are.
+                names = [dict(part.split("=", 1) for part in f.split("/")[1:]) for f in owner]
+                of = [(int(n["gen"]), int(n["slot"]), int(n["piece"]), i) for n, i in zip(names, owner.values())]
+                rows = spark.read.schema(f"{_schema(topic)}, rank bigint, slot int, piece int").option(
+                    "basePath", f"{self.base}/{kind}").parquet(*sorted({f"{self.base}/{f.rsplit('/slot=', 1)[0]}" for f in owner}))
+                # Rows are in the order of the slots, so the bounds skip parts of a pack.
+                slots = [n for _, n, _, _ in of]
+                rows = rows.where(F.col("slot").between(min(slots), max(slots)))
+                out = out.unionByName(rows.join(small_table(spark, of, "gen int, slot int, piece int, _slot int"),
+                                                ["gen", "slot", "piece"]).select(*out.columns))
         return out
 
+    def _write(self, rows: DataFrame, folder: str) -> None:
+        """Rows with ``slot``, ``piece``, ``rank`` and ``pack`` as packs in the order of the segments."""
+        rows.sortWithinPartitions("pack", "slot", "piece", "rank").write.mode("overwrite").partitionBy("pack").parquet(
+            f"{self.base}/{folder}")
+
     # ---- compaction ---------------------------------------------------------------
 
     def compact(self, spark: SparkSession, everything: bool = False) -> Compacted:
@@ -163,7 +184,10 @@ class Compactor:
                 done.version = self._commit(spark, number, last, topics)
             return done
         gen, made = number + 1, []
-        after = {t: self._topic(spark, t, topics[t], rows, gen, everything, done, made) for t in self.runner.sort_keys}
+        # The topics are independent jobs, submitted together.
+        with ThreadPoolExecutor(max_workers=len(self.runner.sort_keys)) as pool:
+            after = dict(zip(self.runner.sort_keys, pool.map(
+                lambda t: self._topic(spark, t, topics[t], rows, gen, everything, done, made), self.runner.sort_keys)))
         try:
             done.version = self._commit(spark, number, last, after)
         except Exception:
@@ -194,44 +218,46 @@ class Compactor:
             # Fewer rows than ``ratio`` of a segment for each slot.
             folder = f"pending/gen={gen}/topic={topic}"
             made.append(folder)
-            mine.where(F.col("_slot").isin(wait)).withColumn("slot", F.col("_slot")).drop("_slot").withColumn(
-                "rank", F.lit(None).cast("bigint")).repartition("slot").write.mode("overwrite").partitionBy("slot").parquet(
-                f"{self.base}/{folder}")
+            packs = {i: n // PACK_ROWS for i, n in _firsts({i: came[i] for i in wait}).items()}
+            plan = small_table(spark, list(packs.items()), "_slot int, pack bigint")
+            self._write(mine.join(plan, "_slot").withColumnRenamed("_slot", "slot").withColumn("piece", F.lit(0)).withColumn(
+                "rank", F.lit(None).cast("bigint")).repartition("pack"), folder)
             for i in wait:
-                out[i].pending.append([f"{folder}/slot={i}", came[i]])
+                out[i].pending.append([f"{folder}/pack={packs[i]}/slot={i}/piece=0", came[i]])
         done.rows_new[topic], done.rewritten[topic] = sum(came.values()), len(ripe)
         done.kept[topic] = sum(1 for i, s in enumerate(segments) if i not in ripe and s.size())
         done.rows_read[topic] = sum(s.size() for s in ripe.values())
-        done.folders_read += [f for s in ripe.values() for f in s.folders()]
+        done.folders_read.extend(f for s in ripe.values() for f in s.folders())
         if not ripe:
             return out
         merged = self._stored(spark, topic, ripe).drop("rank")
         if came:
-            merged = merged.unionByName(mine.where(F.col("_slot").isin(list(ripe))))
+            merged = merged.unionByName(mine.join(small_table(spark, [(i,) for i in ripe], "_slot int"), "_slot", "left_semi"))
         sizes = {i: s.size() + came.get(i, 0) for i, s in ripe.items()}
         pieces = {i: max(1, round(n / self.segment_rows)) for i, n in sizes.items()}
+        firsts = _firsts(sizes)
         folder = f"merged/gen={gen}/topic={topic}"
         made.append(folder)
         ranked = self._ranked(spark, merged, key, sizes)
-        plan = small_table(spark, [(i, sizes[i], pieces[i]) for i in ripe], "_slot int, _size bigint, _pieces bigint")
-        # Pieces of a segment differ by at most one row; cut points are exact ranks.
+        plan = small_table(spark, [(i, sizes[i], pieces[i], firsts[i]) for i in ripe],
+                           "_slot int, _size bigint, _pieces bigint, _first bigint")
+        # Cut points are exact ranks; a segment is in the pack where its first row falls.
         cut = ranked.join(plan, "_slot").withColumn("piece", F.expr("(_rank * _pieces) div _size")).withColumn(
-            "rank", F.expr("_rank - (piece * _size + _pieces - 1) div _pieces"))
-        cut = cut.select(F.col("_slot").alias("slot"), F.col("piece").cast("int").alias("piece"), *columns, "rank")
-        cut.write.mode("overwrite").partitionBy("slot", "piece").parquet(f"{self.base}/{folder}")
-        heads = spark.read.parquet(f"{self.base}/{folder}").groupBy("slot", "piece").agg(
-            F.min(F.struct(*key)).alias("low"), F.count(F.lit(1)).alias("n")).collect()  # one row per new segment
-        made_of: dict[int, list[Segment]] = {}
-        for r in sorted(heads, key=lambda r: (r["slot"], r["piece"])):
-            low = segments[r["slot"]].low if r["piece"] == 0 else list(r["low"])
-            made_of.setdefault(r["slot"], []).append(Segment(low, r["n"], f"{folder}/slot={r['slot']}/piece={r['piece']}"))
-        return [x for i, s in enumerate(out) for x in (made_of.get(i, [s]) if i in ripe else [s])]
+            "_cut", F.expr("(piece * _size + _pieces - 1) div _pieces"))
+        self._write(cut.select(
+            F.col("_slot").alias("slot"), F.col("piece").cast("int").alias("piece"), *columns,
+            (F.col("_rank") - F.col("_cut")).alias("rank"), F.expr(f"(_first + _cut) div {PACK_ROWS}").alias("pack")), folder)
+        heads = spark.read.schema(f"slot int, piece int, rank bigint, {_schema(topic)}").parquet(f"{self.base}/{folder}").where(
+            "rank = 0 AND piece > 0").select("slot", "piece", F.struct(*key).alias("low"))
+        lows = {(r["slot"], r["piece"]): list(r["low"]) for r in heads.collect()}  # one row per new segment
+        made_of = {i: [Segment(lows[i, j] if j else segments[i].low, _cut(sizes[i], k, j + 1) - _cut(sizes[i], k, j),
+                               f"{folder}/pack={(firsts[i] + _cut(sizes[i], k, j)) // PACK_ROWS}/slot={i}/piece={j}")
+                       for j in range(k)] for i, k in pieces.items()}
+        return [x for i, s in enumerate(out) for x in made_of.get(i, [s])]
 
     def _ranked(self, spark: SparkSession, rows: DataFrame, key: Sequence[str], sizes: Mapping[int, int]) -> DataFrame:
         """Rows with ``_rank`` in their segment, from one range-partitioned sort of them all."""
-        slots = sorted(sizes)
-        firsts = dict(zip(slots, accumulate([0, *(sizes[i] for i in slots)])))
-        bases = small_table(spark, list(firsts.items()), "_slot int, _first bigint")
+        bases = small_table(spark, list(_firsts(sizes).items()), "_slot int, _first bigint")
         return with_position(rows, ["_slot", *key], "_pos").join(bases, "_slot").withColumn(
             "_rank", F.col("_pos") - F.col("_first")).drop("_first", "_pos")
 
@@ -245,8 +271,7 @@ class Compactor:
         """
         _, _, topics = self.state(spark)
         segments = {i: s for i, s in enumerate(topics[topic]) if s.size()}
-        firsts = dict(zip(segments, accumulate([0, *(s.size() for s in segments.values())])))
-        bases = small_table(spark, list(firsts.items()), "_slot int, _base bigint")
+        bases = small_table(spark, list(_firsts({i: s.size() for i, s in segments.items()}).items()), "_slot int, _base bigint")
         settled = {i: s for i, s in segments.items() if not s.pending}
         waiting = {i: s for i, s in segments.items() if s.pending}
         rows = self._stored(spark, topic, settled).withColumnRenamed("rank", "_rank")
@@ -265,7 +290,7 @@ class Compactor:
     def remove_old(self, spark: SparkSession) -> list[str]:
         """Delete the generations of a topic that the last version doesn't name."""
         number, _, topics = self.state(spark)
-        named = {f.rsplit("/slot=", 1)[0] for xs in topics.values() for s in xs for f in s.folders()}
+        named = {f.rsplit("/pack=", 1)[0] for xs in topics.values() for s in xs for f in s.folders()}
         gone = []
         for kind in ("merged", "pending"):
             for gen in list_folder(spark, f"{self.base}/{kind}"):

@@ -171,3 +171,23 @@ def test_slots_equal_counting_fences(spark):
             got = df.select(*key, slot_of(key, [list(f) for f in fences]).alias("slot")).collect()
             enc = lambda k: tuple(x.encode() if isinstance(x, str) else x for x in k)
             assert all(r["slot"] == sum(enc(f) <= enc(tuple(r)[:-1]) for f in fences) for r in got)
+
+
+def test_many_segments_share_packs(spark, monkeypatch):
+    """Folders grow with the rows, not with the segments; some segments of a pack are replaced, others stay."""
+    monkeypatch.setattr(compact, "PACK_ROWS", 100)
+    rng = random.Random(8)
+    runner = Batches(work_path(spark, "compact"), 10)
+    c = Compactor(runner, 4, 0.5)
+    runner.put(spark, some(rng, 600))
+    c.compact(spark)
+    segments = c.state(spark)[2]["id"]
+    assert len(segments) == 150 and len(list_folder(spark, f"{c.base}/merged/gen=0/topic=id")) <= 6 + 2
+    for lo, hi, n in ((0, 10**5, 40), (0, 10**6, 50), (5 * 10**5, 10**6, 80)):
+        runner.put(spark, some(rng, n, lo, hi))
+        c.compact(spark)
+        assert any(s.pending for s in c.state(spark)[2]["id"])
+        assert all(stored(spark, c, t) == truth(runner, t) for t in KEYS)
+    c.compact(spark, everything=True)
+    c.remove_old(spark)
+    assert all(stored(spark, c, t) == truth(runner, t) for t in KEYS)
