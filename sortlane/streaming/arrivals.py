@@ -6,7 +6,9 @@ be held back for one arrival (``silent=(partition, arrival)``): its messages
 move to the next arrival, so that batch sees the partition silent.  Each
 arrival is ``FILES`` parquet files appended to the source folder by its own
 write, so files get increasing modification times and ``maxFilesPerTrigger=FILES``
-turns each arrival into one micro-batch.  With a broker this module is not needed.
+turns each arrival into one micro-batch.  Files are cut into row groups of
+``ROW_GROUP`` bytes, so that a batch of few files is still read by many tasks.
+With a broker this module is not needed.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 from ..schema import LOG_COLUMNS
 
 FILES = 2
+ROW_GROUP = 4 << 20
 
 
 def arrival_of(offset: Column, cuts: Sequence[int], partition: Column | None = None,
@@ -51,6 +54,6 @@ def write_arrivals(log: DataFrame, source_dir: str, cuts: Sequence[int],
     written = 0
     for k in range(first, last + 1):
         part = tagged.where(F.col("_arrival") == k).drop("_arrival")
-        part.repartition(files).write.mode("append").parquet(source_dir)
+        part.repartition(files).write.mode("append").option("parquet.block.size", ROW_GROUP).parquet(source_dir)
         written += 1
     return written

@@ -45,8 +45,9 @@ from pyspark.sql import functions as F
 
 from ..functions.codec import decode, encode_line
 from ..functions.tables import small_table
+from ..operators.order import stage
 from ..schema import LOG_COLUMNS, LOG_PARTITIONS, LOG_SCHEMA, SORTED_TOPICS, SOURCE_TOPIC, run_length
-from ..session import list_folder, remove_folder
+from ..session import list_folder, remove_folder, shuffle_partitions
 from ..sinks.publish import hash_partition
 from ..sources.log import kafka_to_log
 
@@ -60,6 +61,8 @@ PROGRESS_SCHEMA = ("batch_id bigint, consumed bigint, accepted bigint, rejected
 OUT_SCHEMA = ("sort_key string, src_partition int, run_id bigint, pos bigint, id int, name string, address string, "
               "continent string, src_offset bigint, topic string, partition int, offset bigint, key string, value string")
 OUT_COLUMNS = [c.split()[0] for c in OUT_SCHEMA.split(", ")]
+#: Topic partitions up to which places in them are counted beside the sort, one sum each.
+COUNTED_PARTITIONS = 16
 
 
 class StreamStateError(RuntimeError):
@@ -142,12 +145,13 @@ class StreamRuns:
     # ---- the batch function --------------------------------------------------
 
     def _messages(self, spark: SparkSession, rows: DataFrame, runs: list[tuple[int, int, int, int]],
-                  state: Manifest) -> tuple[DataFrame, dict[tuple[str, int], int]]:
+                  state: Manifest, used: list[str]) -> tuple[DataFrame, dict[tuple[str, int], int]]:
         """Closed runs sorted three ways, as messages with dense offsets per topic partition.
 
         ``runs`` has ``(partition, first run, end run, rows of each)``.  A run's
         keys depend only on its number and length, so how many of its messages
-        a topic partition gets is counted without touching the data.
+        a topic partition gets is counted without touching the data.  ``used``
+        gets the folders to remove once the messages are written.
         """
         tagged = rows.withColumn("sort_key", F.explode(F.array(*[F.lit(k) for k in self.sort_keys])))
         # Key-specific leading field; the id and source offset complete every order.
@@ -161,14 +165,22 @@ class StreamRuns:
             "pos", (F.row_number().over(w) - 1).cast("bigint")).withColumn("key", key).withColumn(
             "partition", hash_partition("key", self.partitions)).withColumn("value", encode_line())
         # Window partitioned by the run still: the exchange above serves both.
-        at = Window.partitionBy("sort_key", "src_partition", "run_id", "partition").orderBy("pos")
-        out = out.withColumn("_at", F.row_number().over(at) - 1)
-        # One row per (closed run, topic partition), the same for every topic.
+        if self.partitions <= COUNTED_PARTITIONS:
+            # Messages of the run so far, counted per topic partition in the order above: no second sort.
+            so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            out = out.withColumn("_at", F.coalesce(*[
+                F.when(F.col("partition") == p, F.sum((F.col("partition") == p).cast("bigint")).over(so_far))
+                for p in range(self.partitions)]) - 1)
+        else:
+            at = Window.partitionBy("sort_key", "src_partition", "run_id", "partition").orderBy("pos")
+            out = out.withColumn("_at", F.row_number().over(at) - 1)
+        # One row per (closed run, topic partition), the same for every topic; both uses below read it.
         spans = small_table(spark, runs, "src_partition int, _lo bigint, _hi bigint, _n bigint")
         slots = spans.select("src_partition", "_n", F.explode(F.sequence(F.col("_lo"), F.col("_hi") - 1)).alias("run_id"))
+        slots = slots.repartition(shuffle_partitions(spark), "src_partition", "run_id")  # a number, or its few bytes would be one task
         slots = slots.select("src_partition", "run_id", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1)).alias("pos"))
-        counts = slots.withColumn("partition", hash_partition(key, self.partitions)).groupBy(
-            "partition", "src_partition", "run_id").agg(F.count(F.lit(1)).alias("_c"))
+        counts = stage(slots.withColumn("partition", hash_partition(key, self.partitions)).groupBy(
+            "partition", "src_partition", "run_id").agg(F.count(F.lit(1)).alias("_c")), "slots", folders=used)
         before = Window.partitionBy("partition").orderBy("src_partition", "run_id").rowsBetween(
             Window.unboundedPreceding, -1)
         starts = counts.withColumn("_start", F.coalesce(F.sum("_c").over(before), F.lit(0)))
@@ -247,11 +259,13 @@ class StreamRuns:
         if closed:
             ranges = small_table(spark, closed, "partition int, _lo bigint, _hi bigint, _n bigint")
             ready = rows.join(F.broadcast(ranges), "partition").where("run_id >= _lo AND run_id < _hi").drop("_lo", "_hi", "_n")
-            messages, state.next_offset = self._messages(spark, ready, closed, prev)
+            messages, state.next_offset = self._messages(spark, ready, closed, prev, used := [])
             seen = Observation(f"stream-out-{batch_id}")
             messages.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(
                 self._batch_dir("out", batch_id))
             rows_out = int(seen.get.get("rows") or 0)
+            for folder in used:
+                remove_folder(spark, folder)
         runs = small_table(spark, still_open or [(-1, -1)], "partition int, run_id bigint")
         rows.join(F.broadcast(runs), ["partition", "run_id"], "left_semi").select(
             *[c.split()[0] for c in OPEN_SCHEMA.split(", ")]).write.mode("overwrite").parquet(
@@ -297,10 +311,12 @@ class StreamRuns:
                      for p, n in state.next_seq.items() if n % self.chunk]
         if not open_runs:
             return 0
-        messages, _ = self._messages(spark, self._open(spark, last), open_runs, state)
+        messages, _ = self._messages(spark, self._open(spark, last), open_runs, state, used := [])
         seen = Observation(f"stream-flush-{last}")
         messages.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(
             self._batch_dir("flush", last))
+        for folder in used:
+            remove_folder(spark, folder)
         return int(seen.get.get("rows") or 0)
 
     def _committed(self, spark: SparkSession, name: str, schema: str) -> DataFrame:

@@ -264,3 +264,35 @@ def test_cli_stream_and_skip_sort(spark, dirty):
     assert main(["batch", "--records", "500", "--out", out, "--skip-sort"]) == 0
     log = spark.read.parquet(out)
     assert log.count() == 500 and {r[0] for r in log.select("topic").distinct().collect()} == {"source"}
+
+
+def test_a_batch_of_few_files_is_read_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(arrivals, "ROW_GROUP", 1 << 18)
+    log = spark.range(400000).select(
+        F.lit("source").alias("topic"), (F.col("id") % 4).cast("int").alias("partition"), F.floor(F.col("id") / 4).alias("offset"),
+        F.lit(None).cast("string").alias("key"), F.concat_ws(",", "id", F.md5(F.col("id").cast("string")), F.lit("x"), F.lit("Asia")).alias("value"))
+    src = f"{work_path(spark, 'row-groups')}/source"
+    arrivals.write_arrivals(log, src, [0, 100000])
+    assert len([f for f in list_folder(spark, src) if f.endswith(".parquet")]) == arrivals.FILES
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 1 << 20)
+    try:
+        parts = spark.read.parquet(src).groupBy(F.spark_partition_id().alias("p")).count().where("count > 0").count()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert parts > 2 * arrivals.FILES
+
+
+def test_places_in_topics_do_not_depend_on_how_they_are_counted(spark, dirty, monkeypatch):
+    """Counted beside the one sort of a run, or by a sort of their own: the same messages."""
+    got, plans = [], []
+    for most in (16, 0):
+        monkeypatch.setattr(streaming_runs, "COUNTED_PARTITIONS", most)
+        runner = StreamRuns(work_path(spark, "stream-places"), 11)
+        for i, p in enumerate(_parts(dirty, [0, 80, 250])):
+            runner.process(p, i)
+        runner.flush_open_runs(spark)
+        got.append(rows(runner.output(spark, include_flush=True), "topic", "partition", "offset", "key", "value"))
+        closed, _ = runner._messages(spark, runner._open(spark, 1), [(0, 5, 6, 3)], runner._manifest(spark, 1), [])
+        plan = closed._jdf.queryExecution().optimizedPlan().toString()
+        plans.append(sum(" Window [" in line and "pos" in line.split("], [")[-1] for line in plan.split("\n")))
+    assert got[0] == got[1] and plans[0] < plans[1]
