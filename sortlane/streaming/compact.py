@@ -37,7 +37,7 @@ from ..functions.tables import small_table
 from ..operators.order import with_position
 from ..schema import LOG_PARTITIONS, sort_key_columns
 from ..session import list_folder, remove_folder
-from ..sinks.publish import publish_sorted
+from ..sinks.publish import hash_partition, publish_sorted
 from ..sinks.versions import create_state, read_state
 from .runs import OUT_SCHEMA, StreamRuns
 
@@ -258,7 +258,10 @@ class Compactor:
     def _ranked(self, spark: SparkSession, rows: DataFrame, key: Sequence[str], sizes: Mapping[int, int]) -> DataFrame:
         """Rows with ``_rank`` in their segment, from one range-partitioned sort of them all."""
         bases = small_table(spark, list(_firsts(sizes).items()), "_slot int, _first bigint")
-        return with_position(rows, ["_slot", *key], "_pos").join(bases, "_slot").withColumn(
+        # Messages of one place in the source (a repeated offset) keep the order of their run's topic partitions.
+        part = lambda n: F.split_part("key", F.lit("-"), F.lit(n)).try_cast("bigint")
+        ties = [part(2), hash_partition("key", self.runner.partitions), part(3)]
+        return with_position(rows, ["_slot", *key, *ties], "_pos").join(bases, "_slot").withColumn(
             "_rank", F.col("_pos") - F.col("_first")).drop("_first", "_pos")
 
     # ---- readers -------------------------------------------------------------------

@@ -191,3 +191,16 @@ def test_many_segments_share_packs(spark, monkeypatch):
     c.compact(spark, everything=True)
     c.remove_old(spark)
     assert all(stored(spark, c, t) == truth(runner, t) for t in KEYS)
+
+
+def test_messages_of_one_place_keep_the_order_of_their_run(spark):
+    """A repeated offset gives equal sort keys: run, then topic partition, then place in the run decide."""
+    runner = Batches(work_path(spark, "compact"), 10)
+    c = Compactor(runner, 50)
+    key = [f"0-{run}-{pos}" for run in (2, 10) for pos in range(12)]
+    df = spark.createDataFrame([(5, "n", "x", 0, 1, k) for k in reversed(key)],
+                               "id int, name string, continent string, src_partition int, src_offset bigint, key string")
+    got = c._ranked(spark, df.withColumn("_slot", F.lit(0)).repartition(5), order_columns("id"), {0: len(key)})
+    parts = {r["key"]: r["p"] for r in df.select("key", compact.hash_partition("key", 4).alias("p")).collect()}
+    want = sorted(key, key=lambda k: (int(k.split("-")[1]), parts[k], int(k.split("-")[2])))
+    assert [r["key"] for r in sorted(got.collect(), key=lambda r: r["_rank"])] == want
