@@ -120,3 +120,49 @@ def test_strata_tell_how_many_lines_differ(spark, n):
     source = [f"{i},a,b" for i in range(60000)]
     log = log_of(spark, {"source": source, "id": source[n:]})
     assert n / 2 < sketch.differing(log, ["id"], "source") < 2 * n
+
+
+def test_only_the_slices_that_fail_are_read_again(spark, monkeypatch):
+    """Lines that share all cells of their slice's table can't be told apart by it."""
+    slices, primes = 3, moduli(sketch.SLICE_CELLS)
+    hashes = spark.range(250000).select(F.concat(F.col("id").cast("string"), F.lit(",a,b")).alias("value")).withColumn(
+        "h", sketch._hash()).withColumn("s", F.pmod(F.shiftright("h", sketch._SLICED), F.lit(slices)))
+    places = [F.pmod("h", F.lit(p).cast("bigint")).alias(f"p{j}") for j, p in enumerate(primes)]
+    alike = hashes.groupBy("s", *places).agg(F.collect_list("value").alias("v")).where("size(v) > 1 AND s = 1").orderBy("p0", "p1").limit(2)
+    stuck = [v for r in alike.collect() for v in r["v"]]
+    assert len(stuck) >= 4
+    source = [*stuck, *[f"other {i}" for i in range(9000)]]
+    log = log_of(spark, {"source": source, "id": source[len(stuck) + 1200:], "name": source, "continent": source[5:]})
+    read = []
+    real = sketch._peeled
+    monkeypatch.setattr(sketch, "differing", lambda *a: slices * sketch.SLICE_CELLS // 2)
+    monkeypatch.setattr(sketch, "_peeled", lambda sums, *a: read.append(sums.select("group").distinct().count()) or real(sums, *a))
+    # All slices halved would be more cells than allowed.
+    got = multiset_difference(log, most_cells=5 * sketch.SLICE_CELLS)
+    assert got.cells == 2 * slices * sketch.SLICE_CELLS and read == [3, 2]
+    assert rows(got.rows) == rows(multiset_reconcile(log)) and len(rows(got.rows)) == len(stuck) + 1200 + 5
+
+
+def test_tables_peel_as_one_by_one():
+    rng = random.Random(5)
+    primes = moduli(300)
+    firsts = [sum(primes[:j]) for j in range(3)]
+    arrays, tables, want = sketch.np.zeros((5, 4, sum(primes)), "int64"), [{} for _ in range(4)], []
+    for t, n in enumerate((0, 30, 120, 500)):  # the last one is too full
+        lines = {rng.randrange(-1 << 63, 1 << 63): rng.choice([-4, -1, 1, 3, 1 << 30]) for _ in range(n)}
+        want.append(lines)
+        for h, d in lines.items():
+            parts = [1, h & 0x3FFFFF, h >> 22 & 0x1FFFFF, h >> 43, sketch._check(h)]
+            assert parts[1] + (parts[2] << 22) + (parts[3] << 43) == h
+            for j, p in enumerate(primes):
+                a = tables[t].get((j, h % p), (0, 0, 0))
+                tables[t][j, h % p] = (a[0] + d, a[1] + d * h, a[2] + d * sketch._check(h))
+                arrays[:, t, firsts[j] + h % p] += [d * x for x in parts]
+    t, h, n, read = sketch.peel_tables(arrays, primes)
+    assert read.tolist() == [True, True, True, False]
+    for k in range(3):
+        got = {}
+        for line, d in zip(h[t == k].tolist(), n[t == k].tolist()):
+            got[line] = got.get(line, 0) + d
+        assert {line: d for line, d in got.items() if d} == want[k] == peel(tables[k], primes)
+    assert peel(tables[3], primes) is None
